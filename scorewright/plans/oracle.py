@@ -130,3 +130,229 @@ pred AS (
 def _score_ids() -> str:
     return f"""WITH {churn_scored_cte()}
 SELECT customerID AS id, CASE WHEN prediction = 1 THEN 'yes' ELSE 'no' END AS churn FROM pred"""
+
+
+def confusion_sql(src: str, group: list[str] = ()) -> str:
+    g = ", ".join(group)
+    gsel = f"{g}, " if group else ""
+    gby = f"GROUP BY {g}" if group else ""
+    return f"""SELECT {gsel}tp, fp, fn, tn,
+       CAST(correct AS DOUBLE) / CAST(n AS DOUBLE) AS accuracy,
+       CASE WHEN tp + fp > 0 THEN CAST(tp AS DOUBLE) / CAST(tp + fp AS DOUBLE) ELSE CAST(0 AS DOUBLE) END AS precision,
+       CASE WHEN tp + fn > 0 THEN CAST(tp AS DOUBLE) / CAST(tp + fn AS DOUBLE) ELSE CAST(0 AS DOUBLE) END AS recall,
+       CASE WHEN 2 * tp + fp + fn > 0 THEN CAST(2 * tp AS DOUBLE) / CAST(2 * tp + fp + fn AS DOUBLE)
+            ELSE CAST(0 AS DOUBLE) END AS f1
+FROM (SELECT {gsel}
+        count(*) FILTER (WHERE label = 1 AND prediction = 1) AS tp,
+        count(*) FILTER (WHERE label <> 1 AND prediction = 1) AS fp,
+        count(*) FILTER (WHERE label = 1 AND prediction <> 1) AS fn,
+        count(*) FILTER (WHERE label <> 1 AND prediction <> 1) AS tn,
+        count(*) FILTER (WHERE label = prediction) AS correct,
+        count(*) AS n
+      FROM {src} {gby})"""
+
+
+def auc_sql(src: str, score: str, group: list[str] = ()) -> str:
+    g = ", ".join(group)
+    gsel = f"{g}, " if group else ""
+    gby = f"GROUP BY {g}" if group else ""
+    part = f"PARTITION BY {g} " if group else ""
+    return f"""SELECT {gsel}CASE WHEN sum(pos) > 0 AND sum(neg) > 0
+         THEN sum(CAST(pos AS DOUBLE) * (CAST(below AS DOUBLE) + 0.5 * CAST(neg AS DOUBLE)))
+              / (CAST(sum(pos) AS DOUBLE) * CAST(sum(neg) AS DOUBLE)) END AS auc
+FROM (SELECT {gsel}pos, neg,
+             coalesce(sum(neg) OVER ({part}ORDER BY sc ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS below
+      FROM (SELECT {gsel}{score} AS sc, sum(label) AS pos, sum(1 - label) AS neg FROM {src} GROUP BY {gsel}{score}))
+{gby}"""
+
+
+@sql("prediction_counts")
+def _prediction_counts() -> str:
+    return f"""WITH {churn_scored_cte()}
+SELECT count(*) AS total, count(*) FILTER (WHERE prediction = 0) AS stay,
+       count(*) FILTER (WHERE prediction = 1) AS leave FROM pred"""
+
+
+@sql("accuracy")
+def _accuracy() -> str:
+    return f"""WITH {churn_scored_cte()}
+SELECT CAST(count(*) FILTER (WHERE label = prediction) AS DOUBLE) / CAST(count(*) AS DOUBLE) AS accuracy FROM pred"""
+
+
+@sql("binary_metrics")
+def _binary_metrics() -> str:
+    return f"WITH {churn_scored_cte()}\n{confusion_sql('pred')}"
+
+
+@sql("auc")
+def _auc() -> str:
+    return f"WITH {churn_scored_cte()}\n{auc_sql('pred', 'raw')}"
+
+
+def rules_stacked_cte() -> str:
+    from scorewright.plans.fixed import CHURN_ALT_RULES
+
+    parts = [f"SELECT '{name}' AS model, customerID, CASE WHEN churn = 'Yes' THEN 1 ELSE 0 END AS label, "
+             f"{churn_raw_sql(w, b)} AS raw FROM indexed" for name, (w, b) in CHURN_ALT_RULES.items()]
+    union = "\n  UNION ALL ".join(parts)
+    return (CHURN_ZERO_CTE + ",\n" + vocab_ctes("churn_zero", CHURN.categorical) + ",\n"
+            + indexed_cte("churn_zero", CHURN.categorical) + f""",
+st AS (
+  {union}),
+st_pred AS (
+  SELECT *, CASE WHEN 1 / (1 + exp(-raw)) >= 0.5 THEN CAST(1 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END AS prediction
+  FROM st)""")
+
+
+@sql("compare_metrics")
+def _compare_metrics() -> str:
+    return f"""WITH {rules_stacked_cte()},
+conf AS ({confusion_sql('st_pred', ['model'])}),
+a AS ({auc_sql('st_pred', 'raw', ['model'])})
+SELECT conf.*, a.auc FROM conf JOIN a USING (model)"""
+
+
+@sql("stack_predictions")
+def _stack_predictions() -> str:
+    return f"""WITH {rules_stacked_cte()}
+SELECT model, prediction, count(*) AS n FROM st_pred GROUP BY model, prediction"""
+
+
+@sql("decision_text")
+def _decision_text() -> str:
+    return f"""WITH {churn_scored_cte()}
+SELECT customerID, CASE WHEN prediction = 1 THEN 'leave' ELSE 'stay' END AS decision,
+       printf('%.2f%%', probability * 100) AS leave_probability FROM pred"""
+
+
+@sql("confidence_modes")
+def _confidence_modes() -> str:
+    return f"""WITH {churn_scored_cte()}
+SELECT customerID, round(probability, 6) AS conf_positive,
+       round(CASE WHEN prediction = 1 THEN probability ELSE 1 - probability END, 6) AS conf_predicted FROM pred"""
+
+
+@sql("preview_scored")
+def _preview_scored() -> str:
+    return f"""WITH {churn_scored_cte()}
+SELECT customerID, segment, nation, churn, prediction, round(probability, 6) AS probability
+FROM pred ORDER BY custkey LIMIT 10"""
+
+
+@sql("row_ids")
+def _row_ids() -> str:
+    return f"""WITH {CHURN_CTE}
+SELECT customerID, row_number() OVER (ORDER BY custkey) AS row_id FROM churn"""
+
+
+TEN = f"custkey % {BLANK_EVERY} = 0"
+BAD = f"custkey % {BAD_INT_EVERY} = 0"
+
+
+@sql("scan_csv")
+def _scan_csv() -> str:
+    return f"""WITH {CHURN_CTE}
+SELECT customerID, segment, nation, region, top_priority, n_orders,
+       CASE WHEN {BAD} THEN NULL ELSE tenure END AS tenure, avg_order,
+       CASE WHEN {TEN} THEN NULL ELSE total_spent END AS total_spent, acctbal, churn
+FROM churn"""
+
+
+@sql("scan_csv_strings")
+def _scan_csv_strings() -> str:
+    return f"""WITH {CHURN_CTE}
+SELECT customerID, segment, nation, region, top_priority, CAST(n_orders AS VARCHAR) AS n_orders,
+       CASE WHEN {BAD} THEN 'x' ELSE CAST(tenure AS VARCHAR) END AS tenure, churn
+FROM churn"""
+
+
+@sql("clean_blank_drop")
+def _clean_blank_drop() -> str:
+    return f"""WITH {CHURN_CTE}
+SELECT customerID, segment, nation, region, top_priority, n_orders,
+       CASE WHEN {BAD} THEN NULL ELSE tenure END AS tenure, avg_order, total_spent, acctbal,
+       CASE WHEN churn = 'Yes' THEN 1 ELSE 0 END AS label
+FROM churn WHERE NOT ({TEN})"""
+
+
+@sql("clean_blank_zero")
+def _clean_blank_zero() -> str:
+    return f"""WITH {CHURN_ZERO_CTE}
+SELECT customerID, segment, nation, region, top_priority, n_orders, tenure, avg_order, total_spent, acctbal, churn
+FROM churn_zero"""
+
+
+@sql("typed_casts")
+def _typed_casts() -> str:
+    return _scan_csv()
+
+
+@sql("derive_label")
+def _derive_label() -> str:
+    return f"""WITH {CHURN_CTE}
+SELECT customerID, CASE WHEN churn = 'Yes' THEN 1 ELSE 0 END AS label FROM churn"""
+
+
+@sql("quarantine_rows")
+def _quarantine_rows() -> str:
+    return f"""WITH {CHURN_CTE}
+SELECT customerID,
+       CASE WHEN {BAD} OR {TEN} THEN 'rejected' ELSE 'ok' END AS status,
+       concat_ws('; ', CASE WHEN {BAD} THEN 'tenure: not a valid int: ''x''' END,
+                       CASE WHEN {TEN} THEN 'total_spent: missing' END) AS error,
+       CASE WHEN {BAD} THEN NULL ELSE tenure END AS tenure,
+       CASE WHEN {TEN} THEN NULL ELSE total_spent END AS total_spent
+FROM churn"""
+
+
+def _indexed_zero() -> str:
+    return (CHURN_ZERO_CTE + ",\n" + vocab_ctes("churn_zero", CHURN.categorical) + ",\n"
+            + indexed_cte("churn_zero", CHURN.categorical))
+
+
+@sql("string_index")
+def _string_index() -> str:
+    cols = ", ".join(f"coalesce({c}_i, CAST((SELECT count(*) FROM _v_{c}) AS INTEGER)) AS {c}_idx"
+                     for c in CHURN.categorical)
+    return f"WITH {_indexed_zero()}\nSELECT customerID, {cols} FROM indexed"
+
+
+@sql("one_hot")
+def _one_hot() -> str:
+    cols = ", ".join(f"coalesce({c}_i, -1) AS {c}_hot" for c in CHURN.categorical)
+    return f"WITH {_indexed_zero()}\nSELECT customerID, {cols} FROM indexed"
+
+
+@sql("assemble")
+def _assemble() -> str:
+    size = f"{len(CHURN.numeric)}" + "".join(f" + (SELECT count(*) FROM _v_{c})" for c in CHURN.categorical)
+    nnz = " + ".join([*[f"CASE WHEN {c} <> 0 THEN 1 ELSE 0 END" for c in CHURN.numeric],
+                      *[f"CASE WHEN {c}_i IS NULL THEN 0 ELSE 1 END" for c in CHURN.categorical]])
+    acc = "CAST(0 AS DOUBLE)"
+    for j, c in enumerate(CHURN.numeric):
+        acc = f"({acc} + CAST({c} AS DOUBLE) * CAST({j + 1} AS DOUBLE))"
+    for c in CHURN.categorical:
+        acc = f"({acc} + CASE WHEN {c}_i IS NULL THEN CAST(0 AS DOUBLE) ELSE CAST({c}_off + {c}_i + 1 AS DOUBLE) END)"
+    return f"""WITH {_indexed_zero()}
+SELECT customerID, CAST({size} AS INTEGER) AS n_features, CAST({nnz} AS INTEGER) AS nnz, {acc} AS checksum
+FROM indexed"""
+
+
+@sql("standard_scale")
+def _standard_scale() -> str:
+    cols = ", ".join(f"round(CAST({c} AS DOUBLE) / stddev_samp(CAST({c} AS DOUBLE)) OVER (), 6) AS {c}"
+                     for c in CHURN.numeric)
+    return f"WITH {CHURN_ZERO_CTE}\nSELECT customerID, {cols} FROM churn_zero"
+
+
+@sql("holdout_split")
+def _holdout_split() -> str:
+    return f"""WITH {CHURN_CTE}
+SELECT customerID, CASE WHEN substr(md5('42:' || CAST(custkey AS VARCHAR)), 1, 4) < 'cccd'
+                        THEN 'train' ELSE 'test' END AS split FROM churn"""
+
+
+@sql("replicate")
+def _replicate() -> str:
+    return f"""WITH {CHURN_CTE}
+SELECT customerID, churn, CAST(t.copy AS INTEGER) AS copy FROM churn, range(200) AS t(copy)"""

@@ -55,3 +55,227 @@ def q_score_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = churn_scored(spark, sf_dir)
     return s.select(F.col("customerID").alias("id"),
                     F.when(F.col("prediction") == 1.0, F.lit("yes")).otherwise(F.lit("no")).alias("churn"))
+
+
+# ---------------------------------------------------------------- metrics on the fixed scorer
+def _labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    s = churn_scored(spark, sf_dir)
+    return s.withColumn("label", (F.col(CHURN.target) == F.lit(CHURN.positive)).cast("int"))
+
+
+@register("prediction_counts")
+def q_prediction_counts(spark, sf_dir):
+    from scorewright.operators.metrics import prediction_counts
+    return prediction_counts(churn_scored(spark, sf_dir))
+
+
+@register("accuracy")
+def q_accuracy(spark, sf_dir):
+    from scorewright.operators.metrics import accuracy
+    return accuracy(_labelled(spark, sf_dir))
+
+
+@register("binary_metrics")
+def q_binary_metrics(spark, sf_dir):
+    from scorewright.operators.metrics import confusion
+    return confusion(_labelled(spark, sf_dir))
+
+
+@register("auc")
+def q_auc(spark, sf_dir):
+    from scorewright.operators.metrics import auc
+    return auc(_labelled(spark, sf_dir), score="raw")
+
+
+def _rules_stacked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All fixed rules scored in one pass over the features; one row per (rule, customer)."""
+    from scorewright.functions.scalar import dot
+    from scorewright.plans.fixed import CHURN_ALT_RULES
+
+    raw = require_columns(read_csv_strings(spark, churn_csv_path(spark, sf_dir)), [*CHURN.required, CHURN.target])
+    df = clean_blank_zero(raw.select(*CHURN.required, CHURN.target), CHURN)
+    model = fit_features(df, CHURN)
+    size = _feature_size(model, len(CHURN.numeric))
+    from pyspark.ml.functions import vector_to_array
+
+    feats = model.transform(df).withColumn("_arr", vector_to_array("features"))
+    rules = F.array(*[
+        F.struct(F.lit(name).alias("model"), (dot(F.col("_arr"), churn_weights(size, w)) + F.lit(float(b))).alias("raw"))
+        for name, (w, b) in CHURN_ALT_RULES.items()])
+    out = feats.select("customerID", (F.col(CHURN.target) == F.lit(CHURN.positive)).cast("int").alias("label"),
+                       F.explode(rules).alias("r"))
+    out = out.select("r.model", "customerID", "label", F.col("r.raw").alias("raw"))
+    p = F.lit(1.0) / (F.lit(1.0) + F.exp(-F.col("raw")))
+    return out.withColumn("probability", p).withColumn("prediction", (F.col("probability") >= 0.5).cast("double"))
+
+
+@register("compare_metrics")
+def q_compare_metrics(spark, sf_dir):
+    from scorewright.operators.metrics import auc, confusion
+    st = _rules_stacked(spark, sf_dir)
+    return confusion(st, group=["model"]).join(auc(st, score="raw", group=["model"]), "model")
+
+
+@register("stack_predictions")
+def q_stack_predictions(spark, sf_dir):
+    from scorewright.operators.stack import stack_predictions
+    from scorewright.plans.fixed import CHURN_ALT_RULES
+
+    outs = {name: churn_scored(spark, sf_dir, w, b).select("customerID", "prediction")
+            for name, (w, b) in CHURN_ALT_RULES.items()}
+    return stack_predictions(outs).groupBy("model", "prediction").agg(F.count(F.lit(1)).alias("n"))
+
+
+@register("decision_text")
+def q_decision_text(spark, sf_dir):
+    from scorewright.functions.scalar import decision_text, percent
+    s = churn_scored(spark, sf_dir)
+    return s.select("customerID", decision_text("prediction").alias("decision"),
+                    percent("probability").alias("leave_probability"))
+
+
+@register("confidence_modes")
+def q_confidence_modes(spark, sf_dir):
+    s = churn_scored(spark, sf_dir)
+    pred = F.when(F.col("prediction") == 1.0, F.col("probability")).otherwise(1.0 - F.col("probability"))
+    return s.select("customerID", F.round("probability", 6).alias("conf_positive"),
+                    F.round(pred, 6).alias("conf_predicted"))
+
+
+@register("preview_scored")
+def q_preview_scored(spark, sf_dir):
+    s = churn_scored(spark, sf_dir)
+    return (s.select("customerID", "segment", "nation", CHURN.target, "prediction",
+                     F.round("probability", 6).alias("probability"))
+            .orderBy(F.col("customerID").cast("long")).limit(10))
+
+
+@register("row_ids")
+def q_row_ids(spark, sf_dir):
+    from scorewright.operators.rank import global_row_number
+    from scorewright.sources.tables import churn_table
+    t = churn_table(spark, sf_dir).select("customerID", "custkey")
+    return global_row_number(t, ["custkey"]).select("customerID", "row_id")
+
+
+# ---------------------------------------------------------------- sources and cleaning
+CHURN_CSV_SCHEMA = ("customerID string, segment string, nation string, region string, top_priority string, "
+                    "n_orders int, tenure int, avg_order double, total_spent double, acctbal double, churn string")
+
+
+def _churn_strings(spark, sf_dir) -> DataFrame:
+    return read_csv_strings(spark, churn_csv_path(spark, sf_dir))
+
+
+@register("scan_csv")
+def q_scan_csv(spark, sf_dir):
+    from scorewright.sources.csv import read_csv
+    return read_csv(spark, churn_csv_path(spark, sf_dir), schema=CHURN_CSV_SCHEMA)
+
+
+@register("scan_csv_strings")
+def q_scan_csv_strings(spark, sf_dir):
+    return _churn_strings(spark, sf_dir).select("customerID", "segment", "nation", "region", "top_priority",
+                                                "n_orders", "tenure", "churn")
+
+
+@register("clean_blank_drop")
+def q_clean_blank_drop(spark, sf_dir):
+    from scorewright.operators.clean import clean_blank_drop
+    return clean_blank_drop(_churn_strings(spark, sf_dir), CHURN).drop("churn")
+
+
+@register("clean_blank_zero")
+def q_clean_blank_zero(spark, sf_dir):
+    return clean_blank_zero(_churn_strings(spark, sf_dir), CHURN)
+
+
+@register("typed_casts")
+def q_typed_casts(spark, sf_dir):
+    from scorewright.operators.clean import typed_casts
+    return typed_casts(_churn_strings(spark, sf_dir), CHURN.int_columns, CHURN.double_columns)
+
+
+@register("derive_label")
+def q_derive_label(spark, sf_dir):
+    from scorewright.operators.clean import derive_label
+    return derive_label(_churn_strings(spark, sf_dir), CHURN.target, CHURN.positive).select("customerID", "label")
+
+
+@register("quarantine_rows")
+def q_quarantine_rows(spark, sf_dir):
+    from scorewright.operators.clean import quarantine
+    q = quarantine(_churn_strings(spark, sf_dir), CHURN)
+    return q.select("customerID", "status", F.concat_ws("; ", "errors").alias("error"), "tenure", "total_spent")
+
+
+# ---------------------------------------------------------------- encoding
+def _clean_table(spark, sf_dir) -> DataFrame:
+    return clean_blank_zero(_churn_strings(spark, sf_dir), CHURN)
+
+
+@register("string_index")
+def q_string_index(spark, sf_dir):
+    from scorewright.operators.features import idx_col, indexer
+    df = _clean_table(spark, sf_dir)
+    m = indexer(CHURN.categorical).fit(df)
+    return m.transform(df).select("customerID", *[F.col(idx_col(c)).cast("int").alias(idx_col(c))
+                                                  for c in CHURN.categorical])
+
+
+@register("one_hot")
+def q_one_hot(spark, sf_dir):
+    from pyspark.ml import Pipeline
+    from pyspark.ml.functions import vector_to_array
+
+    from scorewright.operators.features import indexer, one_hot, vec_col
+    df = _clean_table(spark, sf_dir)
+    m = Pipeline(stages=[indexer(CHURN.categorical), one_hot(CHURN.categorical)]).fit(df)
+    out = m.transform(df)
+    return out.select("customerID", *[
+        (F.array_position(vector_to_array(vec_col(c)), F.lit(1.0)) - 1).cast("int").alias(f"{c}_hot")
+        for c in CHURN.categorical])
+
+
+@register("assemble")
+def q_assemble(spark, sf_dir):
+    from pyspark.ml.functions import vector_to_array
+    df = _clean_table(spark, sf_dir)
+    out = fit_features(df, CHURN).transform(df).withColumn("_a", vector_to_array("features"))
+    return out.select(
+        "customerID", F.size("_a").alias("n_features"),
+        F.size(F.filter("_a", lambda x: x != 0.0)).alias("nnz"),
+        F.aggregate(F.transform("_a", lambda x, i: x * (i + 1).cast("double")), F.lit(0.0),
+                    lambda acc, x: acc + x).alias("checksum"))
+
+
+def _scaled(spark, sf_dir, center: bool) -> DataFrame:
+    from pyspark.ml import Pipeline
+    from pyspark.ml.functions import vector_to_array
+
+    from scorewright.operators.features import assembler, scaler
+    df = _clean_table(spark, sf_dir)
+    m = Pipeline(stages=[assembler(CHURN.numeric, [], "raw_features"),
+                         scaler("raw_features", "scaled", with_mean=center)]).fit(df)
+    out = m.transform(df).withColumn("_s", vector_to_array("scaled"))
+    return out.select("customerID", *[F.round(F.col("_s")[i], 6).alias(c) for i, c in enumerate(CHURN.numeric)])
+
+
+@register("standard_scale")
+def q_standard_scale(spark, sf_dir):
+    return _scaled(spark, sf_dir, center=False)
+
+
+# ---------------------------------------------------------------- split, replicate, sample
+@register("holdout_split")
+def q_holdout_split(spark, sf_dir):
+    from scorewright.operators.split import split_column
+    from scorewright.sources.tables import churn_table
+    return split_column(churn_table(spark, sf_dir), "custkey").select("customerID", "split")
+
+
+@register("replicate")
+def q_replicate(spark, sf_dir):
+    from scorewright.operators.split import replicate
+    from scorewright.sources.tables import churn_table
+    return replicate(churn_table(spark, sf_dir).select("customerID", "churn"), 200)
