@@ -38,3 +38,6 @@ def embed_weights(dim: int) -> list[float]:
 def wholesale_centres(k: int, dim: int) -> list[list[float]]:
     """k fixed centres in standardised space."""
     return [[(((i + 1) * (j + 2)) % 5 - 2) * 0.5 for j in range(dim)] for i in range(k)]
+
+# --- fixed values: file-name extensions used for the derived image paths (mixed case, one non-image)
+NAME_EXTENSIONS = [".JPG", ".jpeg", ".Png", ".bmp", ".GIF", ".txt"]

@@ -356,3 +356,171 @@ SELECT customerID, CASE WHEN substr(md5('42:' || CAST(custkey AS VARCHAR)), 1, 4
 def _replicate() -> str:
     return f"""WITH {CHURN_CTE}
 SELECT customerID, churn, CAST(t.copy AS INTEGER) AS copy FROM churn, range(200) AS t(copy)"""
+
+
+# ---------------------------------------------------------------- embeddings, labels, sinks
+EMB_SCORED_CTE = """
+_e AS (SELECT vec_id, label, 'class_' || CAST(label AS VARCHAR) AS class_name,
+              CAST(embedding AS DOUBLE[]) AS x FROM embeddings),
+_es AS (SELECT *, list_dot_product(x, list_transform(range(len(x)),
+                    lambda j: CAST(((j * 7) % 11) - 5 AS DOUBLE) / CAST(10 AS DOUBLE))) + CAST('0.1' AS DOUBLE) AS raw
+        FROM _e),
+emb_pred AS (SELECT *, CASE WHEN probability >= 0.5 THEN CAST(1 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END AS prediction
+             FROM (SELECT *, 1 / (1 + exp(-raw)) AS probability FROM _es)),
+label_map AS (
+  SELECT CAST(row_number() OVER (ORDER BY count(*) DESC, 'class_' || CAST(label AS VARCHAR)) - 1 AS INTEGER) AS index,
+         'class_' || CAST(label AS VARCHAR) AS label
+  FROM embeddings GROUP BY label)"""
+
+
+@sql("linear_score")
+def _linear_score() -> str:
+    return f"WITH {EMB_SCORED_CTE}\nSELECT vec_id, prediction, round(probability, 6) AS probability FROM emb_pred"
+
+
+@sql("class_counts")
+def _class_counts() -> str:
+    return "SELECT label, count(*) AS count FROM embeddings GROUP BY label"
+
+
+@sql("class_weights")
+def _class_weights() -> str:
+    return """WITH c AS (SELECT label, count(*) AS cnt FROM embeddings GROUP BY label),
+w AS (SELECT label, CAST(sum(cnt) OVER () AS DOUBLE) / (CAST(count(*) OVER () AS DOUBLE) * CAST(cnt AS DOUBLE))
+             AS classWeight FROM c)
+SELECT e.vec_id, e.label, coalesce(w.classWeight, CAST(1 AS DOUBLE)) AS classWeight
+FROM embeddings e LEFT JOIN w ON e.label = w.label"""
+
+
+@sql("feature_filter")
+def _feature_filter() -> str:
+    return """SELECT vec_id, label FROM embeddings
+WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda v: v <> 0)) > 0"""
+
+
+def _ext_sql() -> str:
+    from scorewright.plans.fixed import NAME_EXTENSIONS
+    lst = "[" + ", ".join(f"'{x}'" for x in NAME_EXTENSIONS) + "]"
+    return f"lower({lst}[CAST(vec_id % {len(NAME_EXTENSIONS)} AS INTEGER) + 1])"
+
+
+@sql("path_label")
+def _path_label() -> str:
+    return "SELECT vec_id, 'class_' || CAST(label AS VARCHAR) AS label FROM embeddings"
+
+
+@sql("file_extension")
+def _file_extension() -> str:
+    from scorewright.specs import IMAGE_EXTENSIONS
+    exts = ", ".join(f"'{x}'" for x in IMAGE_EXTENSIONS)
+    return f"SELECT vec_id, {_ext_sql()} AS ext, {_ext_sql()} IN ({exts}) AS is_image FROM embeddings"
+
+
+@sql("sink_label_map")
+def _sink_label_map() -> str:
+    return f"WITH {EMB_SCORED_CTE}\nSELECT index, label FROM label_map"
+
+
+for _name in ("label_map", "label_map_tolerant", "label_map_object"):
+    ORACLE[_name] = ORACLE["sink_label_map"]
+
+
+@sql("label_lookup")
+def _label_lookup() -> str:
+    return f"""WITH {EMB_SCORED_CTE}
+SELECT p.vec_id, coalesce(m.label, CAST(CAST(p.prediction AS INTEGER) AS VARCHAR)) AS label_name
+FROM emb_pred p LEFT JOIN label_map m ON m.index = CAST(p.prediction AS INTEGER)"""
+
+
+@sql("sink_metrics_json")
+def _sink_metrics_json() -> str:
+    return f"""WITH {EMB_SCORED_CTE}
+SELECT CAST(count(*) FILTER (WHERE CAST(CASE WHEN label < 5 THEN 1 ELSE 0 END AS DOUBLE) = prediction) AS DOUBLE)
+       / CAST(count(*) AS DOUBLE) AS accuracy FROM emb_pred"""
+
+
+@sql("sink_single_csv")
+def _sink_single_csv() -> str:
+    return f"""WITH {EMB_SCORED_CTE}
+SELECT 'img,' || CAST(p.vec_id AS VARCHAR) || '.png' AS filename,
+       coalesce(m.label, CAST(CAST(p.prediction AS INTEGER) AS VARCHAR)) AS label,
+       round(p.probability, 6) AS confidence
+FROM emb_pred p LEFT JOIN label_map m ON m.index = CAST(p.prediction AS INTEGER)"""
+
+
+ORACLE["sink_scores_csv"] = ORACLE["score_ids"]
+
+
+# ---------------------------------------------------------------- wholesale
+def _wholesale_cte() -> str:
+    from scorewright.specs import WHOLESALE_STANDIN_COLUMNS as W
+    cols = ",\n         ".join(
+        f"CAST(coalesce(sum(cents) FILTER (WHERE ptype = '{c}'), 0) AS DOUBLE) / CAST(100 AS DOUBLE) AS {c}"
+        for c in W)
+    return f"""
+_li AS (SELECT o.o_custkey, lower(split_part(p.p_type, ' ', 1)) AS ptype,
+               CAST(round(l.l_extendedprice * 100) AS BIGINT) AS cents
+        FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey JOIN part p ON l.l_partkey = p.p_partkey),
+wholesale AS (
+  SELECT o_custkey AS custkey,
+         {cols}
+  FROM _li GROUP BY o_custkey),
+wz AS (
+  SELECT *, {", ".join(f"({c} - avg({c}) OVER ()) / stddev_samp({c}) OVER () AS z_{c}" for c in W)}
+  FROM wholesale)"""
+
+
+def _assigned_cte() -> str:
+    from scorewright.plans.fixed import wholesale_centres
+    from scorewright.specs import KMEANS_PARAMS
+    from scorewright.specs import WHOLESALE_STANDIN_COLUMNS as W
+    cs = wholesale_centres(KMEANS_PARAMS["k"], len(W))
+    ds = []
+    for cen in cs:
+        acc = "CAST(0 AS DOUBLE)"
+        for c, v in zip(W, cen):
+            acc = f"({acc} + (z_{c} - {dbl(v)}) * (z_{c} - {dbl(v)}))"
+        ds.append(acc)
+    lst = "[" + ", ".join(ds) + "]"
+    return _wholesale_cte() + f""",
+assigned AS (
+  SELECT *, CAST(list_position(d, list_min(d)) - 1 AS INTEGER) AS prediction FROM (SELECT *, {lst} AS d FROM wz))"""
+
+
+@sql("standard_scale_centered")
+def _standard_scale_centered() -> str:
+    from scorewright.specs import WHOLESALE_STANDIN_COLUMNS as W
+    return f"WITH {_wholesale_cte()}\nSELECT custkey, {', '.join(f'round(z_{c}, 6) AS {c}' for c in W)} FROM wz"
+
+
+@sql("assign_cluster")
+def _assign_cluster() -> str:
+    return f"WITH {_assigned_cte()}\nSELECT custkey, prediction FROM assigned"
+
+
+@sql("cluster_profile")
+def _cluster_profile() -> str:
+    from scorewright.specs import WHOLESALE_STANDIN_COLUMNS as W
+    avgs = ", ".join(f"CAST(sum(CAST(round({c} * 100) AS BIGINT)) AS DOUBLE) / (CAST(count(*) AS DOUBLE) * "
+                     f"CAST(100 AS DOUBLE)) AS avg_{c}" for c in W)
+    return f"WITH {_assigned_cte()}\nSELECT prediction, count(*) AS size, {avgs} FROM assigned GROUP BY prediction"
+
+
+@sql("silhouette")
+def _silhouette() -> str:
+    from scorewright.specs import WHOLESALE_STANDIN_COLUMNS as W
+    sq = " + ".join(f"z_{c} * z_{c}" for c in W)
+    sums = ", ".join(f"sum(z_{c}) AS s_{c}" for c in W)
+    dotp = " + ".join(f"p.z_{c} * st.s_{c}" for c in W)
+    return f"""WITH {_assigned_cte()},
+pts AS (SELECT custkey, prediction AS k, {', '.join(f'z_{c}' for c in W)}, {sq} AS sq FROM assigned),
+st AS (SELECT k, count(*) AS n, sum(sq) AS sqs, {sums} FROM pts GROUP BY k),
+d AS (SELECT p.custkey, p.k AS own, st.k AS other, CAST(st.n AS DOUBLE) AS n,
+             p.sq + st.sqs / st.n - 2 * ({dotp}) / st.n AS dist FROM pts p, st),
+agg AS (SELECT custkey, max(CASE WHEN own = other THEN dist END) AS own_d,
+               max(CASE WHEN own = other THEN n END) AS own_n,
+               min(CASE WHEN own <> other THEN dist END) AS other_d FROM d GROUP BY custkey),
+s AS (SELECT CASE WHEN own_n = 1 THEN 0.0 WHEN a < other_d THEN 1 - a / other_d
+                  WHEN a > other_d THEN other_d / a - 1 ELSE 0.0 END AS s
+      FROM (SELECT *, own_d * own_n / (own_n - 1) AS a FROM agg))
+SELECT round(avg(s), 6) AS silhouette FROM s"""

@@ -279,3 +279,246 @@ def q_replicate(spark, sf_dir):
     from scorewright.operators.split import replicate
     from scorewright.sources.tables import churn_table
     return replicate(churn_table(spark, sf_dir).select("customerID", "churn"), 200)
+
+
+# ---------------------------------------------------------------- embeddings, labels, sinks
+def _emb(spark, sf_dir) -> DataFrame:
+    from scorewright.sources.tables import embeddings_table
+    return embeddings_table(spark, sf_dir)
+
+
+def _emb_scored(spark, sf_dir) -> DataFrame:
+    from scorewright.plans.fixed import EMBED_INTERCEPT, embed_weights
+    e = _emb(spark, sf_dir)
+    dim = len(e.select("embedding").first()[0])
+    return linear_score(e, "embedding", embed_weights(dim), EMBED_INTERCEPT)
+
+
+@register("linear_score")
+def q_linear_score(spark, sf_dir):
+    s = _emb_scored(spark, sf_dir)
+    return s.select("vec_id", "prediction", F.round("probability", 6).alias("probability"))
+
+
+@register("class_counts")
+def q_class_counts(spark, sf_dir):
+    from scorewright.operators.metrics import class_counts
+    return class_counts(_emb(spark, sf_dir), "label")
+
+
+@register("class_weights")
+def q_class_weights(spark, sf_dir):
+    from scorewright.operators.metrics import with_class_weights
+    return with_class_weights(_emb(spark, sf_dir), "label").select("vec_id", "label", "classWeight")
+
+
+@register("feature_filter")
+def q_feature_filter(spark, sf_dir):
+    from scorewright.functions.scalar import has_nonzero
+    e = _emb(spark, sf_dir)
+    return e.filter(F.col("embedding").isNotNull() & has_nonzero("embedding")).select("vec_id", "label")
+
+
+def _image_names(spark, sf_dir) -> DataFrame:
+    """File paths derived from the embeddings table: ``/data/images/<class>/img_<id><ext>``."""
+    from scorewright.plans.fixed import NAME_EXTENSIONS
+    e = _emb(spark, sf_dir)
+    ext = F.element_at(F.array(*[F.lit(x) for x in NAME_EXTENSIONS]),
+                       (F.col("vec_id") % len(NAME_EXTENSIONS) + 1).cast("int"))
+    return e.select("vec_id", F.concat(F.lit("file:/data/images/"), F.col("class_name"), F.lit("/img_"),
+                                       F.col("vec_id").cast("string"), ext).alias("origin"))
+
+
+@register("path_label")
+def q_path_label(spark, sf_dir):
+    from scorewright.functions.scalar import parent_dir
+    return _image_names(spark, sf_dir).select("vec_id", parent_dir("origin").alias("label"))
+
+
+@register("file_extension")
+def q_file_extension(spark, sf_dir):
+    from scorewright.functions.scalar import file_extension
+    from scorewright.specs import IMAGE_EXTENSIONS
+    n = _image_names(spark, sf_dir)
+    ext = file_extension("origin")
+    return n.select("vec_id", ext.alias("ext"), ext.isin(IMAGE_EXTENSIONS).alias("is_image"))
+
+
+def _label_map_path(spark, sf_dir) -> str:
+    """Fit the class-name indexer on the embeddings and write its label map once (sink K2)."""
+    from scorewright.operators.features import indexer
+    from scorewright.session import stage_key, work_path
+    from scorewright.sinks import fs, write_label_map
+    path = work_path(spark, "stage", f"label_map-{stage_key(sf_dir)}")
+    if not fs.is_complete(spark, path):
+        m = indexer(["class_name"], handle_invalid="error").fit(_emb(spark, sf_dir))
+        write_label_map(spark, m.labelsArray[0], path)
+    return path
+
+
+@register("sink_label_map")
+def q_sink_label_map(spark, sf_dir):
+    return spark.read.json(_label_map_path(spark, sf_dir)).select(F.col("index").cast("int"), "label")
+
+
+@register("label_map")
+def q_label_map(spark, sf_dir):
+    from scorewright.sources.labels import read_label_map
+    return read_label_map(spark, _label_map_path(spark, sf_dir))
+
+
+def _stage_text(spark, sf_dir, name: str, text_df_fn) -> str:
+    from scorewright.session import stage_key, work_path
+    from scorewright.sinks import fs
+    path = work_path(spark, "stage", f"{name}-{stage_key(sf_dir)}")
+    if not fs.is_complete(spark, path):
+        text_df_fn().repartition(1).write.mode("overwrite").text(path)
+    return path
+
+
+@register("label_map_tolerant")
+def q_label_map_tolerant(spark, sf_dir):
+    """Label lines plus one malformed line and one line without ``index``."""
+    from scorewright.sources.labels import read_label_map, read_label_map_tolerant
+    good = _label_map_path(spark, sf_dir)
+
+    def text():
+        lines = read_label_map(spark, good).select(F.to_json(F.struct("index", "label")).alias("value"))
+        junk = lines.limit(1).select(F.lit('{"index": 3, "label": ').alias("value"))
+        nokey = lines.limit(1).select(F.lit('{"label": "orphan"}').alias("value"))
+        return lines.unionByName(junk).unionByName(nokey)
+    return read_label_map_tolerant(spark, _stage_text(spark, sf_dir, "label_map_dirty", text))
+
+
+@register("label_map_object")
+def q_label_map_object(spark, sf_dir):
+    """The whole-file form ``{"0": "...", "1": "..."}`` (the tolerant reader's fallback)."""
+    from scorewright.sources.labels import read_label_map, read_label_map_tolerant
+    good = _label_map_path(spark, sf_dir)
+
+    def text():
+        m = read_label_map(spark, good)
+        # one row: the map has one entry per class (bounded by the indexer's label count)
+        return m.agg(F.to_json(F.map_from_entries(F.collect_list(
+            F.struct(F.col("index").cast("string"), F.col("label"))))).alias("value"))
+    return read_label_map_tolerant(spark, _stage_text(spark, sf_dir, "label_map_object", text))
+
+
+@register("label_lookup")
+def q_label_lookup(spark, sf_dir):
+    from scorewright.operators.scoring import label_lookup
+    from scorewright.sources.labels import read_label_map
+    s = _emb_scored(spark, sf_dir)
+    return label_lookup(s, read_label_map(spark, _label_map_path(spark, sf_dir)), "prediction").select(
+        "vec_id", "label_name")
+
+
+def _sink_dir(spark, name: str) -> str:
+    import uuid
+
+    from scorewright.session import work_path
+    return work_path(spark, "out", f"{name}-{uuid.uuid4().hex[:8]}")
+
+
+@register("sink_metrics_json")
+def q_sink_metrics_json(spark, sf_dir):
+    from scorewright.operators.metrics import accuracy
+    from scorewright.sinks import write_json_single
+    s = _emb_scored(spark, sf_dir).withColumn("y", (F.col("label") < 5).cast("int"))
+    path = write_json_single(accuracy(s, "y", "prediction"), _sink_dir(spark, "metrics"))
+    return spark.read.schema("accuracy double").json(path)
+
+
+def _preds(spark, sf_dir) -> DataFrame:
+    from scorewright.operators.scoring import label_lookup
+    from scorewright.sources.labels import read_label_map
+    s = _emb_scored(spark, sf_dir)
+    s = label_lookup(s, read_label_map(spark, _label_map_path(spark, sf_dir)), "prediction")
+    return s.select(F.concat(F.lit("img,"), F.col("vec_id").cast("string"), F.lit(".png")).alias("filename"),
+                    F.col("label_name").alias("label"), F.round("confidence", 6).alias("confidence"))
+
+
+@register("sink_single_csv")
+def q_sink_single_csv(spark, sf_dir):
+    from scorewright.sinks import write_single_csv
+    out = _sink_dir(spark, "preds")
+    path = write_single_csv(spark, _preds(spark, sf_dir), out, "preds.csv")
+    return spark.read.option("header", True).schema("filename string, label string, confidence double").csv(path)
+
+
+@register("sink_scores_csv")
+def q_sink_scores_csv(spark, sf_dir):
+    from scorewright.sinks import write_csv
+    path = write_csv(q_score_ids(spark, sf_dir), _sink_dir(spark, "scores"))
+    return spark.read.option("header", True).schema("id string, churn string").csv(path)
+
+
+# ---------------------------------------------------------------- wholesale clustering
+def _wholesale_scaled(spark, sf_dir, center: bool = True) -> DataFrame:
+    from pyspark.ml import Pipeline
+
+    from scorewright.operators.features import assembler, scaler
+    from scorewright.sources.tables import wholesale_table
+    from scorewright.specs import WHOLESALE_STANDIN_COLUMNS as W
+    t = wholesale_table(spark, sf_dir)
+    m = Pipeline(stages=[assembler(W, [], "raw_features"), scaler("raw_features", "features", with_mean=center)]).fit(t)
+    return m.transform(t)
+
+
+@register("standard_scale_centered")
+def q_standard_scale_centered(spark, sf_dir):
+    from pyspark.ml.functions import vector_to_array
+
+    from scorewright.specs import WHOLESALE_STANDIN_COLUMNS as W
+    s = _wholesale_scaled(spark, sf_dir).withColumn("_a", vector_to_array("features"))
+    return s.select("custkey", *[F.round(F.col("_a")[i], 6).alias(c) for i, c in enumerate(W)])
+
+
+def _assigned(spark, sf_dir) -> DataFrame:
+    from scorewright.operators.scoring import assign_cluster
+    from scorewright.plans.fixed import wholesale_centres
+    from scorewright.specs import KMEANS_PARAMS
+    from scorewright.specs import WHOLESALE_STANDIN_COLUMNS as W
+    s = _wholesale_scaled(spark, sf_dir)
+    return assign_cluster(s, "features", wholesale_centres(KMEANS_PARAMS["k"], len(W)))
+
+
+@register("assign_cluster")
+def q_assign_cluster(spark, sf_dir):
+    return _assigned(spark, sf_dir).select("custkey", "prediction")
+
+
+@register("cluster_profile")
+def q_cluster_profile(spark, sf_dir):
+    from scorewright.operators.cluster import cluster_profile
+    from scorewright.specs import WHOLESALE_STANDIN_COLUMNS as W
+    return cluster_profile(_assigned(spark, sf_dir), W, fixed_decimals=2)
+
+
+@register("silhouette")
+def q_silhouette(spark, sf_dir):
+    from scorewright.operators.metrics import silhouette
+    return silhouette(_assigned(spark, sf_dir)).select(F.round("silhouette", 6).alias("silhouette"))
+
+
+@register("cluster_customers")
+def q_cluster_customers(spark, sf_dir):
+    from scorewright.operators.cluster import fit_kmeans
+    s = _wholesale_scaled(spark, sf_dir)
+    m = fit_kmeans(s, key="custkey")
+    return m.transform(s).select("custkey", "prediction")
+
+
+@register("sweep_k")
+def q_sweep_k(spark, sf_dir):
+    from scorewright.operators.cluster import sweep_k
+    return sweep_k(_wholesale_scaled(spark, sf_dir), key="custkey").select("k", "silhouette", "cost")
+
+
+@register("cluster_plot_sample")
+def q_cluster_plot_sample(spark, sf_dir):
+    from scorewright.operators.cluster import fit_kmeans
+    from scorewright.operators.split import sample_rows
+    s = _wholesale_scaled(spark, sf_dir)
+    m = fit_kmeans(s, key="custkey")
+    return sample_rows(m.transform(s).select("custkey", "medium", "standard", "prediction"), 0.1)

@@ -1,0 +1,60 @@
+"""Writers.  Side effects live here (and in ``plans.jobs``); operators stay pure."""
+
+from __future__ import annotations
+
+import uuid
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame, SparkSession
+
+from scorewright.sinks import fs
+
+
+def write_json_single(df: DataFrame, path: str, mode: str = "overwrite") -> str:
+    """A small result (metrics, label map) as one JSON-lines part file.
+
+    ``repartition(1)`` rather than ``coalesce(1)``: the upstream plan keeps its parallelism and
+    only the final rows meet in one task.
+    """
+    df.repartition(1).write.mode(mode).json(path)
+    return path
+
+
+def write_csv(df: DataFrame, path: str, header: bool = True, mode: str = "overwrite") -> str:
+    """Distributed CSV (one part file per task): the writer for results of any size."""
+    df.write.mode(mode).option("header", header).csv(path)
+    return path
+
+
+def write_single_csv(spark: SparkSession, df: DataFrame, out_dir: str, filename: str = "preds.csv",
+                     header: bool = True) -> str:
+    """Exactly one CSV file ``<out_dir>/<filename>`` with a header, replacing an existing one.
+
+    Rows are written by one task (after a shuffle, so the work before it stays parallel) to a
+    temporary folder beside the target, then the part file is renamed through the Hadoop
+    FileSystem.  Values containing commas or quotes are quoted by the CSV writer.
+    """
+    tmp = f"{out_dir.rstrip('/')}/_tmp_{uuid.uuid4().hex}"
+    df.repartition(1).write.mode("overwrite").option("header", header).csv(tmp)
+    parts = [n for n in fs.list_names(spark, tmp) if n.startswith("part-")]
+    if not parts:
+        raise RuntimeError("No part file generated.")
+    dest = f"{out_dir.rstrip('/')}/{filename}"
+    fs.rename(spark, f"{tmp}/{parts[0]}", dest)
+    fs.delete(spark, tmp)
+    return dest
+
+
+def write_label_map(spark: SparkSession, labels: Sequence[str], path: str) -> str:
+    """``{"index": i, "label": labels[i]}`` lines from a fitted indexer's label list."""
+    df = spark.createDataFrame([(i, str(lab)) for i, lab in enumerate(labels)], "index int, label string")
+    return write_json_single(df, path)
+
+
+def save_model(model, path: str, overwrite: bool = True) -> str:
+    """Save a fitted model or pipeline; ``overwrite=False`` fails when ``path`` exists."""
+    if overwrite:
+        model.write().overwrite().save(path)
+    else:
+        model.save(path)
+    return path
