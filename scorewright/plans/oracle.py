@@ -524,3 +524,13 @@ s AS (SELECT CASE WHEN own_n = 1 THEN 0.0 WHEN a < other_d THEN 1 - a / other_d
                   WHEN a > other_d THEN other_d / a - 1 ELSE 0.0 END AS s
       FROM (SELECT *, own_d * own_n / (own_n - 1) AS a FROM agg))
 SELECT round(avg(s), 6) AS silhouette FROM s"""
+
+
+@sql("error_rows")
+def _error_rows() -> str:
+    from scorewright.sources.tables import ARCHIVE_SIZE, COMMA_EVERY, CORRUPT_AT, CORRUPT_EVERY, UPPER_EVERY
+    return f"""SELECT 'batch_' || CAST(vec_id // {ARCHIVE_SIZE} AS VARCHAR) || '/'
+       || CASE WHEN vec_id % {COMMA_EVERY} = 0 THEN 'img,' ELSE 'img_' END || CAST(vec_id AS VARCHAR)
+       || CASE WHEN vec_id % {UPPER_EVERY} = 1 THEN '.PNG' ELSE '.png' END AS filename,
+       'ERROR' AS label, CAST(0 AS DOUBLE) AS confidence
+FROM embeddings WHERE vec_id % {CORRUPT_EVERY} = {CORRUPT_AT}"""

@@ -522,3 +522,186 @@ def q_cluster_plot_sample(spark, sf_dir):
     s = _wholesale_scaled(spark, sf_dir)
     m = fit_kmeans(s, key="custkey")
     return sample_rows(m.transform(s).select("custkey", "medium", "standard", "prediction"), 0.1)
+
+
+# ---------------------------------------------------------------- training (rows-only checks)
+def _churn_train_test(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
+    from scorewright.operators.clean import clean_blank_drop
+    from scorewright.operators.split import holdout_split
+    df = clean_blank_drop(_churn_strings(spark, sf_dir), CHURN)
+    df = df.fillna({"tenure": 0})      # bad integers: the assembler refuses nulls
+    return holdout_split(df, "customerID")
+
+
+def _train_churn(spark, sf_dir, kind: str, **params) -> DataFrame:
+    from scorewright.operators.models import classifier, fit_pipeline, positive_probability
+    train, test = _churn_train_test(spark, sf_dir)
+    m = fit_pipeline(train, CHURN, classifier(kind, **params))
+    out = positive_probability(m.transform(test))
+    return out.select("customerID", "label", "prediction", F.round("p1", 6).alias("p1"))
+
+
+@register("train_churn_rf")
+def q_train_churn_rf(spark, sf_dir):
+    return _train_churn(spark, sf_dir, "rf", seed=42)
+
+
+@register("train_churn_gbt")
+def q_train_churn_gbt(spark, sf_dir):
+    return _train_churn(spark, sf_dir, "gbt", seed=42)
+
+
+@register("train_churn_lr")
+def q_train_churn_lr(spark, sf_dir):
+    return _train_churn(spark, sf_dir, "lr")
+
+
+def _compare(spark, sf_dir):
+    from scorewright.operators.models import classifier, compare_models
+    train, test = _churn_train_test(spark, sf_dir)
+    table, _ = compare_models(train, test, CHURN, {
+        "Random Forest": classifier("rf", seed=42),
+        "Gradient Boosted Tree": classifier("gbt", seed=42),
+        "Logistic Regression": classifier("lr"),
+    })
+    return table
+
+
+@register("compare_models")
+def q_compare_models(spark, sf_dir):
+    from scorewright.operators.models import report_table
+    return report_table(_compare(spark, sf_dir))
+
+
+@register("sink_comparison_csv")
+def q_sink_comparison_csv(spark, sf_dir):
+    from scorewright.operators.models import report_table
+    from scorewright.sinks import write_single_csv
+    out = _sink_dir(spark, "comparison")
+    path = write_single_csv(spark, report_table(_compare(spark, sf_dir)), out, "model_comparison.csv")
+    return spark.read.option("header", True).option("inferSchema", True).csv(path)
+
+
+@register("score_saved_model")
+def q_score_saved_model(spark, sf_dir):
+    """Fit, save (overwrite), load, and score the whole cleaned table with the loaded model."""
+    from pyspark.ml import PipelineModel
+
+    from scorewright.operators.models import classifier, fit_pipeline
+    from scorewright.sinks import save_model
+    train, _ = _churn_train_test(spark, sf_dir)
+    path = save_model(fit_pipeline(train, CHURN, classifier("rf", seed=42)), _sink_dir(spark, "model_rf"))
+    loaded = PipelineModel.load(path)
+    df = clean_blank_zero(_churn_strings(spark, sf_dir), CHURN)
+    return loaded.transform(df).select(F.col("customerID").alias("id"),
+                                       F.when(F.col("prediction") == 1.0, "yes").otherwise("no").alias("churn"))
+
+
+def _emb_train_test(spark, sf_dir, weighted: bool):
+    from pyspark.ml.functions import array_to_vector
+
+    from scorewright.operators.features import indexer
+    from scorewright.operators.metrics import with_class_weights
+    from scorewright.operators.split import holdout_split
+    e = _emb(spark, sf_dir).withColumn("features_vec", array_to_vector(F.col("embedding").cast("array<double>")))
+    ix = indexer(["class_name"], handle_invalid="error").fit(e)
+    e = ix.transform(e).withColumnRenamed("class_name_idx", "labelIndex")
+    if weighted:
+        e = with_class_weights(e, "labelIndex")
+    return holdout_split(e, "vec_id"), ix
+
+
+def _train_emb(spark, sf_dir, weighted: bool) -> DataFrame:
+    from pyspark.ml.classification import LogisticRegression
+
+    from scorewright.operators.scoring import model_confidence
+    from scorewright.specs import LR_EMBEDDING_PARAMS, LR_WEIGHTED_PARAMS
+    (train, test), _ = _emb_train_test(spark, sf_dir, weighted)
+    if weighted:
+        lr = LogisticRegression(featuresCol="features_vec", labelCol="labelIndex", weightCol="classWeight",
+                                **LR_WEIGHTED_PARAMS)
+    else:
+        lr = LogisticRegression(featuresCol="features_vec", labelCol="labelIndex", **LR_EMBEDDING_PARAMS)
+    m = lr.fit(train)
+    out = m.transform(test)
+    return out.select("vec_id", "labelIndex", "prediction",
+                      F.round(model_confidence("probability", "prediction"), 6).alias("confidence"))
+
+
+@register("train_embedding_lr")
+def q_train_embedding_lr(spark, sf_dir):
+    return _train_emb(spark, sf_dir, weighted=False)
+
+
+@register("train_embedding_lr_weighted")
+def q_train_embedding_lr_weighted(spark, sf_dir):
+    return _train_emb(spark, sf_dir, weighted=True)
+
+
+# ---------------------------------------------------------------- images
+@register("scan_images")
+def q_scan_images(spark, sf_dir):
+    from scorewright.sources.images import read_images, with_path_label
+    from scorewright.sources.tables import pet_image_dir
+    imgs = with_path_label(read_images(spark, pet_image_dir(spark, sf_dir) + "/*"))
+    return imgs.select(F.col("image.origin").alias("origin"), "label", F.col("image.height").alias("height"),
+                       F.col("image.width").alias("width"), F.col("image.nChannels").alias("nChannels"))
+
+
+@register("image_features")
+def q_image_features(spark, sf_dir):
+    from scorewright.operators.embed import image_features
+    from scorewright.sources.images import read_images
+    from scorewright.sources.tables import pet_image_dir
+    f = image_features(read_images(spark, pet_image_dir(spark, sf_dir) + "/*"))
+    return f.select(F.col("image.origin").alias("origin"), F.size("emb.features").alias("n_features"),
+                    F.col("emb.error").alias("error"))
+
+
+@register("zip_members")
+def q_zip_members(spark, sf_dir):
+    from scorewright.sources.images import zip_members
+    from scorewright.sources.tables import image_zip_dir
+    m = zip_members(spark, image_zip_dir(spark, sf_dir))
+    return m.select(F.element_at(F.split("archive", "/"), -1).alias("archive"), "name", "size", "error")
+
+
+def _pet_model(spark, sf_dir) -> tuple[str, str]:
+    """Binary image LR trained once per input folder on the pet pictures; (model, label map)."""
+    from scorewright.plans.jobs import train_image_lr
+    from scorewright.session import stage_key, work_path
+    from scorewright.sinks import fs
+    from scorewright.sources.tables import pet_image_dir
+    root = work_path(spark, "stage", f"pet_model-{stage_key(sf_dir)}")
+    model_dir, labels_dir = f"{root}/model", f"{root}/labels"
+    if not (fs.exists(spark, model_dir + "/metadata") and fs.is_complete(spark, labels_dir)):
+        train_image_lr(spark, pet_image_dir(spark, sf_dir) + "/*", model_dir, labels_dir)
+    return model_dir, labels_dir
+
+
+@register("train_image_lr")
+def q_train_image_lr(spark, sf_dir):
+    from scorewright.plans.jobs import train_image_lr
+    from scorewright.sources.tables import pet_image_dir
+    r = train_image_lr(spark, pet_image_dir(spark, sf_dir) + "/*", weighted=True)
+    return r["predictions"].select("origin", "labelIndex", "prediction")
+
+
+def _score_zip(spark, sf_dir) -> DataFrame:
+    from scorewright.plans.jobs import score_zip
+    from scorewright.sources.tables import image_zip_dir
+    model_dir, labels_dir = _pet_model(spark, sf_dir)
+    out = _sink_dir(spark, "zip_preds")
+    score_zip(spark, image_zip_dir(spark, sf_dir), model_dir, labels_dir, out)
+    return spark.read.option("header", True).schema("filename string, label string, confidence double").csv(
+        out + "/preds.csv")
+
+
+@register("score_zip")
+def q_score_zip(spark, sf_dir):
+    return _score_zip(spark, sf_dir)
+
+
+@register("error_rows")
+def q_error_rows(spark, sf_dir):
+    return _score_zip(spark, sf_dir).filter(F.col("label") == "ERROR")

@@ -151,3 +151,97 @@ def embeddings_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = table(spark, sf_dir, "embeddings")
     return e.select("vec_id", "embedding", "label",
                     F.concat(F.lit("class_"), F.col("label").cast("string")).alias("class_name"))
+
+
+# ---------------------------------------------------------------- image stand-ins
+# --- fixed values of the image stand-ins ---------------------------------------------------
+PET_CLASSES = ("cat", "dog")         # folder of an image: cat when label < 5, else dog
+CORRUPT_EVERY = 50                   # vec_id % 50 == 7 -> bytes that are not an image
+CORRUPT_AT = 7
+ARCHIVE_SIZE = 100                   # members per archive: vec_id // 100
+COMMA_EVERY = 13                     # vec_id % 13 == 0 -> member name with a comma
+UPPER_EVERY = 4                      # vec_id % 4 == 1 -> upper-case extension
+# -------------------------------------------------------------------------------------------
+
+
+def pet_class(label_col: str = "label") -> Column:
+    return F.when(F.col(label_col) < 5, F.lit(PET_CLASSES[0])).otherwise(F.lit(PET_CLASSES[1]))
+
+
+def _pixels(vec, label: int):
+    """8x8 RGB picture of a 64-d embedding: red/green from the values, blue from the class."""
+    import numpy as np
+
+    v = np.clip(np.round(128 + 400 * np.asarray(vec, dtype=np.float64)), 0, 255).astype(np.uint8)
+    side = int(np.sqrt(len(v)))
+    v = v[: side * side].reshape(side, side)
+    blue = np.full_like(v, 64 if label < 5 else 192)
+    return np.stack([v, 255 - v, blue], axis=2)
+
+
+def _image_body(vec_id: int, vec, label: int) -> bytes:
+    from scorewright.sources.images import png_bytes
+    if vec_id % CORRUPT_EVERY == CORRUPT_AT:
+        return b"not an image " + str(vec_id).encode()
+    return png_bytes(_pixels(vec, label))
+
+
+def pet_image_dir(spark: SparkSession, sf_dir: str) -> str:
+    """``<dir>/PetImages/<cat|dog>/img_<vec_id>.png``, one file per embedding row (some corrupt),
+    written by the tasks; returns ``<dir>/PetImages``."""
+    import pandas as pd
+
+    from scorewright.sources.images import write_bytes
+    root = work_path(spark, "stage", f"pets-{stage_key(sf_dir)}")
+    images = f"{root}/PetImages"
+    manifest = f"{root}-manifest"
+    if not fs.is_complete(spark, manifest):
+        def write(batches):
+            for b in batches:
+                paths = []
+                for vid, vec, lab in zip(b["vec_id"], b["embedding"], b["label"]):
+                    cls = PET_CLASSES[0] if lab < 5 else PET_CLASSES[1]
+                    p = f"{images}/{cls}/img_{vid}.png"
+                    write_bytes(p, _image_body(int(vid), vec, int(lab)))
+                    paths.append(p)
+                yield pd.DataFrame({"vec_id": b["vec_id"], "path": paths})
+        (table(spark, sf_dir, "embeddings").mapInPandas(write, "vec_id long, path string")
+         .write.mode("overwrite").parquet(manifest))
+    return images
+
+
+def image_zip_dir(spark: SparkSession, sf_dir: str) -> str:
+    """ZIP archives of the embedding pictures, ``ARCHIVE_SIZE`` members each, plus a directory
+    entry and a text file per archive; some names carry a comma or an upper-case extension."""
+    import io
+    import zipfile
+
+    import pandas as pd
+
+    from scorewright.sources.images import write_bytes
+    root = work_path(spark, "stage", f"zips-{stage_key(sf_dir)}")
+    manifest = f"{root}-manifest"
+    if not fs.is_complete(spark, manifest):
+        def write(pdf: pd.DataFrame) -> pd.DataFrame:
+            aid = int(pdf["archive_id"].iloc[0])
+            buf = io.BytesIO()
+            with zipfile.ZipFile(buf, "w", zipfile.ZIP_DEFLATED) as z:
+                z.writestr(f"batch_{aid}/", b"")
+                z.writestr(f"batch_{aid}/readme.txt", b"not an image")
+                for vid, vec, lab in zip(pdf["vec_id"], pdf["embedding"], pdf["label"]):
+                    z.writestr(member_name(int(vid)), _image_body(int(vid), vec, int(lab)))
+            path = f"{root}/archive_{aid}.zip"
+            write_bytes(path, buf.getvalue())
+            return pd.DataFrame({"archive_id": [aid], "path": [path], "members": [len(pdf)]})
+        e = table(spark, sf_dir, "embeddings").withColumn("archive_id", (F.col("vec_id") / ARCHIVE_SIZE).cast("long"))
+        (e.groupBy("archive_id").applyInPandas(write, "archive_id long, path string, members long")
+         .write.mode("overwrite").parquet(manifest))
+    return root
+
+
+def member_name(vec_id: int) -> str:
+    """Member path of an embedding picture inside its archive (same rule as the oracle SQL)."""
+    aid = vec_id // ARCHIVE_SIZE
+    stem = f"img,{vec_id}" if vec_id % COMMA_EVERY == 0 else f"img_{vec_id}"
+    ext = ".PNG" if vec_id % UPPER_EVERY == 1 else ".png"
+    return f"batch_{aid}/{stem}{ext}"
