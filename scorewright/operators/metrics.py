@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType
 
+from scorewright.functions.scalar import dot
 from scorewright.operators.rank import prefix_before_slice, range_slices
 
 
@@ -131,22 +132,22 @@ def silhouette(df: DataFrame, features: str = "features", prediction: str = "pre
     ``|x|^2 + SQ_j/n_j - 2 x.S_j/n_j``; the own-cluster mean is rescaled by n/(n-1) to leave the
     point out; a point alone in its cluster scores 0.
     """
+    from pyspark.ml.functions import array_to_vector
+    from pyspark.ml.stat import Summarizer
+
     arr = _as_array(df, features)
     pts = df.select(F.col(prediction).cast("double").alias("_k"), arr.alias("_x"))
     pts = pts.withColumn("_sq", F.aggregate("_x", F.lit(0.0), lambda acc, v: acc + v * v))
-    dim = pts.select(F.size("_x").alias("d")).first()
-    if dim is None:
-        return df.sparkSession.createDataFrame([], "silhouette double")
-    d = dim["d"]
-    stats = (pts.select("_k", "_sq", *[F.col("_x")[i].alias(f"_x{i}") for i in range(d)])
-             .groupBy("_k").agg(F.count(F.lit(1)).alias("n"), F.sum("_sq").alias("sq"),
-                                *[F.sum(f"_x{i}").alias(f"s{i}") for i in range(d)])
+    stats = (pts.groupBy("_k")
+             .agg(F.count(F.lit(1)).alias("n"), F.sum("_sq").alias("sq"),
+                  Summarizer.sum(array_to_vector("_x")).alias("s"))
              .orderBy("_k").collect())
+    if not stats:
+        return df.sparkSession.createDataFrame([], "silhouette double")
     dists = []
     for r in stats:
         n = float(r["n"])
-        s = F.array(*[F.lit(float(r[f"s{i}"])) for i in range(d)])
-        xs = F.aggregate(F.zip_with(F.col("_x"), s, lambda a, b: a * b), F.lit(0.0), lambda acc, v: acc + v)
+        xs = dot(F.col("_x"), [float(v) for v in r["s"].toArray()])
         dists.append((float(r["_k"]), n, F.col("_sq") + F.lit(float(r["sq"]) / n) - F.lit(2.0) * xs / F.lit(n)))
     own_n = F.lit(None).cast("double")
     own_d = F.lit(None).cast("double")

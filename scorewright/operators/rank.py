@@ -3,8 +3,13 @@
 ``Window.orderBy(x)`` with no partition moves every row into one task.  Instead the rows are
 range-partitioned on the ordering (``repartitionByRange``), so partition ``b`` holds one
 contiguous slice of the order; per-slice totals (one row per slice) give each slice its offset,
-and a window partitioned by slice does the rest.  Both branches read the same range exchange
-(Spark reuses it), so the slice ids agree.
+and a window partitioned by slice does the rest.
+
+The sliced table is checkpointed (written to the cluster's checkpoint folder) before it is
+used twice: the two uses are planned differently after column pruning, so Spark would not
+reuse one range exchange for both, and two independently sampled range bounds -- sampled from
+a shuffle whose row order is not fixed -- could put a row in different slices.  The checkpoint
+also cuts the lineage, so a lost executor does not re-derive slice ids.
 """
 
 from __future__ import annotations
@@ -22,9 +27,10 @@ def _slices(df: DataFrame, num_slices: int | None) -> int:
 
 
 def range_slices(df: DataFrame, order: Sequence[str | Column], num_slices: int | None = None,
-                 slice_col: str = "_slice") -> DataFrame:
-    """Range-partition by ``order`` and tag each row with its (ordered) slice id."""
-    return df.repartitionByRange(_slices(df, num_slices), *order).withColumn(slice_col, F.spark_partition_id())
+                 slice_col: str = "_slice", materialize: bool = True) -> DataFrame:
+    """Range-partition by ``order``, tag each row with its (ordered) slice id, and checkpoint."""
+    out = df.repartitionByRange(_slices(df, num_slices), *order).withColumn(slice_col, F.spark_partition_id())
+    return out.checkpoint(eager=True) if materialize else out
 
 
 def prefix_before_slice(sliced: DataFrame, value: str, group: Sequence[str] = (), slice_col: str = "_slice",

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from scorewright.functions.scalar import dot, sigmoid, to_double_array
+from scorewright.functions.scalar import dot, sigmoid, squared_distance, to_double_array
 
 
 def linear_score(df: DataFrame, features: str, coefficients: Sequence[float], intercept: float,
@@ -22,11 +22,11 @@ def linear_score(df: DataFrame, features: str, coefficients: Sequence[float], in
     p(class 1) for every row (batch job), ``'predicted'`` reports p(predicted class).
     The coefficients travel as one literal array in the plan, not as a broadcast variable.
     """
-    arr = to_double_array(features, df.schema[features].dataType)
-    z = dot(arr, coefficients) + F.lit(float(intercept))
+    df = df.withColumn("_arr", to_double_array(features, df.schema[features].dataType))
+    z = dot(F.col("_arr"), coefficients) + F.lit(float(intercept))
     p = sigmoid(F.col(raw_col))
     pred = (F.col(probability_col) >= F.lit(0.5)) if tie == "high" else (F.col(probability_col) > F.lit(0.5))
-    out = df.withColumn(raw_col, z).withColumn(probability_col, p).withColumn(prediction_col, pred.cast("double"))
+    out = df.withColumn(raw_col, z).drop("_arr").withColumn(probability_col, p).withColumn(prediction_col, pred.cast("double"))
     if confidence == "positive":
         conf = F.col(probability_col)
     elif confidence == "predicted":
@@ -47,17 +47,12 @@ def model_confidence(probability: str | Column, prediction: str | Column, mode:
     return F.element_at(arr, pred.cast("int") + 1)
 
 
-def squared_distance(arr: Column, centre: Sequence[float]) -> Column:
-    c = F.array(*[F.lit(float(x)) for x in centre])
-    return F.aggregate(F.zip_with(arr, c, lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda acc, x: acc + x)
-
-
 def assign_cluster(df: DataFrame, features: str, centres: Sequence[Sequence[float]],
                    output: str = "prediction") -> DataFrame:
     """Nearest centre by squared Euclidean distance; the lowest centre index wins a tie."""
-    arr = to_double_array(features, df.schema[features].dataType)
-    d = F.array(*[squared_distance(arr, c) for c in centres])
-    return df.withColumn("_d", d).withColumn(
+    df = df.withColumn("_arr", to_double_array(features, df.schema[features].dataType))
+    d = F.array(*[squared_distance(F.col("_arr"), c) for c in centres])
+    return df.withColumn("_d", d).drop("_arr").withColumn(
         output, (F.array_position(F.col("_d"), F.array_min(F.col("_d"))) - 1).cast("int")).drop("_d")
 
 

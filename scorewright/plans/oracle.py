@@ -534,3 +534,9 @@ def _error_rows() -> str:
        || CASE WHEN vec_id % {UPPER_EVERY} = 1 THEN '.PNG' ELSE '.png' END AS filename,
        'ERROR' AS label, CAST(0 AS DOUBLE) AS confidence
 FROM embeddings WHERE vec_id % {CORRUPT_EVERY} = {CORRUPT_AT}"""
+
+
+@sql("wholesale_spend")
+def _wholesale_spend() -> str:
+    from scorewright.specs import WHOLESALE_STANDIN_COLUMNS as W
+    return f"WITH {_wholesale_cte()}\nSELECT custkey, {', '.join(W)} FROM wholesale"

@@ -458,9 +458,9 @@ def _wholesale_scaled(spark, sf_dir, center: bool = True) -> DataFrame:
     from pyspark.ml import Pipeline
 
     from scorewright.operators.features import assembler, scaler
-    from scorewright.sources.tables import wholesale_table
+    from scorewright.sources.tables import wholesale_path
     from scorewright.specs import WHOLESALE_STANDIN_COLUMNS as W
-    t = wholesale_table(spark, sf_dir)
+    t = spark.read.parquet(wholesale_path(spark, sf_dir))
     m = Pipeline(stages=[assembler(W, [], "raw_features"), scaler("raw_features", "features", with_mean=center)]).fit(t)
     return m.transform(t)
 
@@ -705,3 +705,10 @@ def q_score_zip(spark, sf_dir):
 @register("error_rows")
 def q_error_rows(spark, sf_dir):
     return _score_zip(spark, sf_dir).filter(F.col("label") == "ERROR")
+
+
+@register("wholesale_spend")
+def q_wholesale_spend(spark, sf_dir):
+    """The wholesale stand-in itself: lineitem x orders x part, spend pivoted on six part types."""
+    from scorewright.sources.tables import wholesale_table
+    return wholesale_table(spark, sf_dir)

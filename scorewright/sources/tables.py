@@ -146,6 +146,16 @@ def wholesale_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def wholesale_path(spark: SparkSession, sf_dir: str) -> str:
+    """``wholesale_table`` written once per input folder as parquet (the wholesale CSV's role):
+    the three-way join and pivot run once, and the multi-pass clustering steps (scaler fit,
+    k-means iterations, silhouette statistics) read the small per-customer table."""
+    path = work_path(spark, "stage", f"wholesale-{stage_key(sf_dir)}")
+    if not fs.is_complete(spark, path):
+        wholesale_table(spark, sf_dir).write.mode("overwrite").parquet(path)
+    return path
+
+
 def embeddings_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``vec_id``, ``embedding array<float>``, ``label int`` and a class name ``class_<label>``."""
     e = table(spark, sf_dir, "embeddings")
