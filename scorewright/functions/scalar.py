@@ -27,8 +27,9 @@ def trimmed_blank_to_null(c: str | Column) -> Column:
 
 
 def parent_dir(path: str | Column) -> Column:
-    """Name of the folder that holds a file: ``.../<label>/<file>`` -> ``<label>``."""
-    return F.element_at(F.split(_c(path), "/"), -2)
+    """Name of the folder that holds a file: ``.../<label>/<file>`` -> ``<label>`` (null when the
+    path has no folder part)."""
+    return F.try_element_at(F.split(_c(path), "/"), F.lit(-2))
 
 
 def file_extension(name: str | Column) -> Column:

@@ -73,7 +73,8 @@ def auc(df: DataFrame, label: str = "label", score: str = "probability", group:
           / (#positives * #negatives).
     Rows are first reduced to one row per distinct (group, score) -- partial aggregation, so a
     hot score value costs nothing -- then ranked slice by slice (see ``operators.rank``).
-    Null when a group has only one class.
+    Null when a group has only one class.  Scores are grouped with SQL equality, so ``-0.0`` and
+    ``0.0`` are one tie (``BinaryClassificationEvaluator`` keeps them apart).
     """
     g = list(group)
     y = F.col(label).cast("long")
