@@ -125,25 +125,21 @@ def wholesale_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Spend per customer on six part types (the wholesale stand-in): ``custkey`` + six doubles.
 
     lineitem -> orders on the order key and lineitem -> part on the part key are large-large
-    joins left to the planner (AQE may turn one into a broadcast when its side is small at run
-    time).  Spend is summed in integer cents, then pivoted on the fixed list of six types, so the
-    pivot needs no extra pass to find its values.
+    joins left to the planner (sort-merge, or broadcast when a side measures small).  The six
+    types are a fixed list, so the "pivot" is six conditional sums in one aggregation: one
+    shuffle on ``custkey`` after map-side partial sums, no extra pass to discover pivot values.
+    Spend is summed in integer cents.
     """
     li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_extendedprice")
     od = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     pt = table(spark, sf_dir, "part").select(
         "p_partkey", F.lower(F.element_at(F.split(F.col("p_type"), " "), 1)).alias("ptype"))
-    spend = (
-        li.join(od, F.col("l_orderkey") == F.col("o_orderkey"))
-        .join(pt, F.col("l_partkey") == F.col("p_partkey"))
-        .groupBy(F.col("o_custkey").alias("custkey"))
-        .pivot("ptype", WHOLESALE_STANDIN_COLUMNS)
-        .agg(F.sum(_cents("l_extendedprice")))
-    )
-    return spend.select(
-        "custkey",
-        *[(F.coalesce(F.col(c), F.lit(0)).cast("double") / F.lit(100.0)).alias(c) for c in WHOLESALE_STANDIN_COLUMNS],
-    )
+    joined = (li.join(od, F.col("l_orderkey") == F.col("o_orderkey"))
+              .join(pt, F.col("l_partkey") == F.col("p_partkey")))
+    cents = _cents("l_extendedprice")
+    return joined.groupBy(F.col("o_custkey").alias("custkey")).agg(*[
+        (F.coalesce(F.sum(F.when(F.col("ptype") == F.lit(c), cents)), F.lit(0)).cast("double") / F.lit(100.0)).alias(c)
+        for c in WHOLESALE_STANDIN_COLUMNS])
 
 
 def wholesale_path(spark: SparkSession, sf_dir: str) -> str:
