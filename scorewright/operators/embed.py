@@ -19,9 +19,10 @@ from pyspark.sql.functions import pandas_udf
 
 Embedder = Callable[[np.ndarray], np.ndarray]
 FEATURES_TYPE = "struct<features: array<float>, error: string>"
+DEFAULT_GRID = 4
 
 
-def colour_grid(grid: int = 4) -> Embedder:
+def colour_grid(grid: int = DEFAULT_GRID) -> Embedder:
     """``3*grid*grid + 3`` features in [0, 1]."""
 
     def embed(batch: np.ndarray) -> np.ndarray:

@@ -526,14 +526,49 @@ s AS (SELECT CASE WHEN own_n = 1 THEN 0.0 WHEN a < other_d THEN 1 - a / other_d
 SELECT round(avg(s), 6) AS silhouette FROM s"""
 
 
+def _member_name_sql() -> str:
+    from scorewright.sources.tables import ARCHIVE_SIZE, COMMA_EVERY, UPPER_EVERY
+    return f"""('batch_' || CAST(vec_id // {ARCHIVE_SIZE} AS VARCHAR) || '/'
+       || CASE WHEN vec_id % {COMMA_EVERY} = 0 THEN 'img,' ELSE 'img_' END || CAST(vec_id AS VARCHAR)
+       || CASE WHEN vec_id % {UPPER_EVERY} = 1 THEN '.PNG' ELSE '.png' END)"""
+
+
+def _corrupt_sql() -> str:
+    from scorewright.sources.tables import CORRUPT_AT, CORRUPT_EVERY
+    return f"vec_id % {CORRUPT_EVERY} = {CORRUPT_AT}"
+
+
 @sql("error_rows")
 def _error_rows() -> str:
-    from scorewright.sources.tables import ARCHIVE_SIZE, COMMA_EVERY, CORRUPT_AT, CORRUPT_EVERY, UPPER_EVERY
-    return f"""SELECT 'batch_' || CAST(vec_id // {ARCHIVE_SIZE} AS VARCHAR) || '/'
-       || CASE WHEN vec_id % {COMMA_EVERY} = 0 THEN 'img,' ELSE 'img_' END || CAST(vec_id AS VARCHAR)
-       || CASE WHEN vec_id % {UPPER_EVERY} = 1 THEN '.PNG' ELSE '.png' END AS filename,
-       'ERROR' AS label, CAST(0 AS DOUBLE) AS confidence
-FROM embeddings WHERE vec_id % {CORRUPT_EVERY} = {CORRUPT_AT}"""
+    return f"""SELECT {_member_name_sql()} AS filename, 'ERROR' AS label, CAST(0 AS DOUBLE) AS confidence
+FROM embeddings WHERE {_corrupt_sql()}"""
+
+
+@sql("zip_members")
+def _zip_members() -> str:
+    from scorewright.sources.tables import ARCHIVE_SIZE
+    return f"""SELECT 'archive_' || CAST(vec_id // {ARCHIVE_SIZE} AS VARCHAR) || '.zip' AS archive,
+       {_member_name_sql()} AS name, CAST(NULL AS VARCHAR) AS error
+FROM embeddings"""
+
+
+@sql("scan_images")
+def _scan_images() -> str:
+    side = "CAST(floor(sqrt(len(embedding))) AS INTEGER)"
+    return f"""SELECT vec_id, CASE WHEN label < 5 THEN 'cat' ELSE 'dog' END AS label,
+       CASE WHEN {_corrupt_sql()} THEN -1 ELSE {side} END AS height,
+       CASE WHEN {_corrupt_sql()} THEN -1 ELSE {side} END AS width,
+       CASE WHEN {_corrupt_sql()} THEN -1 ELSE 3 END AS nChannels
+FROM embeddings"""
+
+
+@sql("image_features")
+def _image_features() -> str:
+    from scorewright.operators.embed import DEFAULT_GRID
+    dim = 3 * DEFAULT_GRID * DEFAULT_GRID + 3
+    return f"""SELECT vec_id, CASE WHEN {_corrupt_sql()} THEN NULL ELSE {dim} END AS n_features,
+       CASE WHEN {_corrupt_sql()} THEN 'undecodable image' END AS error
+FROM embeddings"""
 
 
 @sql("wholesale_spend")

@@ -639,13 +639,18 @@ def q_train_embedding_lr_weighted(spark, sf_dir):
 
 
 # ---------------------------------------------------------------- images
+def _vec_id_from(path_col: str):
+    return F.regexp_extract(F.col(path_col), r"img[_,](\d+)\.[A-Za-z]+$", 1).cast("long")
+
+
 @register("scan_images")
 def q_scan_images(spark, sf_dir):
     from scorewright.sources.images import read_images, with_path_label
     from scorewright.sources.tables import pet_image_dir
     imgs = with_path_label(read_images(spark, pet_image_dir(spark, sf_dir) + "/*"))
-    return imgs.select(F.col("image.origin").alias("origin"), "label", F.col("image.height").alias("height"),
-                       F.col("image.width").alias("width"), F.col("image.nChannels").alias("nChannels"))
+    return imgs.select(_vec_id_from("image.origin").alias("vec_id"), "label",
+                       F.col("image.height").alias("height"), F.col("image.width").alias("width"),
+                       F.col("image.nChannels").alias("nChannels"))
 
 
 @register("image_features")
@@ -654,7 +659,7 @@ def q_image_features(spark, sf_dir):
     from scorewright.sources.images import read_images
     from scorewright.sources.tables import pet_image_dir
     f = image_features(read_images(spark, pet_image_dir(spark, sf_dir) + "/*"))
-    return f.select(F.col("image.origin").alias("origin"), F.size("emb.features").alias("n_features"),
+    return f.select(_vec_id_from("image.origin").alias("vec_id"), F.size("emb.features").alias("n_features"),
                     F.col("emb.error").alias("error"))
 
 
@@ -663,7 +668,7 @@ def q_zip_members(spark, sf_dir):
     from scorewright.sources.images import zip_members
     from scorewright.sources.tables import image_zip_dir
     m = zip_members(spark, image_zip_dir(spark, sf_dir))
-    return m.select(F.element_at(F.split("archive", "/"), -1).alias("archive"), "name", "size", "error")
+    return m.select(F.element_at(F.split("archive", "/"), -1).alias("archive"), "name", "error")
 
 
 def _pet_model(spark, sf_dir) -> tuple[str, str]:
