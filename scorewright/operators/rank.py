@@ -44,10 +44,17 @@ def prefix_before_slice(sliced: DataFrame, value: str, group: Sequence[str] = ()
 
 def global_row_number(df: DataFrame, order: Sequence[str], out: str = "row_id", start: int = 1,
                       num_slices: int | None = None) -> DataFrame:
-    """``row_number() over (order by <order>)`` (1-based by default), computed slice by slice."""
-    sliced = range_slices(df.withColumn("_one", F.lit(1)), order, num_slices)
+    """``row_number() over (order by <order>)`` (1-based by default), computed slice by slice.
+
+    Rows with equal keys are ordered by a per-row tiebreak, so a key shared by a third of all
+    rows is spread over many slices instead of landing in one task (the order among equal keys
+    is arbitrary in SQL as well; the checkpoint fixes it once chosen).
+    """
+    keyed = df.withColumn("_one", F.lit(1)).withColumn("_tb", F.monotonically_increasing_id())
+    ordering = [*order, "_tb"]
+    sliced = range_slices(keyed, ordering, num_slices)
     offsets = prefix_before_slice(sliced, "_one")
-    w = Window.partitionBy("_slice").orderBy(*order)
+    w = Window.partitionBy("_slice").orderBy(*ordering)
     return (sliced.join(offsets, "_slice")
             .withColumn(out, (F.col("_before") + F.row_number().over(w) + F.lit(start - 1)).cast("long"))
-            .drop("_slice", "_before", "_one"))
+            .drop("_slice", "_before", "_one", "_tb"))

@@ -60,5 +60,8 @@ def work_path(spark: SparkSession, *parts: str) -> str:
     return "/".join([base, _PKG, *parts])
 
 
+STAGE_VERSION = "2"   # bump when the rules that derive staged inputs change
+
+
 def stage_key(*parts: str) -> str:
-    return hashlib.sha1("|".join(parts).encode()).hexdigest()[:12]
+    return hashlib.sha1("|".join([STAGE_VERSION, *parts]).encode()).hexdigest()[:12]

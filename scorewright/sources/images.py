@@ -1,8 +1,9 @@
 """Image sources: image directories, ZIP archives of images, and file staging.
 
 Decoding is left to Spark's image source (``format("image")``: JPEG, PNG, BMP, GIF; BGR bytes).
-ZIP members are listed by a Python UDTF (``LATERAL unzip(content)``); to decode them, members are
-staged as files under a shared folder by the tasks themselves and read back with the image source.
+ZIP members are listed by a Python UDTF that reads each archive's central directory; to decode
+them, the members are spread over tasks, extracted into files under a shared folder by those
+tasks, and read back with the image source.
 """
 
 from __future__ import annotations
@@ -44,39 +45,40 @@ def with_path_label(df: DataFrame, out: str = "label") -> DataFrame:
 
 
 # ---------------------------------------------------------------- ZIP members
-@udtf(returnType="name string, size long, body binary, error string")
-class Unzip:
-    """One output row per file member of an archive (directories skipped)."""
+@udtf(returnType="name string, size long, error string")
+class ZipIndex:
+    """One row per file member of the archive at ``path`` (directories skipped).
 
-    def eval(self, content: bytes):
-        if content is None:
+    Only the archive's central directory is read (random access), so listing costs the same
+    for a 10 MB or a 100 GB archive and no archive passes through a single row."""
+
+    def eval(self, path: str):
+        if path is None:
             return
         try:
-            zf = zipfile.ZipFile(io.BytesIO(content), "r")
-        except zipfile.BadZipFile as e:
-            yield None, None, None, f"bad archive: {e}"
+            fs, p = _filesystem(path)
+            with fs.open_input_file(p) as f, zipfile.ZipFile(f, "r") as zf:
+                infos = zf.infolist()
+        except Exception as e:  # noqa: BLE001 - an unreadable archive becomes one error row
+            yield None, None, f"bad archive: {e}"
             return
-        with zf:
-            for info in zf.infolist():
-                if info.is_dir():
-                    continue
-                if info.file_size > MAX_MEMBER_BYTES:
-                    yield info.filename, info.file_size, None, "member too large"
-                    continue
-                try:
-                    yield info.filename, info.file_size, zf.read(info), None
-                except Exception as e:  # corrupt member: keep the row, report it
-                    yield info.filename, info.file_size, None, f"unreadable member: {e}"
+        for info in infos:
+            if not info.is_dir():
+                yield info.filename, info.file_size, None
+
+
+def list_archives(spark: SparkSession, zip_path: str) -> DataFrame:
+    """``(archive, length)`` of every ``*.zip`` under ``zip_path`` (file contents are not read)."""
+    return (spark.read.format("binaryFile").option("pathGlobFilter", "*.zip").load(zip_path)
+            .select(F.col("path").alias("archive"), "length"))
 
 
 def zip_members(spark: SparkSession, zip_path: str, extensions=IMAGE_EXTENSIONS,
                 require_any: bool = True) -> DataFrame:
-    """``(archive, name, size, body, error)`` for every member whose extension (any case) is
-    listed.  Each archive is one ``binaryFile`` row, so archives spread over tasks; members
-    stream out of the UDTF.  ``require_any`` raises when no member qualifies."""
-    zips = spark.read.format("binaryFile").option("pathGlobFilter", "*.zip").load(zip_path)
-    members = zips.lateralJoin(Unzip(F.col("content").outer())).select(
-        F.col("path").alias("archive"), "name", "size", "body", "error")
+    """``(archive, name, size, error)`` for every member whose extension (any case) is listed,
+    plus one error row per unreadable archive.  ``require_any`` raises when no member qualifies."""
+    members = list_archives(spark, zip_path).lateralJoin(ZipIndex(F.col("archive").outer())).select(
+        "archive", "name", "size", "error")
     members = members.filter(F.col("name").isNull() | file_extension("name").isin(list(extensions)))
     if require_any and members.filter(F.col("name").isNotNull()).isEmpty():
         raise NoImagesError("No valid images found in ZIP.")
@@ -103,11 +105,17 @@ def _filesystem(path: str):
 
 
 def write_bytes(path: str, data: bytes) -> None:
+    """Write a whole file from a task: to a unique temporary name, then move it into place, so a
+    retried or speculative attempt never leaves a half-written file under the final name."""
+    import uuid
+
     fs, p = _filesystem(path)
     parent = p.rsplit("/", 1)[0]
     fs.create_dir(parent, recursive=True)
-    with fs.open_output_stream(p) as f:
+    tmp = f"{parent}/.{p.rsplit('/', 1)[-1]}.{uuid.uuid4().hex}.tmp"
+    with fs.open_output_stream(tmp) as f:
         f.write(data)
+    fs.move(tmp, p)
 
 
 def staged_name(archive: str, name: str) -> str:
@@ -116,26 +124,49 @@ def staged_name(archive: str, name: str) -> str:
     return hashlib.sha1(f"{archive}\x00{name}".encode()).hexdigest() + ext
 
 
-def stage_members(members: DataFrame, stage_dir: str) -> DataFrame:
-    """Write member bodies as files under ``stage_dir`` (in the tasks) and return
-    ``(archive, name, staged, error)``; ``staged`` is the file name to join image rows on."""
+def stage_members(members: DataFrame, stage_dir: str, num_partitions: int | None = None) -> DataFrame:
+    """Extract members into files under ``stage_dir`` and return ``(archive, name, staged, error)``;
+    ``staged`` is the file name to join image rows on.
+
+    Member rows are hash-partitioned on (archive, name) first, so the members of one huge
+    archive are extracted by many tasks; each task opens an archive once per batch and reads
+    only its members (random access).  A member larger than ``MAX_MEMBER_BYTES`` or one that
+    does not inflate becomes an error row."""
     stage_dir = stage_dir.rstrip("/")
+    n = num_partitions or int(members.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+    spread = members.repartition(n, "archive", "name")
 
     def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            staged, errors = [], []
-            for a, n, body, err in zip(b["archive"], b["name"], b["body"], b["error"]):
-                if n is None or body is None:
-                    staged.append(None)
-                    errors.append(err or "no data")
+            archives, names, sizes = list(b["archive"]), list(b["name"]), list(b["size"])
+            staged, errors = [None] * len(b), list(b["error"])
+            for archive, rows in b.groupby("archive", sort=False).indices.items():
+                try:
+                    fs, p = _filesystem(archive)
+                    f = fs.open_input_file(p)
+                    zf = zipfile.ZipFile(f, "r")
+                except Exception as e:  # noqa: BLE001 - every member of the archive fails
+                    for i in rows:
+                        errors[i] = errors[i] or f"bad archive: {e}"
                     continue
-                fname = staged_name(a, n)
-                write_bytes(f"{stage_dir}/{fname}", bytes(body))
-                staged.append(fname)
-                errors.append(err)
-            yield pd.DataFrame({"archive": b["archive"], "name": b["name"], "staged": staged, "error": errors})
-
-    return members.mapInPandas(write, "archive string, name string, staged string, error string")
+                with f, zf:
+                    for i in rows:
+                        if names[i] is None or errors[i]:
+                            continue
+                        if sizes[i] is not None and sizes[i] > MAX_MEMBER_BYTES:
+                            errors[i] = "member too large"
+                            continue
+                        try:
+                            body = zf.read(names[i])
+                        except Exception as e:  # noqa: BLE001
+                            errors[i] = f"unreadable member: {e}"
+                            continue
+                        fname = staged_name(archives[i], names[i])
+                        write_bytes(f"{stage_dir}/{fname}", body)
+                        staged[i] = fname
+            yield pd.DataFrame({"archive": archives, "name": names, "staged": staged, "error": errors})
+
+    return spread.mapInPandas(write, "archive string, name string, staged string, error string")
 
 
 # ---------------------------------------------------------------- PNG encoding (test images)

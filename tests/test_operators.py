@@ -167,6 +167,12 @@ def test_global_row_number_matches_window(spark):
     ours = {r["k"]: r["row_id"] for r in global_row_number(df, ["k"], num_slices=5).collect()}
     want = sorted(ours)
     assert [ours[k] for k in want] == list(range(1, 3001))
+    # a key holding a third of the rows: still a permutation of 1..n, in key order, over many slices
+    hot = spark.range(3000).select(F.when(F.col("id") % 3 == 0, F.lit(-1)).otherwise(F.col("id")).alias("k"))
+    rows = global_row_number(hot, ["k"], num_slices=6).collect()
+    assert sorted(r["row_id"] for r in rows) == list(range(1, 3001))
+    by_id = sorted(rows, key=lambda r: r["row_id"])
+    assert [r["k"] for r in by_id] == sorted(r["k"] for r in rows)
 
 
 def test_class_weights_and_label_lookup(spark):
