@@ -29,8 +29,13 @@ def _slices(df: DataFrame, num_slices: int | None) -> int:
 def range_slices(df: DataFrame, order: Sequence[str | Column], num_slices: int | None = None,
                  slice_col: str = "_slice", materialize: bool = True) -> DataFrame:
     """Range-partition by ``order``, tag each row with its (ordered) slice id, and checkpoint."""
+    from scorewright.session import checkpoint_root
+
     out = df.repartitionByRange(_slices(df, num_slices), *order).withColumn(slice_col, F.spark_partition_id())
-    return out.checkpoint(eager=True) if materialize else out
+    if not materialize:
+        return out
+    checkpoint_root(df.sparkSession)     # the cluster's folder; a local one only when none is set
+    return out.checkpoint(eager=True)
 
 
 def prefix_before_slice(sliced: DataFrame, value: str, group: Sequence[str] = (), slice_col: str = "_slice",
