@@ -9,7 +9,6 @@ tasks, and read back with the image source.
 from __future__ import annotations
 
 import hashlib
-import io
 import os
 import struct
 import zipfile

@@ -8,7 +8,6 @@ import os
 
 import numpy as np
 import pytest
-from pyspark.sql import functions as F
 
 from scorewright.plans import jobs
 from scorewright.specs import TELCO
