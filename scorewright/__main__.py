@@ -20,10 +20,14 @@ import sys
 from pyspark.sql import SparkSession
 
 
-def _spark(name: str) -> SparkSession:
+def _spark(name: str) -> tuple[SparkSession, bool]:
+    """The active session if there is one (then it is left running), else a new one."""
+    active = SparkSession.getActiveSession()
+    if active is not None:
+        return active, False
     s = SparkSession.builder.appName(name).getOrCreate()
     s.sparkContext.setLogLevel("WARN")
-    return s
+    return s, True
 
 
 def main(argv: list[str] | None = None) -> int:
@@ -67,7 +71,7 @@ def main(argv: list[str] | None = None) -> int:
     from scorewright.plans import jobs
     from scorewright.specs import TELCO, WHOLESALE_COLUMNS, TableSpec
 
-    spark = _spark(f"scorewright-{a.cmd}")
+    spark, owned = _spark(f"scorewright-{a.cmd}")
     if a.cmd == "train-churn":
         r = jobs.train_churn(spark, a.csv, a.kind, a.model)
         r["metrics"].show(truncate=False)
@@ -100,7 +104,8 @@ def main(argv: list[str] | None = None) -> int:
         r["metrics"].show()
     elif a.cmd == "score-zip":
         jobs.score_zip(spark, a.zip_uri, a.lr_model_path, a.labels_json, a.output_csv, a.repartition or None)
-    spark.stop()
+    if owned:
+        spark.stop()
     return 0
 
 

@@ -101,3 +101,16 @@ def test_score_stream(spark, telco, tmp_path):
     q.awaitTermination(120)
     got = spark.read.option("header", True).csv(str(tmp_path / "out"))
     assert got.count() == 50 and {r["churn"] for r in got.collect()} <= {"yes", "no"}
+
+
+def test_command_line(spark, telco, tmp_path, capsys):
+    import json
+
+    from scorewright.__main__ import main
+    model = str(tmp_path / "m")
+    assert main(["train-churn", "--csv", telco, "--kind", "lr", "--model", model]) == 0
+    assert main(["score-csv", "--csv", telco, "--model", model, "--out", str(tmp_path / "s")]) == 0
+    assert spark.read.option("header", True).csv(str(tmp_path / "s")).count() == 400
+    assert main(["predict-customer", "--model", model, "--json", json.dumps(SAMPLE)]) == 0
+    assert "leave_probability" in capsys.readouterr().out
+    assert spark.sparkContext._jsc is not None      # the shared session is still running
