@@ -233,6 +233,14 @@ def test_zip_members_and_score_zip(spark, tmp_dir):
                                        ("b,3.png", png_bytes(blue)), ("bad.png", b"\x89PNG broken")])
     m = {r["name"]: r for r in zip_members(spark, zdir).collect()}
     assert set(m) == {"a/1.JPG", "b,3.png", "bad.png"}
+    broken = os.path.join(tmp_dir, "broken")
+    os.makedirs(broken)
+    _zip(os.path.join(broken, "ok.zip"), [("x.png", png_bytes(red))])
+    with open(os.path.join(broken, "torn.zip"), "wb") as f:
+        f.write(b"PK\x03\x04 not really a zip")
+    rows = zip_members(spark, broken).collect()
+    got = sorted(((r["name"] or ""), r["error"] is not None) for r in rows)
+    assert got == [("", True), ("x.png", False)]
     empty = os.path.join(tmp_dir, "empty")
     os.makedirs(empty)
     _zip(os.path.join(empty, "e.zip"), [("notes.txt", b"x")])
