@@ -350,10 +350,11 @@ def _label_map_path(spark, sf_dir) -> str:
     from scorewright.session import stage_key, work_path
     from scorewright.sinks import fs, write_label_map
     path = work_path(spark, "stage", f"label_map-{stage_key(sf_dir)}")
-    if not fs.is_complete(spark, path):
+
+    def write(tmp):
         m = indexer(["class_name"], handle_invalid="error").fit(_emb(spark, sf_dir))
-        write_label_map(spark, m.labelsArray[0], path)
-    return path
+        write_label_map(spark, m.labelsArray[0], tmp)
+    return fs.stage_once(spark, path, write)
 
 
 @register("sink_label_map")
@@ -371,9 +372,7 @@ def _stage_text(spark, sf_dir, name: str, text_df_fn) -> str:
     from scorewright.session import stage_key, work_path
     from scorewright.sinks import fs
     path = work_path(spark, "stage", f"{name}-{stage_key(sf_dir)}")
-    if not fs.is_complete(spark, path):
-        text_df_fn().repartition(1).write.mode("overwrite").text(path)
-    return path
+    return fs.stage_once(spark, path, lambda tmp: text_df_fn().repartition(1).write.text(tmp))
 
 
 @register("label_map_tolerant")
@@ -678,10 +677,12 @@ def _pet_model(spark, sf_dir) -> tuple[str, str]:
     from scorewright.sinks import fs
     from scorewright.sources.tables import pet_image_dir
     root = work_path(spark, "stage", f"pet_model-{stage_key(sf_dir)}")
-    model_dir, labels_dir = f"{root}/model", f"{root}/labels"
-    if not (fs.exists(spark, model_dir + "/metadata") and fs.is_complete(spark, labels_dir)):
-        train_image_lr(spark, pet_image_dir(spark, sf_dir) + "/*", model_dir, labels_dir)
-    return model_dir, labels_dir
+
+    def write(tmp):
+        train_image_lr(spark, pet_image_dir(spark, sf_dir) + "/*", f"{tmp}/model", f"{tmp}/labels")
+        fs.touch(spark, f"{tmp}/_SUCCESS")          # written last: the model and labels are complete
+    fs.stage_once(spark, root, write)
+    return f"{root}/model", f"{root}/labels"
 
 
 @register("train_image_lr")

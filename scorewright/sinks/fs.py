@@ -48,3 +48,32 @@ def rename(spark: SparkSession, src: str, dst: str) -> None:
 def mkdirs(spark: SparkSession, path: str) -> None:
     fs, p = _fs_and_path(spark, path)
     fs.mkdirs(p)
+
+
+def stage_once(spark: SparkSession, path: str, write) -> str:
+    """Produce ``path`` exactly once: ``write(tmp)`` fills a private temporary folder next to it,
+    which is then renamed into place.  The final folder only ever appears complete; if another
+    writer published first, this copy is dropped.  ``write`` must leave ``_SUCCESS`` in ``tmp``
+    (any Spark writer does)."""
+    import uuid
+
+    if is_complete(spark, path):
+        return path
+    tmp = f"{path.rstrip('/')}.tmp-{uuid.uuid4().hex}"
+    write(tmp)
+    fs, t = _fs_and_path(spark, tmp)
+    dst = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    if fs.exists(dst) and not is_complete(spark, path):
+        fs.delete(dst, True)                # leftover of a writer that died before publishing
+    if not fs.exists(dst):
+        fs.mkdirs(dst.getParent())
+        fs.rename(t, dst)
+    if fs.exists(t):
+        fs.delete(t, True)                  # someone else published first
+    return path
+
+
+def touch(spark: SparkSession, path: str) -> None:
+    """Create an empty file (a completion marker)."""
+    fs, p = _fs_and_path(spark, path)
+    fs.create(p, True).close()

@@ -112,13 +112,12 @@ def churn_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 def churn_csv_path(spark: SparkSession, sf_dir: str) -> str:
     """Write ``churn_text`` once per input folder as CSV under the shared work folder; return the path."""
     path = work_path(spark, "stage", f"churn_csv-{stage_key(sf_dir)}")
-    if not fs.is_complete(spark, path):
-        (churn_text(spark, sf_dir).write.mode("overwrite")
-         .option("header", True)
-         .option("ignoreLeadingWhiteSpace", False)
-         .option("ignoreTrailingWhiteSpace", False)
-         .csv(path))
-    return path
+    return fs.stage_once(spark, path, lambda tmp: (
+        churn_text(spark, sf_dir).write.mode("overwrite")
+        .option("header", True)
+        .option("ignoreLeadingWhiteSpace", False)
+        .option("ignoreTrailingWhiteSpace", False)
+        .csv(tmp)))
 
 
 def wholesale_table(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -147,9 +146,7 @@ def wholesale_path(spark: SparkSession, sf_dir: str) -> str:
     the three-way join and pivot run once, and the multi-pass clustering steps (scaler fit,
     k-means iterations, silhouette statistics) read the small per-customer table."""
     path = work_path(spark, "stage", f"wholesale-{stage_key(sf_dir)}")
-    if not fs.is_complete(spark, path):
-        wholesale_table(spark, sf_dir).write.mode("overwrite").parquet(path)
-    return path
+    return fs.stage_once(spark, path, lambda tmp: wholesale_table(spark, sf_dir).write.parquet(tmp))
 
 
 def embeddings_table(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -211,8 +208,8 @@ def pet_image_dir(spark: SparkSession, sf_dir: str) -> str:
                     write_bytes(p, _image_body(int(vid), vec, int(lab)))
                     paths.append(p)
                 yield pd.DataFrame({"vec_id": b["vec_id"], "path": paths})
-        (table(spark, sf_dir, "embeddings").mapInPandas(write, "vec_id long, path string")
-         .write.mode("overwrite").parquet(manifest))
+        fs.stage_once(spark, manifest, lambda tmp: (
+            table(spark, sf_dir, "embeddings").mapInPandas(write, "vec_id long, path string").write.parquet(tmp)))
     return images
 
 
@@ -240,8 +237,9 @@ def image_zip_dir(spark: SparkSession, sf_dir: str) -> str:
             write_bytes(path, buf.getvalue())
             return pd.DataFrame({"archive_id": [aid], "path": [path], "members": [len(pdf)]})
         e = table(spark, sf_dir, "embeddings").withColumn("archive_id", (F.col("vec_id") / ARCHIVE_SIZE).cast("long"))
-        (e.groupBy("archive_id").applyInPandas(write, "archive_id long, path string, members long")
-         .write.mode("overwrite").parquet(manifest))
+        fs.stage_once(spark, manifest, lambda tmp: (
+            e.groupBy("archive_id").applyInPandas(write, "archive_id long, path string, members long")
+            .write.parquet(tmp)))
     return root
 
 
