@@ -91,3 +91,25 @@ def test_planted_signal_is_learned(spark):
     table, _ = compare_models(train, test, CHURN, {"rf": classifier("rf", seed=42), "lr": classifier("lr")})
     aucs = {r["model"]: r["auc"] for r in table.collect()}
     assert aucs["rf"] > 0.8 and aucs["lr"] > 0.8, aucs
+
+
+def test_embedding_lr_learns_planted_rule(spark):
+    """Embeddings labelled by the sign of a fixed dot product: weighted LR must recover it."""
+    from pyspark.ml.classification import LogisticRegression
+    from pyspark.ml.functions import array_to_vector
+
+    from scorewright.functions.scalar import dot
+    from scorewright.operators.metrics import accuracy, with_class_weights
+    from scorewright.operators.split import holdout_split
+    from scorewright.plans.fixed import embed_weights
+    from scorewright.sources.tables import embeddings_table
+
+    e = embeddings_table(spark, "/root/testdata/sf0.01")
+    e = e.withColumn("x", F.col("embedding").cast("array<double>"))
+    e = e.withColumn("y", (dot(F.col("x"), embed_weights(64)) > 0).cast("double"))
+    e = with_class_weights(e.withColumn("features", array_to_vector("x")), "y")
+    train, test = holdout_split(e, "vec_id")
+    m = LogisticRegression(labelCol="y", weightCol="classWeight", maxIter=50, regParam=0.01,
+                           elasticNetParam=0.0).fit(train)
+    acc = accuracy(m.transform(test), "y", "prediction").first()["accuracy"]
+    assert acc > 0.9, acc
