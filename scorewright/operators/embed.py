@@ -53,6 +53,9 @@ def image_features(df: DataFrame, image_col: str = "image", size: int = 32,
     Undecodable images (height <= 0 or empty data) and embedder failures give a null feature
     array and an error message instead of failing the task or inventing a zero vector.
     """
+    from scorewright.session import ship_package
+
+    ship_package(df.sparkSession)
     factory = embedder_factory or colour_grid
 
     @pandas_udf(FEATURES_TYPE)

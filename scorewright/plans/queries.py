@@ -24,8 +24,17 @@ REGISTRY: dict[str, Query] = {}
 
 
 def register(name: str):
+    """Register a query; the registered callable first ships the package to the workers."""
+    import functools
+
+    from scorewright.session import ship_package
+
     def deco(fn: Query) -> Query:
-        REGISTRY[name] = fn
+        @functools.wraps(fn)
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            ship_package(spark)
+            return fn(spark, sf_dir)
+        REGISTRY[name] = run
         return fn
     return deco
 

@@ -36,6 +36,7 @@ def local_session(cores: int | str = 8, shuffle_partitions: int = 8, app: str =
     )
     spark.sparkContext.setLogLevel("ERROR")
     checkpoint_root(spark)
+    ship_package(spark)
     return spark
 
 
@@ -61,8 +62,45 @@ def work_path(spark: SparkSession, *parts: str) -> str:
     return "/".join([base, _PKG, *parts])
 
 
-STAGE_VERSION = "2"   # bump when the rules that derive staged inputs change
+STAGE_VERSION = "3"   # bump when the rules that derive staged inputs change
 
 
 def stage_key(*parts: str) -> str:
     return hashlib.sha1("|".join([STAGE_VERSION, *parts]).encode()).hexdigest()[:12]
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``scorewright`` importable in the executors' Python workers (``addPyFile``).
+
+    Functions run by pandas UDFs, ``mapInPandas`` and UDTFs are pickled by reference to this
+    package, so the workers must be able to import it.  The package is zipped in memory, written
+    through the Hadoop FileSystem into the shared work folder, and registered once per
+    application (a deployment that already ships it with ``--py-files`` loses nothing)."""
+    import io
+    import zipfile
+
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    pkg_dir = os.path.dirname(os.path.abspath(__file__))
+    buf = io.BytesIO()
+    with zipfile.ZipFile(buf, "w", zipfile.ZIP_DEFLATED) as z:
+        for root, _dirs, files in os.walk(pkg_dir):
+            for f in sorted(files):
+                if f.endswith(".py"):
+                    full = os.path.join(root, f)
+                    z.write(full, os.path.relpath(full, os.path.dirname(pkg_dir)))
+    data = buf.getvalue()
+    target = work_path(spark, "pkg", f"{_PKG}-{hashlib.sha1(data).hexdigest()[:12]}.zip")
+    jvm = sc._jvm
+    path = jvm.org.apache.hadoop.fs.Path(target)
+    fs = path.getFileSystem(sc._jsc.hadoopConfiguration())
+    if not fs.exists(path):
+        out = fs.create(path, True)
+        out.write(bytearray(data))
+        out.close()
+    sc.addPyFile(target)
+    _SHIPPED.add(sc.applicationId)

@@ -76,6 +76,9 @@ def zip_members(spark: SparkSession, zip_path: str, extensions=IMAGE_EXTENSIONS,
                 require_any: bool = True) -> DataFrame:
     """``(archive, name, size, error)`` for every member whose extension (any case) is listed,
     plus one error row per unreadable archive.  ``require_any`` raises when no member qualifies."""
+    from scorewright.session import ship_package
+
+    ship_package(spark)
     members = list_archives(spark, zip_path).lateralJoin(ZipIndex(F.col("archive").outer())).select(
         "archive", "name", "size", "error")
     members = members.filter(F.col("name").isNull() | file_extension("name").isin(list(extensions)))
@@ -131,6 +134,9 @@ def stage_members(members: DataFrame, stage_dir: str, num_partitions: int | None
     archive are extracted by many tasks; each task opens an archive once per batch and reads
     only its members (random access).  A member larger than ``MAX_MEMBER_BYTES`` or one that
     does not inflate becomes an error row."""
+    from scorewright.session import ship_package
+
+    ship_package(members.sparkSession)
     stage_dir = stage_dir.rstrip("/")
     n = num_partitions or int(members.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
     spread = members.repartition(n, "archive", "name")

@@ -194,7 +194,9 @@ def pet_image_dir(spark: SparkSession, sf_dir: str) -> str:
     written by the tasks; returns ``<dir>/PetImages``."""
     import pandas as pd
 
+    from scorewright.session import ship_package
     from scorewright.sources.images import write_bytes
+    ship_package(spark)
     root = work_path(spark, "stage", f"pets-{stage_key(sf_dir)}")
     images = f"{root}/PetImages"
     manifest = f"{root}-manifest"
@@ -221,7 +223,9 @@ def image_zip_dir(spark: SparkSession, sf_dir: str) -> str:
 
     import pandas as pd
 
+    from scorewright.session import ship_package
     from scorewright.sources.images import write_bytes
+    ship_package(spark)
     root = work_path(spark, "stage", f"zips-{stage_key(sf_dir)}")
     manifest = f"{root}-manifest"
     if not fs.is_complete(spark, manifest):
