@@ -16,8 +16,14 @@ from scorewright.specs import KMEANS_PARAMS
 
 def stable_layout(df: DataFrame, key: str, num_partitions: int | None = None) -> DataFrame:
     """Range-partition and sort by a key so that seeded, partition-wise sampling (k-means||
-    initialisation, random splits) sees the same rows in the same places on every run."""
-    n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+    initialisation, random splits) sees the same rows in the same places on every run.
+
+    The partition count follows the data size (~128 MB per partition, from Catalyst's estimate),
+    not the session's shuffle setting, so the same input gives the same model on any cluster and
+    a small table is not cut into hundreds of near-empty partitions for every iteration."""
+    from scorewright.session import partitions_for
+
+    n = num_partitions or partitions_for(df)
     return df.repartitionByRange(n, key).sortWithinPartitions(key)
 
 

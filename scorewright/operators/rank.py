@@ -21,9 +21,12 @@ from pyspark.sql import functions as F
 
 
 def _slices(df: DataFrame, num_slices: int | None) -> int:
+    """Explicit count, else sized to the data (~128 MB per slice, from Catalyst's estimate)."""
     if num_slices:
         return num_slices
-    return max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")))
+    from scorewright.session import partitions_for
+
+    return partitions_for(df)
 
 
 def range_slices(df: DataFrame, order: Sequence[str | Column], num_slices: int | None = None,

@@ -104,3 +104,21 @@ def ship_package(spark: SparkSession) -> None:
         out.close()
     sc.addPyFile(target)
     _SHIPPED.add(sc.applicationId)
+
+
+def estimated_bytes(df) -> int | None:
+    """Catalyst's size estimate of a DataFrame's plan (no job runs); None when unknown."""
+    try:
+        raw = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+        size = int(raw if isinstance(raw, int) else raw.toString())
+    except Exception:  # noqa: BLE001 - an estimate is optional
+        return None
+    return size if size < (1 << 62) else None
+
+
+def partitions_for(df, bytes_per_partition: int = 128 * 1024 * 1024) -> int:
+    """Partition count sized to the data (~128 MB each); the shuffle setting when unknown."""
+    size = estimated_bytes(df)
+    if size is None:
+        return max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")))
+    return max(1, -(-size // bytes_per_partition))
