@@ -130,15 +130,15 @@ def stage_members(members: DataFrame, stage_dir: str, num_partitions: int | None
     """Extract members into files under ``stage_dir`` and return ``(archive, name, staged, error)``;
     ``staged`` is the file name to join image rows on.
 
-    Member rows are hash-partitioned on (archive, name) first, so the members of one huge
-    archive are extracted by many tasks; each task opens an archive once per batch and reads
+    Member rows are hash-partitioned on (archive, name) first (one share per core unless
+    ``num_partitions`` is given), so the members of one huge archive are extracted by many tasks; each task opens an archive once per batch and reads
     only its members (random access).  A member larger than ``MAX_MEMBER_BYTES`` or one that
     does not inflate becomes an error row."""
     from scorewright.session import ship_package
 
     ship_package(members.sparkSession)
     stage_dir = stage_dir.rstrip("/")
-    n = num_partitions or int(members.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+    n = num_partitions or members.sparkSession.sparkContext.defaultParallelism   # one share per core
     spread = members.repartition(n, "archive", "name")
 
     def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
