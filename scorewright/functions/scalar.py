@@ -95,7 +95,7 @@ def has_nonzero(arr: str | Column, strict: bool = False) -> Column:
     return F.exists(a, lambda x: x != F.lit(0.0))
 
 
-def keyed_fraction(key: str | Column, seed: int = 42) -> Column:
+def keyed_fraction(key: str | Column, seed: int | str = 42) -> Column:
     """First 16 bits of ``md5('<seed>:<key>')`` as hex text; ``< 'cccd'`` selects ~80%.
 
     A function of the key only: the same rows land on the same side on any partitioning,

@@ -41,8 +41,9 @@ def replicate(df: DataFrame, copies: int, copy_col: str = "copy") -> DataFrame:
 
 
 def sample_rows(df: DataFrame, fraction: float, seed: int = SPLIT_SEED, key: str | None = None) -> DataFrame:
-    """Bernoulli sample.  With ``key``, a keyed (partition-independent) sample; otherwise
+    """Bernoulli sample.  With ``key``, a keyed (partition-independent) sample whose hash is salted
+    differently from the train/test split, so the sample is not a subset of one side; otherwise
     ``DataFrame.sample``."""
     if key is None:
         return df.sample(withReplacement=False, fraction=fraction, seed=seed)
-    return df.filter(keyed_fraction(F.col(key), seed) < F.lit(threshold_hex(fraction)))
+    return df.filter(keyed_fraction(F.col(key), f"sample{seed}") < F.lit(threshold_hex(fraction)))

@@ -575,3 +575,11 @@ FROM embeddings"""
 def _wholesale_spend() -> str:
     from scorewright.specs import WHOLESALE_STANDIN_COLUMNS as W
     return f"WITH {_wholesale_cte()}\nSELECT custkey, {', '.join(W)} FROM wholesale"
+
+
+@sql("plot_sample_keyed")
+def _plot_sample_keyed() -> str:
+    from scorewright.operators.split import threshold_hex
+    return f"""WITH {_assigned_cte()}
+SELECT custkey, medium, standard, prediction FROM assigned
+WHERE substr(md5('sample42:' || CAST(custkey AS VARCHAR)), 1, 4) < '{threshold_hex(0.1)}'"""

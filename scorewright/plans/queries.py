@@ -727,3 +727,12 @@ def q_wholesale_spend(spark, sf_dir):
     """The wholesale stand-in itself: lineitem x orders x part, spend pivoted on six part types."""
     from scorewright.sources.tables import wholesale_table
     return wholesale_table(spark, sf_dir)
+
+
+@register("plot_sample_keyed")
+def q_plot_sample_keyed(spark, sf_dir):
+    """Plot data (two spend columns + cluster) for a reproducible 10% of customers: the keyed form
+    of the plot sample, on the fixed-centre assignment."""
+    from scorewright.operators.split import sample_rows
+    return sample_rows(_assigned(spark, sf_dir).select("custkey", "medium", "standard", "prediction"), 0.1,
+                       key="custkey")
