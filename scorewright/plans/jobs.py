@@ -168,8 +168,9 @@ def score_zip(spark: SparkSession, zip_path: str, lr_model: str | LogisticRegres
               size: int = 32, embedder_factory: Callable[[], Embedder] | None = None) -> DataFrame:
     """Classify every image member of one or more ZIP archives with a binary logistic model.
 
-    ``binaryFile`` -> unzip UDTF (extension filter, directories skipped; none -> error) -> members
-    staged as files by the tasks -> image source -> ``repartition(slices)`` -> batched embedder
+    archive listing -> central-directory UDTF (extension filter, directories skipped; none -> error)
+    -> members spread over tasks and staged as files -> image source -> ``repartition(slices)``
+    (default: one slice per 32 members) -> batched embedder
     -> ``w.x + b``, sigmoid, ``p >= 0.5`` -> label map (fallback: the index as text).  A member that
     cannot be decoded or embedded becomes ``(name, ERROR, 0.0)``.  Output ``filename, label,
     confidence`` (p of class 1); with ``out_dir`` also written as exactly one ``preds.csv``.
