@@ -20,21 +20,17 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def _slices(df: DataFrame, num_slices: int | None) -> int:
-    """Explicit count, else sized to the data (~128 MB per slice, from Catalyst's estimate)."""
-    if num_slices:
-        return num_slices
-    from scorewright.session import partitions_for
-
-    return partitions_for(df)
-
-
 def range_slices(df: DataFrame, order: Sequence[str | Column], num_slices: int | None = None,
                  slice_col: str = "_slice", materialize: bool = True) -> DataFrame:
-    """Range-partition by ``order``, tag each row with its (ordered) slice id, and checkpoint."""
+    """Range-partition by ``order``, tag each row with its (ordered) slice id, and checkpoint.
+
+    Without ``num_slices`` the range exchange starts from the cluster's shuffle setting and
+    adaptive execution merges adjacent small ranges (merging keeps the order), so the slice count
+    follows the real data size -- plan-time size estimates after joins are far too unreliable."""
     from scorewright.session import checkpoint_root
 
-    out = df.repartitionByRange(_slices(df, num_slices), *order).withColumn(slice_col, F.spark_partition_id())
+    ranged = df.repartitionByRange(num_slices, *order) if num_slices else df.repartitionByRange(*order)
+    out = ranged.withColumn(slice_col, F.spark_partition_id())
     if not materialize:
         return out
     checkpoint_root(df.sparkSession)     # the cluster's folder; a local one only when none is set
