@@ -114,3 +114,19 @@ def test_command_line(spark, telco, tmp_path, capsys):
     assert main(["predict-customer", "--model", model, "--json", json.dumps(SAMPLE)]) == 0
     assert "leave_probability" in capsys.readouterr().out
     assert spark.sparkContext._jsc is not None      # the shared session is still running
+
+
+def test_cluster_wholesale_command(spark, tmp_path, capsys):
+    from scorewright.__main__ import main
+    from scorewright.sources.tables import wholesale_table
+    from scorewright.specs import WHOLESALE_COLUMNS, WHOLESALE_STANDIN_COLUMNS
+
+    t = wholesale_table(spark, "/root/testdata/sf0.001")
+    csv_dir = str(tmp_path / "wholesale")
+    t.select(*[t[a].alias(b) for a, b in zip(WHOLESALE_STANDIN_COLUMNS, WHOLESALE_COLUMNS)]) \
+        .write.option("header", True).csv(csv_dir)
+    assert main(["cluster-wholesale", "--csv", csv_dir, "--model", str(tmp_path / "km"),
+                 "--plot", str(tmp_path / "plot")]) == 0
+    out = capsys.readouterr().out
+    assert "silhouette" in out and "avg(" not in out
+    assert spark.read.parquet(str(tmp_path / "plot")).columns == ["Milk", "Grocery", "prediction"]
