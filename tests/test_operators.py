@@ -281,3 +281,26 @@ def test_model_save_policies(spark, tmp_dir):
     with pytest.raises(Exception):
         save_model(m, p, overwrite=False)
     save_model(m, p, overwrite=True)
+
+
+def test_auc_property_against_brute_force(spark):
+    """Random tie-heavy scores (signed zeros included) in random slice counts: exact AUC."""
+    from hypothesis import given, settings
+    from hypothesis import strategies as st
+
+    @settings(max_examples=6, deadline=None)
+    @given(st.lists(st.tuples(st.integers(0, 1), st.sampled_from([-1.5, -0.0, 0.0, 0.25, 0.5, 2.0])),
+                    min_size=2, max_size=60),
+           st.integers(1, 5))
+    def check(rows, slices):
+        df = spark.createDataFrame([(i, y, s) for i, (y, s) in enumerate(rows)], "id int, label int, score double")
+        got = auc(df, "label", "score", num_slices=slices).first()["auc"]
+        pos = [s for y, s in rows if y == 1]
+        neg = [s for y, s in rows if y == 0]
+        if not pos or not neg:
+            assert got is None
+            return
+        want = sum((p > n) + 0.5 * (p == n) for p in pos for n in neg) / (len(pos) * len(neg))
+        assert abs(got - want) < 1e-12
+
+    check()
