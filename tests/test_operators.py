@@ -304,3 +304,19 @@ def test_auc_property_against_brute_force(spark):
         assert abs(got - want) < 1e-12
 
     check()
+
+
+def test_row_number_property(spark):
+    """Random keys with many duplicates, random slice counts: ids are 1..n in key order."""
+    from hypothesis import given, settings
+    from hypothesis import strategies as st
+
+    @settings(max_examples=5, deadline=None)
+    @given(st.lists(st.integers(-3, 3), min_size=1, max_size=80), st.integers(1, 6))
+    def check(keys, slices):
+        df = spark.createDataFrame([(k,) for k in keys], "k int")
+        rows = sorted(global_row_number(df, ["k"], num_slices=slices).collect(), key=lambda r: r["row_id"])
+        assert [r["row_id"] for r in rows] == list(range(1, len(keys) + 1))
+        assert [r["k"] for r in rows] == sorted(keys)
+
+    check()
