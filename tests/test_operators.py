@@ -320,3 +320,37 @@ def test_row_number_property(spark):
         assert [r["k"] for r in rows] == sorted(keys)
 
     check()
+
+
+def test_quarantine_property(spark):
+    """Random mixes of valid, blank, null and unparsable text: status and messages follow the rules."""
+    from hypothesis import given, settings
+    from hypothesis import strategies as st
+
+    ints = {"12": "ok", " 7": "ok", "-3": "ok", "x": "bad", "": "missing", "  ": "missing", None: "missing"}
+    dbls = {"1.5": "ok", "2": "ok", "-0.25": "ok", "1,5": "bad", "abc": "bad", " ": "missing", None: "missing"}
+
+    @settings(max_examples=5, deadline=None)
+    @given(st.lists(st.tuples(st.sampled_from(list(ints)), st.sampled_from(list(dbls))), min_size=1, max_size=30))
+    def check(rows):
+        df = spark.createDataFrame([(str(i), a, b) for i, (a, b) in enumerate(rows)], "id string, n string, amount string")
+        got = {r["id"]: r for r in quarantine(df, SPEC).collect()}
+        for i, (a, b) in enumerate(rows):
+            r = got[str(i)]
+            want = []
+            if ints[a] == "missing":
+                want.append("n: missing")
+            elif ints[a] == "bad":
+                want.append(f"n: not a valid int: '{a}'")
+            if dbls[b] == "missing":
+                want.append("amount: missing")
+            elif dbls[b] == "bad":
+                want.append(f"amount: not a valid double: '{b}'")
+            assert r["errors"] == want, (a, b, r["errors"])
+            assert r["status"] == ("ok" if not want else "rejected")
+            if ints[a] == "ok":
+                assert r["n"] == int(a)
+            if dbls[b] == "ok":
+                assert r["amount"] == float(b)
+
+    check()
