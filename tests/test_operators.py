@@ -354,3 +354,18 @@ def test_quarantine_property(spark):
                 assert r["amount"] == float(b)
 
     check()
+
+
+def test_dot_unrolled_and_higher_order_paths_agree(spark):
+    from scorewright.functions.scalar import UNROLL_MAX, dot
+    rng = np.random.default_rng(11)
+    for width in (5, UNROLL_MAX, UNROLL_MAX + 44):
+        w = rng.normal(size=width).tolist()
+        rows = [(rng.normal(size=width).tolist(),) for _ in range(4)]
+        df = spark.createDataFrame(rows, "x array<double>")
+        got = [r[0] for r in df.select(dot("x", w)).collect()]
+        for (x,), g in zip(rows, got):
+            acc = 0.0
+            for a, b in zip(x, w):          # the same left-to-right order, in Python doubles
+                acc = acc + a * b
+            assert g == acc
