@@ -369,3 +369,29 @@ def test_dot_unrolled_and_higher_order_paths_agree(spark):
             for a, b in zip(x, w):          # the same left-to-right order, in Python doubles
                 acc = acc + a * b
             assert g == acc
+
+
+def test_stage_once_publishes_one_complete_copy(spark, tmp_dir):
+    import threading
+
+    from scorewright.sinks import fs
+    target = os.path.join(tmp_dir, "staged")
+    errors = []
+
+    def writer(n):
+        try:
+            fs.stage_once(spark, target, lambda tmp: spark.range(n).write.parquet(tmp))
+        except Exception as e:  # noqa: BLE001
+            errors.append(e)
+
+    threads = [threading.Thread(target=writer, args=(n,)) for n in (5, 7)]
+    for t in threads:
+        t.start()
+    for t in threads:
+        t.join()
+    assert not errors
+    assert fs.is_complete(spark, target)
+    assert spark.read.parquet(target).count() in (5, 7)
+    assert not [n for n in os.listdir(tmp_dir) if ".tmp-" in n]
+    # a second call is a no-op
+    fs.stage_once(spark, target, lambda tmp: (_ for _ in ()).throw(AssertionError("rewrote")))
