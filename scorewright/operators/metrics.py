@@ -165,3 +165,13 @@ def silhouette(df: DataFrame, features: str = "features", prediction: str = "pre
                .when(a > other, other / a - F.lit(1.0))
                .otherwise(F.lit(0.0)))
     return pts.agg(F.avg(s_point).alias("silhouette"))
+
+
+def auc_binned(df: DataFrame, label: str = "label", score: str = "probability", bins: int = 1000) -> float:
+    """AUC as ``BinaryClassificationEvaluator`` reports it by default: the ROC curve down-sampled
+    to ``bins`` bins (approximate; ``auc`` is the exact value).  ``score`` may be a double or a
+    raw-prediction vector column."""
+    from pyspark.ml.evaluation import BinaryClassificationEvaluator
+
+    data = df.select(F.col(label).cast("double").alias(label), F.col(score))
+    return BinaryClassificationEvaluator(labelCol=label, rawPredictionCol=score, numBins=bins).evaluate(data)

@@ -395,3 +395,13 @@ def test_stage_once_publishes_one_complete_copy(spark, tmp_dir):
     assert not [n for n in os.listdir(tmp_dir) if ".tmp-" in n]
     # a second call is a no-op
     fs.stage_once(spark, target, lambda tmp: (_ for _ in ()).throw(AssertionError("rewrote")))
+
+
+def test_binned_auc_is_close_to_exact(spark):
+    from scorewright.operators.metrics import auc_binned
+    rng = np.random.default_rng(5)
+    rows = [(int(rng.random() < 0.3), float(rng.normal())) for _ in range(3000)]
+    df = spark.createDataFrame(rows, "label int, score double")
+    exact = auc(df, "label", "score").first()["auc"]
+    assert abs(auc_binned(df, "label", "score", bins=0) - exact) < 1e-9
+    assert abs(auc_binned(df, "label", "score", bins=100) - exact) < 1e-2
