@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from scorewright.session import work_path
 
-from . import blocknames, langid, packing, quality, secret_ledger, simhash, spec_bpe
+from . import blocknames, langid, licenses, packing, quality, secret_ledger, simhash, spec_bpe, transcripts
 from .common import documents, fold, prepare
 
 
@@ -32,6 +32,29 @@ def op3_secret_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
                         secret_ledger.spans_text(spans).alias("spans"))
 
 
+def raw_transcripts(conversations: DataFrame) -> DataFrame:
+    """``conversations`` as transcripts would show them: in one of three marker styles or none, one marker in six missing.
+
+    The role column stays beside the text for fitting and tests; ``recover`` never reads it."""
+    style = F.pmod(F.xxhash64(F.col("conv_id"), F.lit("style")), F.lit(4))
+    lost = (style == 3) | (F.pmod(F.xxhash64("conv_id", "turn"), F.lit(6)) == 0)
+    name = {0: {"user": "User", "assistant": "Assistant", "system": "System"}, 1: {"user": "Human", "assistant": "AI", "system": "Instructions"},
+            2: {"user": "customer", "assistant": "agent", "system": "system"}}
+    marker = F.lit("")
+    for k, names in name.items():
+        for role, n in names.items():
+            marker = F.when((style == k) & (F.col("role") == role), f"[{n}] " if k == 2 else f"{n}: ").otherwise(marker)
+    return conversations.select("conv_id", "turn", "role", F.when(lost, F.col("text")).otherwise(F.concat(marker, "text")).alias("text"))
+
+
+def op4_transcript_roles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    blocks = raw_transcripts(spark.read.parquet(f"{sf_dir.rstrip('/')}/conversations.parquet"))
+    held_out = fold("conv_id", 5) == 0
+    model = transcripts.fit(blocks.filter(~held_out))
+    told = transcripts.recover(blocks.select("conv_id", "turn", "text"), model)
+    return told.select("conv_id", "turn", held_out.alias("held_out"), "role", transcripts.render(F.col("text"), F.col("role")).alias("text"))
+
+
 def op5_byte_cnn_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).select("doc_id", "text", "lang")
     held_out = fold("doc_id", 5) == 0
@@ -43,6 +66,10 @@ def op6_block_naming(spark: SparkSession, sf_dir: str) -> DataFrame:
     return blocknames.duplicates(documents(spark, sf_dir))
 
 
+def op7_license_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan_licenses(documents(spark, sf_dir))
+
+
 def op8_speculative_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     got = spec_bpe.encode(documents(spark, sf_dir).select("doc_id", "text"), decoded_col="decoded")
     ids = F.concat_ws(" ", F.col("ids").cast("array<string>"))
@@ -59,8 +86,8 @@ def op10_covering_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_line_frequency, op3_secret_ledger, op5_byte_cnn_language, op6_block_naming, op8_speculative_bpe, op9_hilbert_packing,
-    op10_covering_simhash)}
+    op1_line_frequency, op3_secret_ledger, op4_transcript_roles, op5_byte_cnn_language, op6_block_naming, op7_license_alignment,
+    op8_speculative_bpe, op9_hilbert_packing, op10_covering_simhash)}
 
 _SPACE = r"[\x20\x09-\x0D]+"
 
