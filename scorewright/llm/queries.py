@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from scorewright.session import work_path
 
-from . import blocknames, langid, licenses, packing, quality, secret_ledger, simhash, spec_bpe, transcripts
+from . import blocknames, gated_lm, langid, licenses, packing, quality, secret_ledger, simhash, spec_bpe, transcripts
 from .common import documents, fold, prepare
 
 
@@ -17,6 +17,12 @@ def op1_line_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.line_quality(documents(spark, sf_dir))
 
 
+def op2_gated_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = fold("doc_id", 7) == 2
+    scored = gated_lm.score(documents(spark, sf_dir).select("doc_id", "text"), ~held_out)
+    return scored.withColumn("held_out", held_out)
+
+
 def op3_secret_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare(spark)
     # a ledger of this call's own, so that the query scans every blob once whatever ran before
@@ -86,7 +92,7 @@ def op10_covering_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_line_frequency, op3_secret_ledger, op4_transcript_roles, op5_byte_cnn_language, op6_block_naming, op7_license_alignment,
+    op1_line_frequency, op2_gated_lm, op3_secret_ledger, op4_transcript_roles, op5_byte_cnn_language, op6_block_naming, op7_license_alignment,
     op8_speculative_bpe, op9_hilbert_packing, op10_covering_simhash)}
 
 _SPACE = r"[\x20\x09-\x0D]+"
