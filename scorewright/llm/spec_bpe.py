@@ -32,6 +32,7 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -40,10 +41,35 @@ from pyspark.sql import types as T
 from .common import prepare, read_text, tokenizer_file
 
 END = "</w>"
-KNOWN_LIMIT = 500_000
-#: Python's split() also splits at these four; they are no white space for the tokenizer.
-_NOT_SPACE = re.compile("[\x1c-\x1f]")
-_SPACE = regex.compile(r"\p{White_Space}+")
+KNOWN_LIMIT = 1_000_000
+
+
+class Ragged:
+    """Id lists by key, end to end in one array."""
+
+    def __init__(self):
+        self.place: dict = {}
+        self.data, self.start, self.size = np.empty(0, np.int32), np.empty(0, np.int64), np.empty(0, np.int64)
+
+    def add(self, keys: list, data: np.ndarray, size: np.ndarray) -> None:
+        self.place.update(zip(keys, range(len(self.place), len(self.place) + len(keys))))
+        self.start = np.concatenate([self.start, len(self.data) + np.cumsum(size) - size])
+        self.size = np.concatenate([self.size, size])
+        self.data = np.concatenate([self.data, data.astype(np.int32)])
+
+    def places(self, keys: list, n: int) -> np.ndarray:
+        return np.fromiter(map(self.place.__getitem__, keys), np.int64, n)
+
+    def take(self, at: np.ndarray) -> np.ndarray:
+        """The lists at these places, end to end."""
+        size = self.size[at]
+        before = np.cumsum(size) - size
+        return self.data[np.repeat(self.start[at] - before, size) + np.arange(int(size.sum()))]
+
+    def only(self, keys: list) -> Ragged:
+        at, out = self.places(keys, len(keys)), Ragged()
+        out.add(keys, self.take(at), self.size[at])
+        return out
 
 
 class WordBpe:
@@ -83,10 +109,13 @@ class WordBpe:
         own[made] = self.compatible(self.left[made], self.right[made], self.rank[made])
         for z in made:                               # in rank order: parts come before what they make
             own[z] &= (self.rank[self.left[z]] < 0 or own[self.left[z]]) and (self.rank[self.right[z]] < 0 or own[self.right[z]])
-        self.proposals = {t: i for t, i in self.vocab.items() if self.rank[i] < 0 or own[i]}
-        self.longest = max(map(len, self.proposals))
-        self.known: dict[str, tuple[int, ...]] = {}
-        self.known_words: dict[str, tuple[int, ...]] = {}
+        good = {t: i for t, i in self.vocab.items() if self.rank[i] < 0 or own[i]}
+        self.last = {t[:-len(END)]: i for t, i in good.items() if t.endswith(END)}
+        self.inner = {t: i for t, i in good.items() if not t.endswith(END)}
+        self.longest_last, self.reach = max(map(len, self.last)), {}
+        for t in self.inner:
+            self.reach[t[:2]] = max(len(t), self.reach.get(t[:2], 1))
+        self.known, self.known_words = Ragged(), Ragged()
         self.failed = self.proposed = 0
 
     def _rule_rank(self, x: np.ndarray, y: np.ndarray) -> np.ndarray:
@@ -117,17 +146,18 @@ class WordBpe:
 
     def _propose(self, word: str) -> list[int]:
         """Greedy longest match over the word's letters and its end."""
-        out, at, n, find = [], 0, len(word), self.proposals.get
+        out, at, n, inner, last, reach = [], 0, len(word), self.inner, self.last, self.reach
         while at < n:
-            hit = find(word[at:] + END) if n - at < self.longest else None
+            hit = last.get(word[at:]) if n - at <= self.longest_last else None
             if hit is not None:
                 out.append(hit)
                 break
-            for k in range(min(self.longest, n - at if n - at == 1 else n - at - 1), 0, -1):
-                hit = find(word[at:at + k])
+            # no token with these first two letters is longer; the last letter belongs to a token with the end
+            for k in range(min(reach.get(word[at:at + 2], 1), n - at - 1), 0, -1):
+                hit = inner.get(word[at:at + k])
                 if hit is not None:
                     break
-            if hit is None or at + k == n:
+            if hit is None:
                 raise ValueError(f"no token for {word[at:at + 1]!r}")
             out.append(hit)
             at += k
@@ -173,55 +203,76 @@ class WordBpe:
             rank[before] = self._rule_rank(ids[before], ids[before + 1])
         return done
 
-    def encode_words(self, words: list[str]) -> dict[str, tuple[int, ...]]:
-        """Ids of distinct words (already as byte letters): propose, verify all pairs at once, repair."""
+    def encode_words(self, words: list[str]) -> list[list[int]]:
+        """Ids of distinct words (as byte letters): propose, verify all pairs at once, repair."""
         proposed = [self._propose(w) for w in words]
-        lengths = np.array([len(p) for p in proposed], np.int64)
+        lengths = np.fromiter(map(len, proposed), np.int64, len(words))
         flat = np.fromiter(chain.from_iterable(proposed), np.int64, int(lengths.sum()))
         owner = np.repeat(np.arange(len(words)), lengths)
         inner = np.flatnonzero(owner[1:] == owner[:-1])
         pair, back = np.unique(flat[inner] * self.size + flat[inner + 1], return_inverse=True)
         good = self.compatible(pair // self.size, pair % self.size)[back]
-        bad = np.unique(owner[inner[~good]])
-        if len(bad):
+        bad = np.unique(owner[inner[~good]]).tolist()
+        if bad:
             for i, ids in zip(bad, self.merge([words[i] for i in bad])):
                 proposed[i] = ids
         self.proposed += len(words)
         self.failed += len(bad)
-        return dict(zip(words, map(tuple, proposed)))
+        return proposed
 
     def _letters(self, chunk: str) -> list[str | int]:
         """The words of a piece of text without white space, as byte letters; added tokens as ids."""
+        if chunk.isascii() and chunk.isalpha():      # one word, its letters are their own bytes
+            return [chunk.lower()]
         parts = self.special.split(chunk) if self.special and "<" in chunk else [chunk]
         out: list[str | int] = []
         for p in parts:
             if p in self.added:
                 out.append(self.added[p])
-                continue
-            if p.isascii():
-                p = p.lower()
-            else:                                    # letter by letter: no final sigma, as the library lowers
-                p = "".join(map(str.lower, unicodedata.normalize("NFC", p)))
-            out += [w.encode("utf-8", "surrogatepass").decode("latin-1").translate(self.letters) for w in self.words(p)]
+            elif p.isascii():
+                found = self.words(p.lower())
+                out += found if p.isprintable() else [w.translate(self.letters) for w in found]
+            else:                                    # lower() treats a final sigma apart, the library doesn't
+                if not unicodedata.is_normalized("NFC", p):
+                    p = unicodedata.normalize("NFC", p)
+                p = p.replace("\u03a3", "\u03c3").lower()
+                out += [w.encode("utf-8", "surrogatepass").decode("latin-1").translate(self.letters) for w in self.words(p)]
         return out
 
-    def encode_batch(self, texts: list[str]) -> list[list[int]]:
-        split = [_SPACE.split(t) if _NOT_SPACE.search(t) else t.split() for t in texts]
-        chunks = set(chain.from_iterable(split))
-        if len(self.known) > KNOWN_LIMIT:
-            self.known, self.known_words = {c: self.known[c] for c in chunks & self.known.keys()}, {}
-        new = {c: self._letters(c) for c in chunks - self.known.keys()}
-        words = sorted({w for parts in new.values() for w in parts if isinstance(w, str)} - self.known_words.keys())
-        if words:
-            self.known_words |= self.encode_words(words)
-        for c, parts in new.items():
-            self.known[c] = tuple(chain.from_iterable((w,) if isinstance(w, int) else self.known_words[w] for w in parts))
-        get = self.known.__getitem__
-        return [list(chain.from_iterable(map(get, s))) for s in split]
-
-    def decode(self, ids: list[int]) -> str:
+    def encode_batch(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The texts' ids end to end, and how many each has.
+
+        Pieces are split at ASCII white space; other white space in a piece is dropped by the word pattern."""
+        split = pc.ascii_split_whitespace(texts)
+        pieces = split.flatten().dictionary_encode()
+        chunks = pieces.dictionary.to_pylist()
+        if len(self.known.place) > KNOWN_LIMIT:
+            self.known, self.known_words = self.known.only([c for c in chunks if c in self.known.place]), Ragged()
+        new = [c for c in chunks if c not in self.known.place]
+        if new:
+            parts = [self._letters(c) for c in new]
+            flat = list(chain.from_iterable(parts))
+            missing = set(flat) - self.known_words.place.keys()
+            words = [w for w in missing if isinstance(w, str)]
+            if words:
+                ids = self.encode_words(words)
+                size = np.fromiter(map(len, ids), np.int64, len(ids))
+                self.known_words.add(words, np.fromiter(chain.from_iterable(ids), np.int64, int(size.sum())), size)
+            ids = [w for w in missing if isinstance(w, int)]         # added tokens
+            self.known_words.add(ids, np.array(ids, np.int64), np.ones(len(ids), np.int64))
+            at = self.known_words.places(flat, len(flat))
+            ends = np.cumsum(np.fromiter(map(len, parts), np.int64, len(parts)))
+            total = np.concatenate([[0], np.cumsum(self.known_words.size[at])])[ends]
+            self.known.add(new, self.known_words.take(at), np.diff(total, prepend=0))
+        at = self.known.places(chunks, len(chunks))[pieces.indices.to_numpy()]
+        total = np.concatenate([[0], np.cumsum(self.known.size[at])])
+        offsets = split.offsets.to_numpy()
+        return self.known.take(at), np.diff(total[offsets - offsets[0]])
+
+    def decode_batch(self, ids: pa.ListArray) -> pa.Array:
         """The tokens, special ones too, with a space between (the file names no decoder)."""
-        return " ".join(map(self.tokens.__getitem__, ids))
+        tokens = pa.array(self.tokens, pa.string()).take(ids.values)
+        return pc.binary_join(pa.ListArray.from_arrays(ids.offsets, tokens), " ")
 
 
 _MODELS: dict[str, WordBpe] = {}
@@ -235,23 +286,21 @@ def model_of(vocabulary: str) -> WordBpe:
     return _MODELS[vocabulary]
 
 
-def _run(shipped, text_at: int, with_decoded: bool, group_bytes: int = 1 << 21):
+def _run(shipped, text_at: int, with_decoded: bool, group_bytes: int = 1 << 22):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = model_of(shipped.value)
         gc.freeze()                                  # the model's tables hold no cycles: not worth walking again
         for batch in batches:
-            column, a = batch.column(text_at), 0
-            while a < len(column):
-                texts, size = [], 0
-                while a + len(texts) < len(column) and (not texts or size < group_bytes):
-                    texts.append(column[a + len(texts)].as_py() or "")
-                    size += len(texts[-1])
-                ids = model.encode_batch(texts)
-                lengths = np.cumsum([0, *map(len, ids)])
-                flat = np.fromiter(chain.from_iterable(ids), np.int32, int(lengths[-1]))
-                out = [*batch.slice(a, len(texts)).columns, pa.ListArray.from_arrays(pa.array(lengths, pa.int32()), pa.array(flat))]
+            column, a = pc.fill_null(batch.column(text_at), ""), 0
+            size = pc.binary_length(column).to_numpy()
+            while a < len(column):                   # by bytes, at least one text
+                n = max(1, int(np.searchsorted(np.cumsum(size[a:]), group_bytes)))
+                texts = column.slice(a, n)
+                ids, lengths = model.encode_batch(texts)
+                lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(lengths)]), pa.int32()), pa.array(ids))
+                out = [*batch.slice(a, len(texts)).columns, lists]
                 if with_decoded:
-                    out.append(pa.array([model.decode(x) for x in ids], pa.string()))
+                    out.append(model.decode_batch(lists))
                 yield pa.RecordBatch.from_arrays(out, names=[f"c{i}" for i in range(len(out))])
                 a += len(texts)
 
