@@ -7,6 +7,7 @@ rows one stays.  An empty table gives an empty result.
 
 from __future__ import annotations
 
+import functools
 import uuid
 from collections.abc import Callable
 
@@ -14,19 +15,41 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from scorewright.llm import blocknames, langid, packing, secret_ledger, simhash
-from scorewright.llm.common import documents, fold, fresh, prepare, staged
+from scorewright.llm.common import documents, fold, fresh, prepare, staged, watched
 from scorewright.session import work_path
+from scorewright.sinks.fs import delete
 
 #: A document goes if its language can't be told: no letter, or no class above this mean probability.
 MIN_LANGUAGE_SCORE = 0.4
 
 
+#: Staged tables of the stage before; its result has been written when the next one starts.
+_LEFT: list[str] = []
+
+
+def _stage(work: Callable[[SparkSession, DataFrame, str], DataFrame]) -> Callable[[SparkSession, DataFrame, str], DataFrame]:
+    """The stage with the staged tables of the one before it removed, unless its input still reads them."""
+
+    @functools.wraps(work)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        if _LEFT and not any(f"/{path.rsplit('/', 1)[1]}/" in f for path in _LEFT for f in docs.inputFiles()):
+            while _LEFT:
+                delete(spark, _LEFT.pop())
+        with watched() as made:
+            out = work(spark, docs, sf_dir)
+        _LEFT.extend(made)
+        return out
+
+    return run_stage
+
+
 def _keyed(docs: DataFrame) -> tuple[DataFrame, str]:
     """``docs`` with a key that orders rows by id, then by a number pinned in a staged copy."""
     row = fresh(docs, "_row")
     return staged(docs.withColumn(row, F.struct(F.col("doc_id"), F.monotonically_increasing_id().alias("row"))), "numbered"), row
 
 
+@_stage
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model = langid.fit(docs, fold("doc_id", 5) != 0)
     pred, score = fresh(docs, "_lang_pred"), fresh(docs, "_lang_score")
@@ -34,18 +57,21 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return told.filter((F.col(pred) != langid.UND) & (F.col(score) >= MIN_LANGUAGE_SCORE)).select(*docs.columns)
 
 
+@_stage
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     rows, key = _keyed(docs)
     gone = blocknames.duplicates(rows, id_col=key).filter("not kept").select(key)
     return rows.join(gone, key, "left_anti").select(*docs.columns)
 
 
+@_stage
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     rows, key = _keyed(docs)
     gone = simhash.near_duplicates(rows, id_col=key).filter(F.col(key) != F.col("component_id")).select(key)
     return rows.join(gone, key, "left_anti").select(*docs.columns)
 
 
+@_stage
 def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Findings are replaced by ``[kind]`` in the text; every document stays."""
     prepare(spark)
@@ -58,6 +84,7 @@ def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     return marked.withColumn("text", clean).select(*docs.columns)
 
 
+@_stage
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return packing.pack(docs)
 

@@ -26,7 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import prepare, staged
+from .common import prepare, scratch, staged
 
 BUCKETS = 1 << 16
 BLOCK = 16384
@@ -92,6 +92,11 @@ def identities(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text
                segment_bytes: int = SEGMENT_BYTES, segment_rows: int = SEGMENT_ROWS) -> DataFrame:
     """One row per input row: row (unique), id, sha (of the text), level and name: its identity."""
     prepare(docs.sparkSession)
+    with scratch(docs.sparkSession) as keep:
+        return keep(_identities(docs, id_col, text_col, block, segment_bytes, segment_rows))
+
+
+def _identities(docs: DataFrame, id_col: str, text_col: str, block: int, segment_bytes: int, segment_rows: int) -> DataFrame:
     light = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("binary").alias("text"))
     schema = (f"part int, seg int, local int, block binary, row long, id {light.schema['id'].dataType.simpleString()}, "
               "sha binary, blocks array<int>")

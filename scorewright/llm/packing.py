@@ -175,6 +175,18 @@ def _pieces(length: int, wide: str, with_ids: bool):
     return run
 
 
+def _begins(tokens: DataFrame) -> DataFrame:
+    """(row, begin): where each document starts when all are laid end to end along the curve."""
+    order = ["key", "tie", "row"]
+    slices = staged(tokens.select("row", "key", "tie", "n").repartitionByRange(*order).sortWithinPartitions(*order)
+                    .withColumn("slice", F.spark_partition_id()), "slices")
+    upto = Window.partitionBy("slice").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    before = Window.orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)        # one row per slice
+    totals = slices.groupBy("slice").agg(F.sum("n").alias("m")).select("slice", F.coalesce(F.sum("m").over(before), F.lit(0)).alias("base"))
+    return (slices.withColumn("own", F.sum("n").over(upto) - F.col("n")).join(totals, "slice")
+            .select("row", (F.col("own") + F.col("base")).alias("begin")))
+
+
 def pack(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", vocabulary_path: str | None = None,
          end_id: int = 1, length: int = LENGTH, dims: int = 3, bits: int = 10, with_ids: bool = False) -> DataFrame:
     """One row per piece: id, start, length, ids_crc32, doc_tokens, sequence_id, offset (and ids: 32-bit little-endian)."""
@@ -186,14 +198,7 @@ def pack(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", voc
     kind = light.schema["id"].dataType.simpleString()
     tokens = staged(light.mapInArrow(_tokenise(shipped, end_id, dims, bits),
                                      f"row long, id {kind}, tie long, key long, n long, ids binary"), "tokens")
-    order = ["key", "tie", "row"]
-    slices = staged(tokens.select("row", "key", "tie", "n").repartitionByRange(*order).sortWithinPartitions(*order)
-                    .withColumn("slice", F.spark_partition_id()), "slices")
-    upto = Window.partitionBy("slice").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    before = Window.orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)        # one row per slice
-    totals = slices.groupBy("slice").agg(F.sum("n").alias("m")).select("slice", F.coalesce(F.sum("m").over(before), F.lit(0)).alias("base"))
-    begins = (slices.withColumn("own", F.sum("n").over(upto) - F.col("n")).join(totals, "slice")
-              .select("row", (F.col("own") + F.col("base")).alias("begin")))
+    begins = _begins(tokens)
     spec = json.loads(vocabulary)
     top = max([end_id, *spec["model"]["vocab"].values(), *(t["id"] for t in spec["added_tokens"])])
     schema = f"id {kind}, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long" + ", ids binary" * with_ids

@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import prepare, staged
+from .common import prepare, scratch, staged
 
 BITS = 64
 
@@ -148,6 +148,14 @@ def near_links(fps: DataFrame, *, radius: int = 4, seed: int = 11, bucket_limit:
 
 def components(links: DataFrame, max_rounds: int = 60) -> DataFrame:
     """(node, root): smallest node reachable, for every node that has a link.  Star rounds until nothing changes."""
+    with scratch(links.sparkSession) as keep:
+        e = keep(_stars(links, max_rounds))
+    roots = e.select(F.col("a").alias("node"), F.col("b").alias("root"))
+    return roots.unionByName(e.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct())
+
+
+def _stars(links: DataFrame, max_rounds: int) -> DataFrame:
+    """(a, b): every node hung on the smallest one reachable."""
 
     def state(e):
         return e.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
@@ -167,12 +175,9 @@ def components(links: DataFrame, max_rounds: int = 60) -> DataFrame:
         e = staged(e, "edges")
         now = state(e)
         if now == seen:
-            break
+            return e
         seen = now
-    else:
-        raise RuntimeError("components did not settle")
-    roots = e.select(F.col("a").alias("node"), F.col("b").alias("root"))
-    return roots.unionByName(e.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct())
+    raise RuntimeError("components did not settle")
 
 
 def fingerprints(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", words: int = 4, seed: int = 42) -> DataFrame:
@@ -190,13 +195,14 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
                     seed: int = 42, radius: int = 4, **search) -> DataFrame:
     """One row per input row: id, fingerprint (hex), component_id."""
     rows = staged(fingerprints(docs, id_col=id_col, text_col=text_col, words=words, seed=seed), "fingerprints")
-    distinct = staged(rows.groupBy("fp").agg(F.min("id").alias("low")), "distinct")
-    roots = components(near_links(distinct, radius=radius, **search))
-    linked = roots.join(distinct, roots["node"] == distinct["fp"]).select("fp", "root", "low")
-    lows = linked.groupBy("root").agg(F.min("low").alias("component"))
-    # every fingerprint with its component: those without links stay alone
-    member = distinct.join(linked.join(lows, "root").select("fp", "component", F.lit(True).alias("is_linked")), "fp", "left") \
-        .select("fp", F.when(F.col("is_linked"), F.col("component")).otherwise(F.col("low")).alias("component_id"))
-    member = staged(member, "member")         # both sides then meet on plain exchanges: a hot fingerprint can be split
+    with scratch(docs.sparkSession) as keep:
+        distinct = staged(rows.groupBy("fp").agg(F.min("id").alias("low")), "distinct")
+        roots = components(near_links(distinct, radius=radius, **search))
+        linked = roots.join(distinct, roots["node"] == distinct["fp"]).select("fp", "root", "low")
+        lows = linked.groupBy("root").agg(F.min("low").alias("component"))
+        # every fingerprint with its component: those without links stay alone
+        member = distinct.join(linked.join(lows, "root").select("fp", "component", F.lit(True).alias("is_linked")), "fp", "left") \
+            .select("fp", F.when(F.col("is_linked"), F.col("component")).otherwise(F.col("low")).alias("component_id"))
+        member = keep(staged(member, "member"))   # both sides then meet on plain exchanges: a hot fingerprint can be split
     return rows.join(member, "fp").select(
         F.col("id").alias(id_col), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
