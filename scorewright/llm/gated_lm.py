@@ -36,7 +36,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import prepare, staged
+from .common import prepare, scratch, staged
 
 UNKNOWN, END = 0, 1
 FIXED = 1 << 20
@@ -59,7 +59,7 @@ class Settings:
     score_window: int = 64
     rate: float = 0.004
     clip: float = 1.0
-    group_bytes: int = 1 << 24
+    group_bytes: int = 1 << 23
     seed: int = 3
 
 
@@ -339,6 +339,21 @@ def _average(parts: DataFrame) -> np.ndarray:
     return rows["v"].to_numpy() / (rows["w"].to_numpy() * float(FIXED))
 
 
+def _replica(shipped):
+    """Group function: train on a replica's documents (about ``replica_tokens`` tokens), in an order that no shuffle changes."""
+
+    def run(part):
+        start, lex = shipped.value
+        texts = part.sort_by([("tie", "ascending"), ("text", "ascending")])["text"].combine_chunks()
+        size, rank, _, _ = lex.read(texts)
+        docs = lex.documents(size, rank)
+        tokens = sum(map(len, docs))
+        flat = np.round(start.train(docs).flat().astype(np.float64) * FIXED).astype(np.int64) * tokens
+        return pa.table({"i": pa.array(np.arange(len(flat)), pa.int32()), "v": pa.array(flat), "w": pa.array(np.full(len(flat), tokens), pa.int64())})
+
+    return run
+
+
 def fit(texts: DataFrame, known: Counts, s: Settings) -> Gru:
     """Train on a hash share of ``texts`` (tie, text), in replicas averaged after each round."""
     spark = texts.sparkSession
@@ -347,27 +362,13 @@ def fit(texts: DataFrame, known: Counts, s: Settings) -> Gru:
         return model
     share = min(1.0, s.share + s.least_tokens / known.total)
     replicas = max(1, round(known.total * share / s.replica_tokens))
-    place = F.xxhash64("tie", "text")
-    own = staged(texts.filter(F.pmod(F.xxhash64("tie"), F.lit(1 << 20)) < int(share * (1 << 20)) + 1), "lm_share")
+    own = staged(texts.filter(F.pmod(F.xxhash64("tie"), F.lit(1 << 20)) < int(share * (1 << 20)) + 1)
+                 .withColumn("replica", F.pmod(F.xxhash64("tie", "text"), F.lit(replicas)).cast("int")), "lm_share")
     for _ in range(s.rounds):
         shipped = spark.sparkContext.broadcast((model, lexicon))
 
-        def run(batches: Iterator[pa.RecordBatch], shipped=shipped) -> Iterator[pa.RecordBatch]:
-            start, lex = shipped.value
-            docs: list[np.ndarray] = []
-            for batch in batches:
-                size, rank, _, _ = lex.read(batch.column(0))
-                docs += lex.documents(size, rank)
-            if docs:
-                tokens = sum(map(len, docs))
-                flat = np.round(start.train(docs).flat().astype(np.float64) * FIXED).astype(np.int64) * tokens
-                for a in range(0, len(flat), 1 << 16):
-                    v = flat[a:a + (1 << 16)]
-                    yield pa.RecordBatch.from_arrays([pa.array(np.arange(a, a + len(v)), pa.int32()), pa.array(v, pa.int64()),
-                                                      pa.array(np.full(len(v), tokens), pa.int64())], names=["i", "v", "w"])
-
-        parts = own.repartition(replicas, place).sortWithinPartitions(place, "text").select("text")
-        values = _average(parts.mapInArrow(run, "i int, v long, w long"))
+        parts = own.groupBy("replica").applyInArrow(_replica(shipped), "i int, v long, w long")
+        values = _average(parts)
         if not len(values):
             break
         model = model.with_flat(values)
@@ -378,8 +379,14 @@ def score(docs: DataFrame, train_rows: Column, *, id_col: str = "doc_id", text_c
     """One row per row: id, n_tokens, n_known, train_tokens, base_score, score (log10 probabilities of the whole text)."""
     spark, s = docs.sparkSession, settings
     prepare(spark)
+    with scratch(spark) as keep:
+        return _score(docs, train_rows, id_col, text_col, s, keep)
+
+
+def _score(docs: DataFrame, train_rows: Column, id_col: str, text_col: str, s: Settings, keep) -> DataFrame:
+    spark = docs.sparkSession
     train = docs.filter(train_rows).select(F.col(text_col).alias("text"), F.xxhash64(F.col(id_col).cast("string")).alias("tie"))
-    table = staged(count_words(train.select("text"), s), "lm_counts")
+    table = keep(staged(count_words(train.select("text"), s), "lm_counts"))
     known = head_of(table, s)
     model = fit(train, known, s)
     shipped = spark.sparkContext.broadcast((model, Lexicon(known, s)))   # at most head words and the parameters
@@ -423,7 +430,7 @@ def score(docs: DataFrame, train_rows: Column, *, id_col: str = "doc_id", text_c
 
     light = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     kind = light.schema["id"].dataType.simpleString()
-    seen = staged(light.mapInArrow(run, f"row long, id {kind}, n_tokens long, known long, base double, score double, outside long, word string, times long"), "lm_scored")
+    seen = keep(staged(light.mapInArrow(run, f"row long, id {kind}, n_tokens long, known long, base double, score double, outside long, word string, times long"), "lm_scored"))
     # words outside the head meet their counts; those never counted add log10(0 + 1) = 0, so an inner join is all
     tail = (seen.filter("word is not null").select("row", "word", "times").join(table.filter("word != ''"), "word")
             .groupBy("row").agg(F.sum("times").alias("t_known"), F.sum(F.col("times") * F.log10(F.col("c") + 1)).alias("t_log")))
