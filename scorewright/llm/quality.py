@@ -78,7 +78,7 @@ def repeated_words(words_: Column, k: int = 5) -> Column:
 def _lines(text: Column) -> Column:
     """Normalised lines that hold a word."""
     flat = F.regexp_replace(F.lower(text), r"[\x20\x09\x0B-\x0D]+", " ")
-    return F.filter(F.transform(F.split(flat, "\n"), F.trim), lambda x: x != "")
+    return F.filter(F.transform(F.split(flat, "\n"), lambda x: F.trim(x)), lambda x: x != "")
 
 
 def _hash(line: Column) -> list[Column]:
