@@ -92,7 +92,7 @@ def main(argv: list[str] | None = None) -> int:
         spec = TableSpec(id_col="", categorical=[], numeric=WHOLESALE_COLUMNS)
         df = read_csv(spark, a.csv, infer=True)
         r = jobs.cluster_customers(spark, df, spec, k=a.k, scale="center", model_path=a.model,
-                                   plot_path=a.plot, plot_columns=["Milk", "Grocery"])
+                                   plot_path=a.plot, plot_columns=["Milk", "Grocery"], plot_fraction=None)
         r["profile"].show()
         r["silhouette"].show()
     elif a.cmd == "predict-customer":

@@ -49,38 +49,24 @@ def to_double_array(c: str | Column, dtype: DataType | None = None) -> Column:
     return vector_to_array(c)
 
 
-UNROLL_MAX = 256   # up to this width, fixed-weight arithmetic is written out term by term
+def _paired(arr: str | Column, fixed: Sequence[float], term) -> Column:
+    """Sum of ``term(entry, fixed entry)``, left to right from 0.0; the same form for every width.
 
+    Null for a null array; an array that is not as long as the fixed one fails the query."""
+    a, n = _c(arr), len(fixed)
+    total = F.aggregate(F.zip_with(a, F.array(*[F.lit(float(x)) for x in fixed]), term), F.lit(0.0), lambda acc, x: acc + x)
+    wrong = F.raise_error(F.concat(F.lit(f"array of length {n} expected, got "), F.size(a).cast("string"))).cast("double")
+    return F.when(a.isNull(), F.lit(None).cast("double")).when(F.size(a) == n, total).otherwise(wrong)
 
-def dot(arr: str | Column, weights: Sequence[float]) -> Column:
-    """Left-to-right dot product of an ``array<double>`` with fixed weights (starts from 0.0).
 
-    Up to ``UNROLL_MAX`` weights the sum is spelled out as ``((0 + a[0]*w0) + a[1]*w1) ...``:
-    plain arithmetic that stays inside whole-stage code generation.  Wider vectors use one
-    ``aggregate(zip_with(...))`` (same order of additions).  The array must be as long as the
-    weights (a shorter one fails on the missing index).
-    """
-    a = _c(arr)
-    if len(weights) <= UNROLL_MAX:
-        acc = F.lit(0.0)
-        for i, x in enumerate(weights):
-            acc = acc + a.getItem(i) * F.lit(float(x))
-        return acc
-    w = F.array(*[F.lit(float(x)) for x in weights])
-    return F.aggregate(F.zip_with(a, w, lambda x, y: x * y), F.lit(0.0), lambda acc, x: acc + x)
+def dot(arr: str | Column, weights: Sequence[float]) -> Column:
+    """Left-to-right dot product of an ``array<double>`` with fixed weights."""
+    return _paired(arr, weights, lambda x, y: x * y)
 
 
 def squared_distance(arr: str | Column, centre: Sequence[float]) -> Column:
-    """Squared Euclidean distance to a fixed point, summed left to right from 0.0."""
-    a = _c(arr)
-    if len(centre) <= UNROLL_MAX:
-        acc = F.lit(0.0)
-        for i, x in enumerate(centre):
-            d = a.getItem(i) - F.lit(float(x))
-            acc = acc + d * d
-        return acc
-    c = F.array(*[F.lit(float(x)) for x in centre])
-    return F.aggregate(F.zip_with(a, c, lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda acc, x: acc + x)
+    """Squared Euclidean distance to a fixed point."""
+    return _paired(arr, centre, lambda x, y: (x - y) * (x - y))
 
 
 def has_nonzero(arr: str | Column, strict: bool = False) -> Column:

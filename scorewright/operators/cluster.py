@@ -18,24 +18,25 @@ def stable_layout(df: DataFrame, key: str, num_partitions: int | None = None) ->
     """Range-partition and sort by a key so that seeded, partition-wise sampling (k-means||
     initialisation, random splits) sees the same rows in the same places on every run.
 
-    The partition count follows the data size (~128 MB per partition, from Catalyst's estimate),
-    not the session's shuffle setting, so the same input gives the same model on any cluster and
-    a small table is not cut into hundreds of near-empty partitions for every iteration."""
-    from scorewright.session import partitions_for
-
-    n = num_partitions or partitions_for(df)
+    The seed acts per layout: another ``num_partitions`` (default: the session's shuffle
+    partitions) may pick other initial centres and so give another, equally valid model.  The
+    count never depends on the data's size."""
+    n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return df.repartitionByRange(n, key).sortWithinPartitions(key)
 
 
 def fit_kmeans(df: DataFrame, features: str = "features", k: int = KMEANS_PARAMS["k"],
                seed: int = KMEANS_PARAMS["seed"], key: str | None = None, **params) -> KMeansModel:
-    """KMeans over a persisted input (the fit makes one pass per iteration)."""
-    data = stable_layout(df, key) if key else df
-    data = data.persist(StorageLevel.MEMORY_AND_DISK)
+    """KMeans over a persisted input (the fit makes one pass per iteration); a caller's own cache stays."""
+    own = bool(key) or not df.is_cached
+    data = stable_layout(df, key).select(features) if key else df
+    if own:
+        data = data.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         return KMeans(k=k, seed=seed, featuresCol=features, **params).fit(data)
     finally:
-        data.unpersist()
+        if own:
+            data.unpersist()
 
 
 def cluster_profile(df: DataFrame, columns: Sequence[str], prediction: str = "prediction",

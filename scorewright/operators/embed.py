@@ -20,6 +20,8 @@ from pyspark.sql.functions import pandas_udf
 Embedder = Callable[[np.ndarray], np.ndarray]
 FEATURES_TYPE = "struct<features: array<float>, error: string>"
 DEFAULT_GRID = 4
+SIZE = 224                      # pixels a side that the embedder sees
+EMBED_BATCH = 64                # pictures held at that size at a time
 
 
 def colour_grid(grid: int = DEFAULT_GRID) -> Embedder:
@@ -27,31 +29,68 @@ def colour_grid(grid: int = DEFAULT_GRID) -> Embedder:
 
     def embed(batch: np.ndarray) -> np.ndarray:
         n, s, _, _ = batch.shape
+        if s < grid:
+            raise ValueError(f"pictures of at least {grid} pixels a side expected, got {s}")
         x = batch.astype(np.float32) / 255.0
-        cells = x.reshape(n, grid, s // grid, grid, s // grid, 3).mean(axis=(2, 4)).reshape(n, -1)
+        cuts = np.arange(grid) * s // grid                # cells may differ by a pixel
+        size = np.diff(np.append(cuts, s)).astype(np.float32)
+        sums = np.add.reduceat(np.add.reduceat(x, cuts, axis=1), cuts, axis=2)
+        cells = (sums / (size[None, :, None, None] * size[None, None, :, None])).reshape(n, -1)
         return np.concatenate([cells, x.reshape(n, -1, 3).std(axis=1)], axis=1)
 
     return embed
 
 
 def _to_rgb(data, height: int, width: int, channels: int, size: int) -> np.ndarray:
-    """Spark image bytes (BGR or BGRA or gray, row-major) -> RGB ``size x size`` (nearest)."""
+    """Spark image bytes (BGR or BGRA or gray, row-major) -> RGB ``size x size`` (bilinear, pixel centres aligned)."""
     a = np.frombuffer(bytes(data), dtype=np.uint8).reshape(height, width, channels)
     if channels == 1:
         a = np.repeat(a, 3, axis=2)
     else:
         a = a[:, :, [2, 1, 0]]
-    ys = (np.arange(size) * height // size).clip(0, height - 1)
-    xs = (np.arange(size) * width // size).clip(0, width - 1)
-    return a[ys][:, xs]
-
-
-def image_features(df: DataFrame, image_col: str = "image", size: int = 32,
+    if (height, width) == (size, size):
+        return a
+
+    def places(n: int):
+        at = ((np.arange(size) + 0.5) * n / size - 0.5).clip(0, n - 1)
+        low = np.floor(at).astype(np.int64)
+        return low, np.minimum(low + 1, n - 1), (at - low).astype(np.float32)
+
+    (y0, y1, fy), (x0, x1, fx) = places(height), places(width)
+    rows = a[y0] * (1 - fy)[:, None, None] + a[y1] * fy[:, None, None]
+    out = rows[:, x0] * (1 - fx)[None, :, None] + rows[:, x1] * fx[None, :, None]
+    return np.round(out).astype(np.uint8)
+
+
+def _embed_into(embed: Embedder, places: list, imgs: list, feats: list, errors: list) -> None:
+    """Features of a batch; if it fails, picture by picture, so one bad picture costs only itself."""
+    try:
+        vecs = list(np.asarray(embed(np.stack(imgs)), dtype=np.float32))
+    except Exception:  # noqa: BLE001 - told apart below
+        vecs, first = [], None
+        for img in imgs:
+            try:
+                vecs.append(np.asarray(embed(img[None]), dtype=np.float32)[0])
+            except Exception as e:  # noqa: BLE001
+                vecs.append(e)
+                first = first or e
+        if len(imgs) > 1 and all(isinstance(v, Exception) for v in vecs):
+            raise RuntimeError(f"the embedder fails on every picture: {first}") from first
+    for i, v in zip(places, vecs):
+        if isinstance(v, Exception):
+            errors[i] = f"embedder failed: {v}"
+        else:
+            feats[i] = v.tolist()
+
+
+def image_features(df: DataFrame, image_col: str = "image", size: int = SIZE,
                    embedder_factory: Callable[[], Embedder] | None = None, out: str = "emb") -> DataFrame:
     """Add ``out struct<features array<float>, error string>``.
 
-    Undecodable images (height <= 0 or empty data) and embedder failures give a null feature
-    array and an error message instead of failing the task or inventing a zero vector.
+    Undecodable images (height <= 0 or empty data) and pictures the embedder fails on give a null
+    feature array and an error message instead of failing the task or inventing a zero vector.  An
+    embedder that fails on every picture of a batch of several fails the job.  The function counts as
+    non-deterministic, so the optimizer never runs it twice to push a filter below it.
     """
     from scorewright.session import ship_package
 
@@ -75,16 +114,13 @@ def image_features(df: DataFrame, image_col: str = "image", size: int = 32,
                     ok_idx.append(i)
                 except Exception as e:  # noqa: BLE001 - per-row error column
                     errors[i] = f"bad pixels: {e}"
+                if len(imgs) == EMBED_BATCH:
+                    _embed_into(embed, ok_idx, imgs, feats, errors)
+                    ok_idx, imgs = [], []
             if imgs:
-                try:
-                    vecs = np.asarray(embed(np.stack(imgs)), dtype=np.float32)
-                    for i, v in zip(ok_idx, vecs):
-                        feats[i] = v.tolist()
-                except Exception as e:  # noqa: BLE001
-                    for i in ok_idx:
-                        errors[i] = f"embedder failed: {e}"
+                _embed_into(embed, ok_idx, imgs, feats, errors)
             yield pd.DataFrame({"features": feats, "error": errors})
 
     img: Column = F.col(image_col)
-    return df.withColumn(out, featurize(F.struct(img["height"].alias("height"), img["width"].alias("width"),
+    return df.withColumn(out, featurize.asNondeterministic()(F.struct(img["height"].alias("height"), img["width"].alias("width"),
                                                  img["nChannels"].alias("nChannels"), img["data"].alias("data"))))

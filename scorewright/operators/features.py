@@ -11,13 +11,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import OneHotEncoder, StandardScaler, StringIndexer, StringIndexerModel, VectorAssembler
+from pyspark.ml.feature import OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.sql import DataFrame
 
 from scorewright.specs import TableSpec
 
-MAX_LABELS_PER_COLUMN = 100_000   # an indexer's labels live on the driver and ship with every task
-
 
 def idx_col(c: str) -> str:
     return f"{c}_idx"
@@ -64,16 +62,5 @@ def feature_stages(spec: TableSpec, output: str = "features", scale: str | None
     return stages
 
 
-def check_labels(model: PipelineModel | StringIndexerModel, limit: int = MAX_LABELS_PER_COLUMN):
-    """Raise if a fitted indexer holds more labels than ``limit`` for some column."""
-    models = model.stages if isinstance(model, PipelineModel) else [model]
-    for m in models:
-        if isinstance(m, StringIndexerModel):
-            for labels in m.labelsArray:
-                if len(labels) > limit:
-                    raise ValueError(f"categorical column with {len(labels)} distinct values (> {limit})")
-    return model
-
-
 def fit_features(df: DataFrame, spec: TableSpec, output: str = "features", scale: str | None = None) -> PipelineModel:
-    return check_labels(Pipeline(stages=feature_stages(spec, output, scale)).fit(df))
+    return Pipeline(stages=feature_stages(spec, output, scale)).fit(df)

@@ -17,6 +17,9 @@ from scorewright.functions.scalar import dot
 from scorewright.operators.rank import prefix_before_slice, range_slices
 
 
+BROADCAST_CLASSES = 10_000       # two numbers each
+
+
 def _col(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
@@ -110,11 +113,14 @@ def class_weight_table(df: DataFrame, label: str = "label", out: str = "classWei
 def with_class_weights(df: DataFrame, label: str = "label", out: str = "classWeight", default: float = 1.0) -> DataFrame:
     """Attach the balanced weight of each row's class (unknown class -> ``default``).
 
-    The per-class table is joined without a hint: adaptive execution sees its real size (one
-    row per class) and broadcasts it; the data itself is never shuffled by class, so a class
-    holding a third of the rows is no hot spot.
+    The per-class table is counted first and broadcast if it has at most ``BROADCAST_CLASSES``
+    rows: the data is then not shuffled by class, so a class holding a third of the rows is no hot
+    spot.  Beyond that many classes it is joined without a hint.
     """
     w = class_weight_table(df, label, "_w").select(F.col(label).alias("_wl"), "_w")
+    some = w.limit(BROADCAST_CLASSES + 1).toArrow()
+    if some.num_rows <= BROADCAST_CLASSES:
+        w = F.broadcast(df.sparkSession.createDataFrame(some, w.schema))
     return (df.join(w, F.col(label) == F.col("_wl"), "left")
             .withColumn(out, F.coalesce(F.col("_w"), F.lit(float(default))))
             .drop("_wl", "_w"))
@@ -145,20 +151,18 @@ def silhouette(df: DataFrame, features: str = "features", prediction: str = "pre
              .orderBy("_k").collect())
     if not stats:
         return df.sparkSession.createDataFrame([], "silhouette double")
+    if len(stats) == 1:
+        raise ValueError("silhouette needs at least two clusters")
     dists = []
     for r in stats:
         n = float(r["n"])
         xs = dot(F.col("_x"), [float(v) for v in r["s"].toArray()])
         dists.append((float(r["_k"]), n, F.col("_sq") + F.lit(float(r["sq"]) / n) - F.lit(2.0) * xs / F.lit(n)))
-    own_n = F.lit(None).cast("double")
-    own_d = F.lit(None).cast("double")
-    for k, n, dist in dists:
-        own_n = F.when(F.col("_k") == F.lit(k), F.lit(n)).otherwise(own_n)
-        own_d = F.when(F.col("_k") == F.lit(k), dist).otherwise(own_d)
-    other = F.lit(None).cast("double")
-    for k, _n, dist in dists:
-        cand = F.when(F.col("_k") != F.lit(k), dist)
-        other = F.least(other, cand) if other is not None else cand
+    # the k distances are one column, computed once per point
+    ids, sizes = F.array(*[F.lit(k) for k, _, _ in dists]), F.array(*[F.lit(n) for _, n, _ in dists])
+    pts = pts.withColumn("_at", F.array_position(ids, F.col("_k")).cast("int")).withColumn("_d", F.array(*[d for _, _, d in dists]))
+    own_n, own_d = F.element_at(sizes, F.col("_at")), F.element_at("_d", F.col("_at"))
+    other = F.array_min(F.filter("_d", lambda d, i: i + 1 != F.col("_at")))
     a = own_d * own_n / (own_n - F.lit(1.0))
     s_point = (F.when(own_n == 1.0, F.lit(0.0))
                .when(a < other, F.lit(1.0) - a / other)

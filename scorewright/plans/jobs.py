@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from scorewright.operators.clean import clean_blank_drop, clean_blank_zero
 from scorewright.operators.cluster import cluster_profile, fit_kmeans
-from scorewright.operators.embed import Embedder, image_features
+from scorewright.operators.embed import SIZE, Embedder, image_features
 from scorewright.operators.features import feature_stages, indexer
 from scorewright.operators.metrics import accuracy, prediction_counts, silhouette, with_class_weights
 from scorewright.operators.models import classifier, compare_models, evaluate, fit_pipeline, report_table
@@ -100,10 +100,10 @@ def score_rows(spark: SparkSession, records: Sequence[dict], model: str | Pipeli
 # ---------------------------------------------------------------- clustering
 def cluster_customers(spark: SparkSession, df: DataFrame, spec: TableSpec, k: int = 5, seed: int = 42,
                       scale: str = "std", key: str | None = None, model_path: str | None = None,
-                      plot_path: str | None = None, plot_columns: Sequence[str] = (),
+                      plot_path: str | None = None, plot_columns: Sequence[str] = (), plot_fraction: float | None = 0.1,
                       profile_columns: Sequence[str] = ()) -> dict:
     """Encode (+ scale), k-means, per-cluster means, silhouette, save (fails if the path exists),
-    and a 10% sample of two columns + cluster id for plotting, written as parquet."""
+    and two columns + cluster id for plotting (a sample of ``plot_fraction``; None: all rows), as parquet."""
     from pyspark.ml import Pipeline
 
     fm = Pipeline(stages=feature_stages(spec, "features", scale)).fit(df)
@@ -116,29 +116,34 @@ def cluster_customers(spark: SparkSession, df: DataFrame, spec: TableSpec, k: in
            "profile": cluster_profile(preds, list(profile_columns or spec.numeric)),
            "silhouette": silhouette(preds, "features", "prediction")}
     if plot_path and plot_columns:
-        sample_rows(preds.select(*plot_columns, "prediction"), 0.1, seed).write.mode("overwrite").parquet(plot_path)
+        points = preds.select(*plot_columns, "prediction")
+        points = points if plot_fraction is None else sample_rows(points, plot_fraction, seed)
+        points.write.mode("overwrite").parquet(plot_path)
     return out
 
 
 # ---------------------------------------------------------------- images
-def image_training_set(spark: SparkSession, image_glob: str, size: int = 32,
+def image_training_set(spark: SparkSession, image_glob: str, size: int = SIZE,
                        embedder_factory: Callable[[], Embedder] | None = None) -> DataFrame:
-    """Image rows -> (origin, label from the folder, features vector); failed images dropped."""
+    """Image rows -> (origin, label from the folder, features vector); failed images dropped.
+
+    Features are written once to the work folder and read from there, so each image is embedded once
+    however often the fit and the caller read the result."""
     imgs = with_path_label(read_images(spark, image_glob))
     feats = image_features(imgs, "image", size, embedder_factory)
-    ok = feats.filter(F.col("emb.features").isNotNull())
-    return ok.select(F.col("image.origin").alias("origin"), "label",
-                     array_to_vector(F.col("emb.features").cast("array<double>")).alias("features_vec"))
+    path = work_path(spark, "stage", f"features-{uuid.uuid4().hex}")
+    feats.select(F.col("image.origin").alias("origin"), "label", F.col("emb.features").alias("features")).write.parquet(path)
+    ok = spark.read.parquet(path).filter(F.col("features").isNotNull())
+    return ok.select("origin", "label", array_to_vector(F.col("features").cast("array<double>")).alias("features_vec"))
 
 
 def train_image_lr(spark: SparkSession, image_glob: str, model_dir: str | None = None,
                    labels_dir: str | None = None, metrics_dir: str | None = None, weighted: bool = False,
-                   size: int = 32, embedder_factory: Callable[[], Embedder] | None = None) -> dict:
+                   size: int = SIZE, embedder_factory: Callable[[], Embedder] | None = None) -> dict:
     """Embed, index labels (fail on unseen), optional balanced class weights, 80/20 split on the
     file path, logistic regression, test accuracy; write metrics JSON, label map JSON, model."""
-    data = image_training_set(spark, image_glob, size, embedder_factory).persist(StorageLevel.MEMORY_AND_DISK)
+    data = image_training_set(spark, image_glob, size, embedder_factory)
     if data.isEmpty():
-        data.unpersist()
         raise ValueError("no valid data left after feature extraction")
     ix = indexer(["label"], handle_invalid="error").fit(data)
     d = ix.transform(data).withColumnRenamed("label_idx", "labelIndex")
@@ -159,21 +164,21 @@ def train_image_lr(spark: SparkSession, image_glob: str, model_dir: str | None =
         write_label_map(spark, labels, labels_dir)
     if model_dir:
         save_model(model, model_dir, overwrite=True)
-    data.unpersist()
     return {"model": model, "labels": labels, "metrics": metrics, "predictions": preds}
 
 
 def score_zip(spark: SparkSession, zip_path: str, lr_model: str | LogisticRegressionModel, labels_path: str,
               out_dir: str | None = None, slices: int | None = None, stage_dir: str | None = None,
-              size: int = 32, embedder_factory: Callable[[], Embedder] | None = None) -> DataFrame:
+              size: int = SIZE, embedder_factory: Callable[[], Embedder] | None = None, single_file: bool = True) -> DataFrame:
     """Classify every image member of one or more ZIP archives with a binary logistic model.
 
     archive listing -> central-directory UDTF (extension filter, directories skipped; none -> error)
-    -> members spread over tasks and staged as files -> image source -> ``repartition(slices)``
-    (default: one slice per 32 members) -> batched embedder
+    -> members spread over tasks and staged as files -> image source (Spark packs files into
+    partitions by their sizes; ``slices`` sets another number) -> batched embedder
     -> ``w.x + b``, sigmoid, ``p >= 0.5`` -> label map (fallback: the index as text).  A member that
-    cannot be decoded or embedded becomes ``(name, ERROR, 0.0)``.  Output ``filename, label,
-    confidence`` (p of class 1); with ``out_dir`` also written as exactly one ``preds.csv``.
+    cannot be decoded or embedded becomes ``(name, ERROR, 0.0)``.  Output ``archive, filename, label,
+    confidence`` (p of class 1); with ``out_dir`` ``filename, label, confidence`` is also written, as
+    exactly one ``preds.csv`` or, with ``single_file=False``, as distributed CSV with the archive.
     """
     lr = LogisticRegressionModel.load(lr_model) if isinstance(lr_model, str) else lr_model
     if lr.numClasses != 2:
@@ -185,11 +190,10 @@ def score_zip(spark: SparkSession, zip_path: str, lr_model: str | LogisticRegres
     members = zip_members(spark, zip_path)
     stage_members(members, f"{stage}/files").write.mode("overwrite").parquet(f"{stage}/manifest")
     manifest = spark.read.parquet(f"{stage}/manifest")
-    n = slices or max(1, manifest.count() // 32)
 
     imgs = read_images(spark, f"{stage}/files").withColumn(
         "staged", F.element_at(F.split(F.col("image.origin"), "/"), -1))
-    feats = image_features(imgs.repartition(n), "image", size, embedder_factory)
+    feats = image_features(imgs.repartition(slices) if slices else imgs, "image", size, embedder_factory)
     feats = feats.select("staged", F.col("emb.features").cast("array<double>").alias("features"))
     # a null feature array scores to a null prediction, which finds no label: the row fails
     scored = linear_score(feats, "features", w, b, tie="high", confidence="positive")
@@ -197,9 +201,12 @@ def score_zip(spark: SparkSession, zip_path: str, lr_model: str | LogisticRegres
     rows = manifest.join(scored, "staged", "left")
     failed = F.col("label_name").isNull()
     preds = rows.select(
-        F.col("name").alias("filename"),
+        F.element_at(F.split("archive", "/"), -1).alias("archive"), F.col("name").alias("filename"),
         F.when(failed, F.lit(ERROR_LABEL)).otherwise(F.col("label_name")).alias("label"),
         F.when(failed, F.lit(0.0)).otherwise(F.col("confidence")).alias("confidence"))
     if out_dir:
-        write_single_csv(spark, preds, out_dir, "preds.csv")
+        if single_file:
+            write_single_csv(spark, preds.drop("archive"), out_dir, "preds.csv")
+        else:
+            write_csv(preds, out_dir)
     return preds

@@ -554,7 +554,7 @@ FROM embeddings"""
 
 @sql("scan_images")
 def _scan_images() -> str:
-    side = "CAST(floor(sqrt(len(embedding))) AS INTEGER)"
+    side = "CAST(ceil(sqrt(len(embedding))) AS INTEGER)"
     return f"""SELECT vec_id, CASE WHEN label < 5 THEN 'cat' ELSE 'dog' END AS label,
        CASE WHEN {_corrupt_sql()} THEN -1 ELSE {side} END AS height,
        CASE WHEN {_corrupt_sql()} THEN -1 ELSE {side} END AS width,
@@ -583,3 +583,33 @@ def _plot_sample_keyed() -> str:
     return f"""WITH {_assigned_cte()}
 SELECT custkey, medium, standard, prediction FROM assigned
 WHERE substr(md5('sample42:' || CAST(custkey AS VARCHAR)), 1, 4) < '{threshold_hex(0.1)}'"""
+
+
+# ---------------------------------------------------------------- what must hold of any fitted model
+def _is_test(key: str) -> str:
+    return f"substr(md5('42:' || CAST({key} AS VARCHAR)), 1, 4) >= 'cccd'"
+
+
+def _yes(*names: str) -> str:
+    return ", ".join(f"TRUE AS {n}" for n in names)
+
+
+for _name in ("train_churn_rf", "train_churn_gbt", "train_churn_lr"):
+    ORACLE[_name] = f"""WITH {CHURN_CTE}
+SELECT customerID, CASE WHEN churn = 'Yes' THEN 1 ELSE 0 END AS label, {_yes("probability_ok", "rule_ok")}
+FROM churn WHERE NOT ({TEN}) AND {_is_test("customerID")}"""
+
+for _name in ("train_embedding_lr", "train_embedding_lr_weighted"):
+    ORACLE[_name] = f"""WITH f AS (SELECT label, count(*) AS n FROM embeddings GROUP BY label),
+i AS (SELECT label, CAST(row_number() OVER (ORDER BY n DESC, 'class_' || CAST(label AS VARCHAR)) - 1 AS INTEGER) AS labelIndex FROM f)
+SELECT vec_id, labelIndex, {_yes("confidence_ok", "prediction_ok")} FROM embeddings JOIN i USING (label) WHERE {_is_test("vec_id")}"""
+
+ORACLE["score_saved_model"] = f"""WITH {CHURN_CTE} SELECT customerID AS id, {_yes("same_as_unsaved", "answered")} FROM churn"""
+ORACLE["cluster_customers"] = f"WITH {_wholesale_cte()} SELECT custkey, {_yes('is_nearest', 'in_range')} FROM wholesale"
+ORACLE["sweep_k"] = f"SELECT CAST(k AS INTEGER) AS k, {_yes('silhouette_ok', 'cost_ok')} FROM range(3, 9) AS t(k)"
+for _name in ("compare_models", "sink_comparison_csv"):
+    ORACLE[_name] = f"""SELECT unnest(['Random Forest', 'Gradient Boosted Tree', 'Logistic Regression']) AS Model,
+{_yes("AUC_ok", "Accuracy_ok", "Precision_ok", "Recall_ok", "F1_ok", "TrainTime_ok")}"""
+ORACLE["score_zip"] = f"SELECT {_member_name_sql()} AS filename, {_corrupt_sql()} AS failed, TRUE AS answer_ok FROM embeddings"
+ORACLE["wholesale_plot_all"] = f"""WITH {_assigned_cte()}
+SELECT custkey, medium, standard, prediction FROM assigned"""

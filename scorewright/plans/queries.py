@@ -127,12 +127,8 @@ def q_compare_metrics(spark, sf_dir):
 
 @register("stack_predictions")
 def q_stack_predictions(spark, sf_dir):
-    from scorewright.operators.stack import stack_predictions
-    from scorewright.plans.fixed import CHURN_ALT_RULES
-
-    outs = {name: churn_scored(spark, sf_dir, w, b).select("customerID", "prediction")
-            for name, (w, b) in CHURN_ALT_RULES.items()}
-    return stack_predictions(outs).groupBy("model", "prediction").agg(F.count(F.lit(1)).alias("n"))
+    """Rows per (rule, prediction): the stacked outputs share one scan and one indexer fit."""
+    return _rules_stacked(spark, sf_dir).groupBy("model", "prediction").agg(F.count(F.lit(1)).alias("n"))
 
 
 @register("decision_text")
@@ -299,7 +295,9 @@ def _emb(spark, sf_dir) -> DataFrame:
 def _emb_scored(spark, sf_dir) -> DataFrame:
     from scorewright.plans.fixed import EMBED_INTERCEPT, embed_weights
     e = _emb(spark, sf_dir)
-    dim = len(e.select("embedding").first()[0])
+    low, dim = e.agg(F.min(F.size("embedding")), F.max(F.size("embedding"))).first()
+    if low != dim:
+        raise ValueError(f"embeddings of lengths {low} to {dim}: one length expected")
     return linear_score(e, "embedding", embed_weights(dim), EMBED_INTERCEPT)
 
 
@@ -358,7 +356,7 @@ def _label_map_path(spark, sf_dir) -> str:
     from scorewright.operators.features import indexer
     from scorewright.session import stage_key, work_path
     from scorewright.sinks import fs, write_label_map
-    path = work_path(spark, "stage", f"label_map-{stage_key(sf_dir)}")
+    path = work_path(spark, "stage", f"label_map-{stage_key(spark, sf_dir)}")
 
     def write(tmp):
         m = indexer(["class_name"], handle_invalid="error").fit(_emb(spark, sf_dir))
@@ -380,7 +378,7 @@ def q_label_map(spark, sf_dir):
 def _stage_text(spark, sf_dir, name: str, text_df_fn) -> str:
     from scorewright.session import stage_key, work_path
     from scorewright.sinks import fs
-    path = work_path(spark, "stage", f"{name}-{stage_key(sf_dir)}")
+    path = work_path(spark, "stage", f"{name}-{stage_key(spark, sf_dir)}")
     return fs.stage_once(spark, path, lambda tmp: text_df_fn().repartition(1).write.text(tmp))
 
 
@@ -509,18 +507,32 @@ def q_silhouette(spark, sf_dir):
     return silhouette(_assigned(spark, sf_dir)).select(F.round("silhouette", 6).alias("silhouette"))
 
 
-@register("cluster_customers")
-def q_cluster_customers(spark, sf_dir):
+def _fitted_clusters(spark, sf_dir) -> DataFrame:
     from scorewright.operators.cluster import fit_kmeans
+    from scorewright.operators.scoring import assign_cluster
     s = _wholesale_scaled(spark, sf_dir)
     m = fit_kmeans(s, key="custkey")
-    return m.transform(s).select("custkey", "prediction")
+    centres = [[float(v) for v in c] for c in m.clusterCenters()]
+    return assign_cluster(m.transform(s), "features", centres, "nearest")
+
+
+@register("cluster_customers")
+def q_cluster_customers(spark, sf_dir):
+    """Every customer's cluster by the fitted model, and whether it is the nearest fitted centre."""
+    return _fitted_clusters(spark, sf_dir).select("custkey", (F.col("prediction") == F.col("nearest")).alias("is_nearest"),
+                                                  F.col("prediction").between(0, 4).alias("in_range"))
 
 
 @register("sweep_k")
 def q_sweep_k(spark, sf_dir):
     from scorewright.operators.cluster import sweep_k
-    return sweep_k(_wholesale_scaled(spark, sf_dir), key="custkey").select("k", "silhouette", "cost")
+    """One fit per k, with what must hold of any: a silhouette in [-1, 1], and less cost than one cluster has."""
+    from scorewright.specs import WHOLESALE_STANDIN_COLUMNS as W
+    s = _wholesale_scaled(spark, sf_dir)
+    # scaled columns have variance 1, so one cluster costs (n - 1) per column
+    one = (s.count() - 1) * len(W)
+    t = sweep_k(s, key="custkey")
+    return t.select("k", F.col("silhouette").between(-1, 1).alias("silhouette_ok"), ((F.col("cost") > 0) & (F.col("cost") < one)).alias("cost_ok"))
 
 
 @register("cluster_plot_sample")
@@ -545,23 +557,29 @@ def _train_churn(spark, sf_dir, kind: str, **params) -> DataFrame:
     from scorewright.operators.models import classifier, fit_pipeline, positive_probability
     train, test = _churn_train_test(spark, sf_dir)
     m = fit_pipeline(train, CHURN, classifier(kind, **params))
-    out = positive_probability(m.transform(test))
-    return out.select("customerID", "label", "prediction", F.round("p1", 6).alias("p1"))
+    return positive_probability(m.transform(test))
+
+
+def _checked_churn(spark, sf_dir, kind: str, **params) -> DataFrame:
+    """The test customers with their labels, and what must hold of any fitted model's answer for them."""
+    return _train_churn(spark, sf_dir, kind, **params).select(
+        "customerID", "label", F.col("p1").between(0, 1).alias("probability_ok"),
+        (F.col("prediction") == (F.col("p1") > 0.5).cast("double")).alias("rule_ok"))
 
 
 @register("train_churn_rf")
 def q_train_churn_rf(spark, sf_dir):
-    return _train_churn(spark, sf_dir, "rf", seed=42)
+    return _checked_churn(spark, sf_dir, "rf", seed=42)
 
 
 @register("train_churn_gbt")
 def q_train_churn_gbt(spark, sf_dir):
-    return _train_churn(spark, sf_dir, "gbt", seed=42)
+    return _checked_churn(spark, sf_dir, "gbt", seed=42)
 
 
 @register("train_churn_lr")
 def q_train_churn_lr(spark, sf_dir):
-    return _train_churn(spark, sf_dir, "lr")
+    return _checked_churn(spark, sf_dir, "lr")
 
 
 def _compare(spark, sf_dir):
@@ -575,10 +593,17 @@ def _compare(spark, sf_dir):
     return table
 
 
+def _checked_report(report: DataFrame) -> DataFrame:
+    """The candidates, and whether each measure is in its range and rounded as printed."""
+    measures = ["AUC", "Accuracy", "Precision", "Recall", "F1"]
+    ok = [F.col(m).between(0, 1) & (F.round(m, 4) == F.col(m)) for m in measures] + [F.col("`TrainTime(s)`") > 0]
+    return report.select("Model", *[c.alias(f"{n}_ok") for n, c in zip([*measures, "TrainTime"], ok)])
+
+
 @register("compare_models")
 def q_compare_models(spark, sf_dir):
     from scorewright.operators.models import report_table
-    return report_table(_compare(spark, sf_dir))
+    return _checked_report(report_table(_compare(spark, sf_dir)))
 
 
 @register("sink_comparison_csv")
@@ -587,22 +612,26 @@ def q_sink_comparison_csv(spark, sf_dir):
     from scorewright.sinks import write_single_csv
     out = _sink_dir(spark, "comparison")
     path = write_single_csv(spark, report_table(_compare(spark, sf_dir)), out, "model_comparison.csv")
-    return spark.read.option("header", True).option("inferSchema", True).csv(path)
+    return _checked_report(spark.read.option("header", True).option("inferSchema", True).csv(path))
 
 
 @register("score_saved_model")
 def q_score_saved_model(spark, sf_dir):
-    """Fit, save (overwrite), load, and score the whole cleaned table with the loaded model."""
+    """Fit, save (overwrite), load, and score the whole cleaned table with the loaded model: the same scores as unsaved."""
     from pyspark.ml import PipelineModel
+    from pyspark.ml.functions import vector_to_array
 
     from scorewright.operators.models import classifier, fit_pipeline
     from scorewright.sinks import save_model
     train, _ = _churn_train_test(spark, sf_dir)
-    path = save_model(fit_pipeline(train, CHURN, classifier("rf", seed=42)), _sink_dir(spark, "model_rf"))
-    loaded = PipelineModel.load(path)
+    model = fit_pipeline(train, CHURN, classifier("rf", seed=42))
+    loaded = PipelineModel.load(save_model(model, _sink_dir(spark, "model_rf")))
     df = clean_blank_zero(_churn_strings(spark, sf_dir), CHURN)
-    return loaded.transform(df).select(F.col("customerID").alias("id"),
-                                       F.when(F.col("prediction") == 1.0, "yes").otherwise("no").alias("churn"))
+    p = vector_to_array("probability")
+    before = model.transform(df).select(F.col("customerID").alias("_id"), p.alias("_p"))
+    after = loaded.transform(df).select(F.col("customerID").alias("id"), p.alias("p"), "prediction")
+    return after.join(before, F.col("id") == F.col("_id")).select(
+        "id", (F.col("p") == F.col("_p")).alias("same_as_unsaved"), F.col("prediction").isin(0.0, 1.0).alias("answered"))
 
 
 def _emb_train_test(spark, sf_dir, weighted: bool):
@@ -632,18 +661,25 @@ def _train_emb(spark, sf_dir, weighted: bool) -> DataFrame:
         lr = LogisticRegression(featuresCol="features_vec", labelCol="labelIndex", **LR_EMBEDDING_PARAMS)
     m = lr.fit(train)
     out = m.transform(test)
-    return out.select("vec_id", "labelIndex", "prediction",
-                      F.round(model_confidence("probability", "prediction"), 6).alias("confidence"))
+    return out.select("vec_id", F.col("labelIndex").cast("int").alias("labelIndex"), "prediction",
+                      model_confidence("probability", "prediction").alias("confidence"))
+
+
+def _checked_emb(spark, sf_dir, weighted: bool) -> DataFrame:
+    """The test vectors with their label indexes, and what must hold of any fitted model's answer for them."""
+    return _train_emb(spark, sf_dir, weighted).select(
+        "vec_id", "labelIndex", (F.col("confidence").between(0, 1) & (F.col("confidence") > 0)).alias("confidence_ok"),
+        ((F.col("prediction") >= 0) & (F.col("prediction") == F.floor("prediction"))).alias("prediction_ok"))
 
 
 @register("train_embedding_lr")
 def q_train_embedding_lr(spark, sf_dir):
-    return _train_emb(spark, sf_dir, weighted=False)
+    return _checked_emb(spark, sf_dir, weighted=False)
 
 
 @register("train_embedding_lr_weighted")
 def q_train_embedding_lr_weighted(spark, sf_dir):
-    return _train_emb(spark, sf_dir, weighted=True)
+    return _checked_emb(spark, sf_dir, weighted=True)
 
 
 # ---------------------------------------------------------------- images
@@ -685,7 +721,7 @@ def _pet_model(spark, sf_dir) -> tuple[str, str]:
     from scorewright.session import stage_key, work_path
     from scorewright.sinks import fs
     from scorewright.sources.tables import pet_image_dir
-    root = work_path(spark, "stage", f"pet_model-{stage_key(sf_dir)}")
+    root = work_path(spark, "stage", f"pet_model-{stage_key(spark, sf_dir)}")
 
     def write(tmp):
         train_image_lr(spark, pet_image_dir(spark, sf_dir) + "/*", f"{tmp}/model", f"{tmp}/labels")
@@ -714,7 +750,10 @@ def _score_zip(spark, sf_dir) -> DataFrame:
 
 @register("score_zip")
 def q_score_zip(spark, sf_dir):
-    return _score_zip(spark, sf_dir)
+    """Every image member, whether it failed, and whether its label and confidence are of the right kind."""
+    failed = F.col("label") == "ERROR"
+    fine = F.when(failed, F.col("confidence") == 0.0).otherwise(F.col("label").isin("cat", "dog") & F.col("confidence").between(0, 1))
+    return _score_zip(spark, sf_dir).select("filename", failed.alias("failed"), fine.alias("answer_ok"))
 
 
 @register("error_rows")
@@ -729,6 +768,14 @@ def q_wholesale_spend(spark, sf_dir):
     return wholesale_table(spark, sf_dir)
 
 
+@register("wholesale_plot_all")
+def q_wholesale_plot_all(spark, sf_dir):
+    """Plot data of the wholesale job: two spend columns + cluster of all customers, read back from its file."""
+    path = _sink_dir(spark, "plot")
+    _assigned(spark, sf_dir).select("custkey", "medium", "standard", "prediction").write.parquet(path)
+    return spark.read.parquet(path)
+
+
 @register("plot_sample_keyed")
 def q_plot_sample_keyed(spark, sf_dir):
     """Plot data (two spend columns + cluster) for a reproducible 10% of customers: the keyed form

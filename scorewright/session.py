@@ -48,6 +48,8 @@ def checkpoint_root(spark: SparkSession) -> str:
         conf_dir = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
         if conf_dir:
             sc.setCheckpointDir(conf_dir)
+        elif not sc.master.startswith("local[") and sc.master != "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         else:
             sc.setCheckpointDir(tempfile.mkdtemp(prefix=f"{_PKG}-ckpt-", dir=os.environ.get("TMPDIR", "/tmp")))
         current = sc.getCheckpointDir()
@@ -62,11 +64,15 @@ def work_path(spark: SparkSession, *parts: str) -> str:
     return "/".join([base, _PKG, *parts])
 
 
-STAGE_VERSION = "3"   # bump when the rules that derive staged inputs change
+STAGE_VERSION = "4"   # bump when the rules that derive staged inputs change
 
 
-def stage_key(*parts: str) -> str:
-    return hashlib.sha1("|".join([STAGE_VERSION, *parts]).encode()).hexdigest()[:12]
+def stage_key(spark: SparkSession, folder: str) -> str:
+    """Key of what is derived from ``folder``: its path and the names, lengths and modification times
+    of its files (a table may be a file or a folder of files), so replaced tables are derived anew."""
+    from scorewright.sinks.fs import file_states
+
+    return hashlib.sha1("|".join([STAGE_VERSION, folder.rstrip("/"), *file_states(spark, folder)]).encode()).hexdigest()[:12]
 
 
 _SHIPPED: set[str] = set()
@@ -104,21 +110,3 @@ def ship_package(spark: SparkSession) -> None:
         out.close()
     sc.addPyFile(target)
     _SHIPPED.add(sc.applicationId)
-
-
-def estimated_bytes(df) -> int | None:
-    """Catalyst's size estimate of a DataFrame's plan (no job runs); None when unknown."""
-    try:
-        raw = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-        size = int(raw if isinstance(raw, int) else raw.toString())
-    except Exception:  # noqa: BLE001 - an estimate is optional
-        return None
-    return size if size < (1 << 62) else None
-
-
-def partitions_for(df, bytes_per_partition: int = 128 * 1024 * 1024) -> int:
-    """Partition count sized to the data (~128 MB each); the shuffle setting when unknown."""
-    size = estimated_bytes(df)
-    if size is None:
-        return max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")))
-    return max(1, -(-size // bytes_per_partition))

@@ -26,23 +26,21 @@ def write_csv(df: DataFrame, path: str, header: bool = True, mode: str = "overwr
     return path
 
 
-def write_single_csv(spark: SparkSession, df: DataFrame, out_dir: str, filename: str = "preds.csv",
-                     header: bool = True) -> str:
-    """Exactly one CSV file ``<out_dir>/<filename>`` with a header, replacing an existing one.
+def write_single_csv(spark: SparkSession, df: DataFrame, out_dir: str, filename: str, header: bool = True) -> str:
+    """All rows in the one file ``<out_dir>/<filename>``, an existing one replaced (for readers that
+    take a single file; ``write_csv`` is the writer for results of any size).
 
-    Rows are written by one task (after a shuffle, so the work before it stays parallel) to a
-    temporary folder beside the target, then the part file is renamed through the Hadoop
-    FileSystem.  Values containing commas or quotes are quoted by the CSV writer.
+    Spark writes one part file into a scratch folder beside the target, which then takes its name.
     """
-    tmp = f"{out_dir.rstrip('/')}/_tmp_{uuid.uuid4().hex}"
-    df.repartition(1).write.mode("overwrite").option("header", header).csv(tmp)
-    parts = [n for n in fs.list_names(spark, tmp) if n.startswith("part-")]
-    if not parts:
-        raise RuntimeError("No part file generated.")
-    dest = f"{out_dir.rstrip('/')}/{filename}"
-    fs.rename(spark, f"{tmp}/{parts[0]}", dest)
-    fs.delete(spark, tmp)
-    return dest
+    folder = out_dir.rstrip("/")
+    scratch, target = f"{folder}/.one-file-{uuid.uuid4().hex}", f"{folder}/{filename}"
+    try:
+        df.repartition(1).write.csv(scratch, header=header)
+        part = next(n for n in fs.list_names(spark, scratch) if n.endswith(".csv"))
+        fs.rename(spark, f"{scratch}/{part}", target)
+    finally:
+        fs.delete(spark, scratch)
+    return target
 
 
 def write_label_map(spark: SparkSession, labels: Sequence[str], path: str) -> str:

@@ -35,6 +35,22 @@ def list_names(spark: SparkSession, path: str) -> list[str]:
     return [s.getPath().getName() for s in fs.listStatus(p)]
 
 
+def file_states(spark: SparkSession, path: str) -> list[str]:
+    """``name:length:modified`` of the files in a folder and in its sub-folders' first level, sorted."""
+    fs, p = _fs_and_path(spark, path)
+    out = []
+    for s in fs.listStatus(p) if fs.exists(p) else []:
+        inner = fs.listStatus(s.getPath()) if s.isDirectory() else [s]
+        out += [f"{s.getPath().getName()}/{f.getPath().getName()}:{f.getLen()}:{f.getModificationTime()}" for f in inner]
+    return sorted(out)
+
+
+def qualified(spark: SparkSession, path: str) -> str:
+    """The path with scheme and authority, as the cluster's Hadoop configuration resolves it."""
+    fs, p = _fs_and_path(spark, path)
+    return fs.makeQualified(p).toString()
+
+
 def rename(spark: SparkSession, src: str, dst: str) -> None:
     fs, s = _fs_and_path(spark, src)
     d = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(dst)

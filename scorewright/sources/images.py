@@ -23,8 +23,6 @@ from pyspark.sql.functions import udtf
 from scorewright.functions.scalar import file_extension, parent_dir
 from scorewright.specs import IMAGE_EXTENSIONS
 
-MAX_MEMBER_BYTES = 256 * 1024 * 1024   # larger members become error rows instead of task OOMs
-
 
 class NoImagesError(RuntimeError):
     pass
@@ -102,13 +100,22 @@ def _filesystem(path: str):
     from pyarrow import fs as pafs
 
     if "://" in path and not path.startswith("file://"):
-        return pafs.FileSystem.from_uri(path)
+        scheme, rest = path.split("://", 1)
+        return pafs.FileSystem.from_uri(f"{'s3' if scheme in ('s3a', 's3n') else scheme}://{rest}")
     return pafs.LocalFileSystem(), local_path(path)
 
 
 def write_bytes(path: str, data: bytes) -> None:
-    """Write a whole file from a task: to a unique temporary name, then move it into place, so a
-    retried or speculative attempt never leaves a half-written file under the final name."""
+    import io
+
+    write_stream(path, io.BytesIO(data))
+
+
+def write_stream(path: str, source) -> None:
+    """Write a file from a task, copying ``source`` in pieces (any size, little memory): to a unique
+    temporary name, then move it into place, so a retried or speculative attempt never leaves a
+    half-written file under the final name."""
+    import shutil
     import uuid
 
     fs, p = _filesystem(path)
@@ -116,7 +123,7 @@ def write_bytes(path: str, data: bytes) -> None:
     fs.create_dir(parent, recursive=True)
     tmp = f"{parent}/.{p.rsplit('/', 1)[-1]}.{uuid.uuid4().hex}.tmp"
     with fs.open_output_stream(tmp) as f:
-        f.write(data)
+        shutil.copyfileobj(source, f, 1 << 20)
     fs.move(tmp, p)
 
 
@@ -132,18 +139,18 @@ def stage_members(members: DataFrame, stage_dir: str, num_partitions: int | None
 
     Member rows are hash-partitioned on (archive, name) first (one share per core unless
     ``num_partitions`` is given), so the members of one huge archive are extracted by many tasks; each task opens an archive once per batch and reads
-    only its members (random access).  A member larger than ``MAX_MEMBER_BYTES`` or one that
-    does not inflate becomes an error row."""
+    only its members (random access), copied in pieces.  A member that does not inflate becomes an error row."""
     from scorewright.session import ship_package
+    from scorewright.sinks.fs import qualified
 
     ship_package(members.sparkSession)
-    stage_dir = stage_dir.rstrip("/")
+    stage_dir = qualified(members.sparkSession, stage_dir.rstrip("/"))
     n = num_partitions or members.sparkSession.sparkContext.defaultParallelism   # one share per core
     spread = members.repartition(n, "archive", "name")
 
     def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            archives, names, sizes = list(b["archive"]), list(b["name"]), list(b["size"])
+            archives, names = list(b["archive"]), list(b["name"])
             staged, errors = [None] * len(b), list(b["error"])
             for archive, rows in b.groupby("archive", sort=False).indices.items():
                 try:
@@ -158,16 +165,13 @@ def stage_members(members: DataFrame, stage_dir: str, num_partitions: int | None
                     for i in rows:
                         if names[i] is None or errors[i]:
                             continue
-                        if sizes[i] is not None and sizes[i] > MAX_MEMBER_BYTES:
-                            errors[i] = "member too large"
-                            continue
+                        fname = staged_name(archives[i], names[i])
                         try:
-                            body = zf.read(names[i])
-                        except Exception as e:  # noqa: BLE001
+                            with zf.open(names[i]) as body:
+                                write_stream(f"{stage_dir}/{fname}", body)
+                        except (zipfile.BadZipFile, zlib.error, KeyError, EOFError, NotImplementedError, RuntimeError) as e:
                             errors[i] = f"unreadable member: {e}"
                             continue
-                        fname = staged_name(archives[i], names[i])
-                        write_bytes(f"{stage_dir}/{fname}", body)
                         staged[i] = fname
             yield pd.DataFrame({"archive": archives, "name": names, "staged": staged, "error": errors})
 

@@ -111,7 +111,7 @@ def churn_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def churn_csv_path(spark: SparkSession, sf_dir: str) -> str:
     """Write ``churn_text`` once per input folder as CSV under the shared work folder; return the path."""
-    path = work_path(spark, "stage", f"churn_csv-{stage_key(sf_dir)}")
+    path = work_path(spark, "stage", f"churn_csv-{stage_key(spark, sf_dir)}")
     return fs.stage_once(spark, path, lambda tmp: (
         churn_text(spark, sf_dir).write.mode("overwrite")
         .option("header", True)
@@ -145,7 +145,7 @@ def wholesale_path(spark: SparkSession, sf_dir: str) -> str:
     """``wholesale_table`` written once per input folder as parquet (the wholesale CSV's role):
     the three-way join and pivot run once, and the multi-pass clustering steps (scaler fit,
     k-means iterations, silhouette statistics) read the small per-customer table."""
-    path = work_path(spark, "stage", f"wholesale-{stage_key(sf_dir)}")
+    path = work_path(spark, "stage", f"wholesale-{stage_key(spark, sf_dir)}")
     return fs.stage_once(spark, path, lambda tmp: wholesale_table(spark, sf_dir).write.parquet(tmp))
 
 
@@ -176,8 +176,8 @@ def _pixels(vec, label: int):
     import numpy as np
 
     v = np.clip(np.round(128 + 400 * np.asarray(vec, dtype=np.float64)), 0, 255).astype(np.uint8)
-    side = int(np.sqrt(len(v)))
-    v = v[: side * side].reshape(side, side)
+    side = int(np.ceil(np.sqrt(len(v))))
+    v = np.pad(v, (0, side * side - len(v))).reshape(side, side)
     blue = np.full_like(v, 64 if label < 5 else 192)
     return np.stack([v, 255 - v, blue], axis=2)
 
@@ -197,7 +197,7 @@ def pet_image_dir(spark: SparkSession, sf_dir: str) -> str:
     from scorewright.session import ship_package
     from scorewright.sources.images import write_bytes
     ship_package(spark)
-    root = work_path(spark, "stage", f"pets-{stage_key(sf_dir)}")
+    root = work_path(spark, "stage", f"pets-{stage_key(spark, sf_dir)}")
     images = f"{root}/PetImages"
     manifest = f"{root}-manifest"
     if not fs.is_complete(spark, manifest):
@@ -226,7 +226,7 @@ def image_zip_dir(spark: SparkSession, sf_dir: str) -> str:
     from scorewright.session import ship_package
     from scorewright.sources.images import write_bytes
     ship_package(spark)
-    root = work_path(spark, "stage", f"zips-{stage_key(sf_dir)}")
+    root = work_path(spark, "stage", f"zips-{stage_key(spark, sf_dir)}")
     manifest = f"{root}-manifest"
     if not fs.is_complete(spark, manifest):
         def write(pdf: pd.DataFrame) -> pd.DataFrame:

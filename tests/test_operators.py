@@ -356,10 +356,10 @@ def test_quarantine_property(spark):
     check()
 
 
-def test_dot_unrolled_and_higher_order_paths_agree(spark):
-    from scorewright.functions.scalar import UNROLL_MAX, dot
+def test_dot_of_any_width_and_of_a_wrong_length(spark):
+    from scorewright.functions.scalar import dot
     rng = np.random.default_rng(11)
-    for width in (5, UNROLL_MAX, UNROLL_MAX + 44):
+    for width in (5, 300, 2048):
         w = rng.normal(size=width).tolist()
         rows = [(rng.normal(size=width).tolist(),) for _ in range(4)]
         df = spark.createDataFrame(rows, "x array<double>")
@@ -369,6 +369,10 @@ def test_dot_unrolled_and_higher_order_paths_agree(spark):
             for a, b in zip(x, w):          # the same left-to-right order, in Python doubles
                 acc = acc + a * b
             assert g == acc
+        for wrong in (width - 1, width + 1):
+            with pytest.raises(Exception, match=f"array of length {width} expected, got {wrong}"):
+                spark.createDataFrame([([0.0] * wrong,)], "x array<double>").select(dot("x", w)).collect()
+    assert spark.createDataFrame([(None,)], "x array<double>").select(dot("x", [1.0])).first()[0] is None
 
 
 def test_stage_once_publishes_one_complete_copy(spark, tmp_dir):
