@@ -33,9 +33,12 @@ from scorewright.specs import ERROR_LABEL, LR_EMBEDDING_PARAMS, LR_WEIGHTED_PARA
 
 # ---------------------------------------------------------------- churn
 def load_training_table(spark: SparkSession, csv_path: str, spec: TableSpec = TELCO) -> DataFrame:
-    """Training-path cleaning: exact ``" "`` blanks dropped, typed casts, 0/1 label."""
+    """Training-path cleaning: exact ``" "`` blanks dropped, typed casts (integers that are none take the
+    contract's default, as in scoring: the assembler refuses nulls), 0/1 label."""
     raw = require_columns(read_csv_strings(spark, csv_path), [*spec.required, spec.target])
-    return clean_blank_drop(raw, spec)
+    fill = {c: spec.defaults[c] for c in spec.int_columns if c in spec.defaults}
+    df = clean_blank_drop(raw, spec)
+    return df.fillna(fill) if fill else df
 
 
 def train_churn(spark: SparkSession, csv_path: str, kind: str = "rf", model_path: str | None = None,

@@ -582,15 +582,15 @@ def q_train_churn_lr(spark, sf_dir):
     return _checked_churn(spark, sf_dir, "lr")
 
 
-def _compare(spark, sf_dir):
-    from scorewright.operators.models import classifier, compare_models
-    train, test = _churn_train_test(spark, sf_dir)
-    table, _ = compare_models(train, test, CHURN, {
+def _compare(spark, sf_dir, out_dir: str | None = None):
+    """The comparison job with its default replication (x200) on the dirty churn CSV."""
+    from scorewright.operators.models import classifier
+    from scorewright.plans.jobs import compare_churn_models
+    return compare_churn_models(spark, churn_csv_path(spark, sf_dir), out_dir, spec=CHURN, candidates={
         "Random Forest": classifier("rf", seed=42),
         "Gradient Boosted Tree": classifier("gbt", seed=42),
         "Logistic Regression": classifier("lr"),
     })
-    return table
 
 
 def _checked_report(report: DataFrame) -> DataFrame:
@@ -602,17 +602,14 @@ def _checked_report(report: DataFrame) -> DataFrame:
 
 @register("compare_models")
 def q_compare_models(spark, sf_dir):
-    from scorewright.operators.models import report_table
-    return _checked_report(report_table(_compare(spark, sf_dir)))
+    return _checked_report(_compare(spark, sf_dir))
 
 
 @register("sink_comparison_csv")
 def q_sink_comparison_csv(spark, sf_dir):
-    from scorewright.operators.models import report_table
-    from scorewright.sinks import write_single_csv
     out = _sink_dir(spark, "comparison")
-    path = write_single_csv(spark, report_table(_compare(spark, sf_dir)), out, "model_comparison.csv")
-    return _checked_report(spark.read.option("header", True).option("inferSchema", True).csv(path))
+    _compare(spark, sf_dir, out)
+    return _checked_report(spark.read.option("header", True).option("inferSchema", True).csv(f"{out}/model_comparison.csv"))
 
 
 @register("score_saved_model")
