@@ -59,10 +59,11 @@ def clean_blank_zero(df: DataFrame, spec: TableSpec, defaults: Mapping[str, obje
     return out.fillna(fill) if fill else out
 
 
-def quarantine(df: DataFrame, spec: TableSpec) -> DataFrame:
+def quarantine(df: DataFrame, spec: TableSpec, check_text: bool = False) -> DataFrame:
     """Row-level issue report in one pass.
 
-    Adds ``errors array<string>`` (one message per value that is missing or does not parse) and
+    Adds ``errors array<string>`` (one message per value that is missing or does not parse: typed
+    columns, then with ``check_text`` the id and the categoricals, as far as the table has them) and
     ``status`` (``ok`` / ``rejected``); numeric columns come back typed.  Split with
     ``filter(status == 'ok')`` and ``filter(status == 'rejected')``: both branches read the same
     projection, so nothing is re-parsed per branch.
@@ -77,6 +78,10 @@ def quarantine(df: DataFrame, spec: TableSpec) -> DataFrame:
         typed[c] = value
         checks.append(F.when(text.isNull(), F.lit(f"{c}: missing"))
                       .when(value.isNull(), F.concat(F.lit(f"{c}: not a valid {kind}: '"), raw, F.lit("'"))))
+    for c in [spec.id_col, *spec.categorical]:
+        if check_text and c in df.columns:
+            text = trimmed_blank_to_null(c) if _is_string(df, c) else F.col(c)
+            checks.append(F.when(text.isNull(), F.lit(f"{c}: missing")))
     errors = F.array_compact(F.array(*checks))
     out = df.withColumn("errors", errors).withColumns(typed)
     return out.withColumn("status", F.when(F.size("errors") == 0, F.lit("ok")).otherwise(F.lit("rejected")))

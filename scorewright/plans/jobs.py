@@ -12,15 +12,16 @@ from pyspark import StorageLevel
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
 from pyspark.ml.functions import array_to_vector
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scorewright.operators.clean import clean_blank_drop, clean_blank_zero
+from scorewright.operators.clean import clean_blank_drop, clean_blank_zero, quarantine
 from scorewright.operators.cluster import cluster_profile, fit_kmeans
 from scorewright.operators.embed import SIZE, Embedder, image_features
 from scorewright.operators.features import feature_stages, indexer
 from scorewright.operators.metrics import accuracy, prediction_counts, silhouette, with_class_weights
 from scorewright.operators.models import classifier, compare_models, evaluate, fit_pipeline, report_table
+from scorewright.operators.rank import global_row_number
 from scorewright.operators.scoring import label_lookup, linear_score
 from scorewright.operators.split import holdout_split, replicate, sample_rows
 from scorewright.session import work_path
@@ -86,6 +87,41 @@ def score_csv(spark: SparkSession, in_path: str, model: str | PipelineModel, out
     return out
 
 
+def batch_report(df: DataFrame, spec: TableSpec, score: Callable[[DataFrame], DataFrame],
+                 order: Sequence[str | Column] = ()) -> dict[str, DataFrame]:
+    """The two sides of a batch report over raw text rows: ``scored`` (row, id, prediction, probability)
+    for rows without an issue, ``issues`` (row, error), one per missing or unreadable value.
+
+    ``row`` counts from 1 in ``order``, or as the rows are read.  ``score`` adds ``prediction`` and
+    ``probability`` (of class 1), e.g. a fixed linear scorer.  Both sides read one checkpointed numbering."""
+    keys = [f"_order{i}" for i in range(max(1, len(order)))]
+    by = list(order) or [F.monotonically_increasing_id()]
+    numbered = global_row_number(df.withColumns(dict(zip(keys, (F.col(c) if isinstance(c, str) else c for c in by)))), keys, "row")
+    checked = quarantine(numbered.drop(*keys), spec, check_text=True)
+    good = score(checked.filter(F.col("status") == "ok"))
+    return {"scored": good.select("row", F.col(spec.id_col).alias("id"), "prediction", "probability"),
+            "issues": checked.select("row", F.explode("errors").alias("error"))}
+
+
+def score_images(spark: SparkSession, image_glob: str, lr_model: str | LogisticRegressionModel, labels_path: str, size: int = SIZE,
+                 embedder_factory: Callable[[], Embedder] | None = None) -> DataFrame:
+    """Label and p(predicted class) of every image of a folder (or of one image): ``origin, label,
+    confidence``; an image that cannot be decoded or embedded becomes ``(origin, ERROR, 0.0)``."""
+    from scorewright.operators.scoring import model_confidence
+
+    lr = LogisticRegressionModel.load(lr_model) if isinstance(lr_model, str) else lr_model
+    feats = image_features(read_images(spark, image_glob), "image", size, embedder_factory)
+    path = work_path(spark, "stage", f"features-{uuid.uuid4().hex}")
+    feats.select(F.col("image.origin").alias("origin"), F.col("emb.features").alias("features")).write.parquet(path)
+    rows = spark.read.parquet(path)
+    good = rows.filter(F.col("features").isNotNull()).withColumn(
+        lr.getFeaturesCol(), array_to_vector(F.col("features").cast("array<double>")))
+    told = label_lookup(lr.transform(good), read_label_map_tolerant(spark, labels_path), "prediction").select(
+        "origin", F.col("label_name").alias("label"), model_confidence("probability", "prediction").alias("confidence"))
+    failed = rows.filter(F.col("features").isNull()).select("origin", F.lit(ERROR_LABEL).alias("label"), F.lit(0.0).alias("confidence"))
+    return told.unionByName(failed)
+
+
 def score_rows(spark: SparkSession, records: Sequence[dict], model: str | PipelineModel,
                spec: TableSpec = TELCO) -> DataFrame:
     """Score in-memory records (a form submission): prediction, p(leave), decision text."""

@@ -613,3 +613,15 @@ for _name in ("compare_models", "sink_comparison_csv"):
 ORACLE["score_zip"] = f"SELECT {_member_name_sql()} AS filename, {_corrupt_sql()} AS failed, TRUE AS answer_ok FROM embeddings"
 ORACLE["wholesale_plot_all"] = f"""WITH {_assigned_cte()}
 SELECT custkey, medium, standard, prediction FROM assigned"""
+
+
+# ---------------------------------------------------------------- batch report, image folder
+_ROWS = "numbered AS (SELECT custkey AS _c, row_number() OVER (ORDER BY custkey) AS row FROM churn)"
+ORACLE["batch_report_scored"] = f"""WITH {churn_scored_cte()}, {_ROWS}
+SELECT row, customerID AS id, prediction, round(probability, 6) AS probability FROM pred JOIN numbered ON custkey = _c
+WHERE NOT ({TEN}) AND NOT ({BAD}) AND {" AND ".join(f"{c} IS NOT NULL" for c in CHURN.categorical)}"""
+ORACLE["batch_report_issues"] = f"""WITH {CHURN_CTE}, {_ROWS}
+SELECT row, 'tenure: not a valid int: ''x''' AS error FROM churn JOIN numbered ON custkey = _c WHERE {BAD}
+UNION ALL SELECT row, 'total_spent: missing' AS error FROM churn JOIN numbered ON custkey = _c WHERE {TEN}
+{" ".join(f"UNION ALL SELECT row, '{c}: missing' AS error FROM churn JOIN numbered ON custkey = _c WHERE {c} IS NULL" for c in CHURN.categorical)}"""
+ORACLE["score_images"] = f"SELECT vec_id, {_corrupt_sql()} AS failed, TRUE AS answer_ok FROM embeddings"

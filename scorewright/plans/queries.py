@@ -131,6 +131,27 @@ def q_stack_predictions(spark, sf_dir):
     return _rules_stacked(spark, sf_dir).groupBy("model", "prediction").agg(F.count(F.lit(1)).alias("n"))
 
 
+def _batch_report(spark, sf_dir) -> dict[str, DataFrame]:
+    from scorewright.plans.jobs import batch_report
+    raw = _churn_strings(spark, sf_dir).select(*CHURN.required)
+    model = fit_features(clean_blank_zero(raw, CHURN), CHURN)
+    w = churn_weights(_feature_size(model, len(CHURN.numeric)))
+    return batch_report(raw, CHURN, lambda ok: linear_score(model.transform(ok), "features", w, CHURN_INTERCEPT),
+                        [F.col("customerID").cast("long")])
+
+
+@register("batch_report_scored")
+def q_batch_report_scored(spark, sf_dir):
+    """Scored side of the batch report: customers without an issue, by their row in customer order."""
+    return _batch_report(spark, sf_dir)["scored"].withColumn("probability", F.round("probability", 6))
+
+
+@register("batch_report_issues")
+def q_batch_report_issues(spark, sf_dir):
+    """Issue side of the batch report: one row per missing or unreadable value."""
+    return _batch_report(spark, sf_dir)["issues"]
+
+
 @register("decision_text")
 def q_decision_text(spark, sf_dir):
     from scorewright.functions.scalar import decision_text, percent
@@ -735,6 +756,18 @@ def q_train_image_lr(spark, sf_dir):
     return r["predictions"].select("origin", "labelIndex", "prediction")
 
 
+@register("score_images")
+def q_score_images(spark, sf_dir):
+    """Every image of the folder, whether it failed, and whether its label and p(predicted class) are of the right kind."""
+    from scorewright.plans.jobs import score_images
+    from scorewright.sources.tables import pet_image_dir
+    model_dir, labels_dir = _pet_model(spark, sf_dir)
+    failed = F.col("label") == "ERROR"
+    fine = F.when(failed, F.col("confidence") == 0.0).otherwise(F.col("label").isin("cat", "dog") & F.col("confidence").between(0.5, 1))
+    return score_images(spark, pet_image_dir(spark, sf_dir) + "/*", model_dir, labels_dir).select(
+        _vec_id_from("origin").alias("vec_id"), failed.alias("failed"), fine.alias("answer_ok"))
+
+
 def _score_zip(spark, sf_dir) -> DataFrame:
     from scorewright.plans.jobs import score_zip
     from scorewright.sources.tables import image_zip_dir

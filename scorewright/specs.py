@@ -34,13 +34,14 @@ SPLIT_SEED = 42
 TRAIN_FRACTION = 0.8
 # ---------------------------------------------------------------------------------------------
 
-# Model parameter defaults of the original jobs.
+# --- fixed values (model parameters of the original jobs) ---------------------------------
 RF_PARAMS = {"numTrees": 100, "maxDepth": 8}
 GBT_PARAMS = {"maxIter": 100, "maxDepth": 5, "stepSize": 0.1}
 LR_CHURN_PARAMS = {"maxIter": 50}
 LR_EMBEDDING_PARAMS = {"maxIter": 50}
 LR_WEIGHTED_PARAMS = {"maxIter": 50, "regParam": 0.01, "elasticNetParam": 0.0}
 KMEANS_PARAMS = {"k": 5, "seed": 42}
+# ---------------------------------------------------------------------------------------------
 
 
 @dataclass(frozen=True)

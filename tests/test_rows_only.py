@@ -198,3 +198,15 @@ def test_class_weights_do_not_shuffle_the_data(spark):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
     assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan
+
+
+def test_batch_report_checks_ids_and_categoricals(spark):
+    from scorewright.plans.jobs import batch_report
+    from scorewright.specs import TableSpec
+
+    spec = TableSpec(id_col="id", categorical=["kind"], numeric=["n"], int_columns=["n"])
+    df = spark.createDataFrame([("a", "x", "1"), (None, " ", "2"), ("c", None, "y"), ("d", "x", "4")], "id string, kind string, n string").coalesce(1)
+    r = batch_report(df, spec, lambda ok: ok.withColumns({"prediction": F.lit(1.0), "probability": F.col("n") / 10.0}))
+    assert [tuple(x) for x in r["scored"].orderBy("row").collect()] == [(1, "a", 1.0, 0.1), (4, "d", 1.0, 0.4)]
+    assert sorted((x["row"], x["error"]) for x in r["issues"].collect()) == [
+        (2, "id: missing"), (2, "kind: missing"), (3, "kind: missing"), (3, "n: not a valid int: 'y'")]
