@@ -60,7 +60,7 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("--labels")
     p.add_argument("--metrics")
     p.add_argument("--weighted", action="store_true")
-    p = sub.add_parser("score-zip")
+    p = sub.add_parser("score-zip")          # fixed values: the five option names below are the job's contract
     p.add_argument("--zip-uri", required=True)
     p.add_argument("--lr-model-path", required=True)
     p.add_argument("--labels-json", required=True)
@@ -76,8 +76,8 @@ def main(argv: list[str] | None = None) -> int:
         r = jobs.train_churn(spark, a.csv, a.kind, a.model)
         r["metrics"].show(truncate=False)
         r["counts"].show()
-        r["predictions"].select("customerID", "gender", "Contract", "MonthlyCharges", "Churn", "prediction",
-                                "probability").orderBy("customerID").show(10, truncate=False)
+        shown = [TELCO.id_col, *TELCO.numeric, TELCO.target, "prediction", "probability"]
+        r["predictions"].select(*shown).orderBy(TELCO.id_col).show(10, truncate=False)
     elif a.cmd == "compare-models":
         jobs.compare_churn_models(spark, a.csv, a.out, a.replicas).show(truncate=False)
     elif a.cmd == "cluster-telco":
