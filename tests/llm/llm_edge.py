@@ -1,3 +1,5 @@
+"""Awkward rows, as fixtures for the tests in this folder."""
+
 from __future__ import annotations
 
 import pytest

@@ -10,6 +10,7 @@ import numpy as np
 import pytest
 import xxhash
 
+from llm_edge import edge, no_rows  # noqa: F401
 from scorewright.llm import blocknames, simhash
 from scorewright.llm.common import documents
 from scorewright.llm.queries import op6_block_naming, op10_covering_simhash

@@ -9,6 +9,7 @@ from collections import Counter
 import numpy as np
 from pyspark.sql import functions as F
 
+from llm_edge import edge, no_rows  # noqa: F401
 import corpus_pipeline
 from scorewright.llm import gated_lm, langid, queries, transcripts
 from scorewright.llm.common import documents, fold

@@ -13,6 +13,7 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+from llm_edge import edge, no_rows  # noqa: F401
 from scorewright.llm import licenses, packing, quality, queries, secret_ledger, spec_bpe
 from scorewright.llm.common import documents, tokenizer_file, work_path
 
