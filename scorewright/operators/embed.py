@@ -31,18 +31,22 @@ def colour_grid(grid: int = DEFAULT_GRID) -> Embedder:
         n, s, _, _ = batch.shape
         if s < grid:
             raise ValueError(f"pictures of at least {grid} pixels a side expected, got {s}")
-        x = batch.astype(np.float32) / 255.0
         cuts = np.arange(grid) * s // grid                # cells may differ by a pixel
-        size = np.diff(np.append(cuts, s)).astype(np.float32)
-        sums = np.add.reduceat(np.add.reduceat(x, cuts, axis=1), cuts, axis=2)
-        cells = (sums / (size[None, :, None, None] * size[None, None, :, None])).reshape(n, -1)
-        return np.concatenate([cells, x.reshape(n, -1, 3).std(axis=1)], axis=1)
+        size = np.diff(np.append(cuts, s))
+        # sums of integers: the features don't depend on the order of summation
+        sums = np.add.reduceat(np.add.reduceat(batch, cuts, axis=1, dtype=np.int64), cuts, axis=2)
+        cells = sums / (size[:, None, None] * size[None, :, None] * 255.0)
+        total = sums.sum(axis=(1, 2))
+        squares = np.square(batch, dtype=np.uint16).sum(axis=(1, 2), dtype=np.int64)
+        spread = np.sqrt((s * s * squares - total * total).astype(np.float64)) / (s * s * 255.0)
+        return np.concatenate([cells.reshape(n, -1), spread], axis=1).astype(np.float32)
 
     return embed
 
 
 def _to_rgb(data, height: int, width: int, channels: int, size: int) -> np.ndarray:
-    """Spark image bytes (BGR or BGRA or gray, row-major) -> RGB ``size x size`` (bilinear, pixel centres aligned)."""
+    """Spark image bytes (BGR or BGRA or gray, row-major) -> RGB ``size x size`` (bilinear, pixel centres
+    aligned, halves rounded up; in integers, so every machine gets the same pixels)."""
     a = np.frombuffer(bytes(data), dtype=np.uint8).reshape(height, width, channels)
     if channels == 1:
         a = np.repeat(a, 3, axis=2)
@@ -51,15 +55,19 @@ def _to_rgb(data, height: int, width: int, channels: int, size: int) -> np.ndarr
     if (height, width) == (size, size):
         return a
 
+    unit = 2 * size                                       # places count in parts of a pixel
+    whole = unit * unit
+    kind = np.int32 if 256 * whole < 1 << 31 else np.int64
+
     def places(n: int):
-        at = ((np.arange(size) + 0.5) * n / size - 0.5).clip(0, n - 1)
-        low = np.floor(at).astype(np.int64)
-        return low, np.minimum(low + 1, n - 1), (at - low).astype(np.float32)
+        at = ((2 * np.arange(size) + 1) * n - size).clip(0, unit * (n - 1))
+        low = at // unit
+        return low, np.minimum(low + 1, n - 1), (at - low * unit).astype(kind)
 
     (y0, y1, fy), (x0, x1, fx) = places(height), places(width)
-    rows = a[y0] * (1 - fy)[:, None, None] + a[y1] * fy[:, None, None]
-    out = rows[:, x0] * (1 - fx)[None, :, None] + rows[:, x1] * fx[None, :, None]
-    return np.round(out).astype(np.uint8)
+    rows = a[y0] * (unit - fy)[:, None, None] + a[y1] * fy[:, None, None]
+    out = rows[:, x0] * (unit - fx)[None, :, None] + rows[:, x1] * fx[None, :, None]
+    return ((out + whole // 2) // whole).astype(np.uint8)
 
 
 def _embed_into(embed: Embedder, places: list, imgs: list, feats: list, errors: list) -> None:

@@ -2,8 +2,9 @@
 
 ``Window.orderBy(x)`` with no partition moves every row into one task.  Instead the rows are
 range-partitioned on the ordering (``repartitionByRange``), so partition ``b`` holds one
-contiguous slice of the order; per-slice totals (one row per slice) give each slice its offset,
-and a window partitioned by slice does the rest.
+contiguous slice of the order; per-slice totals (one row per slice) give each slice its offset.
+Running sums then take a window partitioned by slice; row numbers need no second exchange, as a
+row's place in its sorted slice is known where it lies.
 
 The sliced table is checkpointed (written to the cluster's checkpoint folder) before it is
 used twice: the two uses are planned differently after column pruning, so Spark would not
@@ -48,17 +49,24 @@ def prefix_before_slice(sliced: DataFrame, value: str, group: Sequence[str] = ()
 
 def global_row_number(df: DataFrame, order: Sequence[str], out: str = "row_id", start: int = 1,
                       num_slices: int | None = None) -> DataFrame:
-    """``row_number() over (order by <order>)`` (1-based by default), computed slice by slice.
+    """``row_number() over (order by <order>)`` (1-based by default): slice offset + place in the sorted slice.
+
+    The rows are exchanged once, by range.  The offsets (one row per slice, so at most as many as there
+    are shuffle partitions) are broadcast.
 
     Rows with equal keys are ordered by a per-row tiebreak, so a key shared by a third of all
     rows is spread over many slices instead of landing in one task (the order among equal keys
     is arbitrary in SQL as well; the checkpoint fixes it once chosen).
     """
-    keyed = df.withColumn("_one", F.lit(1)).withColumn("_tb", F.monotonically_increasing_id())
+    from scorewright.session import checkpoint_root
+
     ordering = [*order, "_tb"]
-    sliced = range_slices(keyed, ordering, num_slices)
-    offsets = prefix_before_slice(sliced, "_one")
-    w = Window.partitionBy("_slice").orderBy(*ordering)
-    return (sliced.join(offsets, "_slice")
-            .withColumn(out, (F.col("_before") + F.row_number().over(w) + F.lit(start - 1)).cast("long"))
-            .drop("_slice", "_before", "_one", "_tb"))
+    keyed = df.withColumn("_tb", F.monotonically_increasing_id())
+    ranged = range_slices(keyed, ordering, num_slices, materialize=False).sortWithinPartitions(*ordering)
+    # a partition's ids are consecutive from (its number) * 2^33
+    place = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    checkpoint_root(df.sparkSession)
+    sliced = ranged.withColumns({"_place": place, "_one": F.lit(1)}).drop("_tb").checkpoint(eager=True)
+    offsets = F.broadcast(prefix_before_slice(sliced, "_one"))
+    return (sliced.join(offsets, "_slice").withColumn(out, F.col("_before") + F.col("_place") + F.lit(start).cast("long"))
+            .drop("_slice", "_before", "_place", "_one"))

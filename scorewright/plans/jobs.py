@@ -26,8 +26,9 @@ from scorewright.operators.scoring import label_lookup, linear_score
 from scorewright.operators.split import holdout_split, replicate, sample_rows
 from scorewright.session import work_path
 from scorewright.sinks import save_model, write_csv, write_json_single, write_label_map, write_single_csv
+from scorewright.sinks.fs import delete
 from scorewright.sources.csv import read_csv_strings, require_columns
-from scorewright.sources.images import read_images, stage_members, with_path_label, zip_members
+from scorewright.sources.images import NoImagesError, read_images, stage_members, with_path_label, zip_members
 from scorewright.sources.labels import read_label_map_tolerant
 from scorewright.specs import ERROR_LABEL, LR_EMBEDDING_PARAMS, LR_WEIGHTED_PARAMS, TELCO, TableSpec
 
@@ -179,8 +180,9 @@ def image_training_set(spark: SparkSession, image_glob: str, size: int = SIZE,
 def train_image_lr(spark: SparkSession, image_glob: str, model_dir: str | None = None,
                    labels_dir: str | None = None, metrics_dir: str | None = None, weighted: bool = False,
                    size: int = SIZE, embedder_factory: Callable[[], Embedder] | None = None) -> dict:
-    """Embed, index labels (fail on unseen), optional balanced class weights, 80/20 split on the
-    file path, logistic regression, test accuracy; write metrics JSON, label map JSON, model."""
+    """Embed, index labels (fail on unseen), optional balanced class weights, 80/20 split on folder
+    and file name (wherever the folders lie), logistic regression, test accuracy; write metrics JSON,
+    label map JSON, model."""
     data = image_training_set(spark, image_glob, size, embedder_factory)
     if data.isEmpty():
         raise ValueError("no valid data left after feature extraction")
@@ -192,7 +194,8 @@ def train_image_lr(spark: SparkSession, image_glob: str, model_dir: str | None =
                                 **LR_WEIGHTED_PARAMS)
     else:
         lr = LogisticRegression(featuresCol="features_vec", labelCol="labelIndex", **LR_EMBEDDING_PARAMS)
-    train, test = holdout_split(d, "origin")
+    d = d.withColumn("_name", F.concat_ws("/", "label", F.element_at(F.split("origin", "/"), -1)))
+    train, test = (part.drop("_name") for part in holdout_split(d, "_name"))
     model = lr.fit(train)
     preds = model.transform(test)
     metrics = accuracy(preds, "labelIndex", "prediction")
@@ -226,11 +229,14 @@ def score_zip(spark: SparkSession, zip_path: str, lr_model: str | LogisticRegres
     labels = read_label_map_tolerant(spark, labels_path)
 
     stage = (stage_dir or work_path(spark, "stage", f"zip-{uuid.uuid4().hex}")).rstrip("/")
-    members = zip_members(spark, zip_path)
+    zip_members(spark, zip_path, require_any=False).write.mode("overwrite").parquet(f"{stage}/members")   # listed once
+    members = spark.read.parquet(f"{stage}/members")
+    if members.filter(F.col("name").isNotNull()).isEmpty():
+        raise NoImagesError("No valid images found in ZIP.")
     stage_members(members, f"{stage}/files").write.mode("overwrite").parquet(f"{stage}/manifest")
     manifest = spark.read.parquet(f"{stage}/manifest")
 
-    imgs = read_images(spark, f"{stage}/files").withColumn(
+    imgs = read_images(spark, f"{stage}/files", recursive=True).withColumn(
         "staged", F.element_at(F.split(F.col("image.origin"), "/"), -1))
     feats = image_features(imgs.repartition(slices) if slices else imgs, "image", size, embedder_factory)
     feats = feats.select("staged", F.col("emb.features").cast("array<double>").alias("features"))
@@ -243,6 +249,11 @@ def score_zip(spark: SparkSession, zip_path: str, lr_model: str | LogisticRegres
         F.element_at(F.split("archive", "/"), -1).alias("archive"), F.col("name").alias("filename"),
         F.when(failed, F.lit(ERROR_LABEL)).otherwise(F.col("label_name")).alias("label"),
         F.when(failed, F.lit(0.0)).otherwise(F.col("confidence")).alias("confidence"))
+    # written once: the output below and the caller read this, and the extracted pictures can go
+    preds.write.mode("overwrite").parquet(f"{stage}/preds")
+    preds = spark.read.parquet(f"{stage}/preds")
+    for part in ("files", "manifest", "members"):
+        delete(spark, f"{stage}/{part}")
     if out_dir:
         if single_file:
             write_single_csv(spark, preds.drop("archive"), out_dir, "preds.csv")

@@ -564,11 +564,31 @@ FROM embeddings"""
 
 @sql("image_features")
 def _image_features() -> str:
-    from scorewright.operators.embed import DEFAULT_GRID
-    dim = 3 * DEFAULT_GRID * DEFAULT_GRID + 3
-    return f"""SELECT vec_id, CASE WHEN {_corrupt_sql()} THEN NULL ELSE {dim} END AS n_features,
-       CASE WHEN {_corrupt_sql()} THEN 'undecodable image' END AS error
-FROM embeddings"""
+    """Pictures by their formula, resized and summed in integers: red from the value, green 255 less, blue from the class."""
+    from scorewright.operators.embed import DEFAULT_GRID as g
+    from scorewright.operators.embed import SIZE as s
+    unit, whole = 2 * s, 4 * s * s
+    return f"""WITH pic AS (
+  SELECT vec_id, CASE WHEN label < 5 THEN 64 ELSE 192 END AS blue, side,
+         list_transform(range(side * side), lambda i: CASE WHEN i < len(embedding) THEN
+           CAST(greatest(0, least(255, round_even(128 + 400 * CAST(embedding[i + 1] AS DOUBLE), 0))) AS INTEGER) ELSE 0 END) AS p
+  FROM (SELECT *, CAST(ceil(sqrt(len(embedding))) AS BIGINT) AS side FROM embeddings) WHERE NOT ({_corrupt_sql()})),
+spot AS (SELECT side, j, a // {unit} AS low, least(a // {unit} + 1, side - 1) AS high, a % {unit} AS f
+  FROM (SELECT side, j, greatest(0, least({unit} * (side - 1), (2 * j + 1) * side - {s})) AS a
+        FROM (SELECT DISTINCT side FROM pic), range({s}) AS t(j))),
+strips AS (SELECT vec_id, blue, side, y.j AS y, list_transform(range(side), lambda x:
+    p[y.low * side + x + 1] * ({unit} - y.f) + p[y.high * side + x + 1] * y.f) AS r FROM pic JOIN spot AS y USING (side)),
+px AS (SELECT vec_id, blue, y, x.j AS x, r[x.low + 1] * ({unit} - x.f) + r[x.high + 1] * x.f AS v FROM strips JOIN spot AS x USING (side)),
+rgb AS (SELECT vec_id, blue, y, x, (v + {whole // 2}) // {whole} AS red, (255 * {whole} - v + {whole // 2}) // {whole} AS green FROM px),
+cell AS (SELECT vec_id, blue, y * {g} // {s} AS cy, x * {g} // {s} AS cx, count(*) AS n, sum(red) AS red, sum(green) AS green,
+    sum(red * red) AS red2, sum(green * green) AS green2 FROM rgb GROUP BY ALL),
+pict AS (SELECT vec_id, sum(n) AS n, sum(red) AS red, sum(green) AS green, sum(red2) AS red2, sum(green2) AS green2 FROM cell GROUP BY vec_id),
+f AS (SELECT vec_id, (cy * {g} + cx) * 3 + c AS place, [CAST(red AS DOUBLE), CAST(green AS DOUBLE), CAST(blue * n AS DOUBLE)][c + 1] / (n * 255.0::DOUBLE) AS value
+    FROM cell, range(3) AS t(c)
+  UNION ALL SELECT vec_id, {3 * g * g} + c, [sqrt(CAST(n * red2 - red * red AS DOUBLE)), sqrt(CAST(n * green2 - green * green AS DOUBLE)), 0][c + 1] / (n * 255.0::DOUBLE)
+    FROM pict, range(3) AS t(c))
+SELECT vec_id, CAST(NULL AS VARCHAR) AS error, CAST(place AS INTEGER) AS place, CAST(CAST(value AS FLOAT) AS DOUBLE) AS value FROM f
+UNION ALL SELECT vec_id, 'undecodable image', NULL, NULL FROM embeddings WHERE {_corrupt_sql()}"""
 
 
 @sql("wholesale_spend")
@@ -625,3 +645,7 @@ SELECT row, 'tenure: not a valid int: ''x''' AS error FROM churn JOIN numbered O
 UNION ALL SELECT row, 'total_spent: missing' AS error FROM churn JOIN numbered ON custkey = _c WHERE {TEN}
 {" ".join(f"UNION ALL SELECT row, '{c}: missing' AS error FROM churn JOIN numbered ON custkey = _c WHERE {c} IS NULL" for c in CHURN.categorical)}"""
 ORACLE["score_images"] = f"SELECT vec_id, {_corrupt_sql()} AS failed, TRUE AS answer_ok FROM embeddings"
+ORACLE["train_image_lr"] = f"""SELECT vec_id, kind AS label, {_yes('index_ok', 'answer_ok')}
+FROM (SELECT *, CASE WHEN label < 5 THEN 'cat' ELSE 'dog' END AS kind FROM embeddings WHERE NOT ({_corrupt_sql()}))
+WHERE {_is_test("kind || '/img_' || CAST(vec_id AS VARCHAR) || '.png'")}"""
+ORACLE["cluster_plot_sample"] = f"WITH {_wholesale_cte()}\nSELECT count(*) AS points, {_yes('each_once', 'as_it_was', 'about_a_tenth')} FROM wholesale"

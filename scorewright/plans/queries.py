@@ -546,8 +546,8 @@ def q_cluster_customers(spark, sf_dir):
 
 @register("sweep_k")
 def q_sweep_k(spark, sf_dir):
-    from scorewright.operators.cluster import sweep_k
     """One fit per k, with what must hold of any: a silhouette in [-1, 1], and less cost than one cluster has."""
+    from scorewright.operators.cluster import sweep_k
     from scorewright.specs import WHOLESALE_STANDIN_COLUMNS as W
     s = _wholesale_scaled(spark, sf_dir)
     # scaled columns have variance 1, so one cluster costs (n - 1) per column
@@ -558,11 +558,18 @@ def q_sweep_k(spark, sf_dir):
 
 @register("cluster_plot_sample")
 def q_cluster_plot_sample(spark, sf_dir):
+    """The random 10% of the fitted clusters' points: per customer at most once, each as it was, about a tenth in all."""
     from scorewright.operators.cluster import fit_kmeans
     from scorewright.operators.split import sample_rows
     s = _wholesale_scaled(spark, sf_dir)
     m = fit_kmeans(s, key="custkey")
-    return sample_rows(m.transform(s).select("custkey", "medium", "standard", "prediction"), 0.1)
+    points = m.transform(s).select("custkey", "medium", "standard", "prediction")
+    picked = sample_rows(points, 0.1).select("custkey", F.struct("medium", "standard", "prediction").alias("picked"))
+    met = points.join(picked, "custkey", "full")
+    n, k = F.count("prediction"), F.count("picked")
+    return met.agg(n.alias("points"), (n == F.count(F.lit(1))).alias("each_once"),
+                   F.every(F.col("picked").isNull() | (F.struct("medium", "standard", "prediction") == F.col("picked"))).alias("as_it_was"),
+                   (F.abs(k - 0.1 * n) <= 5 * F.sqrt(0.09 * n) + 1).alias("about_a_tenth"))
 
 
 # ---------------------------------------------------------------- training (rows-only checks)
@@ -717,12 +724,13 @@ def q_scan_images(spark, sf_dir):
 
 @register("image_features")
 def q_image_features(spark, sf_dir):
+    """Every feature of every image (one row without a place for an image that failed)."""
     from scorewright.operators.embed import image_features
     from scorewright.sources.images import read_images
     from scorewright.sources.tables import pet_image_dir
     f = image_features(read_images(spark, pet_image_dir(spark, sf_dir) + "/*"))
-    return f.select(_vec_id_from("image.origin").alias("vec_id"), F.size("emb.features").alias("n_features"),
-                    F.col("emb.error").alias("error"))
+    return f.select(_vec_id_from("image.origin").alias("vec_id"), F.col("emb.error").alias("error"),
+                    F.posexplode_outer(F.col("emb.features").cast("array<double>")).alias("place", "value"))
 
 
 @register("zip_members")
@@ -753,7 +761,9 @@ def q_train_image_lr(spark, sf_dir):
     from scorewright.plans.jobs import train_image_lr
     from scorewright.sources.tables import pet_image_dir
     r = train_image_lr(spark, pet_image_dir(spark, sf_dir) + "/*", weighted=True)
-    return r["predictions"].select("origin", "labelIndex", "prediction")
+    p = r["predictions"]
+    return p.select(_vec_id_from("origin").alias("vec_id"), "label", F.col("labelIndex").isin(0.0, 1.0).alias("index_ok"),
+                    F.col("prediction").isin(0.0, 1.0).alias("answer_ok"))
 
 
 @register("score_images")

@@ -10,7 +10,6 @@ from __future__ import annotations
 
 import hashlib
 import os
-import struct
 import zipfile
 import zlib
 from collections.abc import Iterator
@@ -127,8 +126,13 @@ def write_stream(path: str, source) -> None:
     fs.move(tmp, p)
 
 
+#: Uncompressed bytes of members that one task extracts.
+STAGE_TASK_BYTES = 256 << 20
+
+
 def staged_name(archive: str, name: str) -> str:
-    """Flat, collision-free file name for a member: content address of (archive, name) + ext."""
+    """Collision-free file name for a member: hash of (archive, name) + ext.  Its first three digits name the
+    sub-folder, so Spark lists many small folders in parallel instead of one huge one."""
     ext = os.path.splitext(name)[1].lower()
     return hashlib.sha1(f"{archive}\x00{name}".encode()).hexdigest() + ext
 
@@ -137,15 +141,20 @@ def stage_members(members: DataFrame, stage_dir: str, num_partitions: int | None
     """Extract members into files under ``stage_dir`` and return ``(archive, name, staged, error)``;
     ``staged`` is the file name to join image rows on.
 
-    Member rows are hash-partitioned on (archive, name) first (one share per core unless
-    ``num_partitions`` is given), so the members of one huge archive are extracted by many tasks; each task opens an archive once per batch and reads
-    only its members (random access), copied in pieces.  A member that does not inflate becomes an error row."""
+    ``members`` is read twice (its total size, then the rows): pass a written listing.  Member rows are
+    hash-partitioned on (archive, name), into one share per core or per ``STAGE_TASK_BYTES``, whichever is
+    more (or ``num_partitions``), so the members of one huge archive are extracted by many tasks.  Each task
+    opens an archive once per batch and reads only its members (random access), copied in pieces.  A member
+    that does not inflate becomes an error row."""
     from scorewright.session import ship_package
     from scorewright.sinks.fs import qualified
 
     ship_package(members.sparkSession)
     stage_dir = qualified(members.sparkSession, stage_dir.rstrip("/"))
-    n = num_partitions or members.sparkSession.sparkContext.defaultParallelism   # one share per core
+    n = num_partitions
+    if n is None:
+        size = members.agg(F.sum("size")).first()[0] or 0
+        n = max(members.sparkSession.sparkContext.defaultParallelism, -(-size // STAGE_TASK_BYTES))
     spread = members.repartition(n, "archive", "name")
 
     def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -168,7 +177,7 @@ def stage_members(members: DataFrame, stage_dir: str, num_partitions: int | None
                         fname = staged_name(archives[i], names[i])
                         try:
                             with zf.open(names[i]) as body:
-                                write_stream(f"{stage_dir}/{fname}", body)
+                                write_stream(f"{stage_dir}/{fname[:3]}/{fname}", body)
                         except (zipfile.BadZipFile, zlib.error, KeyError, EOFError, NotImplementedError, RuntimeError) as e:
                             errors[i] = f"unreadable member: {e}"
                             continue
@@ -176,19 +185,3 @@ def stage_members(members: DataFrame, stage_dir: str, num_partitions: int | None
             yield pd.DataFrame({"archive": archives, "name": names, "staged": staged, "error": errors})
 
     return spread.mapInPandas(write, "archive string, name string, staged string, error string")
-
-
-# ---------------------------------------------------------------- PNG encoding (test images)
-def png_bytes(rgb) -> bytes:
-    """Minimal PNG (8-bit RGB, no interlace) from an ``(h, w, 3)`` uint8 array."""
-    import numpy as np
-
-    a = np.ascontiguousarray(rgb, dtype=np.uint8)
-    h, w, _ = a.shape
-    raw = b"".join(b"\x00" + a[y].tobytes() for y in range(h))
-
-    def chunk(tag: bytes, data: bytes) -> bytes:
-        return struct.pack(">I", len(data)) + tag + data + struct.pack(">I", zlib.crc32(tag + data) & 0xFFFFFFFF)
-
-    return (b"\x89PNG\r\n\x1a\n" + chunk(b"IHDR", struct.pack(">IIBBBBB", w, h, 8, 2, 0, 0, 0))
-            + chunk(b"IDAT", zlib.compress(raw, 6)) + chunk(b"IEND", b""))

@@ -42,7 +42,7 @@ def churn_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     Plan: orders are aggregated first (map-side partial aggregation, then one shuffle on
     ``(o_custkey, o_orderpriority)`` and one on ``o_custkey`` over at most five rows per
     customer), then joined to ``customer``; ``nation`` and ``region`` (25 and 5 rows by the
-    schema) are broadcast.
+    schema) are joined without a hint, each broadcast by its measured file size.
     """
     orders = table(spark, sf_dir, "orders").select("o_custkey", "o_orderdate", "o_totalprice", "o_orderpriority")
     before = F.col("o_orderdate") < _cutoff()
@@ -61,15 +61,12 @@ def churn_table(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.min(F.when(F.col("cnt") > 0, F.struct((-F.col("cnt")).alias("k"), F.col("o_orderpriority").alias("p"))))
         .alias("mode"),
     )
-    geo = (
-        table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
-        .join(table(spark, sf_dir, "region").select("r_regionkey", "r_name"),
-              F.col("n_regionkey") == F.col("r_regionkey"))
-        .select("n_nationkey", "n_name", "r_name")
-    )
+    nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
+    region = table(spark, sf_dir, "region").select("r_regionkey", "r_name")
     cust = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_acctbal", "c_mktsegment")
     joined = (
-        cust.join(F.broadcast(geo), F.col("c_nationkey") == F.col("n_nationkey"))
+        cust.join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
+        .join(region, F.col("n_regionkey") == F.col("r_regionkey"))
         .join(per_customer, F.col("c_custkey") == F.col("o_custkey"), "left")
     )
     n = F.coalesce(F.col("n"), F.lit(0)).cast("int")
@@ -182,8 +179,25 @@ def _pixels(vec, label: int):
     return np.stack([v, 255 - v, blue], axis=2)
 
 
+def png_bytes(rgb) -> bytes:
+    """Minimal PNG (8-bit RGB, no interlace) from an ``(h, w, 3)`` uint8 array."""
+    import struct
+    import zlib
+
+    import numpy as np
+
+    a = np.ascontiguousarray(rgb, dtype=np.uint8)
+    h, w, _ = a.shape
+    raw = b"".join(b"\x00" + a[y].tobytes() for y in range(h))
+
+    def chunk(tag: bytes, data: bytes) -> bytes:
+        return struct.pack(">I", len(data)) + tag + data + struct.pack(">I", zlib.crc32(tag + data) & 0xFFFFFFFF)
+
+    return (b"\x89PNG\r\n\x1a\n" + chunk(b"IHDR", struct.pack(">IIBBBBB", w, h, 8, 2, 0, 0, 0))
+            + chunk(b"IDAT", zlib.compress(raw, 6)) + chunk(b"IEND", b""))
+
+
 def _image_body(vec_id: int, vec, label: int) -> bytes:
-    from scorewright.sources.images import png_bytes
     if vec_id % CORRUPT_EVERY == CORRUPT_AT:
         return b"not an image " + str(vec_id).encode()
     return png_bytes(_pixels(vec, label))

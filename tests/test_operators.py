@@ -221,7 +221,8 @@ def test_zip_members_and_score_zip(spark, tmp_dir):
     from scorewright.operators.embed import image_features
     from scorewright.plans.jobs import score_zip
     from scorewright.sinks import write_label_map
-    from scorewright.sources.images import NoImagesError, png_bytes, read_images, zip_members
+    from scorewright.sources.images import NoImagesError, read_images, zip_members
+    from scorewright.sources.tables import png_bytes
 
     red = np.zeros((8, 8, 3), np.uint8)
     red[:, :, 0] = 250
