@@ -9,9 +9,10 @@ all, and the pair agrees in that table.  No pair within the radius can be missed
 Only distinct fingerprints enter the tables.  A bucket is never expanded into pairs: a breadth-first
 search over the fingerprints not yet reached (vectorised popcounts) emits one link per fingerprint that
 joins.  A bucket beyond ``bucket_limit`` is not held in one task: its members are split again by
-independent masks of the same kind (the guarantee holds at every level) until the pieces fit, or until
-``max_depth`` levels of masks are used up; what is left then is a ball of fingerprints alike in all of
-these masks, and is searched whole.  Components: alternating large-star and small-star rounds, staged.
+independent masks of the same kind (the guarantee holds at every level) until the pieces fit.  After
+``max_depth`` = 3 levels they always do: the masks leave at most 15 positions free (``free_positions``), so
+no bucket of the last level holds over 2^15 distinct fingerprints, however large the corpus is.
+Components: alternating large-star and small-star rounds, staged.
 
 Cases: null text counts as text without words; such texts have fingerprint zero, linked like any other.
 Repeated rows and repeated ids each keep their row; the component id is the smallest non-null id
@@ -63,6 +64,14 @@ def masks(radius: int, seed: int, bits: int = BITS) -> list[int]:
     return out
 
 
+def free_positions(radius: int, seed: int, depth: int, bits: int = BITS) -> int:
+    """The most positions that ``depth`` levels of masks, one of each level, leave open: 2^this bounds a bucket."""
+    free = np.array([(1 << bits) - 1], np.uint64)
+    for d in range(depth):
+        free = (free[:, None] & ~np.array(masks(radius, seed + d, bits), np.int64).view(np.uint64)[None, :]).ravel()
+    return int(np.bitwise_count(free).max())
+
+
 def _near(values: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
     """Links that connect what is connected at ``radius``, at most one per value: breadth-first search."""
     left, parents, children = values, [], []

@@ -120,6 +120,10 @@ def test_masks_cover_every_pair_within_the_radius():
         assert any(bits & m == 0 for m in masks)
 
 
+def test_buckets_of_the_last_level_are_bounded():
+    assert [simhash.free_positions(4, 11, depth) for depth in (1, 2, 3)] == [32, 22, 15]
+
+
 @pytest.mark.parametrize("limit", [20_000, 5])
 def test_links_of_dense_and_random_fingerprints(spark, limit):
     """Dense balls, chains of four-bit steps and noise; with a tiny bucket limit, members split by further masks."""
