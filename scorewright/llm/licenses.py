@@ -17,6 +17,7 @@ and null ids give rows of their own.  An empty table gives an empty result.  Ver
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -205,11 +206,12 @@ def scan(index: Index, words: np.ndarray, found: list[tuple[int, int, int]]) ->
         if n >= index.s.min_coverage * len(w):
             good.append((t, n, low + a, low + b))
     good.sort(key=lambda x: (-x[1], len(index.words[x[0]]), x[0], x[2]))
-    kept: list[tuple[int, int, int, int]] = []
-    for x in good:
-        if all(x[3] < y[2] or x[2] > y[3] for y in kept):
-            kept.append(x)
-    return sorted(kept, key=lambda x: x[2])
+    kept: list[tuple[int, int, int, int]] = []                       # (first, last, template, matched), apart and in order
+    for t, n, a, b in good:
+        i = bisect_left(kept, (a,))
+        if (i == 0 or kept[i - 1][1] < a) and (i == len(kept) or kept[i][0] > b):
+            kept.insert(i, (a, b, t, n))
+    return [(t, n, a, b) for a, b, t, n in kept]
 
 
 _INDEXES: dict[Settings, Index] = {}
