@@ -5,11 +5,11 @@ A transcript is a sequence of text blocks.  Each block shows a speaker marker (o
 features over all labelled blocks.  ``recover`` finds the most probable roles of each whole transcript
 (Viterbi); ``render`` strips the markers and writes ``<|role|>`` turns.
 
-Viterbi is a product of matrices over (max, +), and scores are integers, so a transcript can be cut: each
-chunk of ``CHUNK`` turn numbers gives one small matrix; of transcripts with several chunks, nodes of up to
+Viterbi is a product of matrices over (max, +), and scores are integers, so a transcript can be cut: all
+blocks are range-sorted by transcript and turn and numbered, and each ``CHUNK`` numbers give one small matrix; of transcripts with several chunks, nodes of up to
 ``FAN`` neighbours are multiplied, level by level; going down again fixes the roles at every border; then
-each chunk is decoded alone between its borders.  No task holds more than a chunk or ``FAN`` matrices,
-however long a transcript is (rows that repeat a turn number share its chunk).
+each chunk is decoded alone between its borders.  No group holds more than ``CHUNK`` blocks or ``FAN``
+matrices, however long a transcript is and however often it repeats a turn number.
 
 Cases: blocks go by turn, null turns first, equal ones by text and then as read.  A block with a null
 transcript id is a transcript of its own.  A null text counts as empty.  Ties go to the role first in
@@ -27,6 +27,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from scorewright.operators.rank import prefix_before_slice
+
 from .common import prepare, staged
 
 ROLES = ("user", "assistant", "system")
@@ -168,14 +170,21 @@ def recover(blocks: DataFrame, model: Hmm, *, key_col: str = "conv_id", turn_col
     """One row per block: key, turn, text (raw), role."""
     prepare(blocks.sparkSession)
     row = F.monotonically_increasing_id()
-    rows = staged(blocks.select(F.col(key_col).alias("id"), F.col(turn_col).alias("turn"), F.col(text_col).alias("text"), row.alias("row")), "blocks")
+    read = blocks.select(F.col(key_col).alias("id"), F.col(turn_col).alias("turn"), F.col(text_col).alias("text"), row.alias("row"))
     text = F.coalesce("text", F.lit(""))
     parts = [F.element_at(F.array(*[F.array(*map(F.lit, roles)) for roles in model.emit[f]]), v.cast("int") + 1) for f, v in enumerate(features(text))]
     emits = F.array(*[sum((p[i] for p in parts[1:]), parts[0][i]) for i in range(len(ROLES))])
     turn = F.coalesce(F.col("turn").cast("long"), F.lit(-(1 << 40)))
     key = F.when(F.col("id").isNull(), F.concat(F.lit("row "), "row")).otherwise(F.concat(F.lit("id "), F.col("id").cast("string")))
-    seen = rows.select(key.alias("key"), F.floor(turn / CHUNK).cast("long").alias("node"),
-                       F.struct(turn.alias("turn"), F.xxhash64(text).alias("tie"), "row", emits.alias("e")).alias("b"))
+    rows = staged(read.select("id", "turn", "text", "row", key.alias("key"), turn.alias("at"), F.xxhash64(text).alias("tie"), emits.alias("e")), "blocks")
+    order = ["key", "at", "tie", "row"]
+    # a partition's ids are consecutive from (its number) * 2^33; the totals of the slices are one row per range
+    place = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    slices = staged(rows.select(*order, "e").repartitionByRange(*order).sortWithinPartitions(*order)
+                    .select("key", "row", "e", F.spark_partition_id().alias("slice"), place.alias("place"), F.lit(1).alias("one")), "slices")
+    number = F.col("before") + F.col("place")
+    seen = slices.join(F.broadcast(prefix_before_slice(slices, "one", slice_col="slice", out="before")), "slice").select(
+        "key", F.floor(number / CHUNK).cast("long").alias("node"), F.struct(number.alias("number"), "row", "e").alias("b"))
     step = np.array(model.step, np.int64)
 
     @F.pandas_udf("array<long>")
