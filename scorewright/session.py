@@ -64,7 +64,7 @@ def work_path(spark: SparkSession, *parts: str) -> str:
     return "/".join([base, _PKG, *parts])
 
 
-STAGE_VERSION = "4"   # bump when the rules that derive staged inputs change
+STAGE_VERSION = "5"   # bump when the rules that derive staged inputs change
 
 
 def stage_key(spark: SparkSession, folder: str) -> str:
