@@ -39,12 +39,21 @@ class Rule:
     literal: str | None = None               # every match holds it: cheap first test
 
 
-#: Fixed kinds, then kinds of our own (a private key's header; a signed web token).
+_EDGE, _BODY = r"""[\x20\t>"'#*|,]""", r"[A-Za-z0-9+/=\\]"
+_LINES = rf"{_EDGE}*(?:[\r\n]+{_EDGE}*{_BODY}+{_EDGE}*){{0,1000}}"
+#: A private key from its BEGIN line to its END line (between them no five dashes in a row).  Without an END: header
+#: fields, then lines that begin in base64, any number of them plain, or 1,000 quoted, indented or with blanks behind;
+#: line breaks may be written out.  The last line may be short, so a word that follows the body goes with it.
+_PEM = (r"-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----(?:[^-]*(?:-{1,4}[^-]+){0,40}-----END [A-Z ]{0,40}PRIVATE KEY-----"
+        rf"|(?:[\r\n]+[A-Za-z-]+:[^\r\n]*){{0,9}}(?:{_EDGE}*[\r\n]+{_EDGE}+{_BODY}{{16,}}{_LINES}"
+        rf"|{_EDGE}*[\r\n]*{_BODY}{{16,}}{_BODY[:-1]}\r\n]*{_LINES})?)")
+
+#: Fixed kinds, then kinds of our own (a private key; a signed web token).
 RULES = (
     Rule("assign", r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 2, 6),
     Rule("access", r"AKIA[A-Z0-9]{16,}", literal="AKIA"),
     Rule("hex", r"[0-9a-f]{24,}"),
-    Rule("pem", r"-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----", literal="PRIVATE KEY-----"),
+    Rule("pem", _PEM, literal="PRIVATE KEY-----"),
     Rule("jwt", r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{16,}", literal="eyJ"),
 )
 BASE = ("assign", "access", "hex")
