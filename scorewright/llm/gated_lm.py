@@ -11,9 +11,9 @@ the counts of all unmodelled words (add-one, with one place for the never seen),
 probability of the whole text.
 
 Training.  Truncated backpropagation through time: windows of ``train_window`` tokens, state carried from
-window to window.  Replicas each train on their part of a hash share of the training documents (whole
-texts; the share is ``share`` of the corpus plus ``least_tokens``, so it grows with the corpus) and are
-averaged, token-weighted, in integer arithmetic; ``rounds`` times.
+window to window.  Every training document is learned from once, whole: up to ``rounds`` rounds take a part
+of the documents each, by hash; in a round, replicas of about ``replica_tokens`` tokens train side by side
+from the last round's model and are averaged, token-weighted, in integer arithmetic.
 
 Scoring.  Documents are laid end to end in lanes and run side by side, window by window; the state is
 carried across windows and cleared where a document begins, so a score covers the whole document.
@@ -40,6 +40,7 @@ from .common import prepare, scratch, staged
 
 UNKNOWN, END = 0, 1
 FIXED = 1 << 20
+BLOCK = 16
 
 
 @dataclass(frozen=True)
@@ -49,8 +50,6 @@ class Settings:
     members: int = 64
     embed: int = 16
     hidden: int = 24
-    share: float = 1 / 16
-    least_tokens: int = 200_000
     replica_tokens: int = 1_000_000
     rounds: int = 2
     lanes: int = 64
@@ -149,11 +148,11 @@ class Gru:
     def flat(self) -> np.ndarray:
         return np.concatenate([self.p[k].ravel() for k in sorted(self.p)])
 
-    def with_flat(self, values: np.ndarray) -> Gru:
+    def with_flat(self, values: np.ndarray, copy: bool = True) -> Gru:
         out, at = {}, 0
         for k in sorted(self.p):
             n = self.p[k].size
-            out[k] = values[at:at + n].reshape(self.p[k].shape).astype(np.float32)
+            out[k] = values[at:at + n].reshape(self.p[k].shape).astype(np.float32, copy=copy)
             at += n
         return Gru(self.s, out)
 
@@ -164,6 +163,14 @@ class Gru:
         for c in np.flatnonzero(np.diff(cut)):
             yield int(c), order[cut[c]:cut[c + 1]]
 
+    def _blocks(self, k: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Tokens of classes ``k`` laid by class in blocks of ``BLOCK`` rows: their order, the row of each,
+        the class of each block, and the first block of each class that has any."""
+        order, size = np.argsort(k, kind="stable"), np.bincount(k, minlength=self.s.classes)
+        many = -(-size // BLOCK)
+        start = np.repeat((np.cumsum(many) - many) * BLOCK - (np.cumsum(size) - size), size)
+        return order, start + np.arange(len(k)), np.repeat(np.arange(self.s.classes), many), (np.cumsum(many) - many)[many > 0]
+
     def log_probability(self, states: np.ndarray, y: np.ndarray) -> np.ndarray:
         """Natural log probability of each token after each state."""
         p, m = self.p, self.s.members
@@ -217,20 +224,25 @@ class Gru:
         hs, y, count = states.reshape(-1, h)[at], x.ravel()[at], max(1, len(at))
         z = hs @ p["C"] + p["cb"]
         k, rows = y // s.members, np.arange(len(y))
-        loss = -(z[rows, k] - _log_sum(z)).sum()
-        d = _softmax(z)
+        d, total = _softmax(z)
+        loss = -(z[rows, k] - total).sum()
         d[rows, k] -= 1
         d /= count
         g["C"], g["cb"], dh = hs.T @ d, d.sum(axis=0), d @ p["C"].T
-        for c, own in self._by_class(y):
-            z = hs[own] @ p["O"][c].T + p["ob"][c]
-            one = np.arange(len(own))
-            loss -= (z[one, y[own] % s.members] - _log_sum(z)).sum()
-            d = _softmax(z)
-            d[one, y[own] % s.members] -= 1
-            d /= count
-            g["O"][c], g["ob"][c] = d.T @ hs[own], d.sum(axis=0)
-            dh[own] += d @ p["O"][c]
+        order, spot, cls, first = self._blocks(k)
+        held = np.zeros((len(cls) * BLOCK, h), hs.dtype)             # rows that no token has stay zero
+        held[spot] = hs[order]
+        held, O, member = held.reshape(-1, BLOCK, h), p["O"][cls], y[order] % s.members
+        z = (held @ O.transpose(0, 2, 1) + p["ob"][cls][:, None]).reshape(-1, s.members)
+        d, total = _softmax(z)
+        loss -= (z[spot, member] - total[spot]).sum()
+        d[spot, member] -= 1
+        d /= count
+        d[np.setdiff1d(np.arange(len(z)), spot, assume_unique=True)] = 0
+        flat = held.reshape(-1, h)
+        for c, a, b in zip(cls[first], first * BLOCK, np.append(first[1:], len(cls)) * BLOCK):
+            g["O"][c], g["ob"][c] = d[a:b].T @ flat[a:b], d[a:b].sum(axis=0)
+        dh[order] += (d.reshape(-1, BLOCK, s.members) @ O).reshape(-1, h)[spot]
         dout = np.zeros((steps * lanes, h), np.float32)
         dout[at] = dh
         dout = dout.reshape(steps, lanes, h)
@@ -248,27 +260,32 @@ class Gru:
         g["Uzr"] = states.reshape(-1, h).T @ flat[:, :2 * h]
         g["Uh"] = (rs * states).reshape(-1, h).T @ flat[:, 2 * h:]
         g["Wx"], g["b"] = inputs.reshape(-1, s.embed).T @ flat, flat.sum(axis=0)
-        np.add.at(g["E"], x.ravel(), flat @ p["Wx"].T)
+        order = np.argsort(x.ravel(), kind="stable")
+        ids, first = np.unique(x.ravel()[order], return_index=True)
+        g["E"][ids] = np.add.reduceat((flat @ p["Wx"].T)[order], first, axis=0)
         return float(loss) / count, g, state
 
     def train(self, docs: list[np.ndarray]) -> Gru:
         """One pass over the documents (ids, end last) in lanes; Adam, gradients cut at ``clip``."""
         s = self.s
         x, begins, width, _, _ = lanes_of(docs, s.lanes)
-        p = {k: v.copy() for k, v in self.p.items()}
-        model, m, v2 = Gru(s, p), {k: np.zeros_like(v) for k, v in p.items()}, {k: np.zeros_like(v) for k, v in p.items()}
+        values = self.flat()
+        model, m, v2, part = self.with_flat(values, copy=False), np.zeros_like(values), np.zeros_like(values), np.empty_like(values)
         state = np.zeros((x.shape[1], s.hidden), np.float32)
         live = np.arange(x.shape[1])[None, :] < width[:, None]
         for step, a in enumerate(range(0, len(x), s.train_window), 1):
             cut = slice(a, a + s.train_window)
             _, g, state = model.gradients(x[cut], begins[cut], live[cut], state)
-            norm = np.sqrt(sum(float((v * v).sum()) for v in g.values()))
-            scale = min(1.0, s.clip / (norm + 1e-9))
-            for k in p:
-                gk = g[k] * np.float32(scale)
-                m[k] += 0.1 * (gk - m[k])
-                v2[k] += 0.01 * (gk * gk - v2[k])
-                p[k] -= s.rate * (m[k] / (1 - 0.9 ** step)) / (np.sqrt(v2[k] / (1 - 0.99 ** step)) + 1e-6)
+            grad = np.concatenate([g[k].ravel() for k in sorted(g)])
+            grad *= min(1.0, s.clip / (float(np.sqrt(grad @ grad)) + 1e-9))
+            m *= 0.9
+            m += np.multiply(grad, 0.1, out=part)
+            v2 *= 0.99
+            v2 += np.multiply(np.multiply(grad, grad, out=part), 0.01, out=part)
+            np.sqrt(np.multiply(v2, 1 / (1 - 0.99 ** step), out=part), out=part)
+            part += 1e-6
+            np.divide(m, part, out=part)
+            values -= np.multiply(part, s.rate / (1 - 0.9 ** step), out=part)
         return model
 
 
@@ -281,9 +298,13 @@ def _log_sum(z: np.ndarray) -> np.ndarray:
     return top + np.log(np.exp(z - top[:, None]).sum(axis=1))
 
 
-def _softmax(z: np.ndarray) -> np.ndarray:
-    e = np.exp(z - z.max(axis=1, keepdims=True))
-    return e / e.sum(axis=1, keepdims=True)
+def _softmax(z: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The probabilities of each row, and its ``_log_sum``."""
+    top = z.max(axis=1)
+    e = np.exp(z - top[:, None])
+    total = e.sum(axis=1)
+    e /= total[:, None]
+    return e, top + np.log(total)
 
 
 def lanes_of(docs: list[np.ndarray], lanes: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -355,23 +376,22 @@ def _replica(shipped):
 
 
 def fit(texts: DataFrame, known: Counts, s: Settings) -> Gru:
-    """Train on a hash share of ``texts`` (tie, text), in replicas averaged after each round."""
+    """Train on all ``texts`` (tie, text) once: a part of them in each round, in replicas averaged after it."""
     spark = texts.sparkSession
     model, lexicon = Gru.start(s, known), Lexicon(known, s)
     if not known.total:
         return model
-    share = min(1.0, s.share + s.least_tokens / known.total)
-    replicas = max(1, round(known.total * share / s.replica_tokens))
-    own = staged(texts.filter(F.pmod(F.xxhash64("tie"), F.lit(1 << 20)) < int(share * (1 << 20)) + 1)
-                 .withColumn("replica", F.pmod(F.xxhash64("tie", "text"), F.lit(replicas)).cast("int")), "lm_share")
-    for _ in range(s.rounds):
+    parts = max(1, round(known.total / s.replica_tokens))
+    rounds = min(s.rounds, parts)                                   # of full replicas: no round trains on less
+    replicas = -(-parts // rounds)
+    own = texts.withColumn("replica", F.pmod(F.xxhash64("tie", "text"), F.lit(rounds * replicas)).cast("int"))
+    for k in range(rounds):
         shipped = spark.sparkContext.broadcast((model, lexicon))
-
-        parts = own.groupBy("replica").applyInArrow(_replica(shipped), "i int, v long, w long")
+        now = own.filter(F.floor(F.col("replica") / replicas) == k)
+        parts = now.groupBy("replica").applyInArrow(_replica(shipped), "i int, v long, w long")
         values = _average(parts)
-        if not len(values):
-            break
-        model = model.with_flat(values)
+        if len(values):
+            model = model.with_flat(values)
     return model
 
 

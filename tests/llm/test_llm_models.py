@@ -176,6 +176,21 @@ def test_lm_whole_table(spark):
     assert sum(r["score"] for r in held) > sum(r["base_score"] for r in held)      # better than the counts on texts not learned from
 
 
+def test_lm_trains_on_every_training_document_once(spark, monkeypatch):
+    train = documents(spark, D2).filter(fold("doc_id", 7) != 2).select("text", F.xxhash64(F.col("doc_id").cast("string")).alias("tie"))
+    average, learned = gated_lm._average, []
+
+    def counted(parts):
+        learned.append(parts.filter("i = 0").agg(F.sum("w")).first()[0])
+        return average(parts)
+
+    monkeypatch.setattr(gated_lm, "_average", counted)
+    s = gated_lm.tiny(replica_tokens=100_000, rounds=2, lanes=64, train_window=32)
+    known = gated_lm.head_of(gated_lm.count_words(train.select("text"), s), s)
+    gated_lm.fit(train, known, s)
+    assert len(learned) == 2 and sum(learned) == known.total
+
+
 def test_lm_edge_with_most_words_outside_the_head(edge, no_rows):
     rows = [(r["doc_id"], r["text"]) for r in edge.collect()]
     got = gated_lm.score(edge, fold("doc_id", 7) != 2, settings=gated_lm.tiny(head=3, group_bytes=500)).collect()
