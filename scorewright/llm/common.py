@@ -36,14 +36,14 @@ def prepare(spark: SparkSession) -> None:
 _SCOPES: list[list[str]] = []
 
 
-def staged(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as Parquet below the shared work folder and read it back.
+def staged(df: DataFrame, name: str, by: list[str] | None = None) -> DataFrame:
+    """Write ``df`` as Parquet below the shared work folder (in folders ``by`` columns) and read it back.
 
     Cuts the lineage, and pins what must not change between two uses (ids, names, slices) even when
     executors are lost.  Inside a ``scratch`` block the table goes with the block unless kept."""
     spark = df.sparkSession
     path = work_path(spark, "llm", spark.sparkContext.applicationId, f"{name}-{uuid.uuid4().hex[:12]}")
-    df.write.parquet(path)
+    df.write.parquet(path, partitionBy=by)
     out = spark.read.schema(df.schema).parquet(path)
     out.staged_path = path
     if _SCOPES:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from scorewright.session import work_path
 
-from . import blocknames, gated_lm, langid, licenses, packing, quality, secret_ledger, simhash, spec_bpe, transcripts
+from . import blocknames, gated_lm, langid, licenses, linedup, packing, quality, secret_ledger, simhash, spec_bpe, transcripts
 from .common import documents, fold, prepare
 
 
@@ -91,9 +91,14 @@ def op10_covering_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(documents(spark, sf_dir))
 
 
+def op13_line_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = linedup.drop_lines(documents(spark, sf_dir))
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_line_frequency, op2_gated_lm, op3_secret_ledger, op4_transcript_roles, op5_byte_cnn_language, op6_block_naming, op7_license_alignment,
-    op8_speculative_bpe, op9_hilbert_packing, op10_covering_simhash)}
+    op8_speculative_bpe, op9_hilbert_packing, op10_covering_simhash, op13_line_runs)}
 
 _SPACE = r"[\x20\x09-\x0D]+"
 
@@ -148,4 +153,15 @@ SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
 FROM documents WINDOW g AS (PARTITION BY coalesce(text, ''))
 """
 
-ORACLE = {"op1_line_frequency": _OP1, "op3_secret_ledger": _op3(), "op6_block_naming": _OP6}
+_OP13 = r"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, row_number() OVER () AS r FROM documents),
+l AS (SELECT r, unnest(string_split(t, chr(10))) AS line, unnest(range(0, len(string_split(t, chr(10))))) AS pos FROM d),
+k AS (SELECT r, line, pos, trim(translate(line, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS key FROM l),
+f AS (SELECT key FROM k WHERE length(key) >= 1 GROUP BY key HAVING count(DISTINCT r) >= 10),
+m AS (SELECT k.*, f.key IS NOT NULL AS gone FROM k LEFT JOIN f USING (key))
+SELECT any_value(doc_id) AS doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone), '')) AS kept_sha256
+FROM m JOIN d USING (r) GROUP BY r
+"""
+
+ORACLE = {"op1_line_frequency": _OP1, "op3_secret_ledger": _op3(), "op6_block_naming": _OP6, "op13_line_runs": _OP13}
