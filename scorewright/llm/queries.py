@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import uuid
+import zlib
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from scorewright.session import work_path
 
-from . import blocknames, gated_lm, langid, licenses, linedup, packing, quality, secret_ledger, simhash, spec_bpe, transcripts
+from . import blocknames, gated_lm, langid, licenses, linedup, packing, periodic, quality, secret_ledger, simhash, spec_bpe, transcripts
 from .common import documents, fold, prepare
 
 
@@ -91,6 +92,29 @@ def op10_covering_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(documents(spark, sf_dir))
 
 
+def planted_tail(doc_id, n: int) -> tuple[int, int] | None:
+    """The contract's rule: every tenth document (by crc32 of its id) repeats itself from one of its words on."""
+    h = zlib.crc32(b"" if doc_id is None else str(doc_id).encode())
+    if h % 10 or n == 0:
+        return None
+    g = h // 10
+    start = g % n
+    return start, 1 + (n - start) // (3 + g % 8)
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic.periodic_runs(documents(spark, sf_dir), tail=planted_tail)
+    order = lambda a, b: F.when(a["length"] != b["length"], F.signum(b["length"] - a["length"])).when(
+        a["start"] != b["start"], F.signum(a["start"] - b["start"])).otherwise(F.signum(a["period"] - b["period"])).cast("int")
+    best = F.get(F.array_sort("runs", order), F.lit(0))
+    lines = F.array_join(F.transform("runs", lambda r: F.concat_ws(",", *[r[k].cast("string") for k in ("start", "length", "period")])), "\n")
+    listed = F.when(F.size("runs") > 0, F.concat(lines, F.lit("\n"))).otherwise("")
+    return found.withColumn("best", best).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period",
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(listed.cast("binary"), 256).alias("runs_sha256"), "collapsed_sha256")
+
+
 def op13_line_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = linedup.drop_lines(documents(spark, sf_dir))
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
@@ -98,7 +122,7 @@ def op13_line_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_line_frequency, op2_gated_lm, op3_secret_ledger, op4_transcript_roles, op5_byte_cnn_language, op6_block_naming, op7_license_alignment,
-    op8_speculative_bpe, op9_hilbert_packing, op10_covering_simhash, op13_line_runs)}
+    op8_speculative_bpe, op9_hilbert_packing, op10_covering_simhash, op12_periodic_runs, op13_line_runs)}
 
 _SPACE = r"[\x20\x09-\x0D]+"
 
