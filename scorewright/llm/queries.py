@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from scorewright.session import work_path
 
-from . import blocknames, gated_lm, langid, licenses, linedup, packing, periodic, quality, secret_ledger, simhash, spec_bpe, transcripts
+from . import blocknames, collocations, gated_lm, langid, licenses, linedup, packing, periodic, quality, secret_ledger, simhash, spec_bpe, transcripts
 from .common import documents, fold, prepare
 
 
@@ -92,6 +92,10 @@ def op10_covering_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(documents(spark, sf_dir))
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(documents(spark, sf_dir))
+
+
 def planted_tail(doc_id, n: int) -> tuple[int, int] | None:
     """The contract's rule: every tenth document (by crc32 of its id) repeats itself from one of its words on."""
     h = zlib.crc32(b"" if doc_id is None else str(doc_id).encode())
@@ -122,7 +126,7 @@ def op13_line_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_line_frequency, op2_gated_lm, op3_secret_ledger, op4_transcript_roles, op5_byte_cnn_language, op6_block_naming, op7_license_alignment,
-    op8_speculative_bpe, op9_hilbert_packing, op10_covering_simhash, op12_periodic_runs, op13_line_runs)}
+    op8_speculative_bpe, op9_hilbert_packing, op10_covering_simhash, op11_collocations, op12_periodic_runs, op13_line_runs)}
 
 _SPACE = r"[\x20\x09-\x0D]+"
 
@@ -177,6 +181,25 @@ SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
 FROM documents WINDOW g AS (PARTITION BY coalesce(text, ''))
 """
 
+_OP11 = r"""
+WITH d AS (SELECT coalesce(lang, 'und') AS lang, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents),
+p AS (SELECT lang, unnest(string_split_regex(t, '[.,;:!?\x0A-\x0D]')) AS piece FROM d),
+w AS (SELECT lang, list_filter(string_split_regex(piece, '[\x20\x09]+'), lambda x: x <> '') AS ws FROM p),
+n AS (SELECT lang, CAST(sum(len(ws)) AS BIGINT) AS n FROM w GROUP BY lang),
+g AS (SELECT lang, k, unnest(list_transform(range(1, len(ws) - k + 2), lambda i: array_to_string(ws[i:i + k - 1], ' '))) AS phrase
+  FROM w, (SELECT unnest([1, 2, 3]) AS k) WHERE len(ws) >= k),
+f AS (SELECT lang, k, phrase, string_split(phrase, ' ') AS ws, count(*) AS a FROM g GROUP BY lang, k, phrase HAVING count(*) >= 10),
+c AS (SELECT lang, k, phrase, a, ws, unnest(range(1, k)) AS cut FROM f WHERE k > 1),
+s AS (SELECT c.*, x.a AS l, y.a AS r, CAST(1000000 * c.a::HUGEINT * c.a::HUGEINT // (x.a::HUGEINT * y.a::HUGEINT) AS BIGINT) AS score
+  FROM c JOIN f x ON x.lang = c.lang AND x.phrase = array_to_string(c.ws[1:cut], ' ') JOIN f y ON y.lang = c.lang AND y.phrase = array_to_string(c.ws[cut + 1:], ' ')),
+b AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1),
+u AS (SELECT lang, a, unnest([array_to_string(ws[1:2], ' '), array_to_string(ws[2:3], ' ')]) AS phrase FROM f WHERE k = 3),
+m AS (SELECT lang, phrase, max(a) AS longer FROM u GROUP BY lang, phrase),
+z AS (SELECT b.* FROM b LEFT JOIN m USING (lang, phrase) WHERE longer IS NULL OR 100 * longer < 50 * a)
+SELECT * FROM (SELECT z.lang, row_number() OVER (PARTITION BY z.lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n.n, score
+  FROM z JOIN n ON n.lang = z.lang) WHERE rank <= 2000
+"""
+
 _OP13 = r"""
 WITH d AS (SELECT doc_id, coalesce(text, '') AS t, row_number() OVER () AS r FROM documents),
 l AS (SELECT r, unnest(string_split(t, chr(10))) AS line, unnest(range(0, len(string_split(t, chr(10))))) AS pos FROM d),
@@ -188,4 +211,4 @@ SELECT any_value(doc_id) AS doc_id, count(*) AS n_lines, count(*) FILTER (gone)
 FROM m JOIN d USING (r) GROUP BY r
 """
 
-ORACLE = {"op1_line_frequency": _OP1, "op3_secret_ledger": _op3(), "op6_block_naming": _OP6, "op13_line_runs": _OP13}
+ORACLE = {"op1_line_frequency": _OP1, "op3_secret_ledger": _op3(), "op6_block_naming": _OP6, "op11_collocations": _OP11, "op13_line_runs": _OP13}
