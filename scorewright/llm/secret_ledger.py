@@ -5,13 +5,14 @@ one scan: two Parquet folders, ``scanned`` (blob, rules) and ``findings`` (blob,
 places in code points, end exclusive).  A scan takes the distinct blobs of all the versions handed in, drops those
 the ledger already has under this rule version, scans the rest, appends to the ledger, and joins the
 findings back to every path that ever held the blob.  A changed rule set has another version, so it
-scans again; old findings stay under theirs.
+scans again; old findings stay under theirs.  Private keys (``pem``) are found by their lines, see ``key_spans``.
 
 Findings are written before the scanned marks, and duplicates are removed on reading: a run that dies
 in between is repeated without harm.  The ledger belongs in a shared folder.
 
 Cases: null text counts as empty (no finding).  Repeated rows and null paths each keep their row.  An
-empty table gives an empty result and an empty ledger.  Matches of a kind are leftmost and do not
+empty table gives an empty result and an empty ledger.  Very long texts are scanned whole, patterns without bounds on
+what they match.  Matches of a kind are leftmost and do not
 overlap; those of different kinds may.  Only the named columns are read; others don't clash.
 """
 
@@ -25,7 +26,7 @@ from pyspark.sql import functions as F
 
 from scorewright.sinks.fs import exists
 
-from .common import prepare, staged
+from .common import let, prepare, staged
 
 
 @dataclass(frozen=True)
@@ -39,21 +40,23 @@ class Rule:
     literal: str | None = None               # every match holds it: cheap first test
 
 
-_EDGE, _BODY = r"""[\x20\t>"'#*|,]""", r"[A-Za-z0-9+/=\\]"
-_LINES = rf"{_EDGE}*(?:[\r\n]+{_EDGE}*{_BODY}+{_EDGE}*){{0,1000}}"
-#: A private key from its BEGIN line to its END line (between them no five dashes in a row).  Without an END: header
-#: fields, then lines that begin in base64, any number of them plain, or 1,000 quoted, indented or with blanks behind;
-#: line breaks may be written out.  The last line may be short, so a word that follows the body goes with it.
-_PEM = (r"-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----(?:[^-]*(?:-{1,4}[^-]+){0,40}-----END [A-Z ]{0,40}PRIVATE KEY-----"
-        rf"|(?:[\r\n]+[A-Za-z-]+:[^\r\n]*){{0,9}}(?:{_EDGE}*[\r\n]+{_EDGE}+{_BODY}{{16,}}{_LINES}"
-        rf"|{_EDGE}*[\r\n]*{_BODY}{{16,}}{_BODY[:-1]}\r\n]*{_LINES})?)")
+#: Lines of a private key.  A marker may stand anywhere in its line; other lines count without what leads and follows
+#: them (quotes, comment signs, diff and list marks).
+BEGIN = r"-----BEGIN [A-Z0-9 ]*PRIVATE KEY(?: BLOCK)?-----"
+END = r"-----END [A-Z0-9 ]*PRIVATE KEY(?: BLOCK)?-----"
+EDGES = r"^[^A-Za-z0-9]+|[^A-Za-z0-9=]+$"
+FULL, SHORT = r"^[A-Za-z0-9+/=\\]{16,}$", r"^[A-Za-z0-9+/=\\]+$"
+HEADER = r"^[^A-Za-z0-9]*[A-Za-z][A-Za-z0-9-]*: "
+CHECKSUM = r"^[^A-Za-z0-9]*=[A-Za-z0-9+/]{4}[^A-Za-z0-9]*$"
+#: Body behind a marker in the same line (line breaks written out, or none).
+INLINE = r"^(?:\\[rn]|[^A-Za-z0-9])*[A-Za-z0-9+/=\\]{16,}"
 
 #: Fixed kinds, then kinds of our own (a private key; a signed web token).
 RULES = (
     Rule("assign", r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 2, 6),
     Rule("access", r"AKIA[A-Z0-9]{16,}", literal="AKIA"),
     Rule("hex", r"[0-9a-f]{24,}"),
-    Rule("pem", _PEM, literal="PRIVATE KEY-----"),
+    Rule("pem", BEGIN, literal="PRIVATE KEY"),
     Rule("jwt", r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{16,}", literal="eyJ"),
 )
 BASE = ("assign", "access", "hex")
@@ -67,6 +70,55 @@ def blob_id(text: Column) -> Column:
     return F.sha2(F.coalesce(text, F.lit("")).cast("binary"), 256)
 
 
+def key_spans(text: Column) -> Column:
+    """Places of private keys, by a fold over the lines: no length of key, leader or line is too long.
+
+    A key begins at its BEGIN marker and goes on over header fields and blank lines to base64 lines of 16 characters
+    or more, and ends with an END marker, or, where there is none, with its last base64 line: a shorter one, a
+    checksum or blank lines may follow before an END.  Any other line ends it before.  A second BEGIN marker inside
+    goes on with the same span.  (State 0: no key; 1: begun; 2: in the body; 3: behind a short line.)"""
+    begin = F.struct(F.lit(0).cast("long").alias("at"), F.lit(0).alias("state"), F.lit(0).cast("long").alias("b"), F.lit(0).cast("long").alias("e"),
+                     F.array().cast("array<struct<b: bigint, e: bigint>>").alias("out"))
+    long, short, none = (lambda c: c.cast("long")), F.lit(3), F.lit(0)
+
+    def state(acc, **new):
+        return F.struct(*[new.get(c, acc[c]).alias(c) for c in ("at", "state", "b", "e", "out")])
+
+    def closed(acc, b, e):
+        return F.concat(acc["out"], F.array(F.struct(b.alias("b"), e.alias("e"))))
+
+    def step(acc, line):
+        n, at = long(F.length(line)), acc["at"]
+        following, inside = at + n + 1, acc["state"] > 0
+        last = lambda pattern: long(F.length(F.element_at(F.split(line, pattern, -1), -1)))
+        # a line with BEGIN: open if the last marker is a BEGIN, else closed behind its last END
+        start = F.when(inside, acc["b"]).otherwise(at + long(F.length(F.get(F.split(line, BEGIN, 2), 0))))
+        after_begin = F.element_at(F.split(line, BEGIN, -1), -1)
+        inline = F.regexp_extract(after_begin, INLINE, 0)
+        opened = state(acc, at=following, state=F.when(inline == "", 1).otherwise(2), b=start, e=at + n - long(F.length(after_begin)) + long(F.length(inline)))
+        shut = state(acc, at=following, state=none, out=closed(acc, start, at + n - last(END)))
+        begun = F.when(after_begin.rlike(END), shut).otherwise(opened)
+        # inside a key
+        bare = F.regexp_replace(line, EDGES, "")
+        to_end = at + long(F.length(F.regexp_replace(line, r"\s+$", "")))
+        ended = state(acc, at=following, state=none, out=closed(acc, acc["b"], at + n - last(END)))
+        goes_on = state(acc, at=following, state=F.lit(2), e=to_end)
+        last_line = state(acc, at=following, state=short, e=to_end)
+        over = state(acc, at=following, state=none, out=closed(acc, acc["b"], acc["e"]))
+        s = acc["state"]
+        key_line = (F.when(line.rlike(END), ended)
+                    .when((s >= 2) & line.rlike(CHECKSUM), last_line)
+                    .when(bare == "", state(acc, at=following))
+                    .when((s < 3) & bare.rlike(FULL), goes_on)
+                    .when((s == 2) & bare.rlike(SHORT), last_line)
+                    .when((s == 1) & line.rlike(HEADER), state(acc, at=following))
+                    .otherwise(over))
+        return F.when(line.rlike(BEGIN), begun).when(inside, key_line).otherwise(state(acc, at=following))
+
+    found = F.aggregate(F.split(text, "\n"), begin, step, lambda acc: F.when(acc["state"] > 0, closed(acc, acc["b"], acc["e"])).otherwise(acc["out"]))
+    return F.when(text.rlike(BEGIN), found).otherwise(F.array().cast("array<struct<b: bigint, e: bigint>>"))
+
+
 def _holds(r: Rule) -> Column:
     found = F.col("text").rlike(r.pattern)
     return found if r.literal is None else F.contains("text", F.lit(r.literal)) & found
@@ -78,7 +130,14 @@ def _hits(rules: tuple[Rule, ...]) -> Column:
     def lengths(strings: Column) -> Column:
         return F.transform(strings, F.length)
 
-    per_rule = [F.when(_holds(r), F.struct(
+    def of_keys(r: Rule) -> Column:
+        def told(k: Column) -> Column:
+            size = F.transform(k, lambda x: (x["e"] - x["b"]).cast("int"))
+            gap = F.transform(k, lambda x, i: (x["b"] - F.coalesce(F.get(k, i - 1)["e"], F.lit(0))).cast("int"))
+            return F.struct(F.lit(r.kind).alias("kind"), F.lit(r.least).alias("least"), gap.alias("gap"), size.alias("size"), size.alias("held"))
+        return F.when(_holds(r), let(key_spans(F.col("text")), told))
+
+    per_rule = [of_keys(r) if r.kind == "pem" else F.when(_holds(r), F.struct(
         F.lit(r.kind).alias("kind"), F.lit(r.least).alias("least"),
         lengths(F.split("text", r.pattern, -1)).alias("gap"),
         lengths(F.regexp_extract_all("text", F.lit(r.pattern), F.lit(0))).alias("size"),
