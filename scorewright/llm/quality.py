@@ -1,18 +1,19 @@
 """Quality rules by cross-document line frequency, in DataFrame expressions only.
 
 Every line that holds a word is normalised (lower case, one space between words) and hashed to 96 bits.
-Per host, the documents that hold a line are counted; lines in more than ``max_docs`` documents of a
-host are boilerplate there and are removed; a document that loses more than ``max_removed`` of its
+Per host, the distinct documents (by id and text) that hold a line are counted; lines in more than ``share`` of
+the host's distinct documents, and more than ``min_docs``, are boilerplate there and are removed; a document that loses more than ``max_removed`` of its
 words that way, or is left with fewer than ``min_words``, is depleted and rejected.  In front stand the
 usual single-document rules (too short, too many repeated word windows).
 
-Counting shuffles one hash per document and distinct line, combined in each task first, so a line that
-a third of all rows hold costs one row per task.  Frequent lines are few (each stands for more than
-``max_docs`` rows); they meet the lines in a join whose side Spark broadcasts only when its measured size
+Counting shuffles a hash per distinct document and line, dealt by both, so a line that a third of all rows hold
+is spread, and then counted with a sum per task.  Frequent lines are few (each stands for more than
+``min_docs`` documents); they meet the lines in a join whose side Spark broadcasts only when its measured size
 allows.  The texts themselves are never shuffled.
 
-Cases: a null text has no words (base rules reject it).  A null host is a host of its own.  Every row
-is a document, also repeated ones: n equal rows count n times and come back n times.  Empty table:
+Cases: a null text has no words (base rules reject it).  A null host is a host of its own, a null id an id.
+Repeated rows count once and come back as often as they are.  A line at the limit stays (it has to be in more
+documents).  Very long texts go whole; one text's lines and windows are sorted in one task.  Empty table:
 empty result.  Only the named columns are read; others don't clash.
 """
 
@@ -28,7 +29,8 @@ from .common import SPACES, fresh, let, prepare, staged
 
 @dataclass(frozen=True)
 class Limits:
-    max_docs: int = 10
+    min_docs: int = 5
+    share: float = 0.05
     max_removed: float = 0.5
     min_words: int = 10
     repeat_window: int = 5
@@ -95,9 +97,13 @@ def base_measures(text: Column) -> list[Column]:
 
 
 def frequent_lines(docs: DataFrame, limits: Limits) -> DataFrame:
-    """(host, h1, h2, docs): lines in more than ``max_docs`` documents of the host; ``docs``: host, text."""
-    each = docs.select("host", F.explode(F.array_distinct(_lines(F.col("text")))).alias("line")).select("host", *_hash(F.col("line")))
-    return each.groupBy("host", "h1", "h2").agg(F.count("*").alias("docs")).filter(F.col("docs") > limits.max_docs)
+    """(host, h1, h2, docs): lines in more distinct documents of the host than the limits allow; ``docs``: id, host, text."""
+    own = ["id", F.xxhash64("text").alias("t1"), F.hash("text").alias("t2")]
+    each = docs.select("host", *own, F.explode(F.array_distinct(_lines(F.col("text")))).alias("line")).select(
+        "host", "id", "t1", "t2", *_hash(F.col("line"))).distinct()
+    lines = each.groupBy("host", "h1", "h2").agg(F.count("*").alias("docs")).filter(F.col("docs") > limits.min_docs)
+    hosts = docs.select("host", *own).distinct().groupBy(F.col("host").alias("of")).agg(F.count("*").alias("all"))
+    return lines.join(hosts, F.col("host").eqNullSafe(F.col("of"))).filter(F.col("docs") > limits.share * F.col("all")).select("host", "h1", "h2", "docs")
 
 
 def line_quality(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source",
@@ -131,12 +137,12 @@ def line_quality(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "te
                       depleted.alias("depleted"), (~failed & ~depleted).alias("kept"))
 
 
-def clean_texts(docs: DataFrame, *, text_col: str = "text", host_col: str = "source", limits: Limits = Limits()) -> DataFrame:
+def clean_texts(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source", limits: Limits = Limits()) -> DataFrame:
     """``docs`` with the lines above the limit taken out of the text, the others in their order; blank lines go too."""
     prepare(docs.sparkSession)
     row = fresh(docs, "_row")
     numbered = staged(docs.withColumn(row, F.monotonically_increasing_id()), "numbered")
-    rows = numbered.select(F.col(row).alias("row"), F.col(host_col).alias("host"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    rows = numbered.select(F.col(row).alias("row"), F.col(id_col).alias("id"), F.col(host_col).alias("host"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     plain = F.trim(F.regexp_replace(F.lower("line"), r"[\x20\x09\x0B-\x0D]+", " "))
     f = staged(frequent_lines(rows, limits), "frequent_lines").select(F.col("host").alias("f_host"), F.col("h1").alias("f1"), F.col("h2").alias("f2"))
     lines = (rows.select("row", "host", F.posexplode(F.split("text", "\n")).alias("pos", "line")).withColumn("plain", plain)

@@ -138,7 +138,9 @@ twice AS (SELECT r, i FROM (SELECT r, i, count(*) OVER (PARTITION BY r, s) AS c
 rep AS (SELECT r, count(DISTINCT i + k) AS n FROM (SELECT r, i, unnest(range(0, 5)) AS k FROM twice) GROUP BY r),
 raw AS (SELECT r, list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS ls FROM d),
 lines AS (SELECT r, source, unnest(list_transform(string_split(regexp_replace(lower(t), '[\x20\x09\x0B-\x0D]+', ' ', 'g'), chr(10)), lambda x: trim(x, ' '))) AS l FROM d),
-freq AS (SELECT source, l FROM lines WHERE l <> '' GROUP BY source, l HAVING count(DISTINCT r) > 10),
+hosts AS (SELECT source, count(DISTINCT {{'i': doc_id, 't': t}}) AS n FROM d GROUP BY source),
+freq AS (SELECT src AS source, l FROM (SELECT lines.source AS src, l, count(DISTINCT {{'i': doc_id, 't': t}}) AS c FROM lines JOIN d USING (r) WHERE l <> '' GROUP BY lines.source, l)
+  JOIN hosts ON hosts.source IS NOT DISTINCT FROM src WHERE c > 5 AND c > 0.05 * n),
 gone AS (SELECT r, count(*) AS n, sum(len(string_split(lines.l, ' '))) AS m FROM lines JOIN freq ON lines.l = freq.l AND lines.source IS NOT DISTINCT FROM freq.source GROUP BY r),
 x AS (SELECT d.doc_id, CAST(len(w.ws) AS BIGINT) AS n_words, CAST(length(regexp_replace(t, '{_SPACE}', '', 'g')) AS BIGINT) AS word_chars,
   CAST(length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
@@ -154,19 +156,60 @@ _ASSIGN = (r"""([pP][aA][sS][sS][wW][oO][rR][dD]|[pP][aA][sS][sS][wW][dD]|[sS][e
            r"""["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)""")
 
 
+def _keys_sql() -> str:
+    """(r, b, e): private keys of ``d`` by the same fold over lines as ``secret_ledger.key_spans``."""
+    L = secret_ledger
+    q = lambda p: "'" + p.replace("'", "''") + "'"
+    last = lambda p: f"length(string_split_regex(x.line, {q(p)})[-1])"
+
+    def state(**new):
+        return "{'line': '', " + ", ".join(f"'{c}': {new.get(c, f'a.{c}')}" for c in ("at", "state", "b", "e", "out")) + "}"
+
+    n, following = "length(x.line)", "a.at + length(x.line) + 1"
+    start = f"CASE WHEN a.state > 0 THEN a.b ELSE a.at + length(string_split_regex(x.line, {q(L.BEGIN)})[1]) END"
+    after = f"string_split_regex(x.line, {q(L.BEGIN)})[-1]"
+    inline = f"regexp_extract({after}, {q(L.INLINE)})"
+    bare = f"regexp_replace(x.line, {q(L.EDGES)}, '', 'g')"
+    to_end = "a.at + length(regexp_replace(x.line, '\\s+$', ''))"
+
+    def shut(b, e):
+        return f"list_append(a.out, {{'b': {b}, 'e': {e}}})"
+
+    opened = state(at=following, state=f"CASE WHEN {inline} = '' THEN 1 ELSE 2 END", b=start, e=f"a.at + {n} - length({after}) + length({inline})")
+    ended = f"a.at + {n} - {last(L.END)}"
+    step = f"""CASE WHEN regexp_matches(x.line, {q(L.BEGIN)}) THEN
+    CASE WHEN regexp_matches({after}, {q(L.END)}) THEN {state(at=following, state='0', out=shut(start, ended))} ELSE {opened} END
+  WHEN a.state = 0 THEN {state(at=following)}
+  WHEN regexp_matches(x.line, {q(L.END)}) THEN {state(at=following, state='0', out=shut('a.b', ended))}
+  WHEN a.state >= 2 AND regexp_matches(x.line, {q(L.CHECKSUM)}) THEN {state(at=following, state='3', e=to_end)}
+  WHEN {bare} = '' THEN {state(at=following)}
+  WHEN a.state < 3 AND regexp_matches({bare}, {q(L.FULL)}) THEN {state(at=following, state='2', e=to_end)}
+  WHEN a.state = 2 AND regexp_matches({bare}, {q(L.SHORT)}) THEN {state(at=following, state='3', e=to_end)}
+  WHEN a.state = 1 AND regexp_matches(x.line, {q(L.HEADER)}) THEN {state(at=following)}
+  ELSE {state(at=following, state='0', out=shut('a.b', 'a.e'))} END"""
+    shape = "STRUCT(line VARCHAR, \"at\" BIGINT, state BIGINT, b BIGINT, e BIGINT, \"out\" STRUCT(b BIGINT, e BIGINT)[])"
+    first = "{'line': %s, 'at': 0, 'state': 0, 'b': 0, 'e': 0, 'out': []}"
+    return f"""SELECT r, unnest(CASE WHEN z.state > 0 THEN list_append(z.out, {{'b': z.b, 'e': z.e}}) ELSE z.out END, recursive := true) FROM (
+  SELECT r, list_reduce(list_transform(string_split(t, chr(10)), lambda v: CAST({first % 'v'} AS {shape})),
+    lambda a, x: CAST({step} AS {shape}), CAST({first % "''"} AS {shape})) AS z FROM d WHERE regexp_matches(t, {q(L.BEGIN)}))"""
+
+
 def _op3() -> str:
     kinds = [("assign", _ASSIGN, 2, 6), *((r.kind, r.pattern.replace("'", "''"), r.group, r.least) for r in secret_ledger.RULES[1:])]
     parts = " UNION ALL ".join(
         f"SELECT r, '{k}' AS kind, {i} AS rank, {least} AS least, regexp_extract_all(t, '{p}', 0) AS m, regexp_extract_all(t, '{p}', {g}) AS h, "
-        f"string_split_regex(t, '{p}') AS g FROM d" for i, (k, p, g, least) in enumerate(kinds))
+        f"string_split_regex(t, '{p}') AS g FROM d" for i, (k, p, g, least) in enumerate(kinds) if k != "pem")
+    pem = next(i for i, (k, *_) in enumerate(kinds) if k == "pem")
     counts = ", ".join(f"count(*) FILTER (kind = '{k}') AS n_{k}" for k in secret_ledger.BASE)
     base = "', '".join(secret_ledger.BASE)
     return f"""
 WITH d AS (SELECT doc_id, coalesce(text, '') AS t, row_number() OVER () AS r FROM documents),
 a AS ({parts}),
 b AS (SELECT r, kind, rank, m, h, g, least, unnest(range(1, len(m) + 1)) AS n FROM a WHERE len(m) > 0),
+keys AS ({_keys_sql()}),
 c AS (SELECT r, kind, rank, CAST(list_sum(list_transform(g[1:n], lambda x: length(x))) + list_sum(list_transform(m[1:n], lambda x: length(x))) AS BIGINT) AS e,
-  length(m[n]) AS size FROM b WHERE length(h[n]) >= least),
+  length(m[n]) AS size FROM b WHERE length(h[n]) >= least
+  UNION ALL SELECT r, 'pem', {pem}, e, e - b FROM keys),
 s AS (SELECT r, {counts},
   string_agg(kind || ':' || (e - size) || ':' || e, ',' ORDER BY e - size, rank) FILTER (kind IN ('{base}')) AS base,
   string_agg(kind || ':' || (e - size) || ':' || e, ',' ORDER BY e - size, rank) AS spans FROM c GROUP BY r)

@@ -23,10 +23,12 @@ SPACE = r"[\x20\x09-\x0D]+"
 
 # quality rules -------------------------------------------------------------------------------------
 
-def brute_quality(rows, max_docs=10):
+def brute_quality(rows, min_docs=5, share=0.05):
     """(id, text, host) -> Counter of result tuples."""
     lines = [[" ".join(w for w in re.split(r"[\x20\x09\x0B-\x0D]+", x) if w) for x in (t or "").lower().split("\n")] for _, t, _ in rows]
-    docs = Counter((h, x) for (_, _, h), ls in zip(rows, lines) for x in {x for x in ls if x})
+    distinct = {(i, t or "", h): ls for (i, t, h), ls in zip(rows, lines)}
+    docs = Counter((h, x) for (_, _, h), ls in distinct.items() for x in {x for x in ls if x})
+    hosts = Counter(h for _, _, h in distinct)
     out = Counter()
     for (i, t, h), ls in zip(rows, lines):
         t = t or ""
@@ -34,7 +36,7 @@ def brute_quality(rows, max_docs=10):
         seen = Counter(tuple(words[a:a + 5]) for a in range(len(words) - 4))
         repeat = len({a + k for a in range(len(words) - 4) if seen[tuple(words[a:a + 5])] > 1 for k in range(5)})
         held = [x for x in t.split("\n") if re.search(r"[^\x20\x09-\x0D]", x)]
-        gone = [x for x in ls if x and docs[h, x] > max_docs]
+        gone = [x for x in ls if x and docs[h, x] > max(min_docs, share * hosts[h])]
         removed = sum(len(x.split(" ")) for x in gone)
         failed = len(words) < 10 or 100 * repeat > 20 * len(words)
         depleted = removed > 0.5 * len(words) or (removed > 0 and len(words) - removed < 10)
@@ -49,9 +51,18 @@ def quality_rows(df):
 
 def test_quality_edge(edge):
     rows = [(r["doc_id"], r["text"], r["source"]) for r in edge.collect()]
-    for limit in (10, 2):
-        got = quality.line_quality(edge, limits=quality.Limits(max_docs=limit))
-        assert quality_rows(got) == brute_quality(rows, limit)
+    for limit in ((10, 0.05), (1, 0.05), (0, 0.5), (0, 0.01)):
+        got = quality.line_quality(edge, limits=quality.Limits(*limit))
+        assert quality_rows(got) == brute_quality(rows, *limit)
+
+
+def test_quality_counts_distinct_documents(spark):
+    """A document that comes twenty times doesn't make its own lines frequent; twenty documents do, unless the host has far more."""
+    line = "this line stands in several documents of its host today"
+    rows = [(1, f"{line}\nalone {line}", "a")] * 20 + [(100 + i, f"{line}\nown words of document {i} and some more of them here", "b") for i in range(20)]
+    rows += [(1000 + i, f"{line if i < 20 else f'x{i}'}\nown words of document {i} and some more of them here", "c") for i in range(500)]
+    got = quality.line_quality(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()
+    assert len(got) == len(rows) and {r["doc_id"] for r in got if r["removed_lines"]} == set(range(100, 120))
 
 
 def test_quality_empty(no_rows):
@@ -66,7 +77,7 @@ def test_quality_whole_table(spark):
 def test_clean_texts_removes_only_frequent_lines(spark):
     rows = [(i, f"Own line {i}\n  SHARED  line \n\nlast {i}", "h" if i < 4 else None) for i in range(8)] + [(99, None, "h"), (100, "shared line", "other")]
     df = spark.createDataFrame(rows, "doc_id long, text string, source string")
-    got = {r["doc_id"]: r["text"] for r in quality.clean_texts(df, limits=quality.Limits(max_docs=3)).collect()}
+    got = {r["doc_id"]: r["text"] for r in quality.clean_texts(df, limits=quality.Limits(min_docs=3)).collect()}
     assert got == {**{i: f"Own line {i}\nlast {i}" for i in range(8)}, 99: None, 100: "shared line"}
 
 
@@ -75,12 +86,52 @@ def test_clean_texts_removes_only_frequent_lines(spark):
 def brute_spans(text):
     out = []
     for rank, r in enumerate(secret_ledger.RULES):
+        if r.kind == "pem":
+            out += [(b, rank, r.kind, e) for b, e in brute_keys(text or "")]
+            continue
         for m in re.finditer(r.pattern, text or ""):
             if len(m[r.group]) >= r.least:
                 out.append((m.start(), rank, r.kind, m.end()))
     return [(k, s, e) for s, _, k, e in sorted(out)]
 
 
+def brute_keys(text):
+    """Private keys by a plain loop over the lines with their places."""
+    marker = r"-----%s [A-Z0-9 ]*PRIVATE KEY( BLOCK)?-----"
+    out, at, begin, end, phase = [], 0, None, None, ""
+    for line in text.split("\n"):
+        begins, ends = (list(re.finditer(marker % m, line)) for m in ("BEGIN", "END"))
+        bare = re.sub(r"^[^A-Za-z0-9]+|[^A-Za-z0-9=]+$", "", line)
+        whole = at + len(re.sub(r"[ \t\n\x0b\f\r]+$", "", line))
+        if begins:
+            begin = at + begins[0].start() if begin is None else begin
+            if ends and ends[-1].start() > begins[-1].end() - 1:
+                out.append((begin, at + ends[-1].end()))
+                begin = None
+            else:
+                m = re.match(r"(?:\\[rn]|[^A-Za-z0-9])*[A-Za-z0-9+/=\\]{16,}", line[begins[-1].end():])
+                end, phase = at + begins[-1].end() + (m.end() if m else 0), "body" if m else "head"
+        elif begin is not None:
+            if ends:
+                out.append((begin, at + ends[-1].end()))
+                begin = None
+            elif phase != "head" and re.match(r"[^A-Za-z0-9]*=[A-Za-z0-9+/]{4}[^A-Za-z0-9]*$", line):
+                end, phase = whole, "tail"
+            elif not bare:
+                pass
+            elif phase != "tail" and len(bare) >= 16 and re.fullmatch(r"[A-Za-z0-9+/=\\]+", bare):
+                end, phase = whole, "body"
+            elif phase == "body" and re.fullmatch(r"[A-Za-z0-9+/=\\]+", bare):
+                end, phase = whole, "tail"
+            elif phase == "head" and re.match(r"[^A-Za-z0-9]*[A-Za-z][A-Za-z0-9-]*: ", line):
+                pass
+            else:
+                out.append((begin, end))
+                begin = None
+        at += len(line) + 1
+    return out + ([(begin, end)] if begin is not None else [])
+
+
 def ledger(spark, **more):
     return secret_ledger.Ledger(spark, work_path(spark, "llm", f"test-{uuid.uuid4().hex}"), **more)
 
@@ -136,6 +187,14 @@ def test_private_keys_leave_no_body(spark):
              "\\n".join([begin, *lines]), "\n".join(f"    {x}" for x in [begin, *lines]), "\n".join(f"> {x}" for x in [begin, *lines]),
              f"{begin}\n{body}\n{begin}\n{body}\n{end}", f"{begin}\n" + f"{body}\n" * 500, "\n".join([begin, *(f"  {x}" for x in lines * 30)]),
              f"{begin}\n{body}\n{end}\nbetween\n{begin}\n{body}\n{end}"]
+    pgp = "-----BEGIN PGP PRIVATE KEY BLOCK-----\nVersion: GnuPG v2\nComment: a - b\n\n" + body + "\n=aB3+\n-----END PGP PRIVATE KEY BLOCK-----"
+    texts += ["\n".join(f"-{x}" for x in [begin, *lines, end]), "\n".join(f"-{x}" for x in [begin, *lines]), "\n".join(f"// {x}" for x in [begin, *lines]),
+              "\n".join(f"> {x}" for x in [begin, *lines[:-1] * 50]), "\n".join(f"- {x}" for x in [begin, *lines[:-1] * 2, end]), pgp,
+              "\n".join(f"> > {x}" for x in pgp.split("\n")[:-1]), '{"a": "' + "\\n".join([begin, *lines, end]) + '", "b": "' + "\\n".join([begin, *lines]) + '"}',
+              "\n".join(f'"{x}\\n" +' for x in [begin, *lines, end]), f"{begin}\n\n" + f"{body}\n\n" * 3]
+    for t in [f"é before\n{t}\n\nThis stays - too" for t in texts] + [f"{begin} {end} and {begin}\nA word", f"x {end}\n{begin}\nshort\n{body}"]:
+        one = spark.createDataFrame([(t,)], "text string").select(secret_ledger.key_spans(F.col("text")).alias("k")).first()["k"]
+        assert [tuple(k) for k in one] == brute_keys(t)
     df = spark.createDataFrame([(i, f"before\n{t}\n\nThis stays - too") for i, t in enumerate(texts)] + [(99, f"A file begins {begin}\nThat is - all")], "doc_id long, text string")
     spans = secret_ledger.scan_paths(df, ledger(spark)).select("doc_id", "spans")
     got = {r[0]: r[1] for r in df.join(spans, "doc_id").select("doc_id", secret_ledger.redact(F.col("text"), F.col("spans"))).collect()}
