@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
-import time
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark import StorageLevel
 from pyspark.ml.clustering import KMeans, KMeansModel
-from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from scorewright.functions.scalar import squared_distance, to_double_array
+from scorewright.operators.metrics import point_silhouette
+from scorewright.operators.together import run_together
 from scorewright.specs import KMEANS_PARAMS
 
 
@@ -58,19 +59,46 @@ def cluster_profile(df: DataFrame, columns: Sequence[str], prediction: str = "pr
     return df.groupBy(prediction).agg(*aggs)
 
 
+def measure_clusterings(df: DataFrame, centres: Mapping[int, Sequence[Sequence[float]]], features: str = "features") -> DataFrame:
+    """``(k, silhouette, cost)`` of several sets of centres over the same points, in two scans for all of them.
+
+    The first assigns every point under every set and adds up sizes, sums and squared norms per (k, cluster): that
+    aggregate, of as many rows as there are centres, comes to the driver.  The second averages the points'
+    silhouettes and sums their squared distances to the nearest centre, all sets in one aggregate."""
+    from pyspark.ml.functions import array_to_vector
+    from pyspark.ml.stat import Summarizer
+
+    x, zero = to_double_array(features, df.schema[features].dataType), F.lit(0.0)
+    pts = df.select(x.alias("_x")).withColumn("_sq", F.aggregate("_x", zero, lambda acc, v: acc + v * v))
+    for k, cs in centres.items():
+        pts = pts.withColumn(f"_d{k}", F.array(*[squared_distance(F.col("_x"), [float(v) for v in c]) for c in cs]))
+    near = {k: (F.array_position(F.col(f"_d{k}"), F.array_min(F.col(f"_d{k}"))) - 1).cast("double") for k in centres}
+    each = F.explode(F.array(*[F.struct(F.lit(k).alias("k"), near[k].alias("at")) for k in centres]))
+    stats: dict[int, list] = {k: [] for k in centres}
+    for r in (pts.select("_x", "_sq", each.alias("m")).groupBy("m.k", "m.at")
+              .agg(F.count(F.lit(1)).alias("n"), F.sum("_sq").alias("sq"), Summarizer.sum(array_to_vector("_x")).alias("s")).orderBy("k", "at").collect()):
+        stats[r["k"]].append((float(r["at"]), float(r["n"]), float(r["sq"]), [float(v) for v in r["s"].toArray()]))
+    told = [F.struct(F.lit(k).alias("k"),
+                     (F.avg(point_silhouette(stats[k], F.col("_x"), F.col("_sq"), near[k])) if len(stats[k]) > 1 else F.lit(None).cast("double")).alias("silhouette"),
+                     F.sum(F.array_min(F.col(f"_d{k}"))).alias("cost")) for k in centres]
+    return pts.agg(F.array(*told).alias("m")).select(F.explode("m").alias("m")).select("m.*")
+
+
 def sweep_k(df: DataFrame, ks: Sequence[int] = (3, 4, 5, 6, 7, 8), features: str = "features",
-            seed: int = KMEANS_PARAMS["seed"], key: str | None = None) -> DataFrame:
-    """Fit one k-means per k on one persisted input; table ``(k, silhouette, cost, train_time_s)``."""
+            seed: int = KMEANS_PARAMS["seed"], key: str | None = None, together: bool = True) -> DataFrame:
+    """Fit one k-means per k on one persisted input; table ``(k, silhouette, cost, train_time_s)``.
+
+    The fits run side by side (``together=False``: one after the other), each timed on its own; then two scans
+    measure all of them.  ``cost``: sum of squared distances to the nearest final centre."""
+    spark = df.sparkSession
     data = stable_layout(df, key) if key else df
-    data = data.select(*([key] if key else []), features).persist(StorageLevel.MEMORY_AND_DISK)
-    rows = []
+    data = data.select(features).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        ev = ClusteringEvaluator(featuresCol=features)
-        for k in ks:
-            t0 = time.time()
-            m = KMeans(k=k, seed=seed, featuresCol=features).fit(data)
-            secs = time.time() - t0
-            rows.append((int(k), float(ev.evaluate(m.transform(data))), float(m.summary.trainingCost), secs))
+        data.count()                       # cached by one pass, not by all fits at once
+        fits = run_together(spark, {f"k={k}": lambda k=k: KMeans(k=k, seed=seed, featuresCol=features).fit(data).clusterCenters() for k in ks},
+                            None if together else 1)
+        rows = measure_clusterings(data, {int(k): fits[f"k={k}"][0] for k in ks}, features).collect()
     finally:
         data.unpersist()
-    return df.sparkSession.createDataFrame(rows, "k int, silhouette double, cost double, train_time_s double")
+    times = {int(k): fits[f"k={k}"][1] for k in ks}
+    return spark.createDataFrame([(r["k"], r["silhouette"], r["cost"], times[r["k"]]) for r in rows], "k int, silhouette double, cost double, train_time_s double")

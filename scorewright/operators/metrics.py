@@ -131,6 +131,23 @@ def _as_array(df: DataFrame, features: str) -> Column:
     return F.col(features).cast("array<double>") if isinstance(dt, ArrayType) else vector_to_array(F.col(features))
 
 
+def point_silhouette(stats: Sequence[tuple[float, float, float, Sequence[float]]], x: Column, sq: Column, own: Column) -> Column:
+    """Silhouette of the point ``x`` (squared norm ``sq``) of cluster ``own``; ``stats``: id, size, sum of squared norms, sum of points."""
+    # the k distances are one column, computed once per point
+    distances = F.array(*[sq + F.lit(q / n) - F.lit(2.0) * dot(x, s) / F.lit(n) for _, n, q, s in stats])
+    ids, sizes = F.array(*[F.lit(k) for k, *_ in stats]), F.array(*[F.lit(n) for _, n, *_ in stats])
+    at = F.array_position(ids, own).cast("int")
+
+    def told(d: Column) -> Column:
+        own_n, own_d = F.element_at(sizes, at), F.element_at(d, at)
+        other = F.array_min(F.filter(d, lambda v, i: i + 1 != at))
+        a = own_d * own_n / (own_n - F.lit(1.0))
+        return (F.when(own_n == 1.0, F.lit(0.0)).when(a < other, F.lit(1.0) - a / other)
+                .when(a > other, other / a - F.lit(1.0)).otherwise(F.lit(0.0)))
+
+    return F.element_at(F.transform(F.array(distances), told), 1)
+
+
 def silhouette(df: DataFrame, features: str = "features", prediction: str = "prediction") -> DataFrame:
     """Mean silhouette with squared Euclidean distance, as ``ClusteringEvaluator`` computes it.
 
@@ -153,24 +170,61 @@ def silhouette(df: DataFrame, features: str = "features", prediction: str = "pre
         return df.sparkSession.createDataFrame([], "silhouette double")
     if len(stats) == 1:
         raise ValueError("silhouette needs at least two clusters")
-    dists = []
-    for r in stats:
-        n = float(r["n"])
-        xs = dot(F.col("_x"), [float(v) for v in r["s"].toArray()])
-        dists.append((float(r["_k"]), n, F.col("_sq") + F.lit(float(r["sq"]) / n) - F.lit(2.0) * xs / F.lit(n)))
-    # the k distances are one column, computed once per point
-    ids, sizes = F.array(*[F.lit(k) for k, _, _ in dists]), F.array(*[F.lit(n) for _, n, _ in dists])
-    pts = pts.withColumn("_at", F.array_position(ids, F.col("_k")).cast("int")).withColumn("_d", F.array(*[d for _, _, d in dists]))
-    own_n, own_d = F.element_at(sizes, F.col("_at")), F.element_at("_d", F.col("_at"))
-    other = F.array_min(F.filter("_d", lambda d, i: i + 1 != F.col("_at")))
-    a = own_d * own_n / (own_n - F.lit(1.0))
-    s_point = (F.when(own_n == 1.0, F.lit(0.0))
-               .when(a < other, F.lit(1.0) - a / other)
-               .when(a > other, other / a - F.lit(1.0))
-               .otherwise(F.lit(0.0)))
+    s_point = point_silhouette([(float(r["_k"]), float(r["n"]), float(r["sq"]), [float(v) for v in r["s"].toArray()]) for r in stats],
+                               F.col("_x"), F.col("_sq"), F.col("_k"))
     return pts.agg(F.avg(s_point).alias("silhouette"))
 
 
+def roc_points(df: DataFrame, label: str = "label", score: str = "probability", group: Sequence[str] = (), bins: int = 1000,
+               num_slices: int | None = None) -> DataFrame:
+    """The ROC curve as rows ``(group..., point, threshold, fpr, tpr)``, from (0, 0) to (1, 1), down-sampled to about ``bins`` points.
+
+    Distinct scores in descending order; with at least ``2 * bins`` of them each ``n div bins`` neighbours are one
+    point, as ``BinaryClassificationEvaluator(numBins)`` groups them (there, within each partition; here over the
+    whole order, so the curve doesn't depend on the layout).  ``bins=0`` keeps every distinct score.  ``threshold``:
+    the highest score of the point, null at (0, 0) and (1, 1).  A group of one class has no curve.  All groups
+    are measured in one plan, on range slices as in ``auc``."""
+    g = list(group)
+    y = F.col(label).cast("long")
+    per_score = df.groupBy(*g, F.col(score).alias("_s")).agg(F.sum(y).alias("_pos"), F.sum(F.lit(1) - y).alias("_neg")).withColumn("_one", F.lit(1))
+    sliced = range_slices(per_score, [*g, F.desc("_s")], num_slices)
+    totals = sliced.groupBy(*g).agg(F.sum("_pos").alias("_p"), F.sum("_neg").alias("_n"), F.count(F.lit(1)).alias("_scores"))
+    w = Window.partitionBy(*g, "_slice").orderBy(F.desc("_s")).rowsBetween(Window.unboundedPreceding, 0)
+    ranked = sliced
+    for name, value in (("_tp", "_pos"), ("_fp", "_neg"), ("_rank", "_one")):
+        start = prefix_before_slice(sliced, value, g, out=f"{name}_before")
+        ranked = ranked.join(start, [*g, "_slice"]).withColumn(name, F.col(f"{name}_before") + F.sum(value).over(w))
+    if g:
+        ranked = ranked.join(totals, g)
+    else:
+        ranked = ranked.withColumn("_g", F.lit(0)).join(totals.withColumn("_g", F.lit(0)), "_g")
+    ranked = ranked.filter((F.col("_p") > 0) & (F.col("_n") > 0))
+    size = F.expr(f"greatest(1L, _scores div {bins})") if bins else F.lit(1).cast("long")
+    binned = ranked.withColumn("_size", size).withColumn("_bin", F.expr("(_rank - 1) div _size"))
+    points = binned.groupBy(*g, "_bin").agg(
+        F.max("_s").alias("threshold"), F.max("_tp").alias("_tp"), F.max("_fp").alias("_fp"), F.max("_p").alias("_p"), F.max("_n").alias("_n"),
+        F.max("_scores").alias("_scores"), F.max("_size").alias("_size"))
+    curve = points.select(*g, (F.col("_bin") + 1).alias("point"), "threshold", (F.col("_fp") / F.col("_n")).alias("fpr"), (F.col("_tp") / F.col("_p")).alias("tpr"))
+    last = F.expr("(_scores - 1) div _size + 2")
+    none = F.lit(None).cast(df.schema[score].dataType)
+    ends = points.filter("_bin = 0").select(*g, F.explode(F.array(
+        F.struct(F.lit(0).cast("long").alias("point"), none.alias("threshold"), F.lit(0.0).alias("fpr"), F.lit(0.0).alias("tpr")),
+        F.struct(last.alias("point"), none.alias("threshold"), F.lit(1.0).alias("fpr"), F.lit(1.0).alias("tpr")))).alias("x")).select(*g, "x.*")
+    return curve.unionByName(ends)
+
+
+def roc_area(points: DataFrame, group: Sequence[str] = ()) -> DataFrame:
+    """Area under the curves of ``roc_points`` by trapezoids: each point meets its predecessor by number, in one aggregate."""
+    g = list(group)
+    both = points.select(*g, F.explode(F.array(
+        F.struct(F.col("point").alias("step"), F.col("fpr").alias("x1"), F.col("tpr").alias("y1"), F.lit(None).cast("double").alias("x0"), F.lit(None).cast("double").alias("y0")),
+        F.struct((F.col("point") + 1).alias("step"), F.lit(None).cast("double").alias("x1"), F.lit(None).cast("double").alias("y1"), F.col("fpr").alias("x0"), F.col("tpr").alias("y0")))
+    ).alias("e")).select(*g, "e.*")
+    steps = both.groupBy(*g, "step").agg(*[F.max(c).alias(c) for c in ("x0", "y0", "x1", "y1")])
+    # the first point has no predecessor, the last no successor: null, and out of the sum
+    return steps.groupBy(*g).agg(F.sum((F.col("x1") - F.col("x0")) * (F.col("y1") + F.col("y0")) / 2).alias("area"))
+
+
 def auc_binned(df: DataFrame, label: str = "label", score: str = "probability", bins: int = 1000) -> float:
     """AUC as ``BinaryClassificationEvaluator`` reports it by default: the ROC curve down-sampled
     to ``bins`` bins (approximate; ``auc`` is the exact value).  ``score`` may be a double or a
