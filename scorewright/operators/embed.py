@@ -9,16 +9,20 @@ grid: per-cell channel means plus global channel standard deviations.
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+from pyspark.resource import ExecutorResourceRequests, ResourceProfile, ResourceProfileBuilder, TaskResourceRequests
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.functions import pandas_udf
 
 Embedder = Callable[[np.ndarray], np.ndarray]
-FEATURES_TYPE = "struct<features: array<float>, error: string>"
+FEATURES_TYPE = T.StructType([T.StructField("features", T.ArrayType(T.FloatType())), T.StructField("error", T.StringType())])
 DEFAULT_GRID = 4
 SIZE = 224                      # pixels a side that the embedder sees
 EMBED_BATCH = 64                # pictures held at that size at a time
@@ -91,21 +95,71 @@ def _embed_into(embed: Embedder, places: list, imgs: list, feats: list, errors:
             feats[i] = v.tolist()
 
 
+def embedding_resources(cores: int | None = None, memory: str | None = None, overhead: str | None = None, accelerator: str | None = None,
+                        accelerators: int = 1, tasks_per_accelerator: int = 1, discovery_script: str = "") -> ResourceProfile:
+    """A resource profile for the embedding stage: cores and memory of its executors, and an accelerator
+    (``"gpu"``) that ``tasks_per_accelerator`` tasks share."""
+    executor, task = ExecutorResourceRequests(), TaskResourceRequests()
+    if cores:
+        executor.cores(cores)
+    if memory:
+        executor.memory(memory)
+    if overhead:
+        executor.memoryOverhead(overhead)
+    if accelerator:
+        executor.resource(accelerator, accelerators, discovery_script)
+        task.resource(accelerator, 1.0 / tasks_per_accelerator)
+    task.cpus(1)
+    return ResourceProfileBuilder().require(executor).require(task).build
+
+
+def stage_profile(master: str, resources: ResourceProfile | None) -> ResourceProfile | None:
+    """``resources`` where the master can start executors by them (standalone, YARN, Kubernetes), else none, with a warning."""
+    if resources is None or master.startswith(("spark://", "yarn", "k8s://")):
+        return resources
+    warnings.warn(f"the master {master} has no stage-level resources: the embedding stage runs with what there is", stacklevel=3)
+    return None
+
+
+def _in_own_stage(df: DataFrame, image_col: str, featurize, out: str, profile: ResourceProfile) -> DataFrame:
+    """``featurize`` as a ``mapInArrow`` over whole rows: the operator that takes a resource profile."""
+    schema = T.StructType([*df.schema.fields, T.StructField(out, FEATURES_TYPE)])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: list[pa.RecordBatch] = []
+
+        def pictures() -> Iterator[pd.DataFrame]:
+            for b in batches:
+                seen.append(b)
+                image = b.column(b.schema.get_field_index(image_col))
+                yield pd.DataFrame({c: pa.array(image.field(c)).to_pandas() for c in ("height", "width", "nChannels", "data")})
+
+        for told in featurize(pictures()):
+            b = seen.pop(0)
+            features = pa.array([None if f is None else list(f) for f in told["features"]], pa.list_(pa.float32()))
+            found = pa.StructArray.from_arrays([features, pa.array(list(told["error"]), pa.string())], ["features", "error"])
+            yield pa.RecordBatch.from_arrays([*b.columns, found], names=[*b.schema.names, out])
+
+    return df.mapInArrow(run, schema, profile=profile)
+
+
 def image_features(df: DataFrame, image_col: str = "image", size: int = SIZE,
-                   embedder_factory: Callable[[], Embedder] | None = None, out: str = "emb") -> DataFrame:
+                   embedder_factory: Callable[[], Embedder] | None = None, out: str = "emb", resources: ResourceProfile | None = None) -> DataFrame:
     """Add ``out struct<features array<float>, error string>``.
 
     Undecodable images (height <= 0 or empty data) and pictures the embedder fails on give a null
     feature array and an error message instead of failing the task or inventing a zero vector.  An
     embedder that fails on every picture of a batch of several fails the job.  The function counts as
     non-deterministic, so the optimizer never runs it twice to push a filter below it.
+
+    ``resources``: executor and task resources of this stage alone (cores, memory, an accelerator; see
+    ``embedding_resources``).  A local master has no executors to ask for them: there they are ignored with a warning.
     """
     from scorewright.session import ship_package
 
     ship_package(df.sparkSession)
     factory = embedder_factory or colour_grid
 
-    @pandas_udf(FEATURES_TYPE)
     def featurize(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         embed = factory()                      # once per task
         for b in batches:
@@ -129,6 +183,10 @@ def image_features(df: DataFrame, image_col: str = "image", size: int = SIZE,
                 _embed_into(embed, ok_idx, imgs, feats, errors)
             yield pd.DataFrame({"features": feats, "error": errors})
 
+    profile = stage_profile(df.sparkSession.sparkContext.master, resources)
+    if profile is not None:
+        return _in_own_stage(df, image_col, featurize, out, profile)
     img: Column = F.col(image_col)
-    return df.withColumn(out, featurize.asNondeterministic()(F.struct(img["height"].alias("height"), img["width"].alias("width"),
+    udf = pandas_udf(featurize, FEATURES_TYPE)
+    return df.withColumn(out, udf.asNondeterministic()(F.struct(img["height"].alias("height"), img["width"].alias("width"),
                                                  img["nChannels"].alias("nChannels"), img["data"].alias("data"))))

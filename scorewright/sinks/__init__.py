@@ -6,6 +6,7 @@ import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from scorewright.sinks import fs
 
@@ -27,20 +28,32 @@ def write_csv(df: DataFrame, path: str, header: bool = True, mode: str = "overwr
 
 
 def write_single_csv(spark: SparkSession, df: DataFrame, out_dir: str, filename: str, header: bool = True) -> str:
-    """All rows in the one file ``<out_dir>/<filename>``, an existing one replaced (for readers that
-    take a single file; ``write_csv`` is the writer for results of any size).
+    """All rows in the one file ``<out_dir>/<filename>``, an existing one replaced, in the order of ``df``'s partitions.
 
-    Spark writes one part file into a scratch folder beside the target, which then takes its name.
+    The tasks write their rows as CSV lines (quoted as Spark's CSV writer does) into parts, and the commit joins
+    the parts (``sinks.one_file``): no row is moved to another task first.
     """
-    folder = out_dir.rstrip("/")
-    scratch, target = f"{folder}/.one-file-{uuid.uuid4().hex}", f"{folder}/{filename}"
-    try:
-        df.repartition(1).write.csv(scratch, header=header)
-        part = next(n for n in fs.list_names(spark, scratch) if n.endswith(".csv"))
-        fs.rename(spark, f"{scratch}/{part}", target)
-    finally:
-        fs.delete(spark, scratch)
-    return target
+    from scorewright.session import ship_package
+    from scorewright.sinks.one_file import OneFile
+    from scorewright.sources.filesystems import resolve
+
+    ship_package(spark)
+    spark.dataSource.register(OneFile)
+    folder = fs.qualified(spark, out_dir.rstrip("/"))
+    target = f"{folder}/{filename}"
+    # a null alone in its row would be an empty line, which readers skip
+    options = {"nullValue": '""'} if len(df.columns) == 1 else {}
+    writer = (df.select(F.to_csv(F.struct(*[F.col(f"`{c}`") for c in df.columns]), options).alias("line")).write.format("one_file").mode("append")
+              .option("target", target).option("scratch", f"{folder}/.one-file-{uuid.uuid4().hex}").option("store", resolve(spark, folder).text()))
+    (writer.option("first", csv_line(df.columns)) if header else writer).save()
+    return f"{out_dir.rstrip('/')}/{filename}"
+
+
+def csv_line(values: Sequence[str]) -> str:
+    """A line as Spark's CSV writer quotes it: only where needed, with a backslash before a quote."""
+    def cell(v: str) -> str:
+        return '"' + v.replace("\\", "\\\\").replace('"', '\\"') + '"' if any(c in v for c in ',"\n\r') or v == "" else v
+    return ",".join(cell(v) for v in values)
 
 
 def write_label_map(spark: SparkSession, labels: Sequence[str], path: str) -> str:

@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import udtf
 
 from scorewright.functions.scalar import file_extension, parent_dir
+from scorewright.sources.filesystems import Store, resolve
 from scorewright.specs import IMAGE_EXTENSIONS
 
 
@@ -48,11 +49,11 @@ class ZipIndex:
     Only the archive's central directory is read (random access), so listing costs the same
     for a 10 MB or a 100 GB archive and no archive passes through a single row."""
 
-    def eval(self, path: str):
+    def eval(self, path: str, store: str):
         if path is None:
             return
         try:
-            fs, p = _filesystem(path)
+            fs, p = Store.of(store).open(path)
             with fs.open_input_file(p) as f, zipfile.ZipFile(f, "r") as zf:
                 infos = zf.infolist()
         except Exception as e:  # noqa: BLE001 - an unreadable archive becomes one error row
@@ -76,7 +77,8 @@ def zip_members(spark: SparkSession, zip_path: str, extensions=IMAGE_EXTENSIONS,
     from scorewright.session import ship_package
 
     ship_package(spark)
-    members = list_archives(spark, zip_path).lateralJoin(ZipIndex(F.col("archive").outer())).select(
+    store = F.lit(resolve(spark, zip_path).text())
+    members = list_archives(spark, zip_path).lateralJoin(ZipIndex(F.col("archive").outer(), store)).select(
         "archive", "name", "size", "error")
     members = members.filter(F.col("name").isNull() | file_extension("name").isin(list(extensions)))
     if require_any and members.filter(F.col("name").isNotNull()).isEmpty():
@@ -85,39 +87,20 @@ def zip_members(spark: SparkSession, zip_path: str, extensions=IMAGE_EXTENSIONS,
 
 
 # ---------------------------------------------------------------- staging files from tasks
-def local_path(path: str) -> str:
-    """Hadoop-style ``file:`` URIs to plain paths for Python-side writers."""
-    if path.startswith("file://"):
-        return path[len("file://"):]
-    if path.startswith("file:"):
-        return path[len("file:"):]
-    return path
-
-
-def _filesystem(path: str):
-    """pyarrow filesystem for any URI the cluster shares (local/NFS, HDFS, S3, GCS)."""
-    from pyarrow import fs as pafs
-
-    if "://" in path and not path.startswith("file://"):
-        scheme, rest = path.split("://", 1)
-        return pafs.FileSystem.from_uri(f"{'s3' if scheme in ('s3a', 's3n') else scheme}://{rest}")
-    return pafs.LocalFileSystem(), local_path(path)
-
-
-def write_bytes(path: str, data: bytes) -> None:
+def write_bytes(path: str, data: bytes, store: Store) -> None:
     import io
 
-    write_stream(path, io.BytesIO(data))
+    write_stream(path, io.BytesIO(data), store)
 
 
-def write_stream(path: str, source) -> None:
+def write_stream(path: str, source, store: Store) -> None:
     """Write a file from a task, copying ``source`` in pieces (any size, little memory): to a unique
     temporary name, then move it into place, so a retried or speculative attempt never leaves a
     half-written file under the final name."""
     import shutil
     import uuid
 
-    fs, p = _filesystem(path)
+    fs, p = store.open(path)
     parent = p.rsplit("/", 1)[0]
     fs.create_dir(parent, recursive=True)
     tmp = f"{parent}/.{p.rsplit('/', 1)[-1]}.{uuid.uuid4().hex}.tmp"
@@ -137,7 +120,7 @@ def staged_name(archive: str, name: str) -> str:
     return hashlib.sha1(f"{archive}\x00{name}".encode()).hexdigest() + ext
 
 
-def stage_members(members: DataFrame, stage_dir: str, num_partitions: int | None = None) -> DataFrame:
+def stage_members(members: DataFrame, stage_dir: str, num_partitions: int | None = None, archives: Store | None = None) -> DataFrame:
     """Extract members into files under ``stage_dir`` and return ``(archive, name, staged, error)``;
     ``staged`` is the file name to join image rows on.
 
@@ -145,12 +128,14 @@ def stage_members(members: DataFrame, stage_dir: str, num_partitions: int | None
     hash-partitioned on (archive, name), into one share per core or per ``STAGE_TASK_BYTES``, whichever is
     more (or ``num_partitions``), so the members of one huge archive are extracted by many tasks.  Each task
     opens an archive once per batch and reads only its members (random access), copied in pieces.  A member
-    that does not inflate becomes an error row."""
+    that does not inflate becomes an error row.  ``archives``: the store the archives lie in (else the stage folder's)."""
     from scorewright.session import ship_package
     from scorewright.sinks.fs import qualified
 
     ship_package(members.sparkSession)
     stage_dir = qualified(members.sparkSession, stage_dir.rstrip("/"))
+    staging = resolve(members.sparkSession, stage_dir)
+    archived = archives or staging
     n = num_partitions
     if n is None:
         size = members.agg(F.sum("size")).first()[0] or 0
@@ -163,7 +148,7 @@ def stage_members(members: DataFrame, stage_dir: str, num_partitions: int | None
             staged, errors = [None] * len(b), list(b["error"])
             for archive, rows in b.groupby("archive", sort=False).indices.items():
                 try:
-                    fs, p = _filesystem(archive)
+                    fs, p = archived.open(archive)
                     f = fs.open_input_file(p)
                     zf = zipfile.ZipFile(f, "r")
                 except Exception as e:  # noqa: BLE001 - every member of the archive fails
@@ -177,7 +162,7 @@ def stage_members(members: DataFrame, stage_dir: str, num_partitions: int | None
                         fname = staged_name(archives[i], names[i])
                         try:
                             with zf.open(names[i]) as body:
-                                write_stream(f"{stage_dir}/{fname[:3]}/{fname}", body)
+                                write_stream(f"{stage_dir}/{fname[:3]}/{fname}", body, staging)
                         except (zipfile.BadZipFile, zlib.error, KeyError, EOFError, NotImplementedError, RuntimeError) as e:
                             errors[i] = f"unreadable member: {e}"
                             continue

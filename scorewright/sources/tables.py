@@ -117,6 +117,39 @@ def churn_csv_path(spark: SparkSession, sf_dir: str) -> str:
         .csv(tmp)))
 
 
+# --- fixed values of the malformed lines: custkey % MALFORMED_EVERY ------------------------------
+MALFORMED_EVERY = 40
+TOO_FEW, TOO_MANY, OPEN_QUOTE = 3, 17, 29      # last field missing, a field "extra" more, last field after an open quote
+# -------------------------------------------------------------------------------------------------
+
+
+def churn_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The churn CSV's lines with planted malformed ones (``line``); built as text, without a header."""
+    cols = [c for c in churn_text(spark, sf_dir).columns]
+    cells = [F.coalesce(F.col(c), F.lit("")) for c in cols]
+    kind = F.col("customerID").cast("long") % MALFORMED_EVERY
+    line = (F.when(kind == TOO_FEW, F.concat_ws(",", *cells[:-1])).when(kind == TOO_MANY, F.concat_ws(",", *cells, F.lit("extra")))
+            .when(kind == OPEN_QUOTE, F.concat_ws(",", *cells[:-1], F.concat(F.lit('"'), cells[-1]))).otherwise(F.concat_ws(",", *cells)))
+    return churn_text(spark, sf_dir).select(line.alias("line"))
+
+
+def malformed_csv_path(spark: SparkSession, sf_dir: str) -> str:
+    """``churn_lines`` written once per input folder as CSV files, each with a header line, under the shared work folder."""
+    header = ",".join(churn_text(spark, sf_dir).columns)
+
+    def with_header(batches):
+        import pyarrow as pa
+
+        first = True
+        for b in batches:
+            lines = b.column(0).to_pylist()
+            yield pa.RecordBatch.from_arrays([pa.array([header, *lines] if first else lines, pa.string())], names=["line"])
+            first = False
+
+    path = work_path(spark, "stage", f"malformed_csv-{stage_key(spark, sf_dir)}")
+    return fs.stage_once(spark, path, lambda tmp: churn_lines(spark, sf_dir).mapInArrow(with_header, "line string").write.text(tmp))
+
+
 def wholesale_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Spend per customer on six part types (the wholesale stand-in): ``custkey`` + six doubles.
 
@@ -209,9 +242,11 @@ def pet_image_dir(spark: SparkSession, sf_dir: str) -> str:
     import pandas as pd
 
     from scorewright.session import ship_package
+    from scorewright.sources.filesystems import resolve
     from scorewright.sources.images import write_bytes
     ship_package(spark)
     root = work_path(spark, "stage", f"pets-{stage_key(spark, sf_dir)}")
+    store = resolve(spark, root)
     images = f"{root}/PetImages"
     manifest = f"{root}-manifest"
     if not fs.is_complete(spark, manifest):
@@ -221,7 +256,7 @@ def pet_image_dir(spark: SparkSession, sf_dir: str) -> str:
                 for vid, vec, lab in zip(b["vec_id"], b["embedding"], b["label"]):
                     cls = PET_CLASSES[0] if lab < 5 else PET_CLASSES[1]
                     p = f"{images}/{cls}/img_{vid}.png"
-                    write_bytes(p, _image_body(int(vid), vec, int(lab)))
+                    write_bytes(p, _image_body(int(vid), vec, int(lab)), store)
                     paths.append(p)
                 yield pd.DataFrame({"vec_id": b["vec_id"], "path": paths})
         fs.stage_once(spark, manifest, lambda tmp: (
@@ -238,9 +273,11 @@ def image_zip_dir(spark: SparkSession, sf_dir: str) -> str:
     import pandas as pd
 
     from scorewright.session import ship_package
+    from scorewright.sources.filesystems import resolve
     from scorewright.sources.images import write_bytes
     ship_package(spark)
     root = work_path(spark, "stage", f"zips-{stage_key(spark, sf_dir)}")
+    store = resolve(spark, root)
     manifest = f"{root}-manifest"
     if not fs.is_complete(spark, manifest):
         def write(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -252,7 +289,7 @@ def image_zip_dir(spark: SparkSession, sf_dir: str) -> str:
                 for vid, vec, lab in zip(pdf["vec_id"], pdf["embedding"], pdf["label"]):
                     z.writestr(member_name(int(vid)), _image_body(int(vid), vec, int(lab)))
             path = f"{root}/archive_{aid}.zip"
-            write_bytes(path, buf.getvalue())
+            write_bytes(path, buf.getvalue(), store)
             return pd.DataFrame({"archive_id": [aid], "path": [path], "members": [len(pdf)]})
         e = table(spark, sf_dir, "embeddings").withColumn("archive_id", (F.col("vec_id") / ARCHIVE_SIZE).cast("long"))
         fs.stage_once(spark, manifest, lambda tmp: (
