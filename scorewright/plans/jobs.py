@@ -27,7 +27,8 @@ from scorewright.operators.split import holdout_split, replicate, sample_rows
 from scorewright.session import work_path
 from scorewright.sinks import save_model, write_csv, write_json_single, write_label_map, write_single_csv
 from scorewright.sinks.fs import delete
-from scorewright.sources.csv import read_csv_strings, require_columns
+from scorewright.sources.filesystems import resolve
+from scorewright.sources.csv import MALFORMED, read_csv_strings, require_columns
 from scorewright.sources.images import NoImagesError, read_images, stage_members, with_path_label, zip_members
 from scorewright.sources.labels import read_label_map_tolerant
 from scorewright.specs import ERROR_LABEL, LR_EMBEDDING_PARAMS, LR_WEIGHTED_PARAMS, TELCO, TableSpec
@@ -93,12 +94,18 @@ def batch_report(df: DataFrame, spec: TableSpec, score: Callable[[DataFrame], Da
     """The two sides of a batch report over raw text rows: ``scored`` (row, id, prediction, probability)
     for rows without an issue, ``issues`` (row, error), one per missing or unreadable value.
 
+    Rows of ``read_csv_checked`` may carry a malformed line: it is one issue, with the line, and never scored.
     ``row`` counts from 1 in ``order``, or as the rows are read.  ``score`` adds ``prediction`` and
     ``probability`` (of class 1), e.g. a fixed linear scorer.  Both sides read one checkpointed numbering."""
     keys = [f"_order{i}" for i in range(max(1, len(order)))]
     by = list(order) or [F.monotonically_increasing_id()]
     numbered = global_row_number(df.withColumns(dict(zip(keys, (F.col(c) if isinstance(c, str) else c for c in by)))), keys, "row")
     checked = quarantine(numbered.drop(*keys), spec, check_text=True)
+    if MALFORMED in df.columns:
+        bad = F.col(MALFORMED).isNotNull()
+        checked = checked.withColumns({
+            "errors": F.when(bad, F.array(F.concat(F.lit("malformed line: "), F.col(MALFORMED)))).otherwise(F.col("errors")),
+            "status": F.when(bad, F.lit("rejected")).otherwise(F.col("status"))})
     good = score(checked.filter(F.col("status") == "ok"))
     return {"scored": good.select("row", F.col(spec.id_col).alias("id"), "prediction", "probability"),
             "issues": checked.select("row", F.explode("errors").alias("error"))}
@@ -211,7 +218,7 @@ def train_image_lr(spark: SparkSession, image_glob: str, model_dir: str | None =
 
 def score_zip(spark: SparkSession, zip_path: str, lr_model: str | LogisticRegressionModel, labels_path: str,
               out_dir: str | None = None, slices: int | None = None, stage_dir: str | None = None,
-              size: int = SIZE, embedder_factory: Callable[[], Embedder] | None = None, single_file: bool = True) -> DataFrame:
+              size: int = SIZE, embedder_factory: Callable[[], Embedder] | None = None, single_file: bool = False, resources=None) -> DataFrame:
     """Classify every image member of one or more ZIP archives with a binary logistic model.
 
     archive listing -> central-directory UDTF (extension filter, directories skipped; none -> error)
@@ -219,8 +226,9 @@ def score_zip(spark: SparkSession, zip_path: str, lr_model: str | LogisticRegres
     partitions by their sizes; ``slices`` sets another number) -> batched embedder
     -> ``w.x + b``, sigmoid, ``p >= 0.5`` -> label map (fallback: the index as text).  A member that
     cannot be decoded or embedded becomes ``(name, ERROR, 0.0)``.  Output ``archive, filename, label,
-    confidence`` (p of class 1); with ``out_dir`` ``filename, label, confidence`` is also written, as
-    exactly one ``preds.csv`` or, with ``single_file=False``, as distributed CSV with the archive.
+    confidence`` (p of class 1); with ``out_dir`` it is also written as distributed CSV or, with
+    ``single_file=True``, without the archive as exactly one ``preds.csv``.  ``resources``: a resource
+    profile of the embedding stage (see ``image_features``).
     """
     lr = LogisticRegressionModel.load(lr_model) if isinstance(lr_model, str) else lr_model
     if lr.numClasses != 2:
@@ -233,12 +241,12 @@ def score_zip(spark: SparkSession, zip_path: str, lr_model: str | LogisticRegres
     members = spark.read.parquet(f"{stage}/members")
     if members.filter(F.col("name").isNotNull()).isEmpty():
         raise NoImagesError("No valid images found in ZIP.")
-    stage_members(members, f"{stage}/files").write.mode("overwrite").parquet(f"{stage}/manifest")
+    stage_members(members, f"{stage}/files", archives=resolve(spark, zip_path)).write.mode("overwrite").parquet(f"{stage}/manifest")
     manifest = spark.read.parquet(f"{stage}/manifest")
 
     imgs = read_images(spark, f"{stage}/files", recursive=True).withColumn(
         "staged", F.element_at(F.split(F.col("image.origin"), "/"), -1))
-    feats = image_features(imgs.repartition(slices) if slices else imgs, "image", size, embedder_factory)
+    feats = image_features(imgs.repartition(slices) if slices else imgs, "image", size, embedder_factory, resources=resources)
     feats = feats.select("staged", F.col("emb.features").cast("array<double>").alias("features"))
     # a null feature array scores to a null prediction, which finds no label: the row fails
     scored = linear_score(feats, "features", w, b, tie="high", confidence="positive")

@@ -8,8 +8,9 @@ summation order.
 
 from __future__ import annotations
 
-from scorewright.plans.fixed import CHURN_INTERCEPT, CHURN_NUMERIC_WEIGHTS
-from scorewright.sources.tables import BAD_INT_EVERY, BLANK_EVERY, CHURN_CUTOFF, CUTOFF_MONTH_INDEX
+from scorewright.plans.fixed import CHURN_INTERCEPT, CHURN_NUMERIC_WEIGHTS, FIXED_TREES, FIXED_WEIGHTS
+from scorewright.sources.tables import (BAD_INT_EVERY, BLANK_EVERY, CHURN_CUTOFF, CUTOFF_MONTH_INDEX, MALFORMED_EVERY, OPEN_QUOTE, TOO_FEW,
+                                        TOO_MANY)
 from scorewright.specs import CHURN
 
 ORACLE: dict[str, str] = {}
@@ -605,32 +606,6 @@ SELECT custkey, medium, standard, prediction FROM assigned
 WHERE substr(md5('sample42:' || CAST(custkey AS VARCHAR)), 1, 4) < '{threshold_hex(0.1)}'"""
 
 
-# ---------------------------------------------------------------- what must hold of any fitted model
-def _is_test(key: str) -> str:
-    return f"substr(md5('42:' || CAST({key} AS VARCHAR)), 1, 4) >= 'cccd'"
-
-
-def _yes(*names: str) -> str:
-    return ", ".join(f"TRUE AS {n}" for n in names)
-
-
-for _name in ("train_churn_rf", "train_churn_gbt", "train_churn_lr"):
-    ORACLE[_name] = f"""WITH {CHURN_CTE}
-SELECT customerID, CASE WHEN churn = 'Yes' THEN 1 ELSE 0 END AS label, {_yes("probability_ok", "rule_ok")}
-FROM churn WHERE NOT ({TEN}) AND {_is_test("customerID")}"""
-
-for _name in ("train_embedding_lr", "train_embedding_lr_weighted"):
-    ORACLE[_name] = f"""WITH f AS (SELECT label, count(*) AS n FROM embeddings GROUP BY label),
-i AS (SELECT label, CAST(row_number() OVER (ORDER BY n DESC, 'class_' || CAST(label AS VARCHAR)) - 1 AS INTEGER) AS labelIndex FROM f)
-SELECT vec_id, labelIndex, {_yes("confidence_ok", "prediction_ok")} FROM embeddings JOIN i USING (label) WHERE {_is_test("vec_id")}"""
-
-ORACLE["score_saved_model"] = f"""WITH {CHURN_CTE} SELECT customerID AS id, {_yes("same_as_unsaved", "answered")} FROM churn"""
-ORACLE["cluster_customers"] = f"WITH {_wholesale_cte()} SELECT custkey, {_yes('is_nearest', 'in_range')} FROM wholesale"
-ORACLE["sweep_k"] = f"SELECT CAST(k AS INTEGER) AS k, {_yes('silhouette_ok', 'cost_ok')} FROM range(3, 9) AS t(k)"
-for _name in ("compare_models", "sink_comparison_csv"):
-    ORACLE[_name] = f"""SELECT unnest(['Random Forest', 'Gradient Boosted Tree', 'Logistic Regression']) AS Model,
-{_yes("AUC_ok", "Accuracy_ok", "Precision_ok", "Recall_ok", "F1_ok", "TrainTime_ok")}"""
-ORACLE["score_zip"] = f"SELECT {_member_name_sql()} AS filename, {_corrupt_sql()} AS failed, TRUE AS answer_ok FROM embeddings"
 ORACLE["wholesale_plot_all"] = f"""WITH {_assigned_cte()}
 SELECT custkey, medium, standard, prediction FROM assigned"""
 
@@ -644,8 +619,65 @@ ORACLE["batch_report_issues"] = f"""WITH {CHURN_CTE}, {_ROWS}
 SELECT row, 'tenure: not a valid int: ''x''' AS error FROM churn JOIN numbered ON custkey = _c WHERE {BAD}
 UNION ALL SELECT row, 'total_spent: missing' AS error FROM churn JOIN numbered ON custkey = _c WHERE {TEN}
 {" ".join(f"UNION ALL SELECT row, '{c}: missing' AS error FROM churn JOIN numbered ON custkey = _c WHERE {c} IS NULL" for c in CHURN.categorical)}"""
-ORACLE["score_images"] = f"SELECT vec_id, {_corrupt_sql()} AS failed, TRUE AS answer_ok FROM embeddings"
-ORACLE["train_image_lr"] = f"""SELECT vec_id, kind AS label, {_yes('index_ok', 'answer_ok')}
-FROM (SELECT *, CASE WHEN label < 5 THEN 'cat' ELSE 'dog' END AS kind FROM embeddings WHERE NOT ({_corrupt_sql()}))
-WHERE {_is_test("kind || '/img_' || CAST(vec_id AS VARCHAR) || '.png'")}"""
-ORACLE["cluster_plot_sample"] = f"WITH {_wholesale_cte()}\nSELECT count(*) AS points, {_yes('each_once', 'as_it_was', 'about_a_tenth')} FROM wholesale"
+
+
+# ---------------------------------------------------------------- malformed lines
+MALFORMED_LINE = f"custkey % {MALFORMED_EVERY} IN ({TOO_FEW}, {TOO_MANY}, {OPEN_QUOTE})"
+ORACLE["batch_report_malformed"] = f"""WITH {CHURN_ZERO_CTE}, {_ROWS},
+fine AS (SELECT * FROM churn_zero WHERE NOT ({MALFORMED_LINE})),
+{vocab_ctes("fine", CHURN.categorical)},
+{indexed_cte("fine", CHURN.categorical)},
+pred AS (SELECT *, CASE WHEN 1 / (1 + exp(-raw)) >= 0.5 THEN CAST(1 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END AS prediction
+  FROM (SELECT *, {churn_raw_sql()} AS raw FROM indexed)),
+bad AS (SELECT custkey, 'tenure: not a valid int: ''x''' AS error FROM churn WHERE {BAD}
+  UNION ALL SELECT custkey, 'total_spent: missing' FROM churn WHERE {TEN}
+  {" ".join(f"UNION ALL SELECT custkey, '{c}: missing' FROM churn WHERE {c} IS NULL" for c in CHURN.categorical)}),
+issues AS (SELECT custkey, error FROM bad WHERE NOT ({MALFORMED_LINE})
+  UNION ALL SELECT custkey, 'malformed line: ' || customerID FROM churn WHERE {MALFORMED_LINE})
+SELECT row, 'scored' AS side, customerID AS id, prediction, CAST(NULL AS VARCHAR) AS error FROM pred JOIN numbered ON custkey = _c
+WHERE custkey NOT IN (SELECT custkey FROM bad)
+UNION ALL SELECT row, 'issue', NULL, NULL, error FROM issues JOIN numbered ON custkey = _c"""
+
+
+@sql("scan_csv_inferred")
+def _scan_csv_inferred() -> str:
+    types = {"customerID": "int", "n_orders": "int", "avg_order": "double", "acctbal": "double"}
+    named = ",".join(f"{c}:{types.get(c, 'string')}" for c in (*CHURN.required, CHURN.target))
+    return f"""WITH {CHURN_CTE}
+SELECT CAST(custkey AS INTEGER) AS customerID, segment, nation, region, top_priority, n_orders,
+       CASE WHEN {BAD} THEN 'x' ELSE CAST(tenure AS VARCHAR) END AS tenure, avg_order,
+       CASE WHEN {TEN} THEN NULL ELSE total_spent END AS total_spent, acctbal, churn, '{named}' AS types
+FROM churn"""
+
+
+# ---------------------------------------------------------------- ROC curves, trees
+@sql("roc_points")
+def _roc_points() -> str:
+    return f"""WITH {rules_stacked_cte()},
+d AS (SELECT model, raw AS s, sum(label) AS pos, sum(1 - label) AS neg FROM st GROUP BY model, raw),
+r AS (SELECT *, row_number() OVER w AS rank, sum(pos) OVER w AS tp, sum(neg) OVER w AS fp, count(*) OVER (PARTITION BY model) AS n,
+      sum(pos) OVER (PARTITION BY model) AS p, sum(neg) OVER (PARTITION BY model) AS q
+      FROM d WINDOW w AS (PARTITION BY model ORDER BY s DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
+b AS (SELECT model, (rank - 1) // greatest(1, n // 50) AS bin, max(s) AS s, max(tp) / max(p) AS tpr, max(fp) / max(q) AS fpr FROM r WHERE p > 0 AND q > 0 GROUP BY ALL)
+SELECT model, bin + 1 AS point, round(s, 6) AS threshold, CAST(fpr AS DOUBLE) AS fpr, CAST(tpr AS DOUBLE) AS tpr FROM b
+UNION ALL SELECT model, 0, NULL, 0.0, 0.0 FROM b GROUP BY model
+UNION ALL SELECT model, max(bin) + 2, NULL, 1.0, 1.0 FROM b GROUP BY model"""
+
+
+def _tree_sql(tree: tuple, leaf) -> str:
+    if len(tree) == 2:
+        return dbl(leaf(tree))
+    feature, split, left, right = tree
+    x = f"CAST({CHURN.numeric[feature]} AS DOUBLE)"
+    test = f"{x} IN ({', '.join(dbl(v) for v in split)})" if isinstance(split, list) else f"{x} <= {dbl(split)}"
+    return f"(CASE WHEN {test} THEN {_tree_sql(left, leaf)} ELSE {_tree_sql(right, leaf)} END)"
+
+
+@sql("score_trees_fixed")
+def _score_trees_fixed() -> str:
+    votes = [" + ".join(_tree_sql(t, lambda x: x[1][c] / sum(x[1])) for t in FIXED_TREES) for c in (0, 1)]
+    margin = " + ".join(f"{dbl(w)} * {_tree_sql(t, lambda x: x[0])}" for t, w in zip(FIXED_TREES, FIXED_WEIGHTS))
+    return f"""WITH {CHURN_ZERO_CTE},
+v AS (SELECT customerID, {votes[0]} AS v0, {votes[1]} AS v1, {margin} AS m FROM churn_zero)
+SELECT customerID, round(v1 / (v0 + v1), 6) AS rf_p1, CASE WHEN v1 > v0 THEN 1.0 ELSE 0.0 END::DOUBLE AS rf_prediction,
+  round(1 / (1 + exp(-2 * m)), 6) AS gbt_p1, CASE WHEN m > 0 THEN 1.0 ELSE 0.0 END::DOUBLE AS gbt_prediction FROM v"""

@@ -198,6 +198,20 @@ def test_label_map_forms(spark, tmp_dir):
         f.write('{"index": 0, "label": "cat"}\n{"index": 1, "lab\n{"label": "x"}\n{"index": 1, "label": "dog"}\n')
     got = sorted((r["index"], r["label"]) for r in read_label_map_tolerant(spark, lines).collect())
     assert got == [(0, "cat"), (1, "dog")]
+    mixed = os.path.join(tmp_dir, "mixed")
+    os.makedirs(mixed)
+    with open(os.path.join(mixed, "a.json"), "w") as f:
+        f.write('{"index": 0, "label": "cat"}\n\nnonsense\n{"1": "dog", "x": "no index", "2": null}\r\n{"index": 3, "label": "fox", "more": {"index": 9}}\n[4]\n')
+    with open(os.path.join(mixed, "b.json"), "w") as f:
+        f.write('{\n  "5": "owl",\n  "6": "bee"\n}\n')
+    with open(os.path.join(mixed, "empty.json"), "w") as f:
+        f.write("")
+    before = spark.sparkContext.statusTracker().getJobIdsForGroup("no action")
+    spark.sparkContext.setJobGroup("no action", "reading a label map runs no job")
+    df = read_label_map_tolerant(spark, mixed)
+    assert spark.sparkContext.statusTracker().getJobIdsForGroup("no action") == before
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert sorted((r["index"], r["label"]) for r in df.collect()) == [(0, "cat"), (1, "dog"), (3, "fox"), (5, "owl"), (6, "bee")]
     whole = os.path.join(tmp_dir, "whole")
     os.makedirs(whole)
     with open(os.path.join(whole, "a.json"), "w") as f:
@@ -262,7 +276,7 @@ def test_zip_members_and_score_zip(spark, tmp_dir):
     lr = LogisticRegression(maxIter=50).fit(train)
     labels = write_label_map(spark, ["red", "blue"], os.path.join(tmp_dir, "labels"))
     out = os.path.join(tmp_dir, "out")
-    preds = {r["filename"]: r for r in score_zip(spark, zdir, lr, labels, out, slices=2).collect()}
+    preds = {r["filename"]: r for r in score_zip(spark, zdir, lr, labels, out, slices=2, single_file=True).collect()}
     assert preds["a/1.JPG"]["label"] == "red" and preds["b,3.png"]["label"] == "blue"
     assert preds["bad.png"]["label"] == "ERROR" and preds["bad.png"]["confidence"] == 0.0
     assert [n for n in os.listdir(out) if not n.startswith(".")] == ["preds.csv"]

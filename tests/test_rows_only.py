@@ -23,18 +23,45 @@ def test_cluster_ids_in_range(spark):
     assert {r["prediction"] for r in rows} <= set(range(5)) and all(r["prediction"] == r["nearest"] for r in rows)
 
 
-def test_sweep_k_table(spark):
-    from scorewright.operators.cluster import sweep_k
+def test_sweep_k_equals_the_evaluator(spark):
+    """Silhouette and cost of every k as the evaluator and a sum over points give them; the models don't depend on being fitted together."""
+    from pyspark.ml.clustering import KMeans
+    from pyspark.ml.evaluation import ClusteringEvaluator
+
+    from scorewright.operators.cluster import stable_layout, sweep_k
+    from scorewright.plans.queries import _wholesale_scaled
+
+    data = stable_layout(_wholesale_scaled(spark, SF001), "custkey").cache()
+    rows = sweep_k(_wholesale_scaled(spark, SF001), ks=(2, 3, 5), key="custkey").collect()
+    apart = sweep_k(_wholesale_scaled(spark, SF001), ks=(2, 3, 5), key="custkey", together=False).collect()
+    assert [r["k"] for r in rows] == [2, 3, 5] and all(r["train_time_s"] > 0 for r in rows)
+    for c in ("silhouette", "cost"):
+        assert [r[c] for r in rows] == pytest.approx([r[c] for r in apart], rel=1e-9)
+    for r in rows:
+        m = KMeans(k=r["k"], seed=42, featuresCol="features").fit(data.select("features"))
+        told = m.transform(data)
+        assert r["silhouette"] == pytest.approx(ClusteringEvaluator(featuresCol="features").evaluate(told), abs=1e-9)
+        centres = [c.tolist() for c in m.clusterCenters()]
+        cost = sum(min(sum((a - b) ** 2 for a, b in zip(x["features"].toArray(), c)) for c in centres) for x in data.collect())
+        assert r["cost"] == pytest.approx(cost, rel=1e-9)
+    data.unpersist()
+
+
+def test_sweep_k_scans_twice_after_the_fits(spark):
+    from scorewright.operators.cluster import measure_clusterings
     from scorewright.plans.queries import _wholesale_scaled
 
-    rows = sweep_k(_wholesale_scaled(spark, SF001), key="custkey").collect()
-    assert [r["k"] for r in rows] == [3, 4, 5, 6, 7, 8]
-    assert all(-1.0 <= r["silhouette"] <= 1.0 and r["cost"] > 0 for r in rows) and rows[-1]["cost"] < rows[0]["cost"]
+    df = _wholesale_scaled(spark, SF001)
+    out = measure_clusterings(df, {2: [[0.0] * 6, [1.0] * 6], 3: [[0.0] * 6, [1.0] * 6, [5.0] * 6]})
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("HashAggregate") + plan.count("SortAggregate") == 2 and "CartesianProduct" not in plan      # partial and final, all k in one
 
 
 def test_plot_sample_is_a_subset(spark):
-    (r,) = _rows(spark, "cluster_plot_sample")
-    assert r["points"] == len(_rows(spark, "cluster_customers")) and r["each_once"] and r["as_it_was"] and r["about_a_tenth"]
+    points = {r["custkey"]: tuple(r)[1:] for r in Q["wholesale_plot_all"](spark, SF001).collect()}
+    rows = _rows(spark, "cluster_plot_sample")
+    assert len({r["custkey"] for r in rows}) == len(rows) and all((r["medium"], r["standard"]) == points[r["custkey"]][:2] for r in rows)
+    assert abs(len(rows) - 0.1 * len(points)) <= 5 * (0.09 * len(points)) ** 0.5 + 1 and {r["prediction"] for r in rows} <= set(range(5))
 
 
 @pytest.mark.parametrize("kind", ["rf", "gbt", "lr"])
@@ -48,21 +75,59 @@ def test_churn_models_score_the_test_split(spark, kind):
 
 
 def test_compare_models_table(spark):
-    rows = _rows(spark, "compare_models")
-    assert [r["Model"] for r in rows] != [] and len(rows) == 3
-    assert all(all(r[c] for c in r.__fields__[1:]) for r in rows)
+    rows = {r["Model"]: r for r in _rows(spark, "compare_models")}
+    assert list(rows) == ["Random Forest", "Gradient Boosted Tree", "Logistic Regression"]
+    for r in rows.values():
+        assert all(0 <= r[c] <= 1 and round(r[c], 4) == r[c] for c in ("AUC", "Accuracy", "Precision", "Recall", "F1")) and r["TrainTime(s)"] > 0
+
+
+def test_models_fitted_together_are_those_fitted_apart(spark):
+    from scorewright.operators.models import classifier, compare_models
+    from scorewright.plans.queries import _churn_train_test
+    from scorewright.specs import CHURN
 
+    train, test = _churn_train_test(spark, SF001)
+    tables = []
+    for together in (True, False):
+        cands = {"rf": classifier("rf", numTrees=8, seed=1), "gbt": classifier("gbt", maxIter=3, seed=1), "lr": classifier("lr")}
+        table, models = compare_models(train, test, CHURN, cands, together=together)
+        tables.append([tuple(r)[:-1] for r in table.collect()])
+        assert list(models) == ["rf", "gbt", "lr"]
+    assert tables[0] == tables[1]
+
+
+def test_run_together_overlaps_and_raises(spark):
+    import threading
+
+    from scorewright.operators.together import run_together
+
+    met = threading.Barrier(3, timeout=20)      # only passed when all three run at the same time
+    out = run_together(spark, {n: lambda n=n: (met.wait() is not None, spark.sparkContext.getLocalProperty("spark.scheduler.pool")) for n in "abc"})
+    assert {n: v[0][1] for n, v in out.items()} == {"a": "a", "b": "b", "c": "c"} and all(s >= 0 for _, s in out.values())
+    assert spark.sparkContext.getLocalProperty("spark.scheduler.pool") is None and run_together(spark, {}) == {}
+    with pytest.raises(ZeroDivisionError):
+        run_together(spark, {"bad": lambda: 1 / 0, "good": lambda: 1})
+
+
+def test_saved_model_scores_as_before_it_was_saved(spark):
+    from scorewright.operators.models import classifier, fit_pipeline, positive_probability
+    from scorewright.plans.queries import _churn_train_test, _clean_table
+    from scorewright.specs import CHURN
 
-def test_saved_model_scores_every_row(spark):
-    rows = _rows(spark, "score_saved_model")
-    assert len(rows) == Q["score_ids"](spark, SF001).count()
-    assert all(r["same_as_unsaved"] and r["answered"] for r in rows)
+    train, _ = _churn_train_test(spark, SF001)
+    df = _clean_table(spark, SF001)
+    fresh = positive_probability(fit_pipeline(train, CHURN, classifier("rf", seed=42)).transform(df)).select("customerID", "p1").collect()
+    saved = {r["id"]: r for r in _rows(spark, "score_saved_model")}
+    assert len(saved) == len(fresh) and all(saved[r["customerID"]]["p1"] == r["p1"] for r in fresh)
+    assert all(r["prediction"] == float(r["p1"] > 0.5) for r in saved.values())
 
 
 @pytest.mark.parametrize("name", ["train_embedding_lr", "train_embedding_lr_weighted"])
 def test_embedding_lr(spark, name):
     rows = _rows(spark, name)
-    assert rows and all(r["confidence_ok"] and r["prediction_ok"] for r in rows)
+    assert rows and all(0 < r["confidence"] <= 1 and r["prediction"] in range(10) and r["labelIndex"] in range(10) for r in rows)
+    # ten classes: the predicted one has at least a tenth
+    assert all(r["confidence"] >= 0.1 for r in rows) and len({r["prediction"] for r in rows}) > 1
 
 
 def test_image_pipeline(spark):
@@ -75,9 +140,29 @@ def test_image_pipeline(spark):
     members = _rows(spark, "zip_members")
     assert len(members) == n
     preds = _rows(spark, "score_zip")
-    assert len(preds) == n
-    assert all(r["answer_ok"] for r in preds)
-    assert sum(r["failed"] for r in preds) == len(bad)
+    assert len(preds) == n and {r["archive"] for r in preds} == {r["archive"] for r in members}
+    assert all((r["label"] in ("cat", "dog") and 0 < r["confidence"] < 1) or (r["label"], r["confidence"]) == ("ERROR", 0.0) for r in preds)
+    assert sum(r["label"] == "ERROR" for r in preds) == len(bad)
+
+
+def test_image_answers_agree_with_each_other(spark):
+    """The blue channel tells the classes apart: the model finds them, from the folder and from the archives alike."""
+    from scorewright.sources.tables import member_name
+
+    folder = {r["vec_id"]: r for r in _rows(spark, "score_images")}
+    truth = {r["vec_id"]: "cat" if r["label"] < 5 else "dog" for r in spark.read.parquet(f"{SF001}/embeddings.parquet").collect()}
+    zipped = {r["filename"]: r for r in _rows(spark, "score_zip")}
+    assert len(folder) == len(zipped) == len(truth)
+    right = [r["label"] == truth[v] for v, r in folder.items() if r["label"] != "ERROR"]
+    assert sum(right) > 0.95 * len(right)
+    for v, r in folder.items():
+        z = zipped[member_name(v)]
+        assert r["label"] == z["label"]
+        if r["label"] != "ERROR":
+            assert r["confidence"] == pytest.approx(max(z["confidence"], 1 - z["confidence"]), abs=1e-9)
+    trained = _rows(spark, "train_image_lr")
+    assert trained and all(r["label"] == truth[r["vec_id"]] and r["confidence"] > 0.5 for r in trained)
+    assert sum(r["prediction"] == r["labelIndex"] for r in trained) > 0.95 * len(trained)
 
 
 def test_planted_signal_is_learned(spark):
