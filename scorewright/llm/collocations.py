@@ -2,16 +2,19 @@
 
 Texts are lower-cased (A-Z) and cut into pieces and words on their bytes.  Prefix polynomials in numpy hash every
 word (over its bytes) and every n-gram (over its words' hashes) modulo 2^64, and once more modulo the prime
-2^31 - 1 as a check value.  Each task combines equal fingerprints of a batch and sends (fingerprint, check, count,
-occurrence pointer); a pointer is the hash of a document's id and text, where the fingerprint is found again by the
-same hashing.  The shuffle adds the counts and keeps the least and greatest check value and pointer.  One whose
-check values differ holds several phrases, and so does one whose two pointers show different texts: those few are
-counted anew by their text.  Only fingerprints of ``least`` occurrences or more ever become text.
+2^31 - 1 as a check value.
 
-A phrase of k words can only be that frequent if its two parts of k - 1 words are, so the fingerprints of length k
-are sent only if both parts hit a bit table of the frequent ones of length k - 1.  The table has ``filter_bits``
-bits (16 MB) at any corpus size; it lets some rare phrases pass, which their count removes, and never stops a
-frequent one.
+Most n-grams occur once or twice.  So a first shuffle per length carries only 44 bits of each fingerprint (4 bytes
+in one of 4,096 rows, each value at most ``least`` times a chunk of text) and finds the keys that occur ``least`` times;
+of a phrase of k words it carries only those whose two parts of k - 1 words are that frequent.  Frequent keys set
+bits in a table of ``filter_bits`` bits (16 MB at any corpus size), which travels to the tasks: it lets some rare
+phrases pass, which their count removes, and never stops a frequent one.
+
+Then each task combines equal fingerprints and sends (fingerprint, check, count, occurrence pointer) of those that
+pass; a pointer is the hash of a document's id and text, where the fingerprint is found again by the same hashing.
+The shuffle adds the counts and keeps the least and greatest check value and pointer.  One whose check values
+differ holds several phrases, and so does one whose two pointers show different texts: those few are counted anew
+by their text.  Only fingerprints of ``least`` occurrences or more ever become text.
 
 Scores: cutting a candidate after its first k words gives l and r, the counts of both parts, and
 floor(1000000 a a / (l r)); the lowest counts, ties to the smallest k.  A candidate inside a longer candidate that
@@ -21,7 +24,8 @@ are looked up by broadcast, the others by a shuffle in which no part can be hot.
 
 Cases: a null text counts as empty; a null language is ``und``.  Equal rows count each.  Null ids are fine (the
 pointer is a hash of id and text).  Ties: score, then count, descending, then phrase in byte order.  Very long
-texts are hashed in blocks of ``BLOCK`` words, whatever a word's length.  An empty table gives an empty result.  Only the
+texts are hashed in blocks of ``BLOCK`` words, whatever a word's length.  Corpora far beyond 1 TB need more than
+4,096 rows of keys: raise ``KEY_BITS``.  An empty table gives an empty result.  Only the
 id, text and language columns are read.
 """
 
@@ -42,6 +46,9 @@ WORD_BASE = np.uint64(0xD1342543DE82EF95)
 PRIME = (1 << 31) - 1
 CHECK_BASE, CHECK_WORD_BASE = 911_382_323, 972_663_749
 BLOCK = 1 << 16
+CHUNK = 2 << 20
+COMBINE = 2 << 20
+KEY_BITS = 44
 FILTER_BITS = 1 << 27
 FILTER_PART = 1 << 20
 HEAVY = 65_536
@@ -83,16 +90,25 @@ class _Powers:
         self.up, self.down, self.check_up, self.check_down = wrap(self.base), wrap(self.inverse), mod(self.check_base), mod(self.check_inverse)
         self.size = n
 
-    def ranges(self, values: np.ndarray, checks: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Hash and check value of each range [start, end) from prefix polynomials over ``values`` and ``checks``."""
-        self.upto(len(values) + 1)
+    def prefixes(self, values: np.ndarray, checks: np.ndarray | None) -> tuple:
+        """Prefix polynomials over ``values`` modulo 2^64 and over ``checks`` modulo the prime."""
         n = len(values)
-        prefix = np.zeros(n + 1, np.uint64)
-        np.cumsum(values * self.up[:n], out=prefix[1:])
-        h = (prefix[end] - prefix[start]) * self.down[start]
-        prefix = np.zeros(n + 1, np.int64)
-        np.cumsum(checks * self.check_up[:n] % PRIME, out=prefix[1:])
-        return h, (prefix[end] - prefix[start]) % PRIME * self.check_down[start] % PRIME
+        self.upto(n + 1)
+        h = np.zeros(n + 1, np.uint64)
+        np.cumsum(values * self.up[:n], out=h[1:])
+        if checks is None:
+            return h, None
+        c = np.zeros(n + 1, np.int64)
+        np.cumsum(checks * self.check_up[:n] % PRIME, out=c[1:])
+        return h, c
+
+    def between(self, prefix: tuple, start: np.ndarray, end: np.ndarray) -> tuple:
+        """Hash and check value of each range [start, end)."""
+        h, c = prefix
+        return (h[end] - h[start]) * self.down[start], None if c is None else (c[end] - c[start]) % PRIME * self.check_down[start] % PRIME
+
+    def ranges(self, values: np.ndarray, checks: np.ndarray | None, start: np.ndarray, end: np.ndarray) -> tuple:
+        return self.between(self.prefixes(values, checks), start, end)
 
 
 _BYTES, _WORDS = _Powers(BASE, CHECK_BASE), _Powers(WORD_BASE, CHECK_WORD_BASE)
@@ -116,11 +132,11 @@ def word_places(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
     stop[cut[inside[cut - 1]] - 1] = True
     start, end = np.flatnonzero(begin), np.flatnonzero(stop) + 1
     text = np.searchsorted(offsets, start, side="right") - 1
-    return start, end, np.cumsum(kind == 2)[start] + text if len(start) else start, text
+    return start, end, np.cumsum(kind == 2, dtype=np.int32)[start] + text if len(start) else start, text
 
 
-def ngrams(data: np.ndarray, offsets: np.ndarray, salt: np.ndarray, upto: int, bits: int = 64) -> Iterator[tuple]:
-    """Blocks (first word, words, [(fingerprint, check, valid)] of lengths 1 to ``upto``) over all words.
+def ngrams(data: np.ndarray, offsets: np.ndarray, salt: np.ndarray, upto: int, bits: int = 64, checks: bool = True) -> Iterator[tuple]:
+    """Blocks (first word, words, starts, ends and texts of all words, [(fingerprint, check, valid)] of lengths 1 to ``upto``).
 
     ``salt``: a number per text, the same for texts of one language.  ``valid[i]``: words i to i + k - 1 are one phrase."""
     start, end, piece, text = word_places(data, offsets)
@@ -130,16 +146,17 @@ def ngrams(data: np.ndarray, offsets: np.ndarray, salt: np.ndarray, upto: int, b
         origin = start[first]
         raw = _FOLD[data[origin:end[far - 1]]]
         s, e = start[first:far] - origin, end[first:far] - origin
-        h, c = _BYTES.ranges(raw.astype(np.uint64) + np.uint64(1), raw.astype(np.int64) + 1, s, e)
-        h, c, n = _mix(h + (e - s).astype(np.uint64)), (c + (e - s)) % PRIME, last - first
-        seed, out = salt[text[first:last]].astype(np.uint64), []
+        h, c = _BYTES.ranges(raw.astype(np.uint64) + np.uint64(1), raw.astype(np.int64) + 1 if checks else None, s, e)
+        h, c, n = _mix(h + (e - s).astype(np.uint64)), (c + (e - s)) % PRIME if checks else None, last - first
+        at = np.arange(far - first + 1)
+        prefix, seed, out = _WORDS.prefixes(h, c), salt[text[first:last]].astype(np.uint64), []
         for k in range(1, upto + 1):
-            at = np.arange(min(n, max(0, far - first - k + 1)))
-            fp, check = _WORDS.ranges(h, c, at, at + k)
-            fp = _mix(fp ^ (seed[:len(at)] * np.uint64(0x94D049BB133111EB) + np.uint64(k)))
+            m = min(n, max(0, far - first - k + 1))
+            fp, check = _WORDS.between(prefix, at[:m], at[k:m + k])
+            fp = _mix(fp ^ (seed[:m] * np.uint64(0x94D049BB133111EB) + np.uint64(k)))
             if bits < 64:
-                fp &= np.uint64((1 << bits) - 1)
-            out.append((fp, (check + seed[:len(at)].astype(np.int64)) % PRIME, piece[first:first + len(at)] == piece[first + k - 1:first + k - 1 + len(at)]))
+                fp &= ~np.uint64((1 << (64 - bits)) - 1)
+            out.append((fp, (check + seed[:m].astype(np.int64)) % PRIME if checks else None, piece[first:first + m] == piece[first + k - 1:first + k - 1 + m]))
         yield first, n, start, end, text, out
 
 
@@ -155,58 +172,110 @@ def _salts(langs: list) -> np.ndarray:
     return np.array([zlib.crc32((x or UND).encode()) for x in langs], np.int64)
 
 
-def _combined(fp: np.ndarray, check: np.ndarray, pointer: np.ndarray, count: np.ndarray) -> tuple:
-    """Equal (fingerprint, check) neighbours of the sorted rows as one, with one of their pointers."""
-    order = np.lexsort((check, fp)) if len(fp) else np.zeros(0, np.int64)
-    fp, check, pointer, count = fp[order], check[order], pointer[order], count[order]
-    at = np.flatnonzero(np.concatenate([[True], (fp[1:] != fp[:-1]) | (check[1:] != check[:-1])])) if len(fp) else order
-    return fp[at], check[at], pointer[at], np.add.reduceat(count, at) if len(at) else count
+def _combined(rows: list[tuple]) -> tuple:
+    """Equal (length, fingerprint, check) of the rows' arrays as one, with one of their pointers."""
+    k, fp, check, pointer, count = (np.concatenate([r[c] for r in rows]) for c in range(5))
+    order = np.lexsort((check, fp, k)) if len(fp) else np.zeros(0, np.int64)
+    k, fp, check, pointer, count = k[order], fp[order], check[order], pointer[order], count[order]
+    at = np.flatnonzero(np.concatenate([[True], (fp[1:] != fp[:-1]) | (check[1:] != check[:-1]) | (k[1:] != k[:-1])])) if len(fp) else order
+    return k[at], fp[at], check[at], pointer[at], np.add.reduceat(count, at) if len(at) else count
 
 
 def _passes(table: np.ndarray, fp: np.ndarray) -> np.ndarray:
-    bit = fp & np.uint64(len(table) * 8 - 1)
+    bit = (fp >> np.uint64(64 - KEY_BITS)) & np.uint64(len(table) * 8 - 1)
     return (table[(bit >> np.uint64(3)).astype(np.int64)] >> (bit & np.uint64(7)).astype(np.uint8)) & 1 == 1
 
 
-def _count(length: int, table, bits: int):
-    """Task function: (length, fp, check, n, pointer) of a batch's phrases of ``length`` words (with ``length`` 2: of words, too,
-    and one row of length 0 per language, that counts its words).  ``table``: broadcast bits of the frequent parts."""
+def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Slices of the batches with about ``CHUNK`` bytes of text (one text at least)."""
+    for batch in batches:
+        _, offsets = _buffers(batch.column("text"))
+        at = 0
+        while at < len(batch):
+            end = max(at + 1, int(np.searchsorted(offsets, offsets[at] + CHUNK, side="right")) - 1)
+            yield batch.slice(at, end - at)
+            at = end
+
+
+def _keys(length: int, table, bits: int, least: int):
+    """Task function: (part, keys): the first ``KEY_BITS`` bits of a chunk's fingerprints of ``length`` words, each up to ``least``
+    times, 4 bytes each in the row of its first bits.  ``table``: broadcast bits of the frequent parts, where they are known."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = None if table is None else np.frombuffer(table.value, np.uint8)
-        for batch in batches:
+        for batch in _chunks(batches):
             data, offsets = _buffers(batch.column("text"))
-            pointer, langs = batch.column("pointer").to_numpy(), batch.column("lang").to_pylist()
-            for first, n, _, _, text, grams in ngrams(data, offsets, _salts(langs), length, bits):
-                own = pointer[text[first:first + n]]
-                rows = []
-                if length == 2:
-                    each, at, size = np.unique(_salts(langs)[text[first:first + n]], return_index=True, return_counts=True)
-                    rows.append((0, each.astype(np.uint64), each % PRIME, own[at], size))
-                for k in ((1, 2) if length == 2 else (length,)):
-                    fp, check, valid = grams[k - 1]
-                    if known is not None:
-                        part = grams[k - 2][0]
-                        hit, rest = _passes(known, part[:len(fp)]), _passes(known, part[1:len(fp) + 1])
-                        hit[:len(rest)] &= rest              # a last part past the block's end is not looked up
-                        valid = valid & hit
-                    at = np.flatnonzero(valid)
-                    rows.append((k, *_combined(fp[at], check[at], own[at], np.ones(len(at), np.int64))))
-                for k, fp, check, ptr, size in rows:
-                    if len(fp):
-                        yield pa.RecordBatch.from_arrays([
-                            pa.array(np.full(len(fp), k, np.int32)), pa.array(fp.view(np.int64)), pa.array(check.astype(np.int32)),
-                            pa.array(size.astype(np.int32)), pa.array(ptr)], names=["length", "fp", "check", "n", "pointer"])
+            found = []
+            for *_, grams in ngrams(data, offsets, _salts(batch.column("lang").to_pylist()), length, bits, checks=False):
+                fp, _, valid = grams[length - 1]
+                if known is not None:
+                    part = grams[length - 2][0]
+                    hit, rest = _passes(known, part[:len(fp)]), _passes(known, part[1:len(fp) + 1])
+                    hit[:len(rest)] &= rest              # a last part past the block's end is not looked up
+                    valid = valid & hit
+                found.append(fp[valid] >> np.uint64(64 - KEY_BITS))
+            if not found:
+                continue
+            key = np.sort(np.concatenate(found))
+            # the (least + 1)th equal one and all after it add nothing
+            key = key[np.concatenate([np.ones(min(least, len(key)), bool), key[least:] != key[:-least]])]
+            part = (key >> np.uint64(32)).astype(np.int32)
+            at = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]])) if len(key) else np.zeros(0, np.int64)
+            ends = (np.append(at, len(key)) * 4).astype(np.int32)
+            yield pa.RecordBatch.from_arrays([pa.array(part[at]), pa.Array.from_buffers(
+                pa.binary(), len(at), [None, pa.py_buffer(ends), pa.py_buffer((key & np.uint64(0xFFFFFFFF)).astype(np.uint32))])], names=["part", "keys"])
+
+    return run
+
+
+def _often(least: int):
+    """Group function: the keys of one part that occur ``least`` times or more, as fingerprints whose other bits are 0."""
+
+    def pick(key: tuple, rows: pa.Table) -> pa.Table:
+        values = np.sort(np.concatenate([np.frombuffer(x.as_buffer(), np.uint32) for x in rows.column("keys")]))
+        n = max(0, len(values) - least + 1)
+        often = np.unique(values[:n][values[:n] == values[len(values) - n:]]).astype(np.uint64)
+        fp = (often | np.uint64(key[0].as_py() << 32)) << np.uint64(64 - KEY_BITS)
+        return pa.table({"fp": pa.array(fp.view(np.int64), pa.int64())})
+
+    return pick
+
+
+def _count(tables: dict, bits: int):
+    """Task function: (length, fp, check, n, pointer) of the texts' words, and of its phrases that hit the bits of their length's
+    broadcast table; one row of length 0 per language counts its words."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = {k: np.frombuffer(t.value, np.uint8) for k, t in tables.items()}
+        held, waiting = [], 0                                # rows of the task so far, bounded by COMBINE
+        for chunk in _chunks(batches):
+            data, offsets = _buffers(chunk.column("text"))
+            pointer, salts = chunk.column("pointer").to_numpy(), _salts(chunk.column("lang").to_pylist())
+            for first, n, _, _, text, grams in ngrams(data, offsets, salts, max(known), bits):
+                own, rows = pointer[text[first:first + n]], []
+                each, at, size = np.unique(salts[text[first:first + n]], return_index=True, return_counts=True)
+                rows.append((np.zeros(len(each), np.int32), each.astype(np.uint64), each % PRIME, own[at], size))
+                for k, (fp, check, valid) in enumerate(grams, 1):
+                    at = np.flatnonzero(valid & _passes(known[k], fp)) if k in known else np.arange(len(fp))
+                    rows.append((np.full(len(at), k, np.int32), fp[at], check[at], own[at], np.ones(len(at), np.int64)))
+                held.append(_combined(rows))
+                waiting += len(held[-1][0])
+                if waiting > COMBINE:
+                    held = [_combined(held)]
+                    waiting = len(held[0][0])
+                    if waiting > COMBINE * 3 // 4:
+                        yield _counted(held.pop())
+                        waiting = 0
+        if held:
+            yield _counted(_combined(held))
 
     return run
 
 
-def _frequent(docs: DataFrame, length: int, table, bits: int, least: int) -> DataFrame:
-    """(length, fp, n, c0, c1, p0, p1): fingerprints of ``least`` occurrences or more."""
-    rows = docs.mapInArrow(_count(length, table, bits), "length int, fp long, check int, n int, pointer long")
-    return rows.groupBy("length", "fp").agg(
-        F.sum(F.col("n").cast("long")).alias("n"), F.min("check").alias("c0"), F.max("check").alias("c1"),
-        F.min("pointer").alias("p0"), F.max("pointer").alias("p1")).filter((F.col("n") >= least) | (F.col("length") == 0))
+def _counted(rows: tuple) -> pa.RecordBatch:
+    k, fp, check, pointer, n = rows
+    return pa.RecordBatch.from_arrays([pa.array(k), pa.array(fp.view(np.int64)), pa.array(check.astype(np.int32)), pa.array(n.astype(np.int32)),
+                                       pa.array(pointer)], names=["length", "fp", "check", "n", "pointer"])
 
 
 def _bit_table(fps: DataFrame, filter_bits: int):
@@ -218,7 +287,7 @@ def _bit_table(fps: DataFrame, filter_bits: int):
         np.bitwise_or.at(out, at >> 3, np.left_shift(np.uint8(1), (at & 7).astype(np.uint8)))
         return pa.table({"part": pa.array([key[0].as_py()], pa.int32()), "bits": pa.array([out.tobytes()], pa.binary())})
 
-    place = F.col("fp").bitwiseAND(F.lit(filter_bits - 1))
+    place = F.shiftrightunsigned("fp", 64 - KEY_BITS).bitwiseAND(F.lit(filter_bits - 1))
     rows = fps.select((place / part).cast("int").alias("part"), (place % part).alias("bit")).distinct()
     filled = rows.groupBy("part").applyInArrow(fill, "part int, bits binary").collect()          # filter_bits / 8 bytes at most
     table = np.zeros(filter_bits // 8, np.uint8)
@@ -291,14 +360,15 @@ def frequent_phrases(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     text, lang = F.coalesce(F.col(text_col), F.lit("")), F.coalesce(F.col(lang_col), F.lit(UND))
     rows = docs.select(text.alias("text"), lang.alias("lang"), F.xxhash64(F.col(id_col), lang, text).alias("pointer"))
     with scratch(spark) as keep:
-        levels = [staged(_frequent(rows, 2, None, fp_bits, least), "fingerprints-2")]
-        for k in range(3, max_words + 1):
-            table = _bit_table(levels[-1].filter(F.col("length") == k - 1), filter_bits)
-            levels.append(staged(_frequent(rows, k, table, fp_bits, least), f"fingerprints-{k}"))
+        tables: dict[int, object] = {}
+        for k in range(2, max_words + 1):
+            keys = rows.select("text", "lang").mapInArrow(_keys(k, tables.get(k - 1), fp_bits, least), "part int, keys binary")
+            tables[k] = _bit_table(keys.groupBy("part").applyInArrow(_often(least), "fp long"), filter_bits)
+        counted = staged(rows.mapInArrow(_count(tables, fp_bits), "length int, fp long, check int, n int, pointer long").groupBy("length", "fp").agg(
+            F.sum(F.col("n").cast("long")).alias("n"), F.min("check").alias("c0"), F.max("check").alias("c1"),
+            F.min("pointer").alias("p0"), F.max("pointer").alias("p1")).filter((F.col("n") >= least) | (F.col("length") == 0)), "fingerprints")
+        for table in tables.values():
             table.destroy()
-        counted = levels[0]
-        for level in levels[1:]:
-            counted = counted.unionByName(level)
         seeds = rows.select("lang").distinct().select("lang", F.crc32(F.col("lang").cast("binary")).alias("seed"))
         words = keep(staged(counted.filter("length = 0").join(seeds, F.col("fp") == F.col("seed")).select("lang", "n"), "words"))
         phrases = counted.filter("length > 0")
