@@ -1,11 +1,17 @@
 """License scans: winnowed template fingerprints pick candidates, banded alignment decides.
 
-Words are runs of letters and digits (bytes over 127 count as letters; A-Z as a-z).  Every template's
-hashes of ``K`` words in a row are winnowed (the smallest of each ``WINDOW`` neighbours stays) into an
-inverted index hash -> (template, place).  All word runs of a text are looked up, so any template of which
-a run of ``K + WINDOW - 1`` words (or, if shorter, the whole) is there has a candidate.  Around a candidate's diagonal the
-template is aligned with the text inside a band; it is reported if at least ``MIN_COVERAGE`` of its words
-are matched.  Of findings that overlap in a text the one with most matched words stays.
+Words are runs of letters and digits (bytes over 127 count as letters; A-Z as a-z).  Coverage of an alignment is
+matched words / (template words + words inserted between them), and ``MIN_COVERAGE`` of it is reported.  A template of m
+words then has so few breaks that some run of its words stands unbroken in the text: ``unbroken(m)`` words, 2 to 4.
+The hashes of K words in a row (K = 2 or 3) of every template are winnowed (the smallest of each two neighbours
+stays; short templates keep all), so that any such run holds one, into an inverted index hash -> (template, place).
+All word runs of a text are looked up: every alignment that is covered enough has a candidate.  A candidate
+whose surroundings don't hold enough of the template's words is dropped; around the diagonal of the others the
+template is aligned with the text inside a band as wide as the drift that coverage allows.
+
+Words that tell licenses apart have to match: numbers (versions), the family's word (Lesser, Affero), the third
+clause's words; and no word may stand between GNU and the next.  Of findings that overlap in a text the one with
+most matched words, less inserted ones, stays.
 
 Word and run hashes are computed for a whole batch with array operations; only candidates reach Python
 code.  The index holds the templates alone, a fixed few thousand entries.
@@ -29,7 +35,7 @@ from pyspark.sql import functions as F
 
 from .common import prepare
 
-K, WINDOW, MIN_COVERAGE = 5, 4, 0.8
+MIN_COVERAGE = 0.8
 
 #: Wording of public license notices.
 NOTICES = {
@@ -47,6 +53,20 @@ NOTICES = {
                     "with the distribution.",
     "Apache-2.0": "Licensed under the Apache License, Version 2.0 (the License); you may not use this file except in compliance with the "
                   "License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0",
+    "BSD-3-Clause": "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the "
+                    "following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list "
+                    "of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright "
+                    "notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided "
+                    "with the distribution. 3. Neither the name of the copyright holder nor the names of its contributors may be used "
+                    "to endorse or promote products derived from this software without specific prior written permission.",
+    "GPL-2.0": "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License "
+               "as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version.",
+    "LGPL-2.1": "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public "
+                "License as published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later version.",
+    "LGPL-3.0": "This library is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser General Public "
+                "License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
+    "AGPL-3.0": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public "
+                "License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
     "GPL-3.0": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License "
                "as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
     "MPL-2.0": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not "
@@ -61,11 +81,15 @@ NAMES = {
     "Apache-2.0": ("the Apache License, Version 2.0",),
     "GPL-2.0": ("the GNU General Public License, version 2",),
     "GPL-3.0": ("the GNU General Public License, version 3",),
+    "LGPL-2.1": ("the GNU Lesser General Public License, version 2.1",),
     "LGPL-3.0": ("the GNU Lesser General Public License, version 3",),
     "AGPL-3.0": ("the GNU Affero General Public License, version 3",),
     "MPL-2.0": ("the Mozilla Public License, version 2.0",),
+    "BSD-2-Clause": ("the BSD 2-Clause License",),
     "BSD-3-Clause": ("the BSD 3-Clause License",),
 }
+#: Words that tell a license from its neighbours.
+DECIDING = (b"lesser", b"affero", b"neither", b"endorse", b"mit", b"apache", b"mozilla")
 WORD = re.compile(rb"[a-z0-9\x80-\xff]+")
 
 
@@ -80,11 +104,20 @@ def templates() -> list[tuple[str, str]]:
 
 @dataclass(frozen=True)
 class Settings:
-    k: int = K
-    window: int = WINDOW
     min_coverage: float = MIN_COVERAGE
 
 
+def unbroken(m: int, coverage: float = MIN_COVERAGE) -> int:
+    """Length of a run of template words that stands unbroken in any text that covers a template of ``m`` words enough:
+    the least, over the numbers of missed and inserted words that coverage allows, of matched words / (breaks + 1), rounded up."""
+    least = m
+    for missed in range(m + 1):
+        for inserted in range(m + 1):
+            if m - missed >= coverage * (m + inserted) - 1e-9:
+                least = min(least, -(-(m - missed) // (missed + inserted + 1)))
+    return least
+
+
 _BASE, _MIX = 0x9E3779B97F4A7C15 | 1, np.uint64(0xD6E8FEB86659FD93)
 _INVERSE = pow(_BASE, -1, 1 << 64)
 _KIND = np.array([chr(b).isascii() and chr(b).isalnum() or b > 127 for b in range(256)])
@@ -135,30 +168,44 @@ def run_hashes(h: np.ndarray, k: int) -> np.ndarray:
 
 
 class Index:
+    """Templates and, for each run length K, the sorted hashes of their winnowed runs with template and place."""
+
     def __init__(self, s: Settings = Settings()):
         self.s, self.templates = s, templates()
-        self.words = [word_hashes(np.frombuffer(t.encode(), np.uint8))[2] for _, t in self.templates]
-        found = []
+        texts = [t.lower().encode() for _, t in self.templates]
+        self.words = [word_hashes(np.frombuffer(t, np.uint8))[2] for t in texts]
+        plain = [WORD.findall(t) for t in texts]
+        self.must = [np.array([any(48 <= c < 58 for c in w) or w in DECIDING or (b"cc" in ws and len(w) == 2) for w in ws]) for ws in plain]
+        # a name's place in its list: 1, 2 and 3 before the clauses are no versions
+        for ws, must in zip(plain, self.must):
+            if b"redistribution" in ws:
+                must[[w.isdigit() for w in ws]] = False
+        self.tight = [np.array([w == b"gnu" for w in ws]) for ws in plain]
+        self.band = [max(3, -(-len(w) // 4)) for w in self.words]
+        found: dict[int, list] = {}
         for t, w in enumerate(self.words):
-            g = run_hashes(w, s.k)
-            n = max(1, len(g) - s.window + 1)
-            places = {a + int(np.argmin(g[a:a + s.window])) for a in range(n)} if len(g) else set()
-            found += [(g[p], t, p) for p in sorted(places)]
-        found.sort(key=lambda x: (int(x[0]), x[1], x[2]))
-        self.keys = np.array([x[0] for x in found], np.uint64)
-        self.owner, self.place = (np.array([x[i] for x in found]) for i in (1, 2))
-        self.flags = np.zeros(1 << 16, bool)                        # cheap first test on the top bits
-        self.flags[(self.keys >> np.uint64(48)).astype(np.int64)] = True
-
-    def candidates(self, g: np.ndarray) -> list[tuple[int, int, int]]:
-        """(place in the text, template, place in the template) of every hash that is in the index."""
-        at = np.flatnonzero(self.flags[(g >> np.uint64(48)).astype(np.int64)])
-        low, high = np.searchsorted(self.keys, g[at], "left"), np.searchsorted(self.keys, g[at], "right")
-        return [(int(p), int(self.owner[j]), int(self.place[j])) for p, a, b in zip(at, low, high) for j in range(a, b)]
-
-
-def align(template: np.ndarray, text: np.ndarray, shift: int, band: int) -> tuple[int, int, int]:
-    """Matched words, first and last text word matched: fewest edits inside the band, the text's ends free.
+            run = unbroken(len(w), s.min_coverage)
+            k, window = (3, 2) if run >= 4 else (max(1, run), 1)
+            g = run_hashes(w, k)
+            places = {a + int(np.argmin(g[a:a + window])) for a in range(max(1, len(g) - window + 1))}
+            found.setdefault(k, []).extend((int(g[p]), t, p) for p in sorted(places))
+        self.runs = {}
+        for k, rows in sorted(found.items()):
+            rows.sort()
+            keys, flags = np.array([r[0] for r in rows], np.uint64), np.zeros(1 << 16, bool)
+            flags[(keys >> np.uint64(48)).astype(np.int64)] = True       # cheap first test on the top bits
+            self.runs[k] = (flags, keys, np.array([r[1] for r in rows]), np.array([r[2] for r in rows]))
+
+    def candidates(self, g: np.ndarray, k: int) -> list[tuple[int, int, int]]:
+        """(place in the text, template, place in the template) of every hash of ``k`` words that is in the index."""
+        flags, keys, owner, place = self.runs[k]
+        at = np.flatnonzero(flags[(g >> np.uint64(48)).astype(np.int64)])
+        low, high = np.searchsorted(keys, g[at], "left"), np.searchsorted(keys, g[at], "right")
+        return [(int(p), int(owner[j]), int(place[j])) for p, a, b in zip(at, low, high) for j in range(a, b)]
+
+
+def align(template: np.ndarray, text: np.ndarray, shift: int, band: int) -> list[tuple[int, int]]:
+    """(template word, text word) of every match, in order: fewest edits inside the band, the text's ends free.
 
     Row i of the table is after i template words; column c is text place i + shift - band + c."""
     m, width = len(template), 2 * band + 1
@@ -182,32 +229,55 @@ def align(template: np.ndarray, text: np.ndarray, shift: int, band: int) -> tupl
         if moves[i, c] == 0:
             p = i + shift - band + c
             if 0 <= p < len(text) and text[p] == template[i]:
-                hits.append(p)
+                hits.append((i, p))
             i -= 1
         elif moves[i, c] == 1:
             i, c = i - 1, c + 1
         else:
             c -= 1
-    return len(hits), min(hits, default=0), max(hits, default=-1)
+    return hits[::-1]
+
+
+def accepted(index: Index, t: int, hits: list[tuple[int, int]]) -> int:
+    """Matched less inserted words of an alignment with template ``t``; 0 if it isn't covered enough or another license is meant."""
+    if not hits:
+        return 0
+    i, p = (np.array(x) for x in zip(*hits))
+    m, inserted = len(index.words[t]), int(np.maximum(np.diff(p) - np.diff(i), 0).sum())
+    if len(i) < index.s.min_coverage * (m + inserted) - 1e-9:
+        return 0
+    matched = np.zeros(m, bool)
+    matched[i] = True
+    if not matched[index.must[t]].all():
+        return 0
+    after = np.flatnonzero(index.tight[t][i[:-1]])
+    if ((p[after + 1] - p[after]) != (i[after + 1] - i[after])).any():
+        return 0
+    return len(i) - inserted
 
 
 def scan(index: Index, words: np.ndarray, found: list[tuple[int, int, int]]) -> list[tuple[int, int, int, int]]:
     """(template, matched words, first, last word) of the findings of one text, apart from each other."""
     tried, good = set(), []
-    for place, t, at in found:
-        w = index.words[t]
-        band = max(3, len(w) // 8)
-        shift = place - at
-        if any((t, d) in tried for d in range(shift - band // 2, shift + band // 2 + 1)):
-            continue                                                 # the same place, seen from a neighbouring run
+    for place, t, at in sorted(found):
+        w, shift = index.words[t], place - at
+        if (t, shift) in tried:
+            continue                                                 # the same diagonal, seen from another run
         tried.add((t, shift))
+        band = index.band[t]
         low, high = max(0, shift - band), min(len(words), shift + len(w) + band)
-        n, a, b = align(w, words[low:high], shift - low, band)
-        if n >= index.s.min_coverage * len(w):
-            good.append((t, n, low + a, low + b))
-    good.sort(key=lambda x: (-x[1], len(index.words[x[0]]), x[0], x[2]))
+        near, often = np.unique(words[low:high], return_counts=True)
+        own, need = np.unique(w, return_counts=True)
+        at_ = np.minimum(np.searchsorted(near, own), max(0, len(near) - 1))
+        if np.minimum(often[at_], need)[near[at_] == own].sum() < index.s.min_coverage * len(w) - 1e-9:
+            continue                                                 # too few of its words are there at all
+        hits = align(w, words[low:high], shift - low, band)
+        score = accepted(index, t, hits)
+        if score:
+            good.append((score, t, len(hits), low + hits[0][1], low + hits[-1][1]))
+    good.sort(key=lambda x: (-x[0], len(index.words[x[1]]), x[1], x[3]))
     kept: list[tuple[int, int, int, int]] = []                       # (first, last, template, matched), apart and in order
-    for t, n, a, b in good:
+    for _, t, n, a, b in good:
         i = bisect_left(kept, (a,))
         if (i == 0 or kept[i - 1][1] < a) and (i == len(kept) or kept[i][0] > b):
             kept.insert(i, (a, b, t, n))
@@ -238,12 +308,12 @@ def _scan_group(index: Index, ids: pa.Array, texts: list[bytes]) -> pa.RecordBat
     data = np.frombuffer(b"\0".join(texts) + b"\0", np.uint8)        # a word never crosses the zero byte
     begin = np.cumsum([0, *(len(t) + 1 for t in texts)])
     start, end, h = word_hashes(data)
-    g = run_hashes(h, index.s.k)
     owner = np.searchsorted(begin, start, "right") - 1
     by_text: dict[int, list[tuple[int, int, int]]] = {}
-    for p, t, at in index.candidates(g):
-        if owner[p] == owner[p + index.s.k - 1]:
-            by_text.setdefault(int(owner[p]), []).append((p, t, at))
+    for k in index.runs:
+        for p, t, at in index.candidates(run_hashes(h, k), k):
+            if owner[p] == owner[p + k - 1]:
+                by_text.setdefault(int(owner[p]), []).append((p, t, at))
     rows: list[tuple] = []
     for i, found in sorted(by_text.items()):
         first, last = np.searchsorted(owner, [i, i + 1])

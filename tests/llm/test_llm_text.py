@@ -227,8 +227,47 @@ def test_alignment_is_the_banded_edit_distance():
         m = rng.integers(5, 20)
         template = rng.integers(0, 50, m).astype(np.uint64)
         text = np.concatenate([rng.integers(50, 90, 7), np.delete(template, rng.integers(0, m)), rng.integers(50, 90, 6)]).astype(np.uint64)
-        n, a, b = licenses.align(template, text, 7, 4)
-        assert n == m - 1 and 7 <= a <= b < 7 + m - 1
+        hits = licenses.align(template, text, 7, 4)
+        assert len(hits) == m - 1 and all(template[i] == text[p] for i, p in hits) and 7 <= hits[0][1] and hits[-1][1] < 7 + m - 1
+
+
+def found_licenses(spark, texts):
+    got = defaultdict(list)
+    for r in licenses.scan_licenses(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect():
+        got[r["doc_id"]].append(r)
+    return [[(r["license"], round(r["coverage"], 2)) for r in sorted(got[i], key=lambda r: r["start"])] for i in range(len(texts))]
+
+
+def test_licenses_told_apart(spark):
+    n = licenses.NOTICES
+    cases = {n["GPL-2.0"]: "GPL-2.0", n["GPL-3.0"]: "GPL-3.0", n["LGPL-2.1"]: "LGPL-2.1", n["LGPL-2.1"].replace("library", "program"): "LGPL-2.1",
+             n["LGPL-3.0"]: "LGPL-3.0", n["AGPL-3.0"]: "AGPL-3.0", n["BSD-3-Clause"]: "BSD-3-Clause", n["BSD-2-Clause"]: "BSD-2-Clause",
+             "licensed under MIT License": "MIT", "released under MIT License": "MIT", "Licensed under the terms of the MIT license": None,
+             "licensed under the GNU Lesser General Public License, version 3": "LGPL-3.0", "licensed under the Apache License, Version 1.1": None,
+             "licensed under CC BY-NC-SA 4.0": "CC-BY-NC-SA-4.0", "licensed under CC BY-SA 4.0": "CC-BY-SA-4.0", "licensed under CC BY 4.0": "CC-BY-4.0",
+             n["GPL-3.0"].replace("version 3", "version 4"): None, "distributed under the BSD 3-Clause License": "BSD-3-Clause",
+             "the cat sat under the mat of the MIT building": None}
+    got = found_licenses(spark, [f"before it {t} and after it" for t in cases])
+    assert [[k for k, _ in g] for g in got] == [[k] if k else [] for k in cases.values()]
+    assert found_licenses(spark, ["licensed under MIT License"]) == [[("MIT", 0.8)]]
+
+
+def test_every_covered_alignment_has_a_candidate(spark):
+    """Templates with words left out, replaced and put in at random: found whenever an exhaustive search over all places finds one."""
+    rng = np.random.default_rng(11)
+    index, texts = licenses.Index(), []
+    for t in range(len(index.templates)):
+        for _ in range(4):
+            words = index.templates[t][1].split()
+            for _ in range(int(rng.integers(0, max(2, len(words) // 4)))):
+                at, kind = int(rng.integers(0, len(words))), rng.integers(0, 3)
+                words[at:at + (kind != 0)] = [] if kind == 1 else ["zz%d" % rng.integers(0, 99)]
+            texts.append(" ".join([*("a%d" % x for x in rng.integers(0, 9, rng.integers(0, 8))), *words, "of the end"]))
+    got = found_licenses(spark, texts)
+    for text, g in zip(texts, got):
+        h = licenses.word_hashes(np.frombuffer(text.lower().encode(), np.uint8))[2]
+        best = max((licenses.accepted(index, t, licenses.align(w, h, 0, len(h) + len(w))), -len(w), -t) for t, w in enumerate(index.words))
+        assert [k for k, _ in g] == ([index.templates[-best[2]][0]] if best[0] else []), text
 
 
 def test_licenses_whole_table(spark):
