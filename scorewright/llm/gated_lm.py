@@ -11,14 +11,16 @@ the counts of all unmodelled words (add-one, with one place for the never seen),
 probability of the whole text.
 
 Training.  Truncated backpropagation through time: windows of ``train_window`` tokens, state carried from
-window to window.  Every training document is learned from once, whole: up to ``rounds`` rounds take a part
-of the documents each, by hash; in a round, replicas of about ``replica_tokens`` tokens train side by side
-from the last round's model and are averaged, token-weighted, in integer arithmetic.
+window to window (for ``segment`` tokens of a document; then from zero, so long documents take no longer).  Every training document is learned from once, whole: replicas of about ``replica_tokens``
+tokens train side by side from the same start and are averaged, token-weighted, in integer arithmetic.
 
 Scoring.  Documents are laid end to end in lanes and run side by side, window by window; the state is
 carried across windows and cleared where a document begins, so a score covers the whole document.
 
-Cases: null text counts as empty (one token, the end).  Repeated rows and null ids each keep their row.
+Cases: null text counts as empty (one token, the end).  Repeated rows and null ids each keep their row; copies of
+a row with one id and text are dealt over the replicas by their place in the staged training table.  Words of one
+count are ranked by their bytes.  Very long texts: a lane is as long as the longest text, but only live lanes are
+laid out, so memory follows the tokens.
 Without training documents all counts are zero and the model is its start.  An empty table gives an empty
 result.  Only the id and text columns are read.
 """
@@ -49,14 +51,15 @@ class Settings:
     classes: int = 64
     members: int = 64
     embed: int = 16
-    hidden: int = 24
+    hidden: int = 16
     replica_tokens: int = 1_000_000
-    rounds: int = 2
-    lanes: int = 64
+    lanes: int = 256
+    update_tokens: int = 4096
+    segment: int = 1024
     train_window: int = 16
     score_lanes: int = 256
     score_window: int = 64
-    rate: float = 0.004
+    rate: float = 0.015
     clip: float = 1.0
     group_bytes: int = 1 << 23
     seed: int = 3
@@ -156,13 +159,6 @@ class Gru:
             at += n
         return Gru(self.s, out)
 
-    def _by_class(self, y: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
-        k = y // self.s.members
-        order = np.argsort(k, kind="stable")
-        cut = np.searchsorted(k[order], np.arange(self.s.classes + 1))
-        for c in np.flatnonzero(np.diff(cut)):
-            yield int(c), order[cut[c]:cut[c + 1]]
-
     def _blocks(self, k: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Tokens of classes ``k`` laid by class in blocks of ``BLOCK`` rows: their order, the row of each,
         the class of each block, and the first block of each class that has any."""
@@ -173,24 +169,31 @@ class Gru:
 
     def log_probability(self, states: np.ndarray, y: np.ndarray) -> np.ndarray:
         """Natural log probability of each token after each state."""
-        p, m = self.p, self.s.members
+        p, s, n = self.p, self.s, len(y)
+        k = y // s.members
         z = states @ p["C"] + p["cb"]
-        out = z[np.arange(len(y)), y // m] - _log_sum(z)
-        for c, at in self._by_class(y):
-            z = states[at] @ p["O"][c].T + p["ob"][c]
-            out[at] += z[np.arange(len(at)), y[at] % m] - _log_sum(z)
+        out = z[np.arange(n), k] - _log_sum(z)
+        order = np.argsort(k.astype(np.int16), kind="stable")          # short keys are sorted by their digits
+        held, member, told = states[order], (y % s.members)[order], np.empty(n, out.dtype)
+        cut = np.concatenate([[0], np.cumsum(np.bincount(k, minlength=s.classes))])
+        for c in np.flatnonzero(np.diff(cut)).tolist():
+            a, b = cut[c], cut[c + 1]
+            z = held[a:b] @ p["O"][c].T + p["ob"][c]
+            told[a:b] = z[np.arange(b - a), member[a:b]] - _log_sum(z)
+        out[order] += told
         return out
 
-    def score(self, x: np.ndarray, begins: np.ndarray, width: np.ndarray) -> np.ndarray:
-        """Log probability of every token of lanes ``x`` (time, lane); ``width[t]`` lanes are live at time t."""
+    def score(self, lanes: Lanes) -> np.ndarray:
+        """Log probability of every token, in the lanes' own layout."""
         p, h, s = self.p, self.s.hidden, self.s
         table = p["E"] @ p["Wx"] + p["b"]
-        state, out = np.zeros((x.shape[1], h), np.float32), np.zeros(x.shape, np.float32)
-        for a in range(0, len(x), s.score_window):
-            b = min(len(x), a + s.score_window)
+        state, out = np.zeros((len(lanes.used), h), np.float32), np.zeros(len(lanes.ids), np.float32)
+        for a in range(0, lanes.length, s.score_window):
+            x, begins, live, at = lanes.window(a, a + s.score_window)
+            width = live.sum(axis=1)
+            state = state[:x.shape[1]]
             before = []
-            for t in range(a, b):
-                n = width[t]
+            for t, n in enumerate(width.tolist()):
                 state = state[:n]
                 new = begins[t, :n]
                 if new.any():
@@ -201,10 +204,7 @@ class Gru:
                 z, r = gate[:, :h], gate[:, h:]
                 cand = np.tanh(g[:, 2 * h:] + (r * state) @ p["Uh"])
                 state = cand + z * (state - cand)
-            live = np.concatenate([x[t, :width[t]] for t in range(a, b)])
-            got = np.split(self.log_probability(np.concatenate(before), live), np.cumsum(width[a:b])[:-1])
-            for t, v in zip(range(a, b), got):
-                out[t, :width[t]] = v
+            out[at[live]] = self.log_probability(np.concatenate(before), x[live])
         return out
 
     def gradients(self, x: np.ndarray, begins: np.ndarray, live: np.ndarray, state: np.ndarray) -> tuple[float, dict, np.ndarray]:
@@ -268,15 +268,22 @@ class Gru:
     def train(self, docs: list[np.ndarray]) -> Gru:
         """One pass over the documents (ids, end last) in lanes; Adam, gradients cut at ``clip``."""
         s = self.s
-        x, begins, width, _, _ = lanes_of(docs, s.lanes)
+        # a long document is learned in segments side by side: one alone in its lane would hold up all others
+        lanes = Lanes([d[a:a + s.segment] for d in docs for a in range(0, len(d), s.segment)], s.lanes)
         values = self.flat()
         model, m, v2, part = self.with_flat(values, copy=False), np.zeros_like(values), np.zeros_like(values), np.empty_like(values)
-        state = np.zeros((x.shape[1], s.hidden), np.float32)
-        live = np.arange(x.shape[1])[None, :] < width[:, None]
-        for step, a in enumerate(range(0, len(x), s.train_window), 1):
-            cut = slice(a, a + s.train_window)
-            _, g, state = model.gradients(x[cut], begins[cut], live[cut], state)
-            grad = np.concatenate([g[k].ravel() for k in sorted(g)])
+        state = np.zeros((len(lanes.used), s.hidden), np.float32)
+        step, held, tokens = 0, np.zeros_like(values), 0
+        for a in range(0, lanes.length, s.train_window):
+            x, begins, live, _ = lanes.window(a, a + s.train_window)
+            _, g, state = model.gradients(x, begins, live, state[:x.shape[1]])
+            n = int(live.sum())
+            held += np.multiply(np.concatenate([g[k].ravel() for k in sorted(g)]), n, out=part)
+            tokens += n
+            if tokens < s.update_tokens and a + s.train_window < lanes.length:
+                continue                                             # few lanes are left: wait for as many tokens as usual
+            grad, share = held / tokens, min(1.0, tokens / s.update_tokens)
+            held[:], tokens, step = 0, 0, step + 1
             grad *= min(1.0, s.clip / (float(np.sqrt(grad @ grad)) + 1e-9))
             m *= 0.9
             m += np.multiply(grad, 0.1, out=part)
@@ -285,53 +292,74 @@ class Gru:
             np.sqrt(np.multiply(v2, 1 / (1 - 0.99 ** step), out=part), out=part)
             part += 1e-6
             np.divide(m, part, out=part)
-            values -= np.multiply(part, s.rate / (1 - 0.9 ** step), out=part)
+            values -= np.multiply(part, s.rate * share / (1 - 0.9 ** step), out=part)
         return model
 
 
 def _sigmoid(z: np.ndarray) -> np.ndarray:
-    return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
+    out = np.tanh(np.multiply(z, 0.5))
+    out *= 0.5
+    out += 0.5
+    return out
 
 
 def _log_sum(z: np.ndarray) -> np.ndarray:
+    """Logarithm of each row's sum of exponentials; ``z`` is used up.  Rows are shifted by their greatest entry only
+    where plain sums leave the range of the numbers."""
+    low, high = float(z.min(initial=0)), float(z.max(initial=0))
+    if high < 60 and low > -80:
+        return np.log(np.exp(z, out=z).sum(axis=1))
     top = z.max(axis=1)
-    return top + np.log(np.exp(z - top[:, None]).sum(axis=1))
+    z -= top[:, None]
+    return top + np.log(np.exp(z, out=z).sum(axis=1))
 
 
 def _softmax(z: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The probabilities of each row, and its ``_log_sum``."""
     top = z.max(axis=1)
-    e = np.exp(z - top[:, None])
+    e = np.subtract(z, top[:, None], out=np.empty_like(z))
+    np.exp(e, out=e)
     total = e.sum(axis=1)
-    e /= total[:, None]
+    e *= (1 / total)[:, None]
     return e, top + np.log(total)
 
 
-def lanes_of(docs: list[np.ndarray], lanes: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Documents end to end in at most ``lanes`` lanes of like length, the longest lane first.
-
-    Returns ids and begin marks (time, lane), live lanes per time, and the time and lane of every token."""
-    size = np.array([len(d) for d in docs], np.int64)
-    lanes = max(1, min(lanes, len(docs)))
-    heap, lane, first = [(0, i) for i in range(lanes)], np.zeros(len(docs), np.int64), np.zeros(len(docs), np.int64)
-    for i in np.argsort(-size, kind="stable"):
-        used, k = heapq.heappop(heap)
-        lane[i], first[i] = k, used
-        heapq.heappush(heap, (used + int(size[i]), k))
-    used = np.zeros(lanes, np.int64)
-    np.maximum.at(used, lane, first + size)
-    order = np.argsort(-used, kind="stable")
-    new = np.empty(lanes, np.int64)
-    new[order] = np.arange(lanes)
-    lane, used = new[lane], used[order]
-    width = (used[None, :] > np.arange(int(used[0]) if len(docs) else 0)[:, None]).sum(axis=1)
-    time = np.repeat(first - (np.cumsum(size) - size), size) + np.arange(int(size.sum()))
-    own = np.repeat(lane, size)
-    x, begins = np.zeros((len(width), lanes), np.int32), np.zeros((len(width), lanes), bool)
-    if len(docs):
-        x[time, own] = np.concatenate(docs)
-        begins[first, lane] = True
-    return x, begins, width, time, own
+class Lanes:
+    """Documents (ids, end last) end to end in at most ``lanes`` lanes of like length, the longest lane first.
+
+    Lanes are ragged: one array holds them one after the other, and ``window`` lays out only the lanes that are
+    live in it, so memory follows the tokens, whatever the longest document."""
+
+    def __init__(self, docs: list[np.ndarray], lanes: int):
+        size = np.array([len(d) for d in docs], np.int64)
+        lanes = max(1, min(lanes, len(docs)))
+        heap, lane, first = [(0, i) for i in range(lanes)], np.zeros(len(docs), np.int64), np.zeros(len(docs), np.int64)
+        for i in np.argsort(-size, kind="stable"):
+            used, k = heapq.heappop(heap)
+            lane[i], first[i] = k, used
+            heapq.heappush(heap, (used + int(size[i]), k))
+        used = np.zeros(lanes, np.int64)
+        np.maximum.at(used, lane, first + size)
+        order = np.argsort(-used, kind="stable")
+        new = np.empty(lanes, np.int64)
+        new[order] = np.arange(lanes)
+        lane, self.used = new[lane], used[order]
+        self.start = np.cumsum(self.used) - self.used
+        total, begin = int(size.sum()), self.start[lane] + first
+        self.place = np.repeat(begin - (np.cumsum(size) - size), size) + np.arange(total)      # of every token, document by document
+        self.ids, self.begins = np.zeros(max(1, total), np.int32), np.zeros(max(1, total), bool)
+        if len(docs):
+            self.ids[self.place] = np.concatenate(docs)
+            self.begins[begin] = True
+        self.length = int(self.used[0]) if len(docs) else 0
+
+    def window(self, a: int, b: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Ids, begin marks, live marks and places (time, lane) of the lanes that go on past ``a``."""
+        lanes = int(np.searchsorted(-self.used, -a, side="left"))
+        t = np.arange(a, min(b, self.length))[:, None]
+        live = t < self.used[None, :lanes]
+        at = np.where(live, self.start[None, :lanes] + t, 0)
+        return np.where(live, self.ids[at], 0), self.begins[at] & live, live, at
 
 
 class Lexicon:
@@ -355,9 +383,10 @@ class Lexicon:
 
 
 def _average(parts: DataFrame) -> np.ndarray:
-    """Token-weighted mean of the replicas' parameters, summed as integers (any order gives the same)."""
-    rows = parts.groupBy("i").agg(F.sum("v").alias("v"), F.sum("w").alias("w")).toArrow().sort_by("i")
-    return rows["v"].to_numpy() / (rows["w"].to_numpy() * float(FIXED))
+    """Token-weighted mean of the replicas' parameters, summed as integers of 38 digits (any order gives the same)."""
+    rows = parts.groupBy("i").agg(F.sum(F.col("v").cast("decimal(38,0)")).alias("v"), F.sum("w").alias("w")).select(
+        "i", (F.col("v").cast("double") / (F.col("w").cast("double") * FIXED)).alias("v")).toArrow().sort_by("i")
+    return rows["v"].to_numpy()
 
 
 def _replica(shipped):
@@ -376,23 +405,19 @@ def _replica(shipped):
 
 
 def fit(texts: DataFrame, known: Counts, s: Settings) -> Gru:
-    """Train on all ``texts`` (tie, text) once: a part of them in each round, in replicas averaged after it."""
+    """Train on all ``texts`` (tie, text) once, in replicas of about ``replica_tokens`` tokens that are averaged.
+
+    ``tie`` tells equal texts apart, so copies are dealt over the replicas like any other documents."""
     spark = texts.sparkSession
     model, lexicon = Gru.start(s, known), Lexicon(known, s)
     if not known.total:
         return model
-    parts = max(1, round(known.total / s.replica_tokens))
-    rounds = min(s.rounds, parts)                                   # of full replicas: no round trains on less
-    replicas = -(-parts // rounds)
-    own = texts.withColumn("replica", F.pmod(F.xxhash64("tie", "text"), F.lit(rounds * replicas)).cast("int"))
-    for k in range(rounds):
-        shipped = spark.sparkContext.broadcast((model, lexicon))
-        now = own.filter(F.floor(F.col("replica") / replicas) == k)
-        parts = now.groupBy("replica").applyInArrow(_replica(shipped), "i int, v long, w long")
-        values = _average(parts)
-        if len(values):
-            model = model.with_flat(values)
-    return model
+    replicas = max(1, round(known.total / s.replica_tokens))
+    shipped = spark.sparkContext.broadcast((model, lexicon))
+    parts = texts.withColumn("replica", F.pmod(F.xxhash64("tie", "text"), F.lit(replicas)).cast("int")).groupBy("replica").applyInArrow(
+        _replica(shipped), "i int, v long, w long")
+    values = _average(parts)
+    return model.with_flat(values) if len(values) else model
 
 
 def score(docs: DataFrame, train_rows: Column, *, id_col: str = "doc_id", text_col: str = "text", settings: Settings = Settings()) -> DataFrame:
@@ -405,7 +430,9 @@ def score(docs: DataFrame, train_rows: Column, *, id_col: str = "doc_id", text_c
 
 def _score(docs: DataFrame, train_rows: Column, id_col: str, text_col: str, s: Settings, keep) -> DataFrame:
     spark = docs.sparkSession
-    train = docs.filter(train_rows).select(F.col(text_col).alias("text"), F.xxhash64(F.col(id_col).cast("string")).alias("tie"))
+    # staged once: numbers of rows hold still, whatever is run again
+    train = staged(docs.filter(train_rows).select(F.col(text_col).alias("text"),
+                                                  F.xxhash64(F.col(id_col).cast("string"), F.monotonically_increasing_id()).alias("tie")), "lm_train")
     table = keep(staged(count_words(train.select("text"), s), "lm_counts"))
     known = head_of(table, s)
     model = fit(train, known, s)
@@ -424,8 +451,8 @@ def _score(docs: DataFrame, train_rows: Column, id_col: str, text_col: str, s: S
             for a, n in groups(batch.column(1), s.group_bytes):
                 size, rank, place, words = lex.read(batch.column(1).slice(a, n))
                 ids = lex.documents(size, rank)
-                x, begins, width, time, lane = lanes_of(ids, s.score_lanes)
-                log_p = net.score(x, begins, width)[time, lane].astype(np.float64)
+                lanes = Lanes(ids, s.score_lanes)
+                log_p = net.score(lanes)[lanes.place].astype(np.float64)
                 full = np.cumsum(size + 1)
                 text = np.repeat(np.arange(n), size)
                 by = lambda w: np.bincount(text, weights=w, minlength=n)
@@ -464,4 +491,4 @@ def _score(docs: DataFrame, train_rows: Column, id_col: str, text_col: str, s: S
 
 def tiny(**changes) -> Settings:
     """Settings for small tests."""
-    return replace(Settings(classes=8, members=8, embed=6, hidden=8, lanes=8, score_lanes=4, score_window=5, train_window=6, head=100), **changes)
+    return replace(Settings(classes=8, members=8, embed=6, hidden=8, lanes=8, score_lanes=4, score_window=5, train_window=6, update_tokens=40, head=100), **changes)

@@ -129,15 +129,16 @@ def test_gradients_and_lanes():
     s, m = small_model()
     rng = np.random.default_rng(0)
     docs = [np.append(rng.integers(0, 42, rng.integers(0, 12)), 1).astype(np.int32) for _ in range(9)]
-    x, begins, width, time, lane = gated_lm.lanes_of(docs, 4)
-    together = m.score(x, begins, width)[time, lane]
+    lanes = gated_lm.Lanes(docs, 4)
+    together = m.score(lanes)[lanes.place]
     alone = []
     for d in docs:
-        x1, b1, w1, t1, l1 = gated_lm.lanes_of([d], 1)
-        alone.append(m.score(x1, b1, w1)[t1, l1])
+        own = gated_lm.Lanes([d], 1)
+        alone.append(m.score(own)[own.place])
     assert np.allclose(together, np.concatenate(alone), atol=1e-5)
     m.p = {k: v.astype(np.float64) for k, v in m.p.items()}
-    live, state = np.arange(x.shape[1])[None, :] < width[:, None], np.zeros((x.shape[1], s.hidden))
+    x, begins, live, _ = lanes.window(0, lanes.length)
+    state = np.zeros((x.shape[1], s.hidden))
     _, g, _ = m.gradients(x, begins, live, state)
     for k, v in m.p.items():
         at = tuple(rng.integers(0, n) for n in v.shape)
@@ -185,10 +186,78 @@ def test_lm_trains_on_every_training_document_once(spark, monkeypatch):
         return average(parts)
 
     monkeypatch.setattr(gated_lm, "_average", counted)
-    s = gated_lm.tiny(replica_tokens=100_000, rounds=2, lanes=64, train_window=32)
+    s = gated_lm.tiny(replica_tokens=100_000, lanes=64, train_window=32)
     known = gated_lm.head_of(gated_lm.count_words(train.select("text"), s), s)
     gated_lm.fit(train, known, s)
-    assert len(learned) == 2 and sum(learned) == known.total
+    assert learned == [known.total]
+
+
+def test_lm_score_word_by_word(spark, edge, monkeypatch):
+    """Every score recomputed token by token in plain loops from the fitted parameters and the counts."""
+    fit, kept = gated_lm.fit, []
+
+    def watched(texts, known, s):
+        kept[:] = [fit(texts, known, s), known]
+        return kept[0]
+
+    monkeypatch.setattr(gated_lm, "fit", watched)
+    s = gated_lm.tiny(head=30, classes=4, members=4)
+    rows = Counter((r["doc_id"], r["text"]) for r in edge.collect() if len(r["text"] or "") < 5000)
+    df = spark.createDataFrame([k for k, n in rows.items() for _ in range(n)], "doc_id long, text string")
+    got = gated_lm.score(df, fold("doc_id", 7) != 2, settings=s).collect()
+    net, known = kept
+    p = {k: v.astype(np.float64) for k, v in net.p.items()}
+    tok = lambda t: (t or "").translate({c: c + 32 for c in range(65, 91)}).encode().split()
+    count = Counter(w for (i, t), n in rows.items() if crc(i, 7) != 2 for w in tok(t) for _ in range(n))
+    modelled = {w.encode(): k + 2 for k, w in enumerate(known.words[:s.classes * s.members - 2])}
+    rest = {w: c for w, c in count.items() if w not in modelled}
+    sig, h = (lambda z: 1 / (1 + np.exp(-z))), s.hidden
+
+    def by_hand(t):
+        state, total = np.zeros(h), 0.0
+        for w in [*tok(t), None]:
+            y = gated_lm.END if w is None else modelled.get(w, gated_lm.UNKNOWN)
+            zc = state @ p["C"] + p["cb"]
+            zm = p["O"][y // s.members] @ state + p["ob"][y // s.members]
+            total += zc[y // s.members] - np.log(np.exp(zc).sum()) + zm[y % s.members] - np.log(np.exp(zm).sum())
+            if y == gated_lm.UNKNOWN:
+                total += math.log((count[w] + 1) / (sum(rest.values()) + len(rest) + 1))
+            g = p["E"][y] @ p["Wx"] + p["b"]
+            gate = sig(g[:2 * h] + state @ p["Uzr"])
+            cand = np.tanh(g[2 * h:] + (gate[h:] * state) @ p["Uh"])
+            state = cand + gate[:h] * (state - cand)
+        return total / math.log(10)
+
+    texts = {i: [t for j, t in rows if j == i] for i, _ in rows}
+    assert len(got) == sum(rows.values())
+    for r in got:
+        assert min(abs(by_hand(t) - r["score"]) for t in texts[r["doc_id"]]) < 1e-3
+
+
+def test_lanes_of_a_long_text_among_short_ones():
+    """Memory follows the tokens: a dense (time, lane) grid of these would hold 77 million cells."""
+    import tracemalloc
+
+    s, m = small_model()
+    s = gated_lm.replace(s, lanes=256, score_lanes=256, score_window=64, train_window=32)
+    m = gated_lm.Gru(s, m.p)
+    docs = [np.ones(30_000, np.int32)] + [np.ones(20, np.int32)] * 300
+    tracemalloc.start()
+    lanes = gated_lm.Lanes(docs, 256)
+    out = m.score(lanes)[lanes.place]
+    gated_lm.Gru(s, m.p).train(docs[:1] + docs[-20:])
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(out) == 36_000 and peak < 12 << 20
+
+
+def test_average_of_many_large_replicas(spark):
+    """Sums far beyond 64 bits: as many tokens as a few TB of text hold, with large parameters."""
+    weights = [10 ** 11, 3 * 10 ** 11, 10 ** 12]
+    rows = [(i, int(round(v * gated_lm.FIXED)) * w, w) for w, vs in zip(weights, ((30.0, -2.0), (20.0, 1.0), (-1.0, 7.5))) for i, v in enumerate(vs)]
+    df = spark.createDataFrame([(i, str(v), w) for i, v, w in rows], "i int, v string, w long").select("i", F.col("v").cast("decimal(38,0)").alias("v"), "w")
+    want = [(30 + 60 - 10) / 14, (-2 + 3 + 75) / 14]
+    assert np.allclose(gated_lm._average(df), want, rtol=1e-9)
 
 
 def test_lm_edge_with_most_words_outside_the_head(edge, no_rows):
