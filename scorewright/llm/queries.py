@@ -40,25 +40,27 @@ def op3_secret_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raw_transcripts(conversations: DataFrame) -> DataFrame:
-    """``conversations`` as transcripts would show them: in one of three marker styles or none, one marker in six missing.
+    """``conversations`` as transcripts would show them: one of three marker styles a conversation, one marker in twenty missing.
 
-    The role column stays beside the text for fitting and tests; ``recover`` never reads it."""
-    style = F.pmod(F.xxhash64(F.col("conv_id"), F.lit("style")), F.lit(4))
-    lost = (style == 3) | (F.pmod(F.xxhash64("conv_id", "turn"), F.lit(6)) == 0)
+    Columns conv_id, part, text: the lines of a transcript in their order, cut into parts where the table's rows are
+    (``recover`` takes no notice of that; a conversation may be too long for one row).  The turn and role columns stay
+    beside them for fitting and tests."""
+    style = F.pmod(F.xxhash64(F.col("conv_id"), F.lit("style")), F.lit(3))
+    lost = F.pmod(F.xxhash64("conv_id", "turn"), F.lit(20)) == 0
     name = {0: {"user": "User", "assistant": "Assistant", "system": "System"}, 1: {"user": "Human", "assistant": "AI", "system": "Instructions"},
             2: {"user": "customer", "assistant": "agent", "system": "system"}}
     marker = F.lit("")
     for k, names in name.items():
         for role, n in names.items():
             marker = F.when((style == k) & (F.col("role") == role), f"[{n}] " if k == 2 else f"{n}: ").otherwise(marker)
-    return conversations.select("conv_id", "turn", "role", F.when(lost, F.col("text")).otherwise(F.concat(marker, "text")).alias("text"))
+    return conversations.select("conv_id", "turn", F.col("turn").alias("part"), "role", F.when(lost, F.col("text")).otherwise(F.concat(marker, "text")).alias("text"))
 
 
 def op4_transcript_roles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    blocks = raw_transcripts(spark.read.parquet(f"{sf_dir.rstrip('/')}/conversations.parquet"))
+    raw = raw_transcripts(spark.read.parquet(f"{sf_dir.rstrip('/')}/conversations.parquet"))
     held_out = fold("conv_id", 5) == 0
-    model = transcripts.fit(blocks.filter(~held_out))
-    told = transcripts.recover(blocks.select("conv_id", "turn", "text"), model)
+    model = transcripts.fit(raw.filter(~held_out))
+    told = transcripts.recover(raw.select("conv_id", "part", "text"), model)
     return told.select("conv_id", "turn", held_out.alias("held_out"), "role", transcripts.render(F.col("text"), F.col("role")).alias("text"))
 
 

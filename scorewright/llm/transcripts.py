@@ -1,20 +1,23 @@
-"""Chat formatting: who speaks in a raw transcript, by a hidden Markov model, then canonical turns.
+"""Chat formatting: turns and speakers of a raw transcript by a hidden Markov model over its lines, then canonical turns.
 
-A transcript is a sequence of text blocks.  Each block shows a speaker marker (or none) and line features
-(length, number of lines, how it ends); the hidden state is its role.  ``fit`` counts roles, successions and
-features over all labelled blocks.  ``recover`` finds the most probable roles of each whole transcript
-(Viterbi); ``render`` strips the markers and writes ``<|role|>`` turns.
+A transcript is a sequence of lines.  Each line shows a speaker marker (or none) and line features (length, how it
+ends); the hidden state is its speaker's role and whether a turn begins with it.  ``fit`` counts roles, successions and
+features over the lines of labelled turns.  ``recover`` finds the most probable states of each whole transcript
+(Viterbi) and joins lines into turns; ``render`` strips the markers and writes ``<|role|>`` turns.  A transcript's
+text may come whole or in parts (pages of a log); where it is cut into parts says nothing about turns.
 
 Viterbi is a product of matrices over (max, +), and scores are integers, so a transcript can be cut: all
-blocks are range-sorted by transcript and turn and numbered, and each ``CHUNK`` numbers give one small matrix; of transcripts with several chunks, nodes of up to
-``FAN`` neighbours are multiplied, level by level; going down again fixes the roles at every border; then
-each chunk is decoded alone between its borders.  No group holds more than ``CHUNK`` blocks or ``FAN``
-matrices, however long a transcript is and however often it repeats a turn number.
-
-Cases: blocks go by turn, null turns first, equal ones by text and then as read.  A block with a null
-transcript id is a transcript of its own.  A null text counts as empty.  Ties go to the role first in
-``ROLES``.  Repeated rows stay.  An empty table gives an empty result; without labelled blocks all counts
-are equal.  Only the named columns are read.
+lines are range-sorted by transcript and place and numbered, and each ``CHUNK`` numbers give one small matrix; of
+transcripts with several chunks, nodes of up to ``FAN`` neighbours are multiplied, level by level; going down again
+fixes the states at every border; then each chunk is decoded alone between its borders.  No group holds more than
+``CHUNK`` lines or ``FAN`` matrices, however long a transcript is and however often it repeats a part number.  What a
+line shows travels as one small number.
+
+Cases: parts go by number, null ones first, equal ones by text and then as read.  A part with a null transcript id
+is a transcript of its own.  A null text counts as empty; an empty text is one empty line.  Ties go to the state
+first in ``STATES``.  Repeated rows stay, as lines of their own.  A very long text is split in one task; its lines are
+then dealt like any others, and a turn is put together in one task.  An empty table gives an empty result; without
+labelled turns all counts are equal.  Only the named columns are read.
 """
 
 from __future__ import annotations
@@ -24,7 +27,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from scorewright.operators.rank import prefix_before_slice
@@ -32,7 +35,9 @@ from scorewright.operators.rank import prefix_before_slice
 from .common import prepare, staged
 
 ROLES = ("user", "assistant", "system")
-START = len(ROLES)
+#: Role and whether a turn begins: state 2 r begins one of role r, 2 r + 1 goes on with it.
+STATES = tuple((r, begins) for r in ROLES for begins in (True, False))
+START = len(STATES)
 CHUNK = 256
 FAN = 64
 #: Speaker names per role that a marker may hold; a marker with any other name is "other".
@@ -40,18 +45,26 @@ NAMES = {"user": ("user", "human", "customer", "q", "question", "me"),
          "assistant": ("assistant", "ai", "bot", "agent", "a", "answer"),
          "system": ("system", "instructions", "context")}
 MARKER = r"^\s{0,8}(?:\[([A-Za-z]{1,20})\]|<([A-Za-z]{1,20})>|\**([A-Za-z]{1,20})\**\s?:)\s*"
-#: Values of each feature: marker (none, the roles, other), length, lines, last character.
-VALUES = (len(ROLES) + 2, 14, 6, 3)
+#: Values of each feature: marker (none, the roles, other), length, last character.
+VALUES = (len(ROLES) + 2, 14, 3)
+#: How much of each feature's scores all states share.
+SHARED = (0.001, 0.2, 0.2)
 SCALE = 1024
+NEVER = -(1 << 30)
 
 
 @dataclass(frozen=True)
 class Hmm:
-    """Integer log2 scores: ``step[from][to]`` (the last row starts a transcript), ``emit[feature][value][role]``."""
+    """Integer log2 scores: ``step[from][to]`` (the last row starts a transcript), ``emit[feature][value][state]``."""
 
     step: list
     emit: list
 
+    def lines(self) -> np.ndarray:
+        """Score of each state for every number that a line can show."""
+        grid = np.indices(VALUES).reshape(len(VALUES), -1)
+        return sum(np.array(e, np.int64)[v] for e, v in zip(self.emit, grid))
+
 
 def features(text: Column) -> list[Column]:
     name = F.lower(F.concat(*[F.regexp_extract(text, MARKER, g) for g in (1, 2, 3)]))
@@ -59,42 +72,61 @@ def features(text: Column) -> list[Column]:
     for i, r in enumerate(ROLES):
         marker = marker.when(name.isin(*NAMES[r]), i + 1)
     size = F.floor(F.log2(F.length(text) + 1)).cast("int")
-    lines = F.size(F.split(text, "\n")) - 1
     end = F.regexp_extract(text, r"(\S)\s*$", 1)
-    return [marker.otherwise(len(ROLES) + 1), F.least(size, F.lit(VALUES[1] - 1)), F.least(lines, F.lit(VALUES[2] - 1)),
-            F.when(end == "?", 0).when(end == ".", 1).otherwise(2)]
+    return [marker.otherwise(len(ROLES) + 1), F.least(size, F.lit(VALUES[1] - 1)), F.when(end == "?", 0).when(end == ".", 1).otherwise(2)]
+
+
+def shown(text: Column) -> Column:
+    """The number of what a line shows: its features, the last one counting fastest."""
+    code = F.lit(0)
+    for v, n in zip(features(text), VALUES):
+        code = code * n + v
+    return code.cast("int")
 
 
 def _score(count: float, total: float, kinds: int) -> int:
     return round(SCALE * math.log2((count + 0.5) / (total + 0.5 * kinds)))
 
 
-def fit(blocks: DataFrame, *, key_col: str = "conv_id", turn_col: str = "turn", text_col: str = "text", role_col: str = "role") -> Hmm:
-    """Counts over all blocks with a known role; what comes back to the driver is a few dozen rows."""
-    known = blocks.filter(F.col(role_col).isin(*ROLES)).select(
-        F.col(key_col).alias("key"), F.col(turn_col).alias("turn"), F.col(role_col).alias("role"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    each = F.array(*[F.struct(F.lit(i).alias("f"), v.cast("int").alias("v")) for i, v in enumerate(features(F.col("text")))])
-    seen = {(r["f"], r["v"], r["role"]): r["count"] for r in
-            known.select("role", F.explode(each).alias("x")).groupBy("role", "x.f", "x.v").count().collect()}
-    # a block's successor has the next turn number: an equi-join on (transcript, turn) copes with any length
-    turns = known.filter("key is not null and turn is not null").groupBy("key", "turn").agg(F.min("role").alias("role"))
-    before = turns.select("key", (F.col("turn") + 1).alias("turn"), F.col("role").alias("last"))
-    moves = {(r["last"], r["role"]): r["count"] for r in
-             turns.join(before, ["key", "turn"], "left").groupBy("last", "role").count().collect()}
-    step = []
-    for last in (*ROLES, None):
-        row = [moves.get((last, r), 0) for r in ROLES]
-        step.append([_score(c, sum(row), len(ROLES)) for c in row])
+def fit(turns: DataFrame, *, key_col: str = "conv_id", turn_col: str = "turn", text_col: str = "text", role_col: str = "role") -> Hmm:
+    """Counts over all turns with a known role; what comes back to the driver is a few hundred rows."""
+    known = turns.filter(F.col(role_col).isin(*ROLES)).select(
+        F.col(key_col).alias("key"), F.col(turn_col).alias("turn"), F.col(role_col).alias("role"), F.split(F.coalesce(F.col(text_col), F.lit("")), "\n").alias("lines"))
+    each = known.select("role", F.posexplode("lines").alias("n", "line")).select("role", (F.col("n") == 0).alias("begins"), shown(F.col("line")).alias("v"))
+    seen = np.zeros((START, math.prod(VALUES)))
+    for r in each.groupBy("role", "begins", "v").count().collect():
+        seen[STATES.index((r["role"], r["begins"])), r["v"]] = r["count"]
+    # inside a turn: its first line, and the others, are followed by one that goes on
+    size = F.size("lines")
+    inside = {r["role"]: r for r in known.groupBy("role").agg(F.sum((size > 1).cast("int")).alias("first"), F.sum(F.greatest(size - 2, F.lit(0))).alias("later")).collect()}
+    # a turn's successor has the next number: an equi-join on (transcript, turn) copes with any length
+    one = known.filter("key is not null and turn is not null").groupBy("key", "turn").agg(F.min(F.struct("role", (size > 1).alias("long"))).alias("x")).select("key", "turn", "x.*")
+    before = one.select("key", (F.col("turn") + 1).alias("turn"), F.col("role").alias("last"), F.col("long").alias("after"))
+    moves = np.zeros((START + 1, START))
+    for r in one.join(before, ["key", "turn"], "left").groupBy("last", "after", "role").count().collect():
+        moves[START if r["last"] is None else STATES.index((r["last"], not r["after"])), STATES.index((r["role"], True))] += r["count"]
+    allowed = np.zeros((START + 1, START), bool)
+    allowed[:, ::2] = True
+    for i, (role, begins) in enumerate(STATES):
+        goes_on = STATES.index((role, False))
+        allowed[i, goes_on] = True                                   # only the turn's own role goes on, and no transcript begins so
+        if role in inside:
+            moves[i, goes_on] = inside[role]["first" if begins else "later"]
+    step = [[_score(c, row[ok].sum(), int(ok.sum())) if may else NEVER for c, may in zip(row, ok)] for row, ok in zip(moves, allowed)]
+    by = seen.reshape(START, *VALUES)
     emit = []
     for f, n in enumerate(VALUES):
-        counts = [[seen.get((f, v, r), 0) for r in ROLES] for v in range(n)]
-        totals = [sum(c[i] for c in counts) for i in range(len(ROLES))]
-        emit.append([[_score(c[i], totals[i], n) for i in range(len(ROLES))] for c in counts])
+        counts = by.sum(axis=tuple(a + 1 for a in range(len(VALUES)) if a != f))
+        # a share of what all lines show together, the same for every state: a rare role gains nothing from what it never showed
+        share, together = SHARED[f], (counts.sum(axis=0) + 0.5) / (counts.sum() + 0.5 * n)
+        own = counts / np.maximum(1, counts.sum(axis=1, keepdims=True))
+        own[counts.sum(axis=1) == 0] = together
+        emit.append([[round(SCALE * math.log2((1 - share) * own[i, v] + share * together[v])) for i in range(START)] for v in range(n)])
     return Hmm(step, emit)
 
 
 def product(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """(max, +) product of transfer matrices: rows are the state before (roles, then start), columns the last role."""
+    """(max, +) product of transfer matrices: rows are the state before (or the start), columns the last state."""
     return (a[:, :, None] + b[None, :START, :]).max(axis=1)
 
 
@@ -106,7 +138,7 @@ def transfer(emits: np.ndarray, step: np.ndarray) -> np.ndarray:
 
 
 def borders(matrices: list[np.ndarray], first: int, last: int | None) -> list[int]:
-    """The last role of each of a row of nodes, best from state ``first`` (to role ``last``)."""
+    """The last state of each of a row of nodes, best from state ``first`` (to state ``last``)."""
     scores, back = matrices[0][first], []
     for m in matrices[1:]:
         options = scores[:, None] + m[:START]
@@ -166,43 +198,57 @@ def _border_roles(chunks: DataFrame) -> DataFrame:
     return fixed
 
 
-def recover(blocks: DataFrame, model: Hmm, *, key_col: str = "conv_id", turn_col: str = "turn", text_col: str = "text") -> DataFrame:
-    """One row per block: key, turn, text (raw), role."""
-    prepare(blocks.sparkSession)
-    row = F.monotonically_increasing_id()
-    read = blocks.select(F.col(key_col).alias("id"), F.col(turn_col).alias("turn"), F.col(text_col).alias("text"), row.alias("row"))
-    text = F.coalesce("text", F.lit(""))
-    parts = [F.element_at(F.array(*[F.array(*map(F.lit, roles)) for roles in model.emit[f]]), v.cast("int") + 1) for f, v in enumerate(features(text))]
-    emits = F.array(*[sum((p[i] for p in parts[1:]), parts[0][i]) for i in range(len(ROLES))])
-    turn = F.coalesce(F.col("turn").cast("long"), F.lit(-(1 << 40)))
-    key = F.when(F.col("id").isNull(), F.concat(F.lit("row "), "row")).otherwise(F.concat(F.lit("id "), F.col("id").cast("string")))
-    rows = staged(read.select("id", "turn", "text", "row", key.alias("key"), turn.alias("at"), F.xxhash64(text).alias("tie"), emits.alias("e")), "blocks")
-    order = ["key", "at", "tie", "row"]
+def label_lines(parts: DataFrame, model: Hmm, *, key_col: str = "conv_id", part_col: str = "part", text_col: str = "text") -> DataFrame:
+    """One row per line: id, line (its number over all lines of all transcripts, in their order), slice (of that order),
+    text, role, begins."""
+    prepare(parts.sparkSession)
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    key = F.when(F.col(key_col).isNull(), F.concat(F.lit("row "), F.monotonically_increasing_id())).otherwise(F.concat(F.lit("id "), F.col(key_col).cast("string")))
+    read = parts.select(F.col(key_col).alias("id"), F.coalesce(F.col(part_col).cast("long"), F.lit(-(1 << 40))).alias("at"), F.xxhash64(text).alias("tie"),
+                        key.alias("key"), F.monotonically_increasing_id().alias("row"), F.posexplode(F.split(text, "\n")).alias("pos", "text"))
+    rows = staged(read.withColumn("v", shown(F.col("text"))), "lines")
+    order = ["key", "at", "tie", "row", "pos"]
     # a partition's ids are consecutive from (its number) * 2^33; the totals of the slices are one row per range
     place = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
-    slices = staged(rows.select(*order, "e").repartitionByRange(*order).sortWithinPartitions(*order)
-                    .select("key", "row", "e", F.spark_partition_id().alias("slice"), place.alias("place"), F.lit(1).alias("one")), "slices")
+    slices = staged(rows.select(*order, "v").repartitionByRange(*order).sortWithinPartitions(*order)
+                    .select("key", "row", "pos", "v", F.spark_partition_id().alias("slice"), place.alias("place"), F.lit(1).alias("one")), "slices")
     number = F.col("before") + F.col("place")
     seen = slices.join(F.broadcast(prefix_before_slice(slices, "one", slice_col="slice", out="before")), "slice").select(
-        "key", F.floor(number / CHUNK).cast("long").alias("node"), F.struct(number.alias("number"), "row", "e").alias("b"))
-    step = np.array(model.step, np.int64)
+        "key", F.floor(number / CHUNK).cast("long").alias("node"), F.struct(number.alias("line"), "row", "pos", "slice", "v").alias("b"))
+    step, scores = np.array(model.step, np.int64), model.lines()
 
     @F.pandas_udf("array<long>")
-    def matrices(emits: pd.Series) -> pd.Series:
-        return pd.Series([transfer(np.array([*e], np.int64), step).ravel() for e in emits])
+    def matrices(codes: pd.Series) -> pd.Series:
+        return pd.Series([transfer(scores[np.asarray(v)], step).ravel() for v in codes])
 
     @F.pandas_udf("array<int>")
-    def paths(emits: pd.Series, first: pd.Series, last: pd.Series) -> pd.Series:
-        return pd.Series([decode(np.array([*e], np.int64), step, int(f), None if pd.isna(t) else int(t)) for e, f, t in zip(emits, first, last)])
-
-    chunks = seen.groupBy("key", "node").agg(F.array_sort(F.collect_list("b")).alias("b"))
-    chunks = staged(chunks.select("key", "node", F.transform("b", lambda x: x["row"]).alias("rows"), F.transform("b", lambda x: x["e"]).alias("e")), "chunks")
-    ends = _border_roles(chunks.select("key", "node", matrices("e").alias("m")))
-    roles = F.array(*map(F.lit, ROLES))
-    told = (chunks.join(ends, ["key", "node"], "left")
-            .select("rows", paths("e", F.coalesce("first", F.lit(START)), "last").alias("p"))
-            .select(F.explode(F.arrays_zip("rows", "p")).alias("x")).select(F.col("x.rows").alias("row"), F.element_at(roles, F.col("x.p") + 1).alias("role")))
-    return rows.join(told, "row").select(F.col("id").alias(key_col), F.col("turn").alias(turn_col), F.col("text").alias(text_col), "role")
+    def paths(codes: pd.Series, first: pd.Series, last: pd.Series) -> pd.Series:
+        return pd.Series([decode(scores[np.asarray(v)], step, int(f), None if pd.isna(t) else int(t)) for v, f, t in zip(codes, first, last)])
+
+    chunks = staged(seen.groupBy("key", "node").agg(F.array_sort(F.collect_list("b")).alias("b")), "chunks")
+    codes = F.transform("b", lambda x: x["v"])
+    ends = _border_roles(chunks.select("key", "node", matrices(codes).alias("m")))
+    told = (chunks.join(ends, ["key", "node"], "left").select("b", paths(codes, F.coalesce("first", F.lit(START)), "last").alias("p"))
+            .select(F.explode(F.arrays_zip("b", "p")).alias("x")).select("x.b.line", "x.b.row", "x.b.pos", "x.b.slice", F.col("x.p").alias("state")))
+    roles = F.array(*[F.lit(r) for r, _ in STATES])
+    return rows.join(told, ["row", "pos"]).select(F.col("id").alias(key_col), "key", "line", "slice", F.col("text").alias(text_col),
+                                                  F.element_at(roles, F.col("state") + 1).alias("role"), (F.col("state") % 2 == 0).alias("begins"))
+
+
+def recover(parts: DataFrame, model: Hmm, *, key_col: str = "conv_id", part_col: str = "part", text_col: str = "text") -> DataFrame:
+    """One row per turn: id, turn (from 0 in its transcript), role, text (its raw lines)."""
+    lines = staged(label_lines(parts, model, key_col=key_col, part_col=part_col, text_col=text_col), "labelled")
+    # a turn's number is the count of beginnings up to it, over all lines: slice totals, then a sum inside each slice
+    starts = lines.select("slice", "line", F.col("begins").cast("int").alias("one"))
+    before = F.broadcast(prefix_before_slice(starts, "one", slice_col="slice", out="before"))
+    upto = Window.partitionBy("slice").orderBy("line").rowsBetween(Window.unboundedPreceding, 0)
+    numbered = lines.withColumn("in_slice", F.sum(F.col("begins").cast("int")).over(upto)).join(before, "slice")
+    turns = numbered.groupBy((F.col("before") + F.col("in_slice")).alias("n")).agg(
+        F.first(key_col).alias(key_col), F.first("key").alias("key"), F.first("role").alias("role"),
+        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("line", F.col(text_col).alias("t")))), lambda x: x["t"]), "\n").alias(text_col))
+    turns = staged(turns, "turns")
+    first = turns.groupBy("key").agg(F.min("n").alias("first"))
+    return turns.join(first, "key").select(key_col, (F.col("n") - F.col("first")).cast("int").alias("turn"), "role", text_col)
 
 
 def render(text: Column, role: Column) -> Column:

@@ -67,12 +67,47 @@ def test_language_uses_the_whole_text():
 
 # transcripts -----------------------------------------------------------------------------------------
 
-def test_roles_held_out_accuracy(spark):
-    true = spark.read.parquet(f"{D2}/conversations.parquet").select("conv_id", "turn", F.col("role").alias("true"), F.col("text").alias("raw"))
-    rows = queries.op4_transcript_roles(spark, D2).join(true, ["conv_id", "turn"]).collect()
-    held = [r for r in rows if r["held_out"]]
-    assert len(rows) == true.count() and np.mean([r["role"] == r["true"] for r in held]) > 0.95
-    assert all(r["text"] == f"<|{r['role']}|>\n{r['raw'].strip()}" for r in rows)
+def true_lines(spark, path):
+    """(conv_id, its lines' (role, begins)) from the labelled turns."""
+    out = {}
+    for r in spark.read.parquet(f"{path}/conversations.parquet").orderBy("conv_id", "turn").collect():
+        out.setdefault(r["conv_id"], []).extend((r["role"], k == 0) for k in range(len(r["text"].split("\n"))))
+    return out
+
+
+def test_lines_held_out_accuracy(spark):
+    """Role and beginning of every line of transcripts not learned from; the model sees lines only."""
+    raw = queries.raw_transcripts(spark.read.parquet(f"{D2}/conversations.parquet"))
+    model, truth, got = transcripts.fit(raw.filter(fold("conv_id", 5) != 0)), true_lines(spark, D2), {}
+    for r in transcripts.label_lines(raw, model).orderBy("line").collect():
+        got.setdefault(r["conv_id"], []).append((r["role"], r["begins"]))
+    assert {c: len(x) for c, x in got.items()} == {c: len(x) for c, x in truth.items()}
+    held = [(a, b) for c in truth if crc(c, 5) == 0 for a, b in zip(got[c], truth[c])]
+    assert len(held) > 100 and np.mean([a[0] == b[0] for a, b in held]) > 0.95 and np.mean([a == b for a, b in held]) > 0.95
+
+
+def test_transcript_query(spark):
+    """Turns put together again: all lines of a transcript, in order; most turns exactly as they were said."""
+    said = spark.read.parquet(f"{D2}/conversations.parquet").collect()
+    rows = queries.op4_transcript_roles(spark, D2).collect()
+    text = lambda some, cut: {c: "\n".join(cut(r) for r in sorted((r for r in some if r["conv_id"] == c), key=lambda r: r["turn"])) for c in {r["conv_id"] for r in some}}
+    whole = {(r["conv_id"], r["role"], r["text"].strip()) for r in said}
+    got = {(r["conv_id"], r["role"], r["text"].split("\n", 1)[1]) for r in rows}
+    assert all(r["text"].startswith(f"<|{r['role']}|>\n") for r in rows) and len(got & whole) > 0.85 * len(whole)
+    assert {c: t.split() for c, t in text(rows, lambda r: r["text"].split("\n", 1)[1]).items()} == {c: t.split() for c, t in text(said, lambda r: r["text"]).items()}
+
+
+def test_where_a_transcript_is_cut_into_parts_says_nothing(spark):
+    """The same lines whole, or cut at other places, give the same turns; one text holds several of them."""
+    one = "User: hi\nAssistant: yo\nand more\n\nUser: ok?\nso\nAI: fine"
+    model = transcripts.fit(queries.raw_transcripts(spark.read.parquet(f"{D2}/conversations.parquet")))
+    lines, seen = one.split("\n"), []
+    for cuts in ([], [1], [2, 3, 5], range(1, len(lines))):
+        at = [0, *cuts, len(lines)]
+        df = spark.createDataFrame([(7, k, "\n".join(lines[a:b])) for k, (a, b) in enumerate(zip(at, at[1:]))], "conv_id long, part long, text string").repartition(3)
+        seen.append([(r["turn"], r["role"], r["text"]) for r in transcripts.recover(df, model).orderBy("turn").collect()])
+    assert seen[0] == [(0, "user", "User: hi"), (1, "assistant", "Assistant: yo\nand more\n"), (2, "user", "User: ok?\nso"), (3, "assistant", "AI: fine")]
+    assert all(x == seen[0] for x in seen)
 
 
 def brute_viterbi(emits, step):
@@ -96,26 +131,30 @@ def test_chunked_viterbi_finds_a_best_path(spark, monkeypatch):
     monkeypatch.setattr(transcripts, "FAN", 3)
     conv = queries.raw_transcripts(spark.read.parquet(f"{D2}/conversations.parquet"))
     model = transcripts.fit(conv)
-    long = conv.select((F.col("conv_id") % 2).alias("conv_id"), (F.col("turn") + 10 * F.col("conv_id")).alias("turn"), "text")
-    told = {(r["conv_id"], r["turn"]): r["role"] for r in transcripts.recover(long, model).collect()}
-    parts = [F.element_at(F.array(*[F.array(*map(F.lit, v)) for v in model.emit[f]]), c.cast("int") + 1) for f, c in enumerate(transcripts.features(F.col("text")))]
-    rows = long.select("conv_id", "turn", F.array(*[sum((p[i] for p in parts[1:]), parts[0][i]) for i in range(3)]).alias("e")).orderBy("conv_id", "turn").collect()
+    long = conv.select((F.col("conv_id") % 2).alias("conv_id"), (F.col("turn") + 10 * F.col("conv_id")).alias("part"), "text")
+    told = transcripts.label_lines(long, model).orderBy("line").collect()
+    shown = {r["line"]: r["v"] for r in transcripts.label_lines(long, model).select("line", transcripts.shown(F.col("text")).alias("v")).collect()}
     for c in (0, 1):
-        own = [r for r in rows if r["conv_id"] == c]
-        emits = np.array([r["e"] for r in own])
+        own = [r for r in told if r["conv_id"] == c]
+        emits = model.lines()[[shown[r["line"]] for r in own]]
         _, best = brute_viterbi(emits, model.step)
-        assert path_score([transcripts.ROLES.index(told[c, r["turn"]]) for r in own], emits, model.step) == best
+        assert len(own) > 300 and path_score([transcripts.STATES.index((r["role"], r["begins"])) for r in own], emits, model.step) == best
 
 
 def test_transcript_edge(spark):
     rows = [(1, 0, "User: hi?", "user"), (1, 0, "User: hi?", "user"), (1, None, "x", None), (None, 1, "[system] be brief", "system"), (None, None, None, None),
-            (2, 5, "", "assistant"), (2, -700, "AI: " + "long text. " * 5000, "assistant"), (2, 10 ** 12, "ok", "other")]
+            (2, 5, "", "assistant"), (2, -700, "AI: " + "long text. " * 5000, "assistant"), (2, 10 ** 12, "ok\n\nUser: z\n", "other")]
     df = spark.createDataFrame(rows, "conv_id long, turn long, text string, role string")
     model = transcripts.fit(df)
-    got = transcripts.recover(df, model).select("conv_id", "turn", "text", "role", transcripts.render(F.col("text"), F.col("role")).alias("out")).collect()
-    assert Counter((r["conv_id"], r["turn"], r["text"]) for r in got) == Counter(r[:3] for r in rows)
-    assert all(r["role"] in transcripts.ROLES and r["out"].startswith(f"<|{r['role']}|>\n") for r in got)
-    assert transcripts.recover(df.limit(0), transcripts.fit(df.limit(0))).count() == 0
+    parts = df.withColumnRenamed("turn", "part").withColumns({c: F.lit("x") for c in ("line", "row", "key", "begins")})
+    lines = transcripts.label_lines(parts, model).collect()
+    assert Counter((r["conv_id"], r["text"]) for r in lines) == Counter((i, x) for i, _, t, _ in rows for x in (t or "").split("\n"))
+    got = transcripts.recover(parts, model).select("conv_id", "turn", "role", "text", transcripts.render(F.col("text"), F.col("role")).alias("out")).collect()
+    assert sum(len(r["text"].split("\n")) for r in got) == len(lines) and all(r["out"].startswith(f"<|{r['role']}|>\n") for r in got)
+    first = Counter(r["conv_id"] for r in got if r["turn"] == 0)
+    assert first == {1: 1, 2: 1, None: 2}
+    empty = df.limit(0)
+    assert transcripts.recover(parts.limit(0), transcripts.fit(empty)).count() == 0 and transcripts.recover(parts, transcripts.fit(empty)).count() > 0
 
 
 # language model --------------------------------------------------------------------------------------
