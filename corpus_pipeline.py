@@ -19,10 +19,6 @@ from scorewright.llm.common import documents, fold, fresh, prepare, staged, watc
 from scorewright.session import work_path
 from scorewright.sinks.fs import delete
 
-#: A document goes if its language can't be told: no letter, or no class above this mean probability.
-MIN_LANGUAGE_SCORE = 0.4
-
-
 #: Staged tables of the stage before; its result has been written when the next one starts.
 _LEFT: list[str] = []
 
@@ -51,10 +47,15 @@ def _keyed(docs: DataFrame) -> tuple[DataFrame, str]:
 
 @_stage
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a letter go: no language can be told (null, empty and blank texts, digits and signs).
+
+    All others stay, whatever the score: texts that mix languages are no worse, and without a labelled row
+    to learn from nothing is known against any.  Very long texts are read whole."""
     model = langid.fit(docs, fold("doc_id", 5) != 0)
     pred, score = fresh(docs, "_lang_pred"), fresh(docs, "_lang_score")
     told = langid.predict(docs, model, pred_col=pred, score_col=score)
-    return told.filter((F.col(pred) != langid.UND) & (F.col(score) >= MIN_LANGUAGE_SCORE)).select(*docs.columns)
+    kept = F.col(pred) != langid.UND if model is not None else F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False))
+    return told.filter(kept).select(*docs.columns)
 
 
 @_stage
@@ -86,6 +87,7 @@ def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 @_stage
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The packed pieces: a null or empty text is its end token alone; a text longer than a sequence is cut."""
     return packing.pack(docs)
 
 
