@@ -330,7 +330,7 @@ def test_pipeline_stages(spark, tmp_dir):
     assert all(df.columns == docs.columns for df in (lang, exact, near, secret))
     first = {r["doc_id"]: r["text"] for r in docs.collect()}
     kept = [r["doc_id"] for r in lang.collect()]
-    assert len(kept) >= 0.98 * len(first) and all(any(map(str.isalpha, first[i])) for i in kept)
+    assert sorted(kept) == sorted(i for i, t in first.items() if any(map(str.isalpha, t or "")))
     top = {}
     for i in kept:
         top[first[i]] = max(i, top.get(first[i], i))
@@ -351,6 +351,18 @@ def test_pipeline_stages(spark, tmp_dir):
     check_packing([(r["doc_id"], r["text"]) for r in secret.collect()], packing.pack(secret, with_ids=True).collect())
 
 
+def test_language_stage_keeps_what_has_letters(spark):
+    """Texts that mix languages or hold code stay, and without a labelled row to learn from all lettered ones do."""
+    rows = [(i, t, g) for i, (t, g) in enumerate([("der Hund the dog le chien el perro " * 30, None), ("for (int i = 0; i < n; i++) { x[i] += 1; }", None),
+                                                   ("12 34 !!", "en"), ("", "en"), (None, "de"), ("Ω", None)])]
+    stage = dict(corpus_pipeline.STAGES)["language_id"]
+    none = spark.createDataFrame([(i, t, None) for i, t, _ in rows], "doc_id long, text string, lang string")
+    assert sorted(r["doc_id"] for r in stage(spark, none, D).collect()) == [0, 1, 5]
+    some = documents(spark, D).select("doc_id", "text", "lang").unionByName(
+        spark.createDataFrame([(i + 10 ** 6, t, g) for i, t, g in rows], "doc_id long, text string, lang string"))
+    assert sorted(r["doc_id"] - 10 ** 6 for r in stage(spark, some, D).filter("doc_id >= 1000000").collect()) == [0, 1, 5]
+
+
 def test_pipeline_edge_and_empty(spark, edge, tmp_dir):
     stages = run_stages(spark, edge, f"{tmp_dir}/edge")
     assert [df.columns for df in stages[:4]] == [edge.columns] * 4
