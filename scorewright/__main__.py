@@ -103,7 +103,7 @@ def main(argv: list[str] | None = None) -> int:
         r = jobs.train_image_lr(spark, a.images, a.model, a.labels, a.metrics, weighted=a.weighted)
         r["metrics"].show()
     elif a.cmd == "score-zip":
-        jobs.score_zip(spark, a.zip_uri, a.lr_model_path, a.labels_json, a.output_csv, a.repartition or None)
+        jobs.score_zip(spark, a.zip_uri, a.lr_model_path, a.labels_json, a.output_csv, a.repartition or None, single_file=True)
     if owned:
         spark.stop()
     return 0

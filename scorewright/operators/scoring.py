@@ -47,6 +47,11 @@ def model_confidence(probability: str | Column, prediction: str | Column, mode:
     return F.element_at(arr, pred.cast("int") + 1)
 
 
+def id_and_answer(scored: DataFrame, id_col: str) -> DataFrame:
+    """``id, churn``: yes where class 1 is predicted, else no (the columns of a scored CSV)."""
+    return scored.select(F.col(id_col).alias("id"), F.when(F.col("prediction") == 1.0, F.lit("yes")).otherwise(F.lit("no")).alias("churn"))
+
+
 def assign_cluster(df: DataFrame, features: str, centres: Sequence[Sequence[float]],
                    output: str = "prediction") -> DataFrame:
     """Nearest centre by squared Euclidean distance; the lowest centre index wins a tie."""

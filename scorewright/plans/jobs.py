@@ -22,7 +22,7 @@ from scorewright.operators.features import feature_stages, indexer
 from scorewright.operators.metrics import accuracy, prediction_counts, silhouette, with_class_weights
 from scorewright.operators.models import classifier, compare_models, evaluate, fit_pipeline, report_table
 from scorewright.operators.rank import global_row_number
-from scorewright.operators.scoring import label_lookup, linear_score
+from scorewright.operators.scoring import id_and_answer, label_lookup, linear_score
 from scorewright.operators.split import holdout_split, replicate, sample_rows
 from scorewright.session import work_path
 from scorewright.sinks import save_model, write_csv, write_json_single, write_label_map, write_single_csv
@@ -81,9 +81,7 @@ def score_csv(spark: SparkSession, in_path: str, model: str | PipelineModel, out
     m = PipelineModel.load(model) if isinstance(model, str) else model
     raw = require_columns(read_csv_strings(spark, in_path), spec.required)
     df = clean_blank_zero(raw.select(*spec.required), spec)
-    out = m.transform(df).select(
-        F.col(spec.id_col).alias("id"),
-        F.when(F.col("prediction") == 1.0, F.lit("yes")).otherwise(F.lit("no")).alias("churn"))
+    out = id_and_answer(m.transform(df), spec.id_col)
     if out_path:
         write_csv(out, out_path)
     return out

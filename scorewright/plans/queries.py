@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from scorewright.operators.clean import clean_blank_zero
 from scorewright.operators.features import fit_features
-from scorewright.operators.scoring import linear_score
+from scorewright.operators.scoring import id_and_answer, linear_score
 from scorewright.plans.fixed import CHURN_INTERCEPT, churn_weights
 from scorewright.sources.csv import read_csv_strings, require_columns
 from scorewright.sources.tables import churn_csv_path
@@ -61,9 +61,7 @@ def churn_scored(spark: SparkSession, sf_dir: str, weights=None, intercept: floa
 
 @register("score_ids")
 def q_score_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
-    s = churn_scored(spark, sf_dir)
-    return s.select(F.col("customerID").alias("id"),
-                    F.when(F.col("prediction") == 1.0, F.lit("yes")).otherwise(F.lit("no")).alias("churn"))
+    return id_and_answer(churn_scored(spark, sf_dir), "customerID")
 
 
 # ---------------------------------------------------------------- metrics on the fixed scorer

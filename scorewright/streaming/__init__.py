@@ -11,10 +11,10 @@ from __future__ import annotations
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from scorewright.operators.clean import clean_blank_zero
+from scorewright.operators.scoring import id_and_answer
 from scorewright.sources.csv import require_columns
 from scorewright.specs import TELCO, TableSpec
 
@@ -34,9 +34,7 @@ def score_stream(spark: SparkSession, in_dir: str, model: str | PipelineModel, o
     """New CSV files in ``in_dir`` -> ``id,churn`` CSV files in ``out_dir`` (append)."""
     m = PipelineModel.load(model) if isinstance(model, str) else model
     raw = require_columns(read_csv_stream(spark, in_dir, spec), spec.required)
-    scored = m.transform(clean_blank_zero(raw, spec)).select(
-        F.col(spec.id_col).alias("id"),
-        F.when(F.col("prediction") == 1.0, F.lit("yes")).otherwise(F.lit("no")).alias("churn"))
+    scored = id_and_answer(m.transform(clean_blank_zero(raw, spec)), spec.id_col)
     w = (scored.writeStream.format("csv").option("header", True).option("path", out_dir)
          .option("checkpointLocation", checkpoint).outputMode("append"))
     w = w.trigger(availableNow=True) if available_now else w
