@@ -12,7 +12,8 @@ where they were tokenised and meet the starts in one join.  Running sums go by r
 the slices' totals (one row per slice).
 
 Cases: null text counts as empty; a document always has its end token, so every row has a piece.
-Repeated rows and null ids each keep their pieces.  An empty table gives an empty result.  Only the id
+Repeated rows and null ids each keep their pieces; equal keys go by hash of the id, then by row number.  A very long
+text is tokenised whole in one task and cut into as many pieces as it needs.  An empty table gives an empty result.  Only the id
 and text columns are read.
 """
 

@@ -16,7 +16,8 @@ Components: alternating large-star and small-star rounds, staged.
 
 Cases: null text counts as text without words; such texts have fingerprint zero, linked like any other.
 Repeated rows and repeated ids each keep their row; the component id is the smallest non-null id
-reachable (null if there is none).  An empty table gives an empty result.  Only the id and text columns
+reachable (null if there is none).  A bit set in exactly half the shingles is 0.  Very long texts are hashed whole,
+some shingles at a time.  An empty table gives an empty result.  Only the id and text columns
 are read.
 """
 
