@@ -186,31 +186,28 @@ def roc_points(df: DataFrame, label: str = "label", score: str = "probability",
     are measured in one plan, on range slices as in ``auc``."""
     g = list(group)
     y = F.col(label).cast("long")
-    per_score = df.groupBy(*g, F.col(score).alias("_s")).agg(F.sum(y).alias("_pos"), F.sum(F.lit(1) - y).alias("_neg")).withColumn("_one", F.lit(1))
+    per_score = df.groupBy(*g, F.col(score).alias("_s")).agg(F.sum(y).alias("_pos"), F.sum(F.lit(1) - y).alias("_neg"))
     sliced = range_slices(per_score, [*g, F.desc("_s")], num_slices)
-    totals = sliced.groupBy(*g).agg(F.sum("_pos").alias("_p"), F.sum("_neg").alias("_n"), F.count(F.lit(1)).alias("_scores"))
-    w = Window.partitionBy(*g, "_slice").orderBy(F.desc("_s")).rowsBetween(Window.unboundedPreceding, 0)
-    ranked = sliced
-    for name, value in (("_tp", "_pos"), ("_fp", "_neg"), ("_rank", "_one")):
-        start = prefix_before_slice(sliced, value, g, out=f"{name}_before")
-        ranked = ranked.join(start, [*g, "_slice"]).withColumn(name, F.col(f"{name}_before") + F.sum(value).over(w))
-    if g:
-        ranked = ranked.join(totals, g)
-    else:
-        ranked = ranked.withColumn("_g", F.lit(0)).join(totals.withColumn("_g", F.lit(0)), "_g")
-    ranked = ranked.filter((F.col("_p") > 0) & (F.col("_n") > 0))
-    size = F.expr(f"greatest(1L, _scores div {bins})") if bins else F.lit(1).cast("long")
-    binned = ranked.withColumn("_size", size).withColumn("_bin", F.expr("(_rank - 1) div _size"))
-    points = binned.groupBy(*g, "_bin").agg(
-        F.max("_s").alias("threshold"), F.max("_tp").alias("_tp"), F.max("_fp").alias("_fp"), F.max("_p").alias("_p"), F.max("_n").alias("_n"),
-        F.max("_scores").alias("_scores"), F.max("_size").alias("_size"))
-    curve = points.select(*g, (F.col("_bin") + 1).alias("point"), "threshold", (F.col("_fp") / F.col("_n")).alias("fpr"), (F.col("_tp") / F.col("_p")).alias("tpr"))
-    last = F.expr("(_scores - 1) div _size + 2")
+    # one row per (group, slice): what lies before the slice, and the group's totals
+    before, whole = Window.partitionBy(*g).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1), Window.partitionBy(*g)
+    sums = sliced.groupBy(*g, "_slice").agg(F.sum("_pos").alias("p"), F.sum("_neg").alias("n"), F.count(F.lit(1)).alias("c"))
+    starts = sums.select(*g, "_slice", *[F.coalesce(F.sum(c).over(before), F.lit(0)).alias(f"_{c}0") for c in "pnc"],
+                         F.sum("p").over(whole).alias("_p"), F.sum("n").over(whole).alias("_n"), F.sum("c").over(whole).alias("_scores"))
+    upto = Window.partitionBy(*g, "_slice").orderBy(F.desc("_s")).rowsBetween(Window.unboundedPreceding, 0)
+    ranked = sliced.join(starts, [*g, "_slice"]).filter((F.col("_p") > 0) & (F.col("_n") > 0)).withColumns({
+        "_tp": F.col("_p0") + F.sum("_pos").over(upto), "_fp": F.col("_n0") + F.sum("_neg").over(upto), "_rank": F.col("_c0") + F.row_number().over(upto),
+        "_size": F.expr(f"greatest(1L, _scores div {bins})") if bins else F.lit(1).cast("long")})
+    points = ranked.groupBy(*g, F.expr("(_rank - 1) div _size").alias("_bin")).agg(
+        F.max("_s").alias("threshold"), *[F.max(c).alias(c) for c in ("_tp", "_fp", "_p", "_n", "_scores", "_size")])
+
+    def point(number: Column, threshold: Column, fpr: Column, tpr: Column) -> Column:
+        return F.struct(number.alias("point"), threshold.alias("threshold"), fpr.alias("fpr"), tpr.alias("tpr"))
+
     none = F.lit(None).cast(df.schema[score].dataType)
-    ends = points.filter("_bin = 0").select(*g, F.explode(F.array(
-        F.struct(F.lit(0).cast("long").alias("point"), none.alias("threshold"), F.lit(0.0).alias("fpr"), F.lit(0.0).alias("tpr")),
-        F.struct(last.alias("point"), none.alias("threshold"), F.lit(1.0).alias("fpr"), F.lit(1.0).alias("tpr")))).alias("x")).select(*g, "x.*")
-    return curve.unionByName(ends)
+    own = point(F.col("_bin") + 1, F.col("threshold"), F.col("_fp") / F.col("_n"), F.col("_tp") / F.col("_p"))
+    ends = [point(F.lit(0).cast("long"), none, F.lit(0.0), F.lit(0.0)), point(F.expr("(_scores - 1) div _size + 2"), none, F.lit(1.0), F.lit(1.0))]
+    every = F.when(F.col("_bin") == 0, F.array(ends[0], own, ends[1])).otherwise(F.array(own))       # the first point brings both ends
+    return points.select(*g, F.explode(every).alias("x")).select(*g, "x.*")
 
 
 def roc_area(points: DataFrame, group: Sequence[str] = ()) -> DataFrame:

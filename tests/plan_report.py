@@ -1,4 +1,4 @@
-"""Physical-plan summary of every registered query: ``python tests/plan_report.py [sf_dir] > PLANS.md``.
+"""Physical-plan summary of every registered query: ``python tests/plan_report.py [sf_dir [name ...]] > PLANS.md``.
 
 Counts, per query, the shuffle exchanges, broadcast exchanges, sort-merge joins and Python
 evaluation nodes of the executed plan (after adaptive execution has finalised it), and the
@@ -49,7 +49,7 @@ def main(argv: list[str]) -> None:
     print("| query | check | shuffles | broadcasts | SMJ | python | single partition |")
     print("|---|---|---|---|---|---|---|")
     details = []
-    for name in sorted(qs):
+    for name in argv[1:] or sorted(qs):
         try:
             s = summarise(qs[name](spark, sf_dir))
         except Exception as e:  # noqa: BLE001
