@@ -48,20 +48,20 @@ BLOCK = 16
 @dataclass(frozen=True)
 class Settings:
     head: int = 100_000
-    classes: int = 64
-    members: int = 64
+    classes: int = 56
+    members: int = 56
     embed: int = 16
     hidden: int = 16
     replica_tokens: int = 1_000_000
-    lanes: int = 256
-    update_tokens: int = 4096
+    lanes: int = 512
+    update_tokens: int = 8192
     segment: int = 1024
     train_window: int = 16
-    score_lanes: int = 256
+    score_lanes: int = 512
     score_window: int = 64
-    rate: float = 0.015
+    rate: float = 0.02
     clip: float = 1.0
-    group_bytes: int = 1 << 23
+    group_bytes: int = 1 << 24
     seed: int = 3
 
 
@@ -162,7 +162,7 @@ class Gru:
     def _blocks(self, k: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Tokens of classes ``k`` laid by class in blocks of ``BLOCK`` rows: their order, the row of each,
         the class of each block, and the first block of each class that has any."""
-        order, size = np.argsort(k, kind="stable"), np.bincount(k, minlength=self.s.classes)
+        order, size = np.argsort(k.astype(np.int16), kind="stable"), np.bincount(k, minlength=self.s.classes)    # short keys sort by digits
         many = -(-size // BLOCK)
         start = np.repeat((np.cumsum(many) - many) * BLOCK - (np.cumsum(size) - size), size)
         return order, start + np.arange(len(k)), np.repeat(np.arange(self.s.classes), many), (np.cumsum(many) - many)[many > 0]
@@ -187,82 +187,111 @@ class Gru:
         """Log probability of every token, in the lanes' own layout."""
         p, h, s = self.p, self.s.hidden, self.s
         table = p["E"] @ p["Wx"] + p["b"]
+        table[:, :2 * h] *= 0.5                                      # sigmoid(z) = tanh(z / 2) / 2 + 1 / 2
+        gates, over = p["Uzr"] * np.float32(0.5), p["Uh"]
         state, out = np.zeros((len(lanes.used), h), np.float32), np.zeros(len(lanes.ids), np.float32)
         for a in range(0, lanes.length, s.score_window):
             x, begins, live, at = lanes.window(a, a + s.score_window)
-            width = live.sum(axis=1)
-            state = state[:x.shape[1]]
-            before = []
-            for t, n in enumerate(width.tolist()):
+            width, new = live.sum(axis=1).tolist(), begins.any(axis=1).tolist()
+            state, inputs, before = state[:x.shape[1]], table[x], []
+            for t, n in enumerate(width):
                 state = state[:n]
-                new = begins[t, :n]
-                if new.any():
-                    state = np.where(new[:, None], np.float32(0), state)
+                if new[t]:
+                    state = state * ~begins[t, :n, None]
                 before.append(state)
-                g = table[x[t, :n]]
-                gate = _sigmoid(g[:, :2 * h] + state @ p["Uzr"])
-                z, r = gate[:, :h], gate[:, h:]
-                cand = np.tanh(g[:, 2 * h:] + (r * state) @ p["Uh"])
-                state = cand + z * (state - cand)
+                g = inputs[t, :n]
+                gate = state @ gates
+                gate += g[:, :2 * h]
+                np.tanh(gate, out=gate)
+                gate *= 0.5
+                gate += 0.5
+                cand = (gate[:, h:] * state) @ over
+                cand += g[:, 2 * h:]
+                np.tanh(cand, out=cand)
+                state = state - cand
+                state *= gate[:, :h]
+                state += cand
             out[at[live]] = self.log_probability(np.concatenate(before), x[live])
         return out
 
     def gradients(self, x: np.ndarray, begins: np.ndarray, live: np.ndarray, state: np.ndarray) -> tuple[float, dict, np.ndarray]:
         """Loss, gradients over a window (time, lane) and the state after it; ``live``: tokens that count."""
         p, s, h, (steps, lanes) = self.p, self.s, self.s.hidden, x.shape
-        g = {k: np.zeros_like(v) for k, v in p.items()}
+        g = {k: np.zeros_like(v) if k in ("E", "O", "ob") else v for k, v in p.items()}
         inputs = p["E"][x]
         gx = inputs @ p["Wx"] + p["b"]
         states, zs, rs, ns = (np.empty((steps, lanes, h), np.float32) for _ in range(4))
+        new = begins.any(axis=1)
         for t in range(steps):
-            state = np.where(begins[t][:, None], np.float32(0), state)
-            gate = _sigmoid(gx[t][:, :2 * h] + state @ p["Uzr"])
+            if new[t]:
+                state = state * ~begins[t, :, None]
+            gate = state @ p["Uzr"]
+            gate += gx[t, :, :2 * h]
+            gate = _sigmoid(gate)
             states[t], zs[t], rs[t] = state, gate[:, :h], gate[:, h:]
-            ns[t] = np.tanh(gx[t][:, 2 * h:] + (rs[t] * state) @ p["Uh"])
-            state = ns[t] + zs[t] * (state - ns[t])
+            cand = (gate[:, h:] * state) @ p["Uh"]
+            cand += gx[t, :, 2 * h:]
+            ns[t] = np.tanh(cand, out=cand)
+            state = state - cand
+            state *= gate[:, :h]
+            state += cand
         at = np.flatnonzero(live.ravel())
         hs, y, count = states.reshape(-1, h)[at], x.ravel()[at], max(1, len(at))
-        z = hs @ p["C"] + p["cb"]
-        k, rows = y // s.members, np.arange(len(y))
-        d, total = _softmax(z)
-        loss = -(z[rows, k] - total).sum()
-        d[rows, k] -= 1
-        d /= count
-        g["C"], g["cb"], dh = hs.T @ d, d.sum(axis=0), d @ p["C"].T
+        z = hs @ p["C"]
+        z += p["cb"]
+        k, rows, one = y // s.members, np.arange(len(y)), 1 / count
+        loss = -z[rows, k].sum(dtype=np.float64)
+        d, total = _softmax(z, one)
+        loss += total.sum(dtype=np.float64)
+        d[rows, k] -= one
+        g["C"], g["cb"], dh = hs.T @ d, np.ones(len(d), d.dtype) @ d, d @ p["C"].T
         order, spot, cls, first = self._blocks(k)
-        held = np.zeros((len(cls) * BLOCK, h), hs.dtype)             # rows that no token has stay zero
+        held = np.zeros((len(cls) * BLOCK, h), hs.dtype)             # rows that no token has stay zero, and weigh nothing
         held[spot] = hs[order]
+        weight = np.zeros(len(held), hs.dtype)
+        weight[spot] = one
         held, O, member = held.reshape(-1, BLOCK, h), p["O"][cls], y[order] % s.members
-        z = (held @ O.transpose(0, 2, 1) + p["ob"][cls][:, None]).reshape(-1, s.members)
-        d, total = _softmax(z)
-        loss -= (z[spot, member] - total[spot]).sum()
-        d[spot, member] -= 1
-        d /= count
-        d[np.setdiff1d(np.arange(len(z)), spot, assume_unique=True)] = 0
+        z = held @ O.transpose(0, 2, 1)
+        z += p["ob"][cls][:, None]
+        z = z.reshape(-1, s.members)
+        loss -= z[spot, member].sum(dtype=np.float64)
+        d, total = _softmax(z, weight)
+        loss += total[spot].sum(dtype=np.float64)
+        d[spot, member] -= one
         flat = held.reshape(-1, h)
         for c, a, b in zip(cls[first], first * BLOCK, np.append(first[1:], len(cls)) * BLOCK):
-            g["O"][c], g["ob"][c] = d[a:b].T @ flat[a:b], d[a:b].sum(axis=0)
+            g["O"][c] = d[a:b].T @ flat[a:b]
+            g["ob"][c] = d[a:b].sum(axis=0)
         dh[order] += (d.reshape(-1, BLOCK, s.members) @ O).reshape(-1, h)[spot]
         dout = np.zeros((steps * lanes, h), np.float32)
         dout[at] = dh
         dout = dout.reshape(steps, lanes, h)
         dgx, back = np.empty((steps, lanes, 3 * h), np.float32), np.zeros((lanes, h), np.float32)
+        slope, reach, close = 1 - ns * ns, rs * (1 - rs), zs * (1 - zs)                    # of all steps at once
+        reach *= states
+        slope *= 1 - zs
+        close *= states - ns
+        into, over = np.ascontiguousarray(p["Uzr"].T), np.ascontiguousarray(p["Uh"].T)
         for t in range(steps - 1, -1, -1):
-            z_, r, n, st = zs[t], rs[t], ns[t], states[t]
-            dn = back * (1 - z_) * (1 - n * n)
-            drs = dn @ p["Uh"].T
-            dgx[t][:, :h] = back * (st - n) * z_ * (1 - z_)
-            dgx[t][:, h:2 * h] = drs * st * r * (1 - r)
-            dgx[t][:, 2 * h:] = dn
-            back = back * z_ + drs * r + dgx[t][:, :2 * h] @ p["Uzr"].T + dout[t]
-            back = np.where(begins[t][:, None], np.float32(0), back)
+            dn, both = dgx[t, :, 2 * h:], dgx[t, :, :2 * h]
+            np.multiply(back, slope[t], out=dn)
+            drs = dn @ over
+            np.multiply(back, close[t], out=both[:, :h])
+            np.multiply(drs, reach[t], out=both[:, h:])
+            back = back * zs[t]
+            drs *= rs[t]
+            back += drs
+            back += both @ into
+            back += dout[t]
+            if new[t]:
+                back *= ~begins[t, :, None]
         flat = dgx.reshape(-1, 3 * h)
         g["Uzr"] = states.reshape(-1, h).T @ flat[:, :2 * h]
         g["Uh"] = (rs * states).reshape(-1, h).T @ flat[:, 2 * h:]
         g["Wx"], g["b"] = inputs.reshape(-1, s.embed).T @ flat, flat.sum(axis=0)
-        order = np.argsort(x.ravel(), kind="stable")
-        ids, first = np.unique(x.ravel()[order], return_index=True)
-        g["E"][ids] = np.add.reduceat((flat @ p["Wx"].T)[order], first, axis=0)
+        back, ids = flat @ p["Wx"].T, x.ravel()
+        for c in range(s.embed):
+            g["E"][:, c] = np.bincount(ids, weights=back[:, c], minlength=len(g["E"]))
         return float(loss) / count, g, state
 
     def train(self, docs: list[np.ndarray]) -> Gru:
@@ -297,7 +326,8 @@ class Gru:
 
 
 def _sigmoid(z: np.ndarray) -> np.ndarray:
-    out = np.tanh(np.multiply(z, 0.5))
+    out = np.multiply(z, 0.5)
+    np.tanh(out, out=out)
     out *= 0.5
     out += 0.5
     return out
@@ -308,20 +338,23 @@ def _log_sum(z: np.ndarray) -> np.ndarray:
     where plain sums leave the range of the numbers."""
     low, high = float(z.min(initial=0)), float(z.max(initial=0))
     if high < 60 and low > -80:
-        return np.log(np.exp(z, out=z).sum(axis=1))
+        return np.log(np.exp(z, out=z) @ np.ones(z.shape[1], z.dtype))
     top = z.max(axis=1)
     z -= top[:, None]
     return top + np.log(np.exp(z, out=z).sum(axis=1))
 
 
-def _softmax(z: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The probabilities of each row, and its ``_log_sum``."""
-    top = z.max(axis=1)
-    e = np.subtract(z, top[:, None], out=np.empty_like(z))
-    np.exp(e, out=e)
-    total = e.sum(axis=1)
-    e *= (1 / total)[:, None]
-    return e, top + np.log(total)
+def _softmax(z: np.ndarray, weight: np.ndarray | float) -> tuple[np.ndarray, np.ndarray]:
+    """The probabilities of each row times ``weight``, in the place of ``z``, and the row's ``_log_sum``."""
+    low, high = float(z.min(initial=0)), float(z.max(initial=0))
+    top = np.zeros(len(z), z.dtype)
+    if high >= 60 or low <= -80:
+        top = z.max(axis=1)
+        z -= top[:, None]
+    np.exp(z, out=z)
+    total = z @ np.ones(z.shape[1], z.dtype)
+    z *= (weight / total)[:, None]
+    return z, top + np.log(total)
 
 
 class Lanes:
