@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from scorewright.operators.rank import prefix_before_slice
 
-from .common import prepare, staged
+from .common import prepare, scratch, staged
 
 ROLES = ("user", "assistant", "system")
 #: Role and whether a turn begins: state 2 r begins one of role r, 2 r + 1 goes on with it.
@@ -198,15 +198,20 @@ def _border_roles(chunks: DataFrame) -> DataFrame:
     return fixed
 
 
-def label_lines(parts: DataFrame, model: Hmm, *, key_col: str = "conv_id", part_col: str = "part", text_col: str = "text") -> DataFrame:
-    """One row per line: id, line (its number over all lines of all transcripts, in their order), slice (of that order),
-    text, role, begins."""
+def _decoded(parts: DataFrame, model: Hmm, key_col: str, part_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
+    """The lines (row, pos, id, text), and without their texts (row, pos, key, line, slice, state); both staged."""
     prepare(parts.sparkSession)
     text = F.coalesce(F.col(text_col), F.lit(""))
     key = F.when(F.col(key_col).isNull(), F.concat(F.lit("row "), F.monotonically_increasing_id())).otherwise(F.concat(F.lit("id "), F.col(key_col).cast("string")))
     read = parts.select(F.col(key_col).alias("id"), F.coalesce(F.col(part_col).cast("long"), F.lit(-(1 << 40))).alias("at"), F.xxhash64(text).alias("tie"),
                         key.alias("key"), F.monotonically_increasing_id().alias("row"), F.posexplode(F.split(text, "\n")).alias("pos", "text"))
     rows = staged(read.withColumn("v", shown(F.col("text"))), "lines")
+    with scratch(parts.sparkSession) as keep:
+        return rows.select("row", "pos", "id", "text"), keep(staged(_states(rows, model), "states"))
+
+
+def _states(rows: DataFrame, model: Hmm) -> DataFrame:
+    """(key, line, row, pos, slice, state) of the lines (key, at, tie, row, pos, v)."""
     order = ["key", "at", "tie", "row", "pos"]
     # a partition's ids are consecutive from (its number) * 2^33; the totals of the slices are one row per range
     place = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
@@ -228,27 +233,39 @@ def label_lines(parts: DataFrame, model: Hmm, *, key_col: str = "conv_id", part_
     chunks = staged(seen.groupBy("key", "node").agg(F.array_sort(F.collect_list("b")).alias("b")), "chunks")
     codes = F.transform("b", lambda x: x["v"])
     ends = _border_roles(chunks.select("key", "node", matrices(codes).alias("m")))
-    told = (chunks.join(ends, ["key", "node"], "left").select("b", paths(codes, F.coalesce("first", F.lit(START)), "last").alias("p"))
-            .select(F.explode(F.arrays_zip("b", "p")).alias("x")).select("x.b.line", "x.b.row", "x.b.pos", "x.b.slice", F.col("x.p").alias("state")))
-    roles = F.array(*[F.lit(r) for r, _ in STATES])
-    return rows.join(told, ["row", "pos"]).select(F.col("id").alias(key_col), "key", "line", "slice", F.col("text").alias(text_col),
-                                                  F.element_at(roles, F.col("state") + 1).alias("role"), (F.col("state") % 2 == 0).alias("begins"))
+    return (chunks.join(ends, ["key", "node"], "left").select("key", "b", paths(codes, F.coalesce("first", F.lit(START)), "last").alias("p"))
+            .select("key", F.explode(F.arrays_zip("b", "p")).alias("x"))
+            .select("key", "x.b.line", "x.b.row", "x.b.pos", "x.b.slice", F.col("x.p").alias("state")))
+
+
+def _role(state: Column) -> Column:
+    return F.element_at(F.array(*[F.lit(r) for r, _ in STATES]), state + 1)
+
+
+def label_lines(parts: DataFrame, model: Hmm, *, key_col: str = "conv_id", part_col: str = "part", text_col: str = "text") -> DataFrame:
+    """One row per line: id, line (its number over all lines of all transcripts, in their order), text, role, begins."""
+    rows, told = _decoded(parts, model, key_col, part_col, text_col)
+    return rows.join(told, ["row", "pos"]).select(F.col("id").alias(key_col), "line", F.col("text").alias(text_col),
+                                                  _role(F.col("state")).alias("role"), (F.col("state") % 2 == 0).alias("begins"))
 
 
 def recover(parts: DataFrame, model: Hmm, *, key_col: str = "conv_id", part_col: str = "part", text_col: str = "text") -> DataFrame:
-    """One row per turn: id, turn (from 0 in its transcript), role, text (its raw lines)."""
-    lines = staged(label_lines(parts, model, key_col=key_col, part_col=part_col, text_col=text_col), "labelled")
+    """One row per turn: id, turn (from 0 in its transcript), role, text (its raw lines).
+
+    Turns are numbered before the texts come in, so these move twice: to their states, and to their turn."""
+    rows, told = _decoded(parts, model, key_col, part_col, text_col)
     # a turn's number is the count of beginnings up to it, over all lines: slice totals, then a sum inside each slice
-    starts = lines.select("slice", "line", F.col("begins").cast("int").alias("one"))
-    before = F.broadcast(prefix_before_slice(starts, "one", slice_col="slice", out="before"))
+    one = (F.col("state") % 2 == 0).cast("int")
+    before = F.broadcast(prefix_before_slice(told.select("slice", one.alias("one")), "one", slice_col="slice", out="before"))
     upto = Window.partitionBy("slice").orderBy("line").rowsBetween(Window.unboundedPreceding, 0)
-    numbered = lines.withColumn("in_slice", F.sum(F.col("begins").cast("int")).over(upto)).join(before, "slice")
-    turns = numbered.groupBy((F.col("before") + F.col("in_slice")).alias("n")).agg(
-        F.first(key_col).alias(key_col), F.first("key").alias("key"), F.first("role").alias("role"),
-        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("line", F.col(text_col).alias("t")))), lambda x: x["t"]), "\n").alias(text_col))
-    turns = staged(turns, "turns")
-    first = turns.groupBy("key").agg(F.min("n").alias("first"))
-    return turns.join(first, "key").select(key_col, (F.col("n") - F.col("first")).cast("int").alias("turn"), "role", text_col)
+    numbered = staged(told.withColumn("in_slice", F.sum(one).over(upto)).join(before, "slice").select(
+        "row", "pos", "key", "line", "state", (F.col("before") + F.col("in_slice")).alias("n")), "numbered")
+    first = numbered.groupBy("key").agg(F.min("n").alias("first"))
+    placed = numbered.join(first, "key").select("row", "pos", "line", "state", "n", (F.col("n") - F.col("first")).cast("int").alias("turn"))
+    lines = F.array_sort(F.collect_list(F.struct("line", F.col("text").alias("t"))))
+    return rows.join(placed, ["row", "pos"]).groupBy("n").agg(
+        F.first("id").alias("id"), F.first("turn").alias("turn"), F.first("state").alias("state"), F.array_join(F.transform(lines, lambda x: x["t"]), "\n").alias("t")).select(
+        F.col("id").alias(key_col), "turn", _role(F.col("state")).alias("role"), F.col("t").alias(text_col))
 
 
 def render(text: Column, role: Column) -> Column:
