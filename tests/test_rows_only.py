@@ -294,3 +294,24 @@ def test_batch_report_checks_ids_and_categoricals(spark):
     assert [tuple(x) for x in r["scored"].orderBy("row").collect()] == [(1, "a", 1.0, 0.1), (4, "d", 1.0, 0.4)]
     assert sorted((x["row"], x["error"]) for x in r["issues"].collect()) == [
         (2, "id: missing"), (2, "kind: missing"), (3, "kind: missing"), (3, "n: not a valid int: 'y'")]
+
+
+def test_replicated_rows_are_spread_over_all_cores(spark, monkeypatch):
+    """The fits pass over the copies again and again: a small file's one or two partitions would hold them all."""
+    from collections import Counter
+
+    from scorewright.operators import split
+    from scorewright.plans import jobs
+    from scorewright.sources.tables import churn_csv_path
+    from scorewright.specs import CHURN
+
+    seen = []
+    monkeypatch.setattr(jobs, "compare_models", lambda train, test, spec, cands: (seen.append((train, test)), (None, {}))[1])
+    monkeypatch.setattr(jobs, "report_table", lambda table: table)
+    path, cores = churn_csv_path(spark, SF001), spark.sparkContext.defaultParallelism
+    jobs.compare_churn_models(spark, path, replicas=3, spec=CHURN)
+    assert all(part.rdd.getNumPartitions() >= cores for part in seen[0])
+    ids = Counter(r["customerID"] for part in seen[0] for r in part.select("customerID").collect())
+    assert ids == {r["customerID"]: 3 for r in jobs.load_training_table(spark, path, CHURN).select("customerID").collect()}
+    monkeypatch.setattr(split, "ROWS_PER_TASK", 10)
+    assert split.spread(spark.range(95), "id", copies=cores).rdd.getNumPartitions() == -(-95 * cores // 10)
