@@ -315,3 +315,16 @@ def test_replicated_rows_are_spread_over_all_cores(spark, monkeypatch):
     assert ids == {r["customerID"]: 3 for r in jobs.load_training_table(spark, path, CHURN).select("customerID").collect()}
     monkeypatch.setattr(split, "ROWS_PER_TASK", 10)
     assert split.spread(spark.range(95), "id", copies=cores).rdd.getNumPartitions() == -(-95 * cores // 10)
+
+
+def test_predictions_are_scored_once_for_both_measures(spark, monkeypatch):
+    from scorewright.operators import models
+    from scorewright.plans.queries import _churn_train_test
+    from scorewright.specs import CHURN
+
+    kept = []
+    measure = models.confusion
+    monkeypatch.setattr(models, "confusion", lambda df, *a: (kept.append(df.is_cached), measure(df, *a))[1])
+    train, test = _churn_train_test(spark, SF001)
+    table, _ = models.compare_models(train, test, CHURN, {"lr": models.classifier("lr", maxIter=2)})
+    assert kept == [True] and table.count() == 1
