@@ -29,7 +29,7 @@ from scorewright.sinks import save_model, write_csv, write_json_single, write_la
 from scorewright.sinks.fs import delete
 from scorewright.sources.filesystems import resolve
 from scorewright.sources.csv import MALFORMED, read_csv_strings, require_columns
-from scorewright.sources.images import NoImagesError, read_images, stage_members, with_path_label, zip_members
+from scorewright.sources.images import NoImagesError, packed, read_images, stage_members, with_path_label, zip_members
 from scorewright.sources.labels import read_label_map_tolerant
 from scorewright.specs import ERROR_LABEL, LR_EMBEDDING_PARAMS, LR_WEIGHTED_PARAMS, TELCO, TableSpec
 
@@ -117,7 +117,7 @@ def score_images(spark: SparkSession, image_glob: str, lr_model: str | LogisticR
     from scorewright.operators.scoring import model_confidence
 
     lr = LogisticRegressionModel.load(lr_model) if isinstance(lr_model, str) else lr_model
-    feats = image_features(read_images(spark, image_glob), "image", size, embedder_factory)
+    feats = image_features(packed(read_images(spark, image_glob)), "image", size, embedder_factory)
     path = work_path(spark, "stage", f"features-{uuid.uuid4().hex}")
     feats.select(F.col("image.origin").alias("origin"), F.col("emb.features").alias("features")).write.parquet(path)
     rows = spark.read.parquet(path)
@@ -175,7 +175,7 @@ def image_training_set(spark: SparkSession, image_glob: str, size: int = SIZE,
 
     Features are written once to the work folder and read from there, so each image is embedded once
     however often the fit and the caller read the result."""
-    imgs = with_path_label(read_images(spark, image_glob))
+    imgs = with_path_label(packed(read_images(spark, image_glob)))
     feats = image_features(imgs, "image", size, embedder_factory)
     path = work_path(spark, "stage", f"features-{uuid.uuid4().hex}")
     feats.select(F.col("image.origin").alias("origin"), "label", F.col("emb.features").alias("features")).write.parquet(path)
@@ -245,7 +245,7 @@ def score_zip(spark: SparkSession, zip_path: str, lr_model: str | LogisticRegres
 
     imgs = read_images(spark, f"{stage}/files", recursive=True).withColumn(
         "staged", F.element_at(F.split(F.col("image.origin"), "/"), -1))
-    feats = image_features(imgs.repartition(slices) if slices else imgs, "image", size, embedder_factory, resources=resources)
+    feats = image_features(imgs.repartition(slices) if slices else packed(imgs), "image", size, embedder_factory, resources=resources)
     feats = feats.select("staged", F.col("emb.features").cast("array<double>").alias("features"))
     # a null feature array scores to a null prediction, which finds no label: the row fails
     scored = linear_score(feats, "features", w, b, tie="high", confidence="positive")
