@@ -37,11 +37,17 @@ def colour_grid(grid: int = DEFAULT_GRID) -> Embedder:
             raise ValueError(f"pictures of at least {grid} pixels a side expected, got {s}")
         cuts = np.arange(grid) * s // grid                # cells may differ by a pixel
         size = np.diff(np.append(cuts, s))
-        # sums of integers: the features don't depend on the order of summation
-        sums = np.add.reduceat(np.add.reduceat(batch, cuts, axis=1, dtype=np.int64), cuts, axis=2)
+        # sums of integers, all held exactly: the features don't depend on the order of summation
+        exact = np.float32 if 255 * 255 * s < 1 << 24 else np.float64
+        bands, column = np.repeat(np.eye(grid, dtype=exact), size, axis=1), np.ones(s, exact)
+        sums, squares = np.empty((n, grid, grid, 3), np.int64), np.empty((n, 3), np.int64)
+        for i, picture in enumerate(batch):
+            a = picture.reshape(s, 3 * s).astype(exact)
+            sums[i] = np.add.reduceat((bands @ a).astype(np.int64).reshape(grid, s, 3), cuts, axis=1)
+            a *= a
+            squares[i] = (column @ a).astype(np.int64).reshape(s, 3).sum(axis=0)
         cells = sums / (size[:, None, None] * size[None, :, None] * 255.0)
         total = sums.sum(axis=(1, 2))
-        squares = np.square(batch, dtype=np.uint16).sum(axis=(1, 2), dtype=np.int64)
         spread = np.sqrt((s * s * squares - total * total).astype(np.float64)) / (s * s * 255.0)
         return np.concatenate([cells.reshape(n, -1), spread], axis=1).astype(np.float32)
 

@@ -337,3 +337,48 @@ def test_plot_sample_is_checked_against_all_points(spark):
     assert rows and {(r["points"], r["each_once"], r["as_it_was"], r["about_a_tenth"]) for r in rows} == {(whole, True, True, True)}
     clusters = {r["custkey"]: r["prediction"] for r in _rows(spark, "cluster_customers")}
     assert all(r["prediction"] == clusters[r["custkey"]] for r in rows)
+
+
+def test_picture_files_are_written_by_many_tasks(spark, tmp_path):
+    """A table in one row group is read by one task; the pictures are still written by all cores, every one of them."""
+    from scorewright.sources.tables import pet_image_dir
+
+    rows = [(i, [i / 200.0] * 64, i % 10) for i in range(200)]
+    spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int").coalesce(1).write.parquet(f"{tmp_path}/embeddings.parquet")
+    told = spark.read.parquet(pet_image_dir(spark, str(tmp_path)).removesuffix("/PetImages") + "-manifest")
+    assert told.select(F.input_file_name()).distinct().count() > 1
+    assert sorted(r["vec_id"] for r in told.collect()) == list(range(200))
+    assert spark.read.format("binaryFile").load(pet_image_dir(spark, str(tmp_path)) + "/*").count() == 200
+
+
+def test_small_pictures_are_read_in_fewer_tasks(spark):
+    from scorewright.sources.images import packed
+
+    few, many = spark.range(0, 4, 1, 4), spark.range(0, 4000, 1, 2000)
+    assert packed(few).rdd.getNumPartitions() == 4
+    assert packed(many).rdd.getNumPartitions() == max(8 * spark.sparkContext.defaultParallelism, 250) and packed(many).count() == 4000
+
+
+def test_folders_are_made_once_for_many_files(monkeypatch, tmp_path):
+    from pyarrow import fs as pafs
+
+    from scorewright.sources import filesystems
+    from scorewright.sources.images import write_bytes
+
+    made = []
+
+    class Watched:
+        def __init__(self):
+            self.fs = pafs.LocalFileSystem()
+
+        def create_dir(self, path, recursive):
+            made.append(path)
+            self.fs.create_dir(path, recursive=recursive)
+
+        def __getattr__(self, name):
+            return getattr(self.fs, name)
+
+    monkeypatch.setattr(filesystems.Store, "filesystem", lambda self: Watched())
+    for i in range(3):
+        write_bytes(f"{tmp_path}/a/b/{i}.png", bytes([i]), filesystems.LOCAL)
+    assert made == [f"{tmp_path}/a/b"] and [(tmp_path / "a/b" / f"{i}.png").read_bytes() for i in range(3)] == [b"\0", b"\1", b"\2"]
