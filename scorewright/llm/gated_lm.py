@@ -43,6 +43,7 @@ from .common import prepare, scratch, staged
 UNKNOWN, END = 0, 1
 FIXED = 1 << 20
 BLOCK = 16
+ROWS = 4096
 
 
 @dataclass(frozen=True)
@@ -130,7 +131,14 @@ class Gru:
     """Parameters and passes.  Token ids: unknown, end, then words by falling count; class = id // members."""
 
     def __init__(self, s: Settings, params: dict[str, np.ndarray]):
-        self.s, self.p = s, params
+        self.s, self.p, self.kept = s, params, {}
+
+    def _room(self, name: str, *shape: int) -> np.ndarray:
+        """A work array, its old content still in it, from call to call in the same memory: large new arrays cost page faults."""
+        size, kind = int(np.prod(shape)), self.p["C"].dtype
+        if name not in self.kept or self.kept[name].size < size or self.kept[name].dtype != kind:
+            self.kept[name] = np.empty(size, kind)
+        return self.kept[name][:size].reshape(shape)
 
     @staticmethod
     def start(s: Settings, known: Counts) -> Gru:
@@ -171,8 +179,12 @@ class Gru:
         """Natural log probability of each token after each state."""
         p, s, n = self.p, self.s, len(y)
         k = y // s.members
-        z = states @ p["C"] + p["cb"]
-        out = z[np.arange(n), k] - _log_sum(z)
+        out = np.empty(n, states.dtype)
+        for a in range(0, n, ROWS):                                    # rows that stay in the cache
+            z = np.matmul(states[a:a + ROWS], p["C"], out=self._room("z", min(ROWS, n - a), s.classes))
+            z += p["cb"]
+            out[a:a + ROWS] = z[np.arange(len(z)), k[a:a + ROWS]]
+            out[a:a + ROWS] -= _log_sum(z)
         order = np.argsort(k.astype(np.int16), kind="stable")          # short keys are sorted by their digits
         held, member, told = states[order], (y % s.members)[order], np.empty(n, out.dtype)
         cut = np.concatenate([[0], np.cumsum(np.bincount(k, minlength=s.classes))])
@@ -219,8 +231,8 @@ class Gru:
         p, s, h, (steps, lanes) = self.p, self.s, self.s.hidden, x.shape
         g = {k: np.zeros_like(v) if k in ("E", "O", "ob") else v for k, v in p.items()}
         inputs = p["E"][x]
-        gx = inputs @ p["Wx"] + p["b"]
-        states, zs, rs, ns = (np.empty((steps, lanes, h), np.float32) for _ in range(4))
+        gx = np.take(p["E"] @ p["Wx"] + p["b"], x, axis=0, out=self._room("gx", steps, lanes, 3 * h), mode="clip")    # ids are fewer than tokens
+        states, zs, rs, ns = self._room("states", 4, steps, lanes, h)
         new = begins.any(axis=1)
         for t in range(steps):
             if new[t]:
@@ -237,7 +249,7 @@ class Gru:
             state += cand
         at = np.flatnonzero(live.ravel())
         hs, y, count = states.reshape(-1, h)[at], x.ravel()[at], max(1, len(at))
-        z = hs @ p["C"]
+        z = np.matmul(hs, p["C"], out=self._room("z", len(hs), s.classes))
         z += p["cb"]
         k, rows, one = y // s.members, np.arange(len(y)), 1 / count
         loss = -z[rows, k].sum(dtype=np.float64)
@@ -246,12 +258,13 @@ class Gru:
         d[rows, k] -= one
         g["C"], g["cb"], dh = hs.T @ d, np.ones(len(d), d.dtype) @ d, d @ p["C"].T
         order, spot, cls, first = self._blocks(k)
-        held = np.zeros((len(cls) * BLOCK, h), hs.dtype)             # rows that no token has stay zero, and weigh nothing
+        held = self._room("held", len(cls) * BLOCK, h)
+        held[:] = 0                                                  # rows that no token has stay zero, and weigh nothing
         held[spot] = hs[order]
         weight = np.zeros(len(held), hs.dtype)
         weight[spot] = one
         held, O, member = held.reshape(-1, BLOCK, h), p["O"][cls], y[order] % s.members
-        z = held @ O.transpose(0, 2, 1)
+        z = np.matmul(held, O.transpose(0, 2, 1), out=self._room("z", len(cls), BLOCK, s.members))
         z += p["ob"][cls][:, None]
         z = z.reshape(-1, s.members)
         loss -= z[spot, member].sum(dtype=np.float64)
@@ -263,10 +276,11 @@ class Gru:
             g["O"][c] = d[a:b].T @ flat[a:b]
             g["ob"][c] = d[a:b].sum(axis=0)
         dh[order] += (d.reshape(-1, BLOCK, s.members) @ O).reshape(-1, h)[spot]
-        dout = np.zeros((steps * lanes, h), np.float32)
+        dout = self._room("dout", steps * lanes, h)
+        dout[:] = 0
         dout[at] = dh
         dout = dout.reshape(steps, lanes, h)
-        dgx, back = np.empty((steps, lanes, 3 * h), np.float32), np.zeros((lanes, h), np.float32)
+        dgx, back = gx, np.zeros((lanes, h), np.float32)             # in the place of the inputs, which are used up
         slope, reach, close = 1 - ns * ns, rs * (1 - rs), zs * (1 - zs)                    # of all steps at once
         reach *= states
         slope *= 1 - zs

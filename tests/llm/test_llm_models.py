@@ -189,6 +189,26 @@ def test_gradients_and_lanes():
         assert abs((ends[0] - ends[1]) / 2e-4 - g[k][at]) < 1e-5
 
 
+def test_work_arrays_are_reused_and_results_outlive_them():
+    """Windows of other widths use the same memory; what a call returned is not written over by the next."""
+    known, s = gated_lm.Counts([f"w{i}" for i in range(30)], np.arange(30, 0, -1), 5, 470, 31), gated_lm.tiny()
+    docs = [np.append(np.arange(2, 2 + n, dtype=np.int32), np.int32(1)) for n in (25, 3, 14, 1, 9)]
+    lanes, model = gated_lm.Lanes(docs, 4), gated_lm.Gru.start(s, known)
+    told, state = [], np.zeros((len(lanes.used), s.hidden), np.float32)
+    for a in range(0, lanes.length, s.train_window):
+        x, begins, live, _ = lanes.window(a, a + s.train_window)
+        loss, g, after = model.gradients(x, begins, live, state[:x.shape[1]])
+        fresh = gated_lm.Gru.start(s, known).gradients(x, begins, live, state[:x.shape[1]])
+        told.append((g, after, *fresh[1:]))
+        assert loss == fresh[0] and "gx" in model.kept
+        state = after
+    assert len(told) > 2
+    for g, after, other, other_after in told:
+        assert np.array_equal(after, other_after) and all(np.array_equal(g[k], other[k]) for k in g)
+    first = model.score(lanes)
+    assert np.array_equal(first, gated_lm.Gru.start(s, known).score(lanes)) and np.array_equal(first, model.score(lanes))
+
+
 def test_probabilities_sum_to_one():
     s, m = small_model()
     h = np.random.default_rng(1).normal(size=(1, s.hidden)).astype(np.float32)
