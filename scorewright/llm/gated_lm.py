@@ -28,8 +28,10 @@ result.  Only the id and text columns are read.
 from __future__ import annotations
 
 import heapq
-from collections.abc import Iterator
+import math
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, replace
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -48,7 +50,7 @@ ROWS = 4096
 
 @dataclass(frozen=True)
 class Settings:
-    head: int = 100_000
+    head: int = 300_000
     classes: int = 56
     members: int = 56
     embed: int = 16
@@ -77,13 +79,13 @@ class Counts:
     distinct: int
 
 
-def tokens_of(texts: pa.Array) -> tuple[np.ndarray, pa.DictionaryArray]:
-    """Words per text, and all words end to end, dictionary-encoded."""
+def tokens_of(texts: pa.Array) -> tuple[np.ndarray, pa.StringArray]:
+    """Words per text, and all words end to end."""
     split = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts, "")))
     flat, offsets = split.flatten(), split.offsets.to_numpy()
     some = pc.binary_length(flat).to_numpy() > 0
     before = np.concatenate([[0], np.cumsum(some)])
-    return np.diff(before[offsets - offsets[0]]), flat.filter(pa.array(some)).dictionary_encode()
+    return np.diff(before[offsets - offsets[0]]), flat.filter(pa.array(some))
 
 
 def groups(column: pa.Array, group_bytes: int) -> Iterator[tuple[int, int]]:
@@ -101,7 +103,7 @@ def count_words(texts: DataFrame, s: Settings) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for a, n in groups(batch.column(0), s.group_bytes):
-                _, words = tokens_of(batch.column(0).slice(a, n))
+                words = tokens_of(batch.column(0).slice(a, n))[1].dictionary_encode()
                 c = np.bincount(words.indices.to_numpy(), minlength=len(words.dictionary))
                 yield pa.RecordBatch.from_arrays([pa.concat_arrays([words.dictionary, pa.array([""], pa.string())]),
                                                   pa.array(np.append(c, n), pa.int64())], names=["word", "c"])
@@ -135,7 +137,7 @@ class Gru:
 
     def _room(self, name: str, *shape: int) -> np.ndarray:
         """A work array, its old content still in it, from call to call in the same memory: large new arrays cost page faults."""
-        size, kind = int(np.prod(shape)), self.p["C"].dtype
+        size, kind = math.prod(shape), self.p["C"].dtype
         if name not in self.kept or self.kept[name].size < size or self.kept[name].dtype != kind:
             self.kept[name] = np.empty(size, kind)
         return self.kept[name][:size].reshape(shape)
@@ -167,37 +169,46 @@ class Gru:
             at += n
         return Gru(self.s, out)
 
-    def _blocks(self, k: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Tokens of classes ``k`` laid by class in blocks of ``BLOCK`` rows: their order, the row of each,
-        the class of each block, and the first block of each class that has any."""
-        order, size = np.argsort(k.astype(np.int16), kind="stable"), np.bincount(k, minlength=self.s.classes)    # short keys sort by digits
-        many = -(-size // BLOCK)
-        start = np.repeat((np.cumsum(many) - many) * BLOCK - (np.cumsum(size) - size), size)
-        return order, start + np.arange(len(k)), np.repeat(np.arange(self.s.classes), many), (np.cumsum(many) - many)[many > 0]
+    def _plain(self) -> bool:
+        """Whether no logit can leave the range of plain sums of exponentials, whatever the state (its entries lie within 1)."""
+        p = self.p
+        return max(float((np.abs(w).sum(axis=axis) + np.abs(b)).max()) for w, b, axis in ((p["C"], p["cb"], 0), (p["O"], p["ob"], 2))) < 59
+
+    def _by_class(self, k: np.ndarray, block: int = 1) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[tuple[int, int, int]]]:
+        """Tokens of classes ``k`` laid by class, each class in whole blocks of rows: the token of each row (their number in
+        rows left over), the row of each token, the rows left over, and (class, from, to) of each class that has any."""
+        n, order, size = len(k), np.argsort(k.astype(np.int16), kind="stable"), np.bincount(k, minlength=self.s.classes)    # short keys sort by digits
+        room = -(-size // block) * block
+        end = np.cumsum(room)
+        row = np.repeat(end - room - (np.cumsum(size) - size), size) + np.arange(n)
+        token, place = np.full(int(room.sum()), n), np.empty(n, np.int64)
+        token[row], place[order] = order, row
+        return token, place, np.flatnonzero(token == n), [(c, int(end[c] - room[c]), int(end[c])) for c in np.flatnonzero(size).tolist()]
 
     def log_probability(self, states: np.ndarray, y: np.ndarray) -> np.ndarray:
         """Natural log probability of each token after each state."""
         p, s, n = self.p, self.s, len(y)
-        k = y // s.members
+        k, plain = y // s.members, self._plain()
         out = np.empty(n, states.dtype)
         for a in range(0, n, ROWS):                                    # rows that stay in the cache
             z = np.matmul(states[a:a + ROWS], p["C"], out=self._room("z", min(ROWS, n - a), s.classes))
             z += p["cb"]
             out[a:a + ROWS] = z[np.arange(len(z)), k[a:a + ROWS]]
-            out[a:a + ROWS] -= _log_sum(z)
-        order = np.argsort(k.astype(np.int16), kind="stable")          # short keys are sorted by their digits
-        held, member, told = states[order], (y % s.members)[order], np.empty(n, out.dtype)
-        cut = np.concatenate([[0], np.cumsum(np.bincount(k, minlength=s.classes))])
-        for c in np.flatnonzero(np.diff(cut)).tolist():
-            a, b = cut[c], cut[c + 1]
-            z = held[a:b] @ p["O"][c].T + p["ob"][c]
-            told[a:b] = z[np.arange(b - a), member[a:b]] - _log_sum(z)
-        out[order] += told
+            out[a:a + ROWS] -= _log_sum(z, plain)
+        order, place, _, classes = self._by_class(k)
+        held, member, told = _rows(states, order), _rows(y % s.members, order), np.empty(n, out.dtype)
+        for c, a, b in classes:
+            z = np.matmul(held[a:b], p["O"][c].T, out=self._room("z", b - a, s.members))
+            z += p["ob"][c]
+            told[a:b] = z[np.arange(b - a), member[a:b]]
+            told[a:b] -= _log_sum(z, plain)
+        out += _rows(told, place)
         return out
 
     def score(self, lanes: Lanes) -> np.ndarray:
         """Log probability of every token, in the lanes' own layout."""
         p, h, s = self.p, self.s.hidden, self.s
+        _warm()
         table = p["E"] @ p["Wx"] + p["b"]
         table[:, :2 * h] *= 0.5                                      # sigmoid(z) = tanh(z / 2) / 2 + 1 / 2
         gates, over = p["Uzr"] * np.float32(0.5), p["Uh"]
@@ -205,7 +216,8 @@ class Gru:
         for a in range(0, lanes.length, s.score_window):
             x, begins, live, at = lanes.window(a, a + s.score_window)
             width, new = live.sum(axis=1).tolist(), begins.any(axis=1).tolist()
-            state, inputs, before = state[:x.shape[1]], table[x], []
+            inputs = np.take(table, x, axis=0, out=self._room("gx", *x.shape, 3 * h), mode="clip")    # ids are fewer than tokens
+            state, before = state[:x.shape[1]], []
             for t, n in enumerate(width):
                 state = state[:n]
                 if new[t]:
@@ -214,9 +226,7 @@ class Gru:
                 g = inputs[t, :n]
                 gate = state @ gates
                 gate += g[:, :2 * h]
-                np.tanh(gate, out=gate)
-                gate *= 0.5
-                gate += 0.5
+                _half_tanh(gate)
                 cand = (gate[:, h:] * state) @ over
                 cand += g[:, 2 * h:]
                 np.tanh(cand, out=cand)
@@ -226,61 +236,74 @@ class Gru:
             out[at[live]] = self.log_probability(np.concatenate(before), x[live])
         return out
 
-    def gradients(self, x: np.ndarray, begins: np.ndarray, live: np.ndarray, state: np.ndarray) -> tuple[float, dict, np.ndarray]:
-        """Loss, gradients over a window (time, lane) and the state after it; ``live``: tokens that count."""
+    def gradients(self, x: np.ndarray, begins: np.ndarray, live: np.ndarray, state: np.ndarray,
+                  told: bool = True) -> tuple[float, dict, np.ndarray]:
+        """Loss (0 unless ``told``), gradients over a window (time, lane) and the state after it; ``live``: tokens that count."""
         p, s, h, (steps, lanes) = self.p, self.s, self.s.hidden, x.shape
         g = {k: np.zeros_like(v) if k in ("E", "O", "ob") else v for k, v in p.items()}
-        inputs = p["E"][x]
-        gx = np.take(p["E"] @ p["Wx"] + p["b"], x, axis=0, out=self._room("gx", steps, lanes, 3 * h), mode="clip")    # ids are fewer than tokens
-        states, zs, rs, ns = self._room("states", 4, steps, lanes, h)
+        # gates and candidate each in an array of its own: rows without gaps take a third of the time
+        into = np.ascontiguousarray(p["Wx"].reshape(-1, 3, h).transpose(1, 0, 2))
+        gates, over = np.ascontiguousarray(p["Uzr"].reshape(h, 2, h).transpose(1, 0, 2)), p["Uh"]
+        table = np.matmul(p["E"], into, out=self._room("table", 3, len(p["E"]), h))
+        table += p["b"].reshape(3, 1, h)
+        table[:2] *= 0.5                                             # sigmoid(z) = tanh(z / 2) / 2 + 1 / 2
+        gates *= 0.5
+        gx, both = self._room("gx", 3, steps, lanes, h), self._room("gates", 2, steps, lanes, h)
+        for rows, to in zip(table, gx):
+            np.take(rows, x, axis=0, out=to, mode="clip")             # ids are fewer than tokens
+        states, ns = self._room("states", 2, steps, lanes, h)
         new = begins.any(axis=1)
         for t in range(steps):
             if new[t]:
                 state = state * ~begins[t, :, None]
-            gate = state @ p["Uzr"]
-            gate += gx[t, :, :2 * h]
-            gate = _sigmoid(gate)
-            states[t], zs[t], rs[t] = state, gate[:, :h], gate[:, h:]
-            cand = (gate[:, h:] * state) @ p["Uh"]
-            cand += gx[t, :, 2 * h:]
-            ns[t] = np.tanh(cand, out=cand)
+            states[t] = state
+            gate = np.matmul(state, gates, out=both[:, t])
+            gate += gx[:2, t]
+            _half_tanh(gate)
+            cand = np.matmul(gate[1] * state, over, out=ns[t])
+            cand += gx[2, t]
+            np.tanh(cand, out=cand)
             state = state - cand
-            state *= gate[:, :h]
+            state *= gate[0]
             state += cand
+        zs, rs = both
         at = np.flatnonzero(live.ravel())
-        hs, y, count = states.reshape(-1, h)[at], x.ravel()[at], max(1, len(at))
+        y, count = _rows(x.ravel(), at), max(1, len(at))
+        hs = self._room("hs", len(at) + 1, h)
+        np.take(states.reshape(-1, h), at, axis=0, out=hs[:-1], mode="clip")
+        hs[-1] = 0                                                   # the row of no token
+        none, hs = hs, hs[:-1]
         z = np.matmul(hs, p["C"], out=self._room("z", len(hs), s.classes))
         z += p["cb"]
-        k, rows, one = y // s.members, np.arange(len(y)), 1 / count
-        loss = -z[rows, k].sum(dtype=np.float64)
-        d, total = _softmax(z, one)
-        loss += total.sum(dtype=np.float64)
-        d[rows, k] -= one
+        k, one, plain = y // s.members, 1 / count, self._plain()
+        spot = np.arange(len(y)) * s.classes + k
+        loss = -z.ravel()[spot].sum(dtype=np.float64) if told else 0.0
+        d, total = _softmax(z, one, plain)
+        loss += total().sum(dtype=np.float64) if told else 0.0
+        d.reshape(-1)[spot] -= one
         g["C"], g["cb"], dh = hs.T @ d, np.ones(len(d), d.dtype) @ d, d @ p["C"].T
-        order, spot, cls, first = self._blocks(k)
-        held = self._room("held", len(cls) * BLOCK, h)
-        held[:] = 0                                                  # rows that no token has stay zero, and weigh nothing
-        held[spot] = hs[order]
-        weight = np.zeros(len(held), hs.dtype)
-        weight[spot] = one
-        held, O, member = held.reshape(-1, BLOCK, h), p["O"][cls], y[order] % s.members
-        z = np.matmul(held, O.transpose(0, 2, 1), out=self._room("z", len(cls), BLOCK, s.members))
-        z += p["ob"][cls][:, None]
-        z = z.reshape(-1, s.members)
-        loss -= z[spot, member].sum(dtype=np.float64)
-        d, total = _softmax(z, weight)
-        loss += total[spot].sum(dtype=np.float64)
-        d[spot, member] -= one
-        flat = held.reshape(-1, h)
-        for c, a, b in zip(cls[first], first * BLOCK, np.append(first[1:], len(cls)) * BLOCK):
-            g["O"][c] = d[a:b].T @ flat[a:b]
+        token, place, left, classes = self._by_class(k, BLOCK)
+        held, z, dheld = (self._room(name, len(token), width) for name, width in (("held", h), ("z", s.members), ("dheld", h)))
+        np.take(none, token, axis=0, out=held, mode="clip")
+        for c, a, b in classes:
+            np.matmul(held[a:b], p["O"][c].T, out=z[a:b])
+            z[a:b] += p["ob"][c]
+        spot = place * s.members + y % s.members
+        loss -= z.ravel()[spot].sum(dtype=np.float64) if told else 0.0
+        d, total = _softmax(z, one, plain)
+        loss += total()[place].sum(dtype=np.float64) if told else 0.0
+        d.reshape(-1)[spot] -= one
+        d[left] = 0
+        for c, a, b in classes:
+            np.matmul(d[a:b], p["O"][c], out=dheld[a:b])
+            g["O"][c] = d[a:b].T @ held[a:b]
             g["ob"][c] = d[a:b].sum(axis=0)
-        dh[order] += (d.reshape(-1, BLOCK, s.members) @ O).reshape(-1, h)[spot]
+        dh += _rows(dheld, place)
         dout = self._room("dout", steps * lanes, h)
         dout[:] = 0
         dout[at] = dh
         dout = dout.reshape(steps, lanes, h)
-        dgx, back = gx, np.zeros((lanes, h), np.float32)             # in the place of the inputs, which are used up
+        dgx, back = self._room("gx", steps, lanes, 3 * h), np.zeros((lanes, h), np.float32)    # in the place of the inputs, which are used up
         slope, reach, close = 1 - ns * ns, rs * (1 - rs), zs * (1 - zs)                    # of all steps at once
         reach *= states
         slope *= 1 - zs
@@ -302,8 +325,8 @@ class Gru:
         flat = dgx.reshape(-1, 3 * h)
         g["Uzr"] = states.reshape(-1, h).T @ flat[:, :2 * h]
         g["Uh"] = (rs * states).reshape(-1, h).T @ flat[:, 2 * h:]
-        g["Wx"], g["b"] = inputs.reshape(-1, s.embed).T @ flat, flat.sum(axis=0)
-        back, ids = flat @ p["Wx"].T, x.ravel()
+        back, ids = flat @ p["Wx"].T, x.ravel().astype(np.int64)
+        g["Wx"], g["b"] = _rows(p["E"], ids).T @ flat, flat.sum(axis=0)
         for c in range(s.embed):
             g["E"][:, c] = np.bincount(ids, weights=back[:, c], minlength=len(g["E"]))
         return float(loss) / count, g, state
@@ -319,7 +342,7 @@ class Gru:
         step, held, tokens = 0, np.zeros_like(values), 0
         for a in range(0, lanes.length, s.train_window):
             x, begins, live, _ = lanes.window(a, a + s.train_window)
-            _, g, state = model.gradients(x, begins, live, state[:x.shape[1]])
+            _, g, state = model.gradients(x, begins, live, state[:x.shape[1]], told=False)
             n = int(live.sum())
             held += np.multiply(np.concatenate([g[k].ravel() for k in sorted(g)]), n, out=part)
             tokens += n
@@ -339,36 +362,44 @@ class Gru:
         return model
 
 
-def _sigmoid(z: np.ndarray) -> np.ndarray:
-    out = np.multiply(z, 0.5)
-    np.tanh(out, out=out)
-    out *= 0.5
-    out += 0.5
-    return out
+def _half_tanh(z: np.ndarray) -> None:
+    """Sigmoid of twice each entry, in its place."""
+    np.tanh(z, out=z)
+    z *= 0.5
+    z += 0.5
 
 
-def _log_sum(z: np.ndarray) -> np.ndarray:
+def _rows(values: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """``values[at]`` for places that all lie in it: without a check of each, several times faster."""
+    return np.take(values, at, axis=0, mode="clip")
+
+
+@cache
+def _warm() -> None:
+    """One larger product, once per process: until then the matrix library takes three times as long for each thin one."""
+    np.ones((ROWS, 64), np.float32) @ np.ones((64, 64), np.float32)
+
+
+def _log_sum(z: np.ndarray, plain: bool) -> np.ndarray:
     """Logarithm of each row's sum of exponentials; ``z`` is used up.  Rows are shifted by their greatest entry only
-    where plain sums leave the range of the numbers."""
-    low, high = float(z.min(initial=0)), float(z.max(initial=0))
-    if high < 60 and low > -80:
+    where plain sums leave the range of the numbers; ``plain``: they are known not to."""
+    if plain or float(z.max(initial=0)) < 60 and float(z.min(initial=0)) > -80:
         return np.log(np.exp(z, out=z) @ np.ones(z.shape[1], z.dtype))
     top = z.max(axis=1)
     z -= top[:, None]
     return top + np.log(np.exp(z, out=z).sum(axis=1))
 
 
-def _softmax(z: np.ndarray, weight: np.ndarray | float) -> tuple[np.ndarray, np.ndarray]:
-    """The probabilities of each row times ``weight``, in the place of ``z``, and the row's ``_log_sum``."""
-    low, high = float(z.min(initial=0)), float(z.max(initial=0))
-    top = np.zeros(len(z), z.dtype)
-    if high >= 60 or low <= -80:
+def _softmax(z: np.ndarray, weight: float, plain: bool) -> tuple[np.ndarray, Callable[[], np.ndarray]]:
+    """The probabilities of each row times ``weight``, in the place of ``z``, and what tells the row's ``_log_sum``."""
+    top = None
+    if not plain and (float(z.max(initial=0)) >= 60 or float(z.min(initial=0)) <= -80):
         top = z.max(axis=1)
         z -= top[:, None]
     np.exp(z, out=z)
     total = z @ np.ones(z.shape[1], z.dtype)
     z *= (weight / total)[:, None]
-    return z, top + np.log(total)
+    return z, lambda: np.log(total) if top is None else top + np.log(total)
 
 
 class Lanes:
@@ -416,12 +447,10 @@ class Lexicon:
         self.words, self.modelled = pa.array(known.words, pa.string()), s.classes * s.members - 2
         self.counts = np.append(known.counts, 0)                     # the last entry stands for words outside the head
 
-    def read(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, pa.Array]:
-        """Words per text; per word its rank in the head (or their number) and its dictionary place; the dictionary."""
+    def read(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.StringArray]:
+        """Words per text; per word its rank in the head (or their number); the words."""
         size, words = tokens_of(texts)
-        rank = pc.fill_null(pc.index_in(words.dictionary, value_set=self.words), len(self.words)).to_numpy()
-        place = words.indices.to_numpy()
-        return size, rank[place], place, words.dictionary
+        return size, pc.fill_null(pc.index_in(words, value_set=self.words), len(self.words)).to_numpy(), words
 
     def documents(self, size: np.ndarray, rank: np.ndarray) -> list[np.ndarray]:
         """Model ids of each text, its end last."""
@@ -442,7 +471,7 @@ def _replica(shipped):
     def run(part):
         start, lex = shipped.value
         texts = part.sort_by([("tie", "ascending"), ("text", "ascending")])["text"].combine_chunks()
-        size, rank, _, _ = lex.read(texts)
+        size, rank, _ = lex.read(texts)
         docs = lex.documents(size, rank)
         tokens = sum(map(len, docs))
         flat = np.round(start.train(docs).flat().astype(np.float64) * FIXED).astype(np.int64) * tokens
@@ -456,7 +485,8 @@ def fit(texts: DataFrame, known: Counts, s: Settings) -> Gru:
 
     ``tie`` tells equal texts apart, so copies are dealt over the replicas like any other documents."""
     spark = texts.sparkSession
-    model, lexicon = Gru.start(s, known), Lexicon(known, s)
+    model, modelled = Gru.start(s, known), s.classes * s.members - 2
+    lexicon = Lexicon(replace(known, words=known.words[:modelled], counts=known.counts[:modelled]), s)    # all others are the unknown word
     if not known.total:
         return model
     replicas = max(1, round(known.total / s.replica_tokens))
@@ -496,7 +526,7 @@ def _score(docs: DataFrame, train_rows: Column, id_col: str, text_col: str, s: S
         limit = min(lex.modelled, len(lex.words))
         for batch in batches:
             for a, n in groups(batch.column(1), s.group_bytes):
-                size, rank, place, words = lex.read(batch.column(1).slice(a, n))
+                size, rank, words = lex.read(batch.column(1).slice(a, n))
                 ids = lex.documents(size, rank)
                 lanes = Lanes(ids, s.score_lanes)
                 log_p = net.score(lanes)[lanes.place].astype(np.float64)
@@ -505,18 +535,20 @@ def _score(docs: DataFrame, train_rows: Column, id_col: str, text_col: str, s: S
                 by = lambda w: np.bincount(text, weights=w, minlength=n)
                 known_log, outside = count_log[rank], rank >= limit
                 tail = np.flatnonzero(rank == len(lex.words))
-                pair, times = np.unique(text[tail] * len(words) + place[tail], return_counts=True)
+                rare = words.take(pa.array(tail)).dictionary_encode()
+                words, kinds = rare.dictionary, max(1, len(rare.dictionary))
+                pair, times = np.unique(text[tail] * kinds + rare.indices.to_numpy(), return_counts=True)
                 rows = (part << 40) + np.arange(row, row + n)
                 m, none = len(pair), pa.nulls
                 columns = [
-                    np.concatenate([rows, rows[pair // max(1, len(words))]]),
+                    np.concatenate([rows, rows[pair // kinds]]),
                     pa.concat_arrays([batch.column(0).slice(a, n), none(m, batch.column(0).type)]),
                     *(pa.concat_arrays([pa.array(c, t), none(m, t)]) for c, t in (
                         (size + 1, pa.int64()), ((by(rank < len(lex.words)) + ends_known).astype(np.int64), pa.int64()),
                         (by(known_log) + end_log, pa.float64()),
                         (np.add.reduceat(log_p, full - size - 1) / scale + by(known_log * outside), pa.float64()),
                         (by(outside).astype(np.int64), pa.int64()))),
-                    pa.concat_arrays([none(n, pa.string()), words.take(pa.array(pair % max(1, len(words)))).cast(pa.string())]),
+                    pa.concat_arrays([none(n, pa.string()), words.take(pa.array(pair % kinds)).cast(pa.string())]),
                     pa.concat_arrays([none(n, pa.int64()), pa.array(times, pa.int64())])]
                 yield pa.RecordBatch.from_arrays([pa.array(c) if isinstance(c, np.ndarray) else c for c in columns],
                                                  names=["row", "id", "n_tokens", "known", "base", "score", "outside", "word", "times"])
