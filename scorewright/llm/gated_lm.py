@@ -205,35 +205,52 @@ class Gru:
         out += _rows(told, place)
         return out
 
+    def _gates(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Weights of both gates, of the candidate, and the inputs of all three by token id, each in an array of its own: rows
+        without gaps take a third of the time.  Those of the gates are halved: sigmoid(z) = tanh(z / 2) / 2 + 1 / 2."""
+        p, h = self.p, self.s.hidden
+        into, gates = (np.ascontiguousarray(p[k].reshape(len(p[k]), -1, h).transpose(1, 0, 2)) for k in ("Wx", "Uzr"))
+        half = np.array([0.5, 0.5, 1], into.dtype).reshape(3, 1, 1)
+        table = np.matmul(p["E"], into * half, out=self._room("table", 3, len(p["E"]), h))
+        table += p["b"].reshape(3, 1, h) * half
+        return gates * half[:2], p["Uh"], table
+
+    def _inputs(self, table: np.ndarray, x: np.ndarray) -> np.ndarray:
+        """The tokens' inputs (gates and candidate, time, lane)."""
+        out = self._room("gx", 3, *x.shape, self.s.hidden)
+        for rows, to in zip(table, out):
+            np.take(rows, x, axis=0, out=to, mode="clip")             # ids are fewer than tokens
+        return out
+
     def score(self, lanes: Lanes) -> np.ndarray:
         """Log probability of every token, in the lanes' own layout."""
         p, h, s = self.p, self.s.hidden, self.s
         _warm()
-        table = p["E"] @ p["Wx"] + p["b"]
-        table[:, :2 * h] *= 0.5                                      # sigmoid(z) = tanh(z / 2) / 2 + 1 / 2
-        gates, over = p["Uzr"] * np.float32(0.5), p["Uh"]
+        gates, over, table = self._gates()
         state, out = np.zeros((len(lanes.used), h), np.float32), np.zeros(len(lanes.ids), np.float32)
         for a in range(0, lanes.length, s.score_window):
             x, begins, live, at = lanes.window(a, a + s.score_window)
             width, new = live.sum(axis=1).tolist(), begins.any(axis=1).tolist()
-            inputs = np.take(table, x, axis=0, out=self._room("gx", *x.shape, 3 * h), mode="clip")    # ids are fewer than tokens
-            state, before = state[:x.shape[1]], []
+            inputs, end = self._inputs(table, x), 0
+            before, both, turned = (self._room(name, *shape) for name, shape in (("states", (sum(width), h)), ("gates", (2, x.shape[1], h)), ("candidates", x.shape[1:] + (h,))))
+            state = state[:x.shape[1]]
             for t, n in enumerate(width):
                 state = state[:n]
                 if new[t]:
                     state = state * ~begins[t, :n, None]
-                before.append(state)
-                g = inputs[t, :n]
-                gate = state @ gates
-                gate += g[:, :2 * h]
+                before[end:end + n] = state
+                end += n
+                gate = np.matmul(state, gates, out=both[:, :n])
+                gate += inputs[:2, t, :n]
                 _half_tanh(gate)
-                cand = (gate[:, h:] * state) @ over
-                cand += g[:, 2 * h:]
+                np.multiply(gate[1], state, out=turned[:n])
+                cand = turned[:n] @ over
+                cand += inputs[2, t, :n]
                 np.tanh(cand, out=cand)
                 state = state - cand
-                state *= gate[:, :h]
+                state *= gate[0]
                 state += cand
-            out[at[live]] = self.log_probability(np.concatenate(before), x[live])
+            out[at[live]] = self.log_probability(before, x[live])
         return out
 
     def gradients(self, x: np.ndarray, begins: np.ndarray, live: np.ndarray, state: np.ndarray,
@@ -241,17 +258,10 @@ class Gru:
         """Loss (0 unless ``told``), gradients over a window (time, lane) and the state after it; ``live``: tokens that count."""
         p, s, h, (steps, lanes) = self.p, self.s, self.s.hidden, x.shape
         g = {k: np.zeros_like(v) if k in ("E", "O", "ob") else v for k, v in p.items()}
-        # gates and candidate each in an array of its own: rows without gaps take a third of the time
-        into = np.ascontiguousarray(p["Wx"].reshape(-1, 3, h).transpose(1, 0, 2))
-        gates, over = np.ascontiguousarray(p["Uzr"].reshape(h, 2, h).transpose(1, 0, 2)), p["Uh"]
-        table = np.matmul(p["E"], into, out=self._room("table", 3, len(p["E"]), h))
-        table += p["b"].reshape(3, 1, h)
-        table[:2] *= 0.5                                             # sigmoid(z) = tanh(z / 2) / 2 + 1 / 2
-        gates *= 0.5
-        gx, both = self._room("gx", 3, steps, lanes, h), self._room("gates", 2, steps, lanes, h)
-        for rows, to in zip(table, gx):
-            np.take(rows, x, axis=0, out=to, mode="clip")             # ids are fewer than tokens
-        states, ns = self._room("states", 2, steps, lanes, h)
+        gates, over, table = self._gates()
+        gx, both = self._inputs(table, x), self._room("gates", 2, steps, lanes, h)
+        room, ns = self._room("states", steps * lanes + 1, h), self._room("candidates", steps, lanes, h)
+        states = room[:-1].reshape(steps, lanes, h)
         new = begins.any(axis=1)
         for t in range(steps):
             if new[t]:
@@ -268,11 +278,11 @@ class Gru:
             state += cand
         zs, rs = both
         at = np.flatnonzero(live.ravel())
-        y, count = _rows(x.ravel(), at), max(1, len(at))
-        hs = self._room("hs", len(at) + 1, h)
-        np.take(states.reshape(-1, h), at, axis=0, out=hs[:-1], mode="clip")
-        hs[-1] = 0                                                   # the row of no token
-        none, hs = hs, hs[:-1]
+        y, count, every = _rows(x.ravel(), at), max(1, len(at)), len(at) == steps * lanes
+        if not every:
+            np.take(room, at, axis=0, out=self._room("hs", len(at) + 1, h)[:-1], mode="clip")
+            room = self._room("hs", len(at) + 1, h)
+        room[-1], hs = 0, room[:-1]                                  # the last is the row of no token
         z = np.matmul(hs, p["C"], out=self._room("z", len(hs), s.classes))
         z += p["cb"]
         k, one, plain = y // s.members, 1 / count, self._plain()
@@ -284,10 +294,12 @@ class Gru:
         g["C"], g["cb"], dh = hs.T @ d, np.ones(len(d), d.dtype) @ d, d @ p["C"].T
         token, place, left, classes = self._by_class(k, BLOCK)
         held, z, dheld = (self._room(name, len(token), width) for name, width in (("held", h), ("z", s.members), ("dheld", h)))
-        np.take(none, token, axis=0, out=held, mode="clip")
+        np.take(room, token, axis=0, out=held, mode="clip")
+        O, ob, gO, gob = p["O"], p["ob"], g["O"], g["ob"]
         for c, a, b in classes:
-            np.matmul(held[a:b], p["O"][c].T, out=z[a:b])
-            z[a:b] += p["ob"][c]
+            part = z[a:b]
+            np.matmul(held[a:b], O[c].T, out=part)
+            part += ob[c]
         spot = place * s.members + y % s.members
         loss -= z.ravel()[spot].sum(dtype=np.float64) if told else 0.0
         d, total = _softmax(z, one, plain)
@@ -295,13 +307,15 @@ class Gru:
         d.reshape(-1)[spot] -= one
         d[left] = 0
         for c, a, b in classes:
-            np.matmul(d[a:b], p["O"][c], out=dheld[a:b])
-            g["O"][c] = d[a:b].T @ held[a:b]
-            g["ob"][c] = d[a:b].sum(axis=0)
+            part = d[a:b]
+            np.matmul(part, O[c], out=dheld[a:b])
+            np.matmul(part.T, held[a:b], out=gO[c])
+            np.add.reduce(part, axis=0, out=gob[c])
         dh += _rows(dheld, place)
-        dout = self._room("dout", steps * lanes, h)
-        dout[:] = 0
-        dout[at] = dh
+        dout = dh if every else self._room("dout", steps * lanes, h)
+        if not every:
+            dout[:] = 0
+            dout[at] = dh
         dout = dout.reshape(steps, lanes, h)
         dgx, back = self._room("gx", steps, lanes, 3 * h), np.zeros((lanes, h), np.float32)    # in the place of the inputs, which are used up
         slope, reach, close = 1 - ns * ns, rs * (1 - rs), zs * (1 - zs)                    # of all steps at once
@@ -327,8 +341,12 @@ class Gru:
         g["Uh"] = (rs * states).reshape(-1, h).T @ flat[:, 2 * h:]
         back, ids = flat @ p["Wx"].T, x.ravel().astype(np.int64)
         g["Wx"], g["b"] = _rows(p["E"], ids).T @ flat, flat.sum(axis=0)
+        known = np.flatnonzero(ids)                                  # the unknown word, by far the most frequent, is summed by itself
+        np.add.reduce(_rows(back, np.flatnonzero(ids == UNKNOWN)).astype(np.float64), axis=0, out=(total := np.zeros(s.embed)))
+        ids, back = ids[known], np.ascontiguousarray(_rows(back, known).T)
         for c in range(s.embed):
-            g["E"][:, c] = np.bincount(ids, weights=back[:, c], minlength=len(g["E"]))
+            g["E"][:, c] = np.bincount(ids, weights=back[c], minlength=len(g["E"]))
+        g["E"][UNKNOWN] = total
         return float(loss) / count, g, state
 
     def train(self, docs: list[np.ndarray]) -> Gru:
@@ -435,8 +453,10 @@ class Lanes:
         """Ids, begin marks, live marks and places (time, lane) of the lanes that go on past ``a``."""
         lanes = int(np.searchsorted(-self.used, -a, side="left"))
         t = np.arange(a, min(b, self.length))[:, None]
-        live = t < self.used[None, :lanes]
-        at = np.where(live, self.start[None, :lanes] + t, 0)
+        at, live = self.start[None, :lanes] + t, t < self.used[None, :lanes]
+        if lanes and self.used[lanes - 1] >= min(b, self.length):       # as a rule all are live
+            return _rows(self.ids, at), _rows(self.begins, at), live, at
+        at = np.where(live, at, 0)
         return np.where(live, self.ids[at], 0), self.begins[at] & live, live, at
 
 

@@ -389,3 +389,39 @@ def test_pipeline_edge_and_empty(spark, edge, tmp_dir):
     texts = [r["text"] for r in stages[1].collect()]
     assert len(texts) == len(set(texts)) and stages[4].agg(F.sum("length")).first()[0] > 0
     assert [df.count() for df in run_stages(spark, edge.limit(0), f"{tmp_dir}/none")] == [0] * 5
+
+
+def test_words_are_looked_up_as_they_stand():
+    """Training needs the modelled words alone; the words of the head beyond them are the unknown word either way."""
+    s = gated_lm.tiny()
+    words = [f"w{i}" for i in range(100)]
+    known = gated_lm.Counts(words, np.arange(200, 100, -1), 3, 20_000, 101)
+    modelled = s.classes * s.members - 2
+    whole = gated_lm.Lexicon(known, s)
+    few = gated_lm.Lexicon(gated_lm.replace(known, words=words[:modelled], counts=known.counts[:modelled]), s)
+    texts = gated_lm.pa.array(["W0 w99  nowhere w61", None, "w62\tw1"])
+    (size, rank, flat), (size2, rank2, _) = whole.read(texts), few.read(texts)
+    assert flat.to_pylist() == ["w0", "w99", "nowhere", "w61", "w62", "w1"] and size.tolist() == size2.tolist() == [4, 0, 2]
+    assert rank.tolist() == [0, 99, 100, 61, 62, 1]
+    assert [d.tolist() for d in whole.documents(size, rank)] == [d.tolist() for d in few.documents(size2, rank2)] == [[2, 0, 0, 63, 1], [1], [0, 3, 1]]
+
+
+def test_tokens_lie_by_class_in_whole_blocks():
+    s, m = small_model()
+    k = np.array([3, 1, 3, 3, 0, 3, 3])
+    token, place, left, classes = m._by_class(k, 4)
+    assert classes == [(0, 0, 4), (1, 4, 8), (3, 8, 16)] and token[place].tolist() == list(range(7))
+    assert token[8:13].tolist() == [0, 2, 3, 5, 6] and left.tolist() == [1, 2, 3, 5, 6, 7, 13, 14, 15]
+    assert m._by_class(k)[2].tolist() == [] and m._by_class(k)[3] == [(0, 0, 1), (1, 1, 2), (3, 2, 7)]
+
+
+def test_sums_are_plain_only_where_no_state_can_leave_their_range():
+    s, m = small_model()
+    rng = np.random.default_rng(5)
+    states, y = rng.uniform(-1, 1, (200, s.hidden)).astype(np.float32), rng.integers(0, s.classes * s.members, 200)
+    assert m._plain()
+    plain = m.log_probability(states, y)
+    m._plain = lambda: False
+    assert np.array_equal(plain, m.log_probability(states, y))
+    big = gated_lm.Gru(s, {**m.p, "C": m.p["C"] * 0 + 30})
+    assert not big._plain() and np.isfinite(big.log_probability(states, y)).all()
