@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import warnings
 from collections.abc import Callable, Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -65,19 +66,27 @@ def _to_rgb(data, height: int, width: int, channels: int, size: int) -> np.ndarr
     if (height, width) == (size, size):
         return a
 
+    (y0, y1, fy), (x0, x1, fx), whole = _places(height, size), _places(width, size), 4 * size * size
+    rows, at = np.unique(np.concatenate([y0, y1]), return_inverse=True)      # across first, in the rows that count: they are few
+    wide = a[rows]
+    wide = wide[:, x0] * (2 * size - fx)[None, :, None] + wide[:, x1] * fx[None, :, None]
+    out, below = np.take(wide, at[:size], axis=0), np.take(wide, at[size:], axis=0)
+    out *= (2 * size - fy)[:, None, None]
+    below *= fy[:, None, None]
+    out += below
+    out += whole // 2
+    out //= whole
+    return out.astype(np.uint8)
+
+
+@lru_cache(maxsize=256)
+def _places(n: int, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For ``size`` places over ``n`` pixels: the pixels before and after each, and the share of the one after (of ``2 * size``)."""
     unit = 2 * size                                       # places count in parts of a pixel
-    whole = unit * unit
-    kind = np.int32 if 256 * whole < 1 << 31 else np.int64
-
-    def places(n: int):
-        at = ((2 * np.arange(size) + 1) * n - size).clip(0, unit * (n - 1))
-        low = at // unit
-        return low, np.minimum(low + 1, n - 1), (at - low * unit).astype(kind)
-
-    (y0, y1, fy), (x0, x1, fx) = places(height), places(width)
-    rows = a[y0] * (unit - fy)[:, None, None] + a[y1] * fy[:, None, None]
-    out = rows[:, x0] * (unit - fx)[None, :, None] + rows[:, x1] * fx[None, :, None]
-    return ((out + whole // 2) // whole).astype(np.uint8)
+    kind = np.int32 if 256 * unit * unit < 1 << 31 else np.int64
+    at = ((2 * np.arange(size) + 1) * n - size).clip(0, unit * (n - 1))
+    low = at // unit
+    return low, np.minimum(low + 1, n - 1), (at - low * unit).astype(kind)
 
 
 def _embed_into(embed: Embedder, places: list, imgs: list, feats: list, errors: list) -> None:

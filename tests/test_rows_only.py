@@ -382,3 +382,39 @@ def test_folders_are_made_once_for_many_files(monkeypatch, tmp_path):
     for i in range(3):
         write_bytes(f"{tmp_path}/a/b/{i}.png", bytes([i]), filesystems.LOCAL)
     assert made == [f"{tmp_path}/a/b"] and [(tmp_path / "a/b" / f"{i}.png").read_bytes() for i in range(3)] == [b"\0", b"\1", b"\2"]
+
+
+def test_pictures_are_decoded_without_temporary_files(spark):
+    from scorewright.sources.images import read_images
+    from scorewright.sources.tables import pet_image_dir
+
+    spark._jvm.javax.imageio.ImageIO.setUseCache(True)
+    read_images(spark, pet_image_dir(spark, SF001) + "/*").select("image.height").collect()
+    assert not spark._jvm.javax.imageio.ImageIO.getUseCache()
+
+
+def test_scaled_pictures_by_hand():
+    """Bilinear by exact fractions; a tall picture, of which few rows count, a wide and a small one."""
+    from fractions import Fraction
+
+    import numpy as np
+
+    from scorewright.operators.embed import _places, _to_rgb
+
+    def around(i, n, size):
+        at = min(max(Fraction(2 * i + 1, 2) * n / size - Fraction(1, 2), 0), n - 1)
+        low = int(at)
+        return low, min(low + 1, n - 1), at - low
+
+    rng = np.random.default_rng(2)
+    for h, w, size in ((90, 3, 5), (2, 40, 6), (3, 4, 9)):
+        a = rng.integers(0, 256, (h, w, 3), dtype=np.uint8)
+        got = _to_rgb(a.tobytes(), h, w, 3, size)
+        for y in range(size):
+            for x in range(size):
+                (y0, y1, fy), (x0, x1, fx) = around(y, h, size), around(x, w, size)
+                for c in range(3):
+                    v = lambda i, j: int(a[i, j, 2 - c])  # noqa: B023, E731
+                    want = (v(y0, x0) * (1 - fx) + v(y0, x1) * fx) * (1 - fy) + (v(y1, x0) * (1 - fx) + v(y1, x1) * fx) * fy
+                    assert got[y, x, c] == int(want + Fraction(1, 2))
+    assert _places(3, 9) is _places(3, 9)                       # worked out once for pictures of one size
