@@ -29,7 +29,8 @@ from scorewright.sinks import save_model, write_csv, write_json_single, write_la
 from scorewright.sinks.fs import delete
 from scorewright.sources.filesystems import resolve
 from scorewright.sources.csv import MALFORMED, read_csv_strings, require_columns
-from scorewright.sources.images import NoImagesError, packed, read_images, stage_members, with_path_label, zip_members
+from scorewright.sources.images import (
+    NoImagesError, packed, read_images, reading_pictures, stage_members, with_path_label, zip_members)
 from scorewright.sources.labels import read_label_map_tolerant
 from scorewright.specs import ERROR_LABEL, LR_EMBEDDING_PARAMS, LR_WEIGHTED_PARAMS, TELCO, TableSpec
 
@@ -119,7 +120,8 @@ def score_images(spark: SparkSession, image_glob: str, lr_model: str | LogisticR
     lr = LogisticRegressionModel.load(lr_model) if isinstance(lr_model, str) else lr_model
     feats = image_features(packed(read_images(spark, image_glob)), "image", size, embedder_factory)
     path = work_path(spark, "stage", f"features-{uuid.uuid4().hex}")
-    feats.select(F.col("image.origin").alias("origin"), F.col("emb.features").alias("features")).write.parquet(path)
+    with reading_pictures(spark):
+        feats.select(F.col("image.origin").alias("origin"), F.col("emb.features").alias("features")).write.parquet(path)
     rows = spark.read.parquet(path)
     good = rows.filter(F.col("features").isNotNull()).withColumn(
         lr.getFeaturesCol(), array_to_vector(F.col("features").cast("array<double>")))
@@ -178,7 +180,8 @@ def image_training_set(spark: SparkSession, image_glob: str, size: int = SIZE,
     imgs = with_path_label(packed(read_images(spark, image_glob)))
     feats = image_features(imgs, "image", size, embedder_factory)
     path = work_path(spark, "stage", f"features-{uuid.uuid4().hex}")
-    feats.select(F.col("image.origin").alias("origin"), "label", F.col("emb.features").alias("features")).write.parquet(path)
+    with reading_pictures(spark):
+        feats.select(F.col("image.origin").alias("origin"), "label", F.col("emb.features").alias("features")).write.parquet(path)
     ok = spark.read.parquet(path).filter(F.col("features").isNotNull())
     return ok.select("origin", "label", array_to_vector(F.col("features").cast("array<double>")).alias("features_vec"))
 
@@ -257,7 +260,8 @@ def score_zip(spark: SparkSession, zip_path: str, lr_model: str | LogisticRegres
         F.when(failed, F.lit(ERROR_LABEL)).otherwise(F.col("label_name")).alias("label"),
         F.when(failed, F.lit(0.0)).otherwise(F.col("confidence")).alias("confidence"))
     # written once: the output below and the caller read this, and the extracted pictures can go
-    preds.write.mode("overwrite").parquet(f"{stage}/preds")
+    with reading_pictures(spark):
+        preds.write.mode("overwrite").parquet(f"{stage}/preds")
     preds = spark.read.parquet(f"{stage}/preds")
     for part in ("files", "manifest", "members"):
         delete(spark, f"{stage}/{part}")
